@@ -226,18 +226,23 @@ def keep_if_complete(value: Column | str, cols: Sequence[str]) -> Column:
     return F.when(all_present(cols), v)
 
 
-def certain_class(total: Column | str, n_missing: Column, per_item_max: int = 5) -> Column:
+# fixed values: integer-total class boundaries (<=30, 31..49, 50..79, >=80)
+CERTAIN_CUTS = (31.0, 50.0, 80.0)
+
+
+def certain_class(total: Column | str, n_missing: Column, per_item_max: int = 5,
+                  cuts: Sequence[float] = CERTAIN_CUTS) -> Column:
     """Severity class only if the unanswered items could not change it.
 
-    ``max = total + per_item_max * n_missing``; classes by total:
-    <=30 -> 0, 31..49 -> 1, 50..79 -> 2, >=80 -> 3, each only if max stays in range.
+    ``max = total + per_item_max * n_missing``; the class is the left-closed
+    bin of ``total`` on ``cuts`` and is kept only when ``max`` falls in the
+    same bin (with the default cuts: <=30 -> 0, 31..49 -> 1, 50..79 -> 2,
+    >=80 -> 3 for integer totals), otherwise null.
     """
     t = F.col(total) if isinstance(total, str) else total
     mx = t + F.lit(per_item_max) * n_missing
-    return (F.when((t <= 30) & (mx <= 30), 0)
-             .when((t >= 31) & (t <= 49) & (mx <= 49), 1)
-             .when((t >= 50) & (t <= 79) & (mx <= 79), 2)
-             .when((t >= 80) & (mx >= 80), 3))
+    bt, bm = ordinal_bin(t, cuts), ordinal_bin(mx, cuts)
+    return F.when(bt == bm, bt)
 
 
 def weighted_average(cols: Sequence[str], weights: Sequence[float]) -> Column:
@@ -248,3 +253,15 @@ def weighted_average(cols: Sequence[str], weights: Sequence[float]) -> Column:
     if tot == 0:
         raise ValueError("weights sum to zero")
     return reduce(lambda a, b: a + b, [F.col(c) * F.lit(float(w)) for c, w in zip(cols, weights)]) / F.lit(tot)
+
+
+def round6(c: Column | str, digits: int = 6) -> Column:
+    """Half-up decimal rounding built from IEEE operations only.
+
+    ``floor(x * 10^d + 0.5) / 10^d`` gives bit-identical results in every
+    engine (``round`` differs between engines on near-ties), so reported
+    figures can be compared by hash.
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    s = float(10 ** digits)
+    return (F.floor(col.cast("double") * F.lit(s) + F.lit(0.5)) / F.lit(s)).cast("double")

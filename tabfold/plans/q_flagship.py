@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabfold.functions import columns as C
 from tabfold.functions.columns import SEVERITY_CUTS, ordinal_bin
 from tabfold.operators import metrics
 from tabfold.operators.folds import kfold
@@ -81,39 +82,39 @@ WITH {PER_ORDER_SQL},
 per_fold AS (SELECT fold, count(*) AS n, sqrt(avg((y - p) * (y - p))) AS rmse FROM oof GROUP BY fold),
 cls AS (SELECT {class_sql('y')} AS real_class, {class_sql('p')} AS pred_class FROM oof)
 SELECT CAST((SELECT sum(n) FROM per_fold) AS BIGINT) AS n_rows,
-       round((SELECT avg(rmse) FROM per_fold), 6) AS cv_rmse,
-       round((SELECT qwk FROM {qwk_sql('cls', 'real_class', 'pred_class')}), 6) AS qwk
+       CAST(floor(((SELECT avg(rmse) FROM per_fold)) * 1000000.0 + 0.5) / 1000000.0 AS DOUBLE) AS cv_rmse,
+       CAST(floor(((SELECT qwk FROM {qwk_sql('cls', 'real_class', 'pred_class')})) * 1000000.0 + 0.5) / 1000000.0 AS DOUBLE) AS qwk
 """)
 def q_cv_kappa(spark: SparkSession, sf_dir: str) -> DataFrame:
     oof = oof_linear(spark, sf_dir)
     per_fold = metrics.regression_metrics(oof, "y", "prediction", by=["fold"])
     cv = per_fold.agg(F.sum("n").cast("bigint").alias("n_rows"),
-                      F.round(F.avg("rmse"), 6).alias("cv_rmse")).withColumn("_k", F.lit(1))
+                      C.round6(F.avg("rmse")).alias("cv_rmse")).withColumn("_k", F.lit(1))
     kappa = metrics.qwk(with_classes(oof), "real_class", "pred_class") \
-        .select(F.round("qwk", 6).alias("qwk")).withColumn("_k", F.lit(1))
+        .select(C.round6("qwk").alias("qwk")).withColumn("_k", F.lit(1))
     return cv.join(kappa, "_k").drop("_k")
 
 
 @query("q_fold_rmse", sql=f"""
 WITH {PER_ORDER_SQL}
-SELECT fold, CAST(count(*) AS BIGINT) AS n, round(avg(abs(y - p)), 6) AS mae,
-       round(avg((y - p) * (y - p)), 6) AS mse, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse
+SELECT fold, CAST(count(*) AS BIGINT) AS n, CAST(floor((avg(abs(y - p))) * 1000000.0 + 0.5) / 1000000.0 AS DOUBLE) AS mae,
+       CAST(floor((avg((y - p) * (y - p))) * 1000000.0 + 0.5) / 1000000.0 AS DOUBLE) AS mse, CAST(floor((sqrt(avg((y - p) * (y - p)))) * 1000000.0 + 0.5) / 1000000.0 AS DOUBLE) AS rmse
 FROM oof GROUP BY fold
 """)
 def q_fold_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     oof = oof_linear(spark, sf_dir)
     m = metrics.regression_metrics(oof, "y", "prediction", by=["fold"])
     return m.select("fold", F.col("n").cast("bigint").alias("n"),
-                    *[F.round(c, 6).alias(c) for c in ("mae", "mse", "rmse")])
+                    *[C.round6(c).alias(c) for c in ("mae", "mse", "rmse")])
 
 
 @query("q_linear_coef", sql=f"""
 WITH {PER_ORDER_SQL}
-SELECT fold, 'intercept' AS term, round(a, 6) AS value FROM coef
-UNION ALL SELECT fold, 'x' AS term, round(b, 6) AS value FROM coef
+SELECT fold, 'intercept' AS term, CAST(floor((a) * 1000000.0 + 0.5) / 1000000.0 AS DOUBLE) AS value FROM coef
+UNION ALL SELECT fold, 'x' AS term, CAST(floor((b) * 1000000.0 + 0.5) / 1000000.0 AS DOUBLE) AS value FROM coef
 """)
 def q_linear_coef(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-fold-complement least-squares coefficients (long form)."""
     folded = cut_lineage(kfold(per_order(spark, sf_dir), "id", K, SEED))
     fit = linear.fit_folds(folded, ["x"], "y", "fold")
-    return linear.coefficients(fit).select("fold", "term", F.round("value", 6).alias("value"))
+    return linear.coefficients(fit).select("fold", "term", C.round6("value").alias("value"))
