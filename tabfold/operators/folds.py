@@ -121,8 +121,9 @@ def stratified_group_kfold(df: DataFrame, group: str, label: str, k: int = 5, se
                            col: str = "fold") -> DataFrame:
     """Groups stay whole; groups are stratified by their dominant class."""
     hist = df.groupBy(group, label).agg(F.count(F.lit(1)).alias("_n"))
+    # most frequent class of the group; ties go to the smallest class
     dominant = (hist.groupBy(group)
-                .agg(F.max_by(F.col(label), F.struct(F.col("_n"), -F.col(label))).alias("_dom")))
+                .agg(F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias("_dom")))
     gf = stratified_kfold(dominant, group, "_dom", k, seed, col).drop("_dom")
     return df.join(gf, group, "left")
 
