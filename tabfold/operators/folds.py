@@ -60,35 +60,47 @@ def group_kfold(df: DataFrame, group: str | Sequence[str], k: int = 5, seed: int
     """A group never spans folds.
 
     ``balanced=False``: fold = hash of the group key (narrow, SQL-checkable).
-    ``balanced=True`` : heavy groups (more than n/(k*64) rows, so at most
-    k*64 of them) are placed largest-first on the lightest fold after the
-    hashed light groups are counted; the rest keep their hash fold.  The
-    placement table is bounded by k*64 rows and broadcast.
+    ``balanced=True`` : heavy groups (at least n/(k*64) rows, so at most k*64
+    of them) are placed largest-first on the lightest fold; every light group
+    then goes to a fold drawn by its key hash in proportion to the room each
+    fold has left below n/k.  Only the group-size aggregate and the bounded
+    heavy list reach the driver; the placement table is broadcast.
     """
     hashed = kfold(df, group, k, seed, col)
     if not balanced:
         return hashed
     gcols = [group] if isinstance(group, str) else list(group)
-    sizes = hashed.groupBy(*gcols, col).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
     n = sizes.agg(F.sum("_n")).first()[0] or 0
     thr = max(1, -(-n // (k * HEAVY_FACTOR)))
-    heavy = (sizes.where(F.col("_n") >= thr).select(*gcols, "_n")
-             .orderBy(F.col("_n").desc(), *gcols).collect())
-    light = dict(sizes.where(F.col("_n") < thr).groupBy(col).agg(F.sum("_n")).collect())
-    loads = [(light.get(f, 0), f) for f in range(k)]
+    heavy = (sizes.where(F.col("_n") >= thr).orderBy(F.col("_n").desc(), *gcols)
+             .limit(k * HEAVY_FACTOR + 1).collect())
+    loads = [(0, f) for f in range(k)]
     heapq.heapify(loads)
     rows = []
     for r in heavy:
         load, f = heapq.heappop(loads)
         rows.append(tuple(r[g] for g in gcols) + (f,))
         heapq.heappush(loads, (load + r["_n"], f))
+    per_fold = dict((f, load) for load, f in loads)
+    room = [max(0.0, n / k - per_fold.get(f, 0)) for f in range(k)]
+    tot = sum(room) or float(k)
+    room = room if sum(room) else [1.0] * k
+    bounds, acc = [], 0.0
+    for f in range(k - 1):
+        acc += room[f] / tot
+        bounds.append(acc)
+    u = unit_interval(group, seed)
+    light_fold = sum((u >= F.lit(b)).cast("int") for b in bounds) if bounds else F.lit(0)
+    # folds with no room are skipped by the cumulative bounds (zero-width intervals)
+    out = df.withColumn(col, light_fold.cast("int"))
     if not rows:
-        return hashed
+        return out
     spark = df.sparkSession
     schema = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in gcols) + ", _heavy_fold int"
     place = spark.createDataFrame(rows, schema)
-    return (hashed.join(F.broadcast(place), gcols, "left")
-            .withColumn(col, F.coalesce(F.col("_heavy_fold"), F.col(col))).drop("_heavy_fold"))
+    return (out.join(F.broadcast(place), gcols, "left")
+               .withColumn(col, F.coalesce(F.col("_heavy_fold"), F.col(col))).drop("_heavy_fold"))
 
 
 def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0,
