@@ -71,9 +71,26 @@ class DropSparseModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         return df.drop(*self.getOrDefault(self.dropCols))
 
 
-def duplicate_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(n_rows, n_duplicates): rows beyond the first of each identical feature tuple."""
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+def row_digest(cols: Sequence[str]) -> Column:
+    """SHA-256 of an unambiguous encoding of the row (length-prefixed values, null marker)."""
+    parts = []
+    for c in cols:
+        v = F.col(c).cast("string")
+        parts.append(F.when(v.isNull(), F.lit("N")).otherwise(F.concat(F.lit("V"), F.length(v).cast("string"),
+                                                                      F.lit(":"), v)))
+    return F.sha2(F.concat(*parts), 256)
+
+
+def duplicate_count(df: DataFrame, cols: Sequence[str], digest: bool = True) -> DataFrame:
+    """(n_rows, n_duplicates): rows beyond the first of each identical feature tuple.
+
+    ``digest=True`` groups by a 256-bit digest of the tuple, so the shuffle
+    carries 32 bytes per row instead of whole texts (a collision would need
+    two different rows with equal SHA-256).  ``digest=False`` groups by the
+    columns themselves.
+    """
+    keys = [row_digest(cols).alias("_d")] if digest else list(cols)
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     return g.agg(F.sum("_c").cast("bigint").alias("n_rows"),
                  F.sum(F.col("_c") - 1).cast("bigint").alias("n_duplicates"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabfold.functions import columns as C
 from tabfold.plans.registry import query
+from tabfold.plans.sqlfrag import r6
 from tabfold.sources import schema as S
 from tabfold.sources.tables import read_table
 
@@ -235,3 +236,79 @@ def q_schema_enforce(spark: SparkSession, sf: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("k"))
     model = json.loads('{"fields": {"event_id": "int", "user_id": "int", "value": "float", "k": "int"}}')
     return S.enforce(ev, model, required=["value", "k"], flag="is_valid")
+
+
+# ---------------------------------------------------------------- preprocessing chain / CSV
+
+def _season_sql(m: str) -> str:
+    return (f"CASE WHEN {m} IN (3, 4, 5) THEN 'Spring' WHEN {m} IN (6, 7, 8) THEN 'Summer' "
+            f"WHEN {m} IN (9, 10, 11) THEN 'Fall' ELSE 'Winter' END")
+
+
+def survey_like_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders shaped like the survey table: a season column, a leaked column, a sparse column."""
+    o = read_table(spark, sf, "orders")
+    m = F.month("o_orderdate")
+    season = (F.when(m.isin(3, 4, 5), "Spring").when(m.isin(6, 7, 8), "Summer")
+               .when(m.isin(9, 10, 11), "Fall").otherwise("Winter"))
+    season = (F.when(F.col("o_orderkey") % 7 == 0, F.lit(None).cast("string"))
+               .when(F.col("o_orderkey") % 11 == 0, F.lit("")).otherwise(season))
+    return o.select(F.col("o_orderkey").alias("id"), season.alias("Order_Season"),
+                    F.col("o_totalprice").alias("PCIAT_Total"),
+                    F.when(F.col("o_orderkey") % 10 >= 7, F.col("o_totalprice")).alias("Sparse_Price"),
+                    F.col("o_totalprice").alias("Price"), F.col("o_custkey").cast("double").alias("Cust"))
+
+
+PRE_PRODUCTS = {"Price_x_Cust": ("Price", "Cust")}
+PRE_RATIOS = {"Price_per_Cust": ("Price", "Cust"), "Sparse_per_Cust": ("Sparse_Price", "Cust")}
+
+
+@query("q_preprocess", sql=f"""
+WITH o AS (SELECT o_orderkey AS id,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN '' ELSE {_season_sql('month(o_orderdate)')} END
+    AS s, o_totalprice AS price, CAST(o_custkey AS DOUBLE) AS cust FROM orders)
+SELECT id, CAST(CASE s WHEN 'Spring' THEN 0 WHEN 'Summer' THEN 1 WHEN 'Fall' THEN 2 WHEN 'Winter' THEN 3 ELSE -1 END
+            AS INTEGER) AS Order_Season,
+       price AS Price, cust AS Cust, {r6('price * cust')} AS Price_x_Cust,
+       {r6('price / nullif(cust, 0)')} AS Price_per_Cust
+FROM o""")
+def q_preprocess(spark: SparkSession, sf: str) -> DataFrame:
+    """Fitted preprocessing chain (season codes, leak and sparse drops, features)."""
+    from tabfold.operators.preprocess import SurveyPreprocessor
+    df = survey_like_orders(spark, sf)
+    model = SurveyPreprocessor(products=PRE_PRODUCTS, ratios=PRE_RATIOS, protect=["id"]).fit(df)
+    out = model.transform(df)
+    return out.select("id", F.col("Order_Season").cast("int").alias("Order_Season"), "Price", "Cust",
+                      C.round6("Price_x_Cust").alias("Price_x_Cust"),
+                      C.round6("Price_per_Cust").alias("Price_per_Cust"))
+
+
+@query("q_roles", sql="""
+SELECT column_name AS "column",
+       CASE WHEN column_type IN ('VARCHAR') THEN 'categorical' ELSE 'numerical' END AS role
+FROM (DESCRIBE orders) WHERE column_type NOT IN ('TIMESTAMP', 'DATE')""")
+def q_roles(spark: SparkSession, sf: str) -> DataFrame:
+    """Role of each column from its type (numeric incl. boolean / categorical)."""
+    o = read_table(spark, sf, "orders")
+    rows = [(c, "numerical") for c in C.numerical_cols(o)] + [(c, "categorical") for c in C.categorical_cols(o)]
+    return spark.createDataFrame(rows, "column string, role string")
+
+
+@query("q_csv_roundtrip", sql="""
+WITH po AS (SELECT l_orderkey, sum(l_quantity) AS qty, sum(l_extendedprice) / 4000 AS y
+            FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey AS Order_Key, qty AS Total_Qty_, y AS Target_y FROM po WHERE l_orderkey % 9 <> 0""")
+def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A4 -> A1/A2/P1/P2: CSV sink with raw names, load back: clean names, NA tokens, drop null targets."""
+    import uuid
+
+    from tabfold.session import scratch_path
+    from tabfold.sources import csv as CSV
+    li = read_table(spark, sf, "lineitem")
+    po = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("qty"), (F.sum("l_extendedprice") / 4000).alias("y"))
+    raw = po.select(F.col("l_orderkey").alias("Order-Key"), F.col("qty").alias("Total Qty (#)"),
+                    F.when(F.col("l_orderkey") % 9 != 0, F.col("y").cast("string")).otherwise(F.lit("NA"))
+                    .alias("Target-y"))
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    CSV.write_csv(raw, path)
+    return CSV.load_labelled(spark, path, "Target-y", key="Order-Key")
