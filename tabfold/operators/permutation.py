@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 
 from tabfold.operators import metrics as M
 
-BUCKETS = 256
+ROWS_PER_BUCKET = 1_000_000      # rows one permutation slice holds, at most on average
 
 
-def permute_column(df: DataFrame, key: str, col: str, seed: int, buckets: int = BUCKETS) -> DataFrame:
+def permute_column(df: DataFrame, key: str, col: str, seed: int, buckets: int = 256) -> DataFrame:
     kc = F.col(key).cast("string")
     b = F.pmod(F.xxhash64(F.lit(seed), F.lit("b"), kc), F.lit(buckets))
     d = df.withColumn("_bk", b)
@@ -37,11 +37,12 @@ def permutation_importance(model: PipelineModel, df: DataFrame, key: str, featur
                            label: str, metric: str = "rmse", repeats: int = 10, seed: int = 0) -> DataFrame:
     """(feature, repeat, baseline, permuted, delta); delta > 0 means the feature helps."""
     m = M.Metric(metric)
+    buckets = max(256, -(-df.count() // ROWS_PER_BUCKET))   # slice count grows with the data
     base = M.evaluate_value(model.transform(df), m, label, "prediction")
     rows = []
     for f in features:
         for r in range(repeats):
-            perm = permute_column(df, key, f, seed + 1000 * r + zlib.crc32(f.encode()) % 997)
+            perm = permute_column(df, key, f, seed + 1000 * r + zlib.crc32(f.encode()) % 997, buckets)
             s = M.evaluate_value(model.transform(perm), m, label, "prediction")
             delta = (base - s) if m.maximise else (s - base)
             rows.append((f, r, base, s, delta))

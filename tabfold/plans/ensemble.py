@@ -134,3 +134,21 @@ def blend_lattice_rmse(oof_wide: DataFrame, a: str, b: str, label: str, steps: i
 def fit_stacked(oof_wide: DataFrame, members: Sequence[str], label: str, alpha: float = 0.1):
     """Ridge (alpha, unpenalised intercept) of the label on member predictions."""
     return linear.fit_all(oof_wide, list(members), label, alpha)
+
+
+def member_predictions(df: DataFrame, models: Mapping[str, object], key: str) -> DataFrame:
+    """Score every member's full-data model on the same rows -> (key, <member>...).
+
+    Each member's pipeline runs as a projection over ``df``; the scored
+    frames share the key, so one union + pivot widens them (no positions).
+    """
+    frames = {}
+    for name, model in models.items():
+        scored = model.transform(df)
+        frames[name] = scored.select(key, F.col("prediction").cast("double").alias("prediction"))
+    return widen_oof(frames, key=key)
+
+
+def stacked_coefficients(fit) -> DataFrame:
+    """Meta-learner coefficients, largest first (intercept excluded)."""
+    return linear.coefficients(fit).where(F.col("term") != "intercept").orderBy(F.col("value").desc(), "term")

@@ -179,3 +179,46 @@ def q_weight_best(spark: SparkSession, sf: str) -> DataFrame:
     cls = with_classes(oof_linear(spark, sf))
     best = W.best_weight(W.sweep(cls, "real_class", "prediction"))
     return best.select("weight", C.round6("kappa").alias("kappa"))
+
+
+@query("q_weighted_predict", sql=f"""
+WITH {TWO_SQL},
+s AS (SELECT greatest(0.0, least(1.0, sum((y - ls_lines) * (ls_qty - ls_lines)) /
+                                  sum((ls_qty - ls_lines) * (ls_qty - ls_lines)))) AS t FROM w),
+fa AS (SELECT regr_slope(y, qty) AS b, regr_intercept(y, qty) AS a FROM po),
+fb AS (SELECT regr_slope(y, n_lines) AS b, regr_intercept(y, n_lines) AS a FROM po)
+SELECT po.id, {r6('s.t * (fa.a + fa.b * po.qty) + (1 - s.t) * (fb.a + fb.b * po.n_lines)')} AS blend
+FROM po JOIN s ON true JOIN fa ON true JOIN fb ON true""")
+def q_weighted_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights from OOF, members refit on all rows, weighted average of their predictions."""
+    oofs = member_oofs(spark, sf)
+    wide = E.widen_oof({n: d.select("id", "prediction") for n, d in oofs.items()}, key="id", label="y",
+                       label_df=oofs["ls_qty"].select("id", "y"))
+    ens = E.fit_weighted(wide, list(MEMBERS), "y")
+    li = read_table(spark, sf, "lineitem")
+    po = li.groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).cast("double").alias("n_lines"),
+        (F.sum("l_extendedprice") / 4000).alias("y"))
+    scored = po
+    for name, feat in MEMBERS.items():
+        full = linear.fit_all(po, [feat], "y")
+        scored = full.predict(scored, fold_col=None, out=name)
+    return scored.select("id", C.round6(ens.predict_col()).alias("blend"))
+
+
+@query("q_stack_coef_order", sql=f"""
+WITH {TWO_SQL},
+m AS (SELECT covar_pop(ls_qty, ls_qty) * count(*) + 0.1 AS a11, covar_pop(ls_lines, ls_lines) * count(*) + 0.1 AS a22,
+             covar_pop(ls_qty, ls_lines) * count(*) AS a12,
+             covar_pop(ls_qty, y) * count(*) AS b1, covar_pop(ls_lines, y) * count(*) AS b2 FROM w),
+c AS (SELECT (b1 * a22 - a12 * b2) / (a11 * a22 - a12 * a12) AS w1,
+             (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS w2 FROM m),
+l AS (SELECT 'ls_qty' AS term, w1 AS value FROM c UNION ALL SELECT 'ls_lines', w2 FROM c)
+SELECT term, {r6('value')} AS value, CAST(row_number() OVER (ORDER BY value DESC, term) AS INTEGER) AS position FROM l""")
+def q_stack_coef_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Stacked meta-learner coefficients ordered largest first."""
+    fit = E.fit_stacked(oof_wide(spark, sf), list(MEMBERS), "y", 0.1)
+    rows = E.stacked_coefficients(fit).collect()          # one row per member
+    return spark.createDataFrame([(r["term"], float(r["value"]), i + 1) for i, r in enumerate(rows)],
+                                 "term string, value double, position int") \
+        .select("term", C.round6("value").alias("value"), "position")

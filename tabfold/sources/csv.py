@@ -69,6 +69,11 @@ def load_labelled(spark: SparkSession, path: str, target: str, key: str | None =
     return df
 
 
+def load_unlabelled(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Scoring input: same reader and name cleaning, no target."""
+    return sanitize_columns(read_csv(spark, path, schema))
+
+
 def write_csv(df: DataFrame, path: str, cols: Sequence[str] | None = None, single_file: bool = False) -> None:
     """Selected columns, header, no index.  ``single_file`` only for small outputs."""
     out = df.select(*cols) if cols else df
