@@ -206,20 +206,28 @@ def q_weighted_avg(spark: SparkSession, sf: str) -> DataFrame:
                      C.round6(C.weighted_average(["l_discount", "l_tax", "c"], [2.0, 1.0, 0.5])).alias("blend"))
 
 
-def _schema_sql(table: str) -> str:
-    return f"""SELECT column_name AS "column",
-       CASE WHEN column_type IN ('BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT') THEN 'int'
-            WHEN column_type IN ('DOUBLE', 'FLOAT') THEN 'float' ELSE 'str' END AS "type"
-FROM (DESCRIBE {table})"""
+_LI_NULLABLE_SQL = """li AS (SELECT l_orderkey, l_partkey, l_suppkey,
+  CASE WHEN l_orderkey % 13 <> 0 THEN l_linenumber END AS l_linenumber, l_quantity, l_extendedprice,
+  l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem)"""
 
 
-@query("q_schema_export", sql=_schema_sql("lineitem") + " UNION ALL " + _schema_sql("events"))
+def _model_sql(view: str, base: str) -> str:
+    return f"""SELECT d.column_name AS "column",
+       CASE WHEN d.column_type IN ('BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT')
+                 THEN CASE WHEN n.has_null THEN 'float' ELSE 'int' END
+            WHEN d.column_type IN ('DOUBLE', 'FLOAT') THEN 'float' ELSE 'str' END AS "type"
+FROM (DESCRIBE {base}) d LEFT JOIN (
+  SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber']) AS column_name,
+         unnest([bool_or(l_orderkey IS NULL), bool_or(l_partkey IS NULL), bool_or(l_suppkey IS NULL),
+                 bool_or(l_linenumber IS NULL)]) AS has_null FROM {view}) n USING (column_name)"""
+
+
+@query("q_schema_export", sql=f"WITH {_LI_NULLABLE_SQL} " + _model_sql("li", "lineitem"))
 def q_schema_export(spark: SparkSession, sf: str) -> DataFrame:
-    """Frozen data model (column -> int/float/str) of two tables."""
-    rows = []
-    for t in ("lineitem", "events"):
-        rows += S.data_model(read_table(spark, sf, t).schema).items()
-    return spark.createDataFrame(rows, "column string, type string")
+    """Data model inferred from the rows (an int column with nulls exports as float)."""
+    li = read_table(spark, sf, "lineitem").withColumn(
+        "l_linenumber", F.when(F.col("l_orderkey") % 13 != 0, F.col("l_linenumber")))
+    return spark.createDataFrame(list(S.infer_data_model(li).items()), "column string, type string")
 
 
 @query("q_schema_enforce", sql="""
@@ -283,15 +291,11 @@ def q_preprocess(spark: SparkSession, sf: str) -> DataFrame:
                       C.round6("Price_per_Cust").alias("Price_per_Cust"))
 
 
-@query("q_roles", sql="""
-SELECT column_name AS "column",
-       CASE WHEN column_type IN ('VARCHAR') THEN 'categorical' ELSE 'numerical' END AS role
-FROM (DESCRIBE orders) WHERE column_type NOT IN ('TIMESTAMP', 'DATE')""")
-def q_roles(spark: SparkSession, sf: str) -> DataFrame:
-    """Role of each column from its type (numeric incl. boolean / categorical)."""
+@query("q_select_numeric", sql="SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def q_select_numeric(spark: SparkSession, sf: str) -> DataFrame:
+    """Role selection by type: keep the numeric (and boolean) columns, drop the rest."""
     o = read_table(spark, sf, "orders")
-    rows = [(c, "numerical") for c in C.numerical_cols(o)] + [(c, "categorical") for c in C.categorical_cols(o)]
-    return spark.createDataFrame(rows, "column string, role string")
+    return C.select_numeric(o)
 
 
 @query("q_csv_roundtrip", sql="""

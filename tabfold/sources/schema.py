@@ -33,6 +33,17 @@ def data_model(schema: T.StructType, nullable_int_as_float: bool = False) -> dic
     return out
 
 
+def infer_data_model(df: DataFrame) -> dict[str, str]:
+    """{column: type} where an integer column holding any null is reported as
+    float (how a CSV reader without nullable ints types it).  One aggregation."""
+    ints = [f.name for f in df.schema.fields if map_dtype(f.dataType) == "int"]
+    has_null = {}
+    if ints:
+        r = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in ints]).first()
+        has_null = {c: bool(r[c]) for c in ints}
+    return {f.name: ("float" if has_null.get(f.name) else map_dtype(f.dataType)) for f in df.schema.fields}
+
+
 def save_data_model(spark: SparkSession, schema: T.StructType, path: str) -> None:
     """Write ``{"fields": {...}}`` as a one-line JSON text file (any Hadoop path)."""
     doc = json.dumps({"fields": data_model(schema)})
