@@ -77,7 +77,7 @@ def optimal_rounds(cache: CachedFolds, learner: L.Learner, metric: str, params=N
 
 def tune_grid(spark: SparkSession, cache: CachedFolds, learner: L.Learner, metric: str,
               steps: Sequence[Mapping[str, Sequence]], final_params: Mapping | None = None,
-              recalibrate: bool = False, parallelism: int = 2) -> TuneResult:
+              recalibrate: bool = False, parallelism: int | None = None) -> TuneResult:
     """H1: coordinate grid.  Each step's grid is merged into the best so far;
     strict improvement, first wins; maximised metrics start at -inf."""
     m = M.Metric(metric)
@@ -120,7 +120,7 @@ def tune_grid_cv(df_folded: DataFrame, learner: L.Learner, features: Sequence[st
 
 def random_search(spark: SparkSession, cache: CachedFolds, learner: L.Learner, metric: str,
                   space: Mapping[str, object], trials: int = 20, seed: int = 0,
-                  parallelism: int = 2) -> TuneResult:
+                  parallelism: int | None = None) -> TuneResult:
     """H3: seeded random search; sampled values are always merged into the starter params."""
     m = M.Metric(metric)
     rng = random.Random(seed)

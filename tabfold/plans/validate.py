@@ -57,9 +57,15 @@ def _fit_fold(learner, folded, f, features, label, params, iterations, proba, ke
 
 def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], label: str, key: str,
                    metric: str = "rmse", k: int = 5, seed: int = 0, groups=None, stratify=None,
-                   params: Mapping | None = None, iterations: int | None = None, parallelism: int = 2,
+                   params: Mapping | None = None, iterations: int | None = None, parallelism: int | None = None,
                    folded: DataFrame | None = None, start_rounds: int = 20) -> CVResult:
-    """Per fold: fit the pipeline on the other folds, score the fold; OOF = union."""
+    """Per fold: fit the pipeline on the other folds, score the fold; OOF = union.
+
+    The k fits are independent Spark jobs submitted concurrently (default
+    min(k, 8) driver threads), so small per-iteration stages of one fit
+    overlap with those of the others.
+    """
+    parallelism = parallelism or min(k, 8)
     m = M.check_compatible(metric, learner.objective)
     if folded is None:
         folded = cut_lineage(assign_folds(df.select(key, label, *features, *(
@@ -122,7 +128,7 @@ class CachedFolds:
             raise ValueError("input differs from the cached folds")
 
     def cross_validate(self, learner: L.Learner, metric: str = "rmse", params=None, iterations=None,
-                       parallelism: int = 2, df: DataFrame | None = None) -> CVResult:
+                       parallelism: int | None = None, df: DataFrame | None = None) -> CVResult:
         if df is not None:
             self.check(df)
         return cross_validate(None, learner, self.features, self.label, self.key, metric, self.k,
