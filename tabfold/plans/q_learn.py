@@ -150,7 +150,7 @@ def q_score_stream(spark: SparkSession, sf: str) -> DataFrame:
     run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     train_job(spark, df, "id", FEATS, "y", "y_class", L.default_learner("linear"), f"{run}/model", k=3,
               tune_weight=False)
-    df.select("id", *FEATS).repartition(4).write.parquet(f"{run}/in")
+    df.select("id", *FEATS).write.parquet(f"{run}/in")
     return score_stream(spark, f"{run}/in", f"{run}/model", f"{run}/out", f"{run}/ckpt")
 
 

@@ -112,3 +112,26 @@ def test_csv_load_names_and_na_tokens(spark, tmp_path):
     rows = {r.Id: r for r in df.collect()}
     assert set(rows) == {1, 3}
     assert rows[1].MasVnrType is None and rows[3].Basic_Demos_Age == 7
+
+
+def test_survey_preprocessor_fit_transform_roundtrip(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from tabfold.operators.preprocess import SurveyPreprocessor
+    rows = [(1, "Spring", 10.0, None, 2.0, 4.0), (2, "", 20.0, None, 0.0, 5.0), (3, None, 30.0, 1.0, 3.0, 6.0)]
+    df = spark.createDataFrame(rows, "id long, A_Season string, PCIAT_x double, Sparse double, a double, b double")
+    pre = SurveyPreprocessor(products={"ab": ("a", "b")}, ratios={"a_b": ("a", "b"), "s_b": ("Sparse", "b")},
+                             protect=["id"])
+    pm = Pipeline(stages=[pre]).fit(df)
+    out = pm.transform(df).orderBy("id")
+    assert out.columns == ["id", "A_Season", "a", "b", "ab", "a_b"]
+    assert [r.A_Season for r in out.collect()] == [0, -1, -1]
+    assert pm.stages[0].skipped(df.columns) == ["s_b"]
+    pm.write().overwrite().save(str(tmp_path / "pre"))
+    assert PipelineModel.load(str(tmp_path / "pre")).transform(df).orderBy("id").collect() == out.collect()
+
+
+def test_cached_folds_guard(spark, orders):
+    cache = V.CachedFolds(orders, "id", "y", FEATS, k=2)
+    cache.check(orders)
+    with pytest.raises(ValueError):
+        cache.check(orders.limit(5))
