@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabfold.functions.columns import SEVERITY_CUTS, ordinal_bin
+from tabfold.operators.metrics import MAX_CLASSES
 
 
 def lattice(lo_milli: int = 800, hi_milli: int = 1500) -> list[float]:
@@ -71,13 +72,16 @@ def _kappa(cm: np.ndarray, present: np.ndarray, quadratic: bool) -> float:
 def sweep(df: DataFrame, real: str, score: str, cuts: Sequence[float] = SEVERITY_CUTS,
           lo_milli: int = 800, hi_milli: int = 1500, quadratic: bool = True) -> DataFrame:
     """(j, weight, kappa) for every lattice point; classes ranked in the per-candidate union."""
-    deltas = class_deltas(df, real, score, cuts, lo_milli, hi_milli).collect()   # bounded
-    reals = sorted({r["real"] for r in deltas})
-    k = max([len(cuts)] + [int(x) for x in reals]) + 1
     n_j = hi_milli - lo_milli + 1
-    d = np.zeros((n_j, k, k))
+    bound = n_j * MAX_CLASSES * (len(cuts) + 1)
+    deltas = class_deltas(df, real, score, cuts, lo_milli, hi_milli).limit(bound + 1).collect()
+    if len(deltas) > bound:
+        raise ValueError(f"more than {MAX_CLASSES} real classes: not a class label")
+    labels = sorted({r["real"] for r in deltas} | set(range(len(cuts) + 1)))
+    pos = {v: i for i, v in enumerate(labels)}
+    d = np.zeros((n_j, len(labels), len(labels)))
     for r in deltas:
-        d[r["j"], int(r["real"]), r["pred"]] += r["delta"]
+        d[r["j"], pos[r["real"]], pos[r["pred"]]] += r["delta"]
     cm = np.cumsum(d, axis=0)
     ws = lattice(lo_milli, hi_milli)
     out = []
