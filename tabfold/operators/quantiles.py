@@ -7,6 +7,7 @@ that is known to contain the target ranks:
 
 1. one aggregation gives ``percentile_approx`` on a fixed grid of GRID+1
    points inside the current band (sketch size is bounded by ``accuracy``);
+   the first one also gives the row counts;
 2. the driver (which only sees GRID+1 numbers per pair) picks two grid
    values that bracket the target ranks with a safety margin;
 3. one aggregation counts the rows below / inside the new band exactly;
@@ -55,18 +56,21 @@ def exact_quantile(long: DataFrame, q: float = 0.5, by: Sequence[str] = (),
     """
     spark = long.sparkSession
     keys = [*by, "column"]
-    counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")).collect()
-    state = {}
-    for r in counts:
+    grid_p = [i / GRID for i in range(GRID + 1)]
+    # round 0: counts and the first grid in one pass over all rows
+    first = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"),
+                                    F.percentile_approx("v", grid_p, ACCURACY).alias("_grid")).collect()
+    state, grids = {}, {}
+    for r in first:
         k = tuple(r[c] for c in keys)
         r1, r2, frac = _targets(r["_cnt"], q)
         state[k] = {"lo": -math.inf, "hi": math.inf, "below": 0, "band": r["_cnt"],
                     "r1": r1, "r2": r2, "frac": frac, "value": None}
+        grids[k] = r["_grid"]
     if not state:
         return spark.createDataFrame([], _schema(long, keys))
     key_types = {f.name: f.dataType.simpleString() for f in long.schema.fields}
     bschema = ", ".join(f"`{c}` {key_types[c]}" for c in keys) + ", _lo double, _hi double"
-    grid_p = [i / GRID for i in range(GRID + 1)]
 
     def in_band(pairs):
         rows = [(*k, float(state[k]["lo"]), float(state[k]["hi"])) for k in pairs]
@@ -74,13 +78,14 @@ def exact_quantile(long: DataFrame, q: float = 0.5, by: Sequence[str] = (),
         return (long.join(F.broadcast(b), keys)
                     .where((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))))
 
-    for _ in range(MAX_ROUNDS):
+    for rnd in range(MAX_ROUNDS):
         active = [k for k, s in state.items() if s["value"] is None and s["band"] > max_band]
         if not active:
             break
         sub = in_band(active)
-        grids = {tuple(r[c] for c in keys): r["_grid"] for r in
-                 sub.groupBy(*keys).agg(F.percentile_approx("v", grid_p, ACCURACY).alias("_grid")).collect()}
+        if rnd > 0:
+            grids = {tuple(r[c] for c in keys): r["_grid"] for r in
+                     sub.groupBy(*keys).agg(F.percentile_approx("v", grid_p, ACCURACY).alias("_grid")).collect()}
         pick = {}
         for k in active:
             s, g = state[k], grids[k]
