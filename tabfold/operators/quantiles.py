@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRID = 1024
-ACCURACY = 20_000
+ACCURACY = 4_096      # rank error 1/4096 of the band, far inside the MARGIN grid steps
 MAX_BAND = 200_000
 MARGIN = 3           # grid steps kept on each side of the target
 MAX_ROUNDS = 12
