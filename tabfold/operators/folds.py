@@ -103,7 +103,7 @@ def group_kfold(df: DataFrame, group: str | Sequence[str], k: int = 5, seed: int
                .withColumn(col, F.coalesce(F.col("_heavy_fold"), F.col(col))).drop("_heavy_fold"))
 
 
-def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0,
+def stratified_kfold(df: DataFrame, key: str | Sequence[str], label: str, k: int = 5, seed: int = 0,
                      col: str = "fold") -> DataFrame:
     """Per-class round robin over a hash order: fold = (rank in class - 1) mod k.
 
@@ -123,7 +123,8 @@ def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 5, seed: int
     w = Window.partitionBy("_lab").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
     # the join and the numbering share one hash partitioning on (class, salt)
-    local = Window.partitionBy("_lab", "_salt").orderBy("_h", key)
+    keys = [key] if isinstance(key, str) else list(key)
+    local = Window.partitionBy("_lab", "_salt").orderBy("_h", *keys)
     return (salted.join(offsets, ["_lab", "_salt"], "inner")
             .withColumn(col, ((F.col("_off") + F.row_number().over(local) - 1) % F.lit(k)).cast("int"))
             .drop("_h", "_salt", "_off", "_lab"))

@@ -81,3 +81,18 @@ def q_fold_sizes(spark: SparkSession, sf: str) -> DataFrame:
     li = K.group_kfold(read_table(spark, sf, "lineitem").select("l_orderkey"), "l_orderkey", KF)
     return li.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"),
                                   F.countDistinct("l_orderkey").alias("n_orders"))
+
+
+_LI_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_LI_KEY_SQL = "concat_ws(chr(1), " + ", ".join(f"CAST({c} AS VARCHAR)" for c in _LI_KEY) + ")"
+
+
+@query("q_strat_lineitem", sql=f"""
+SELECT {", ".join(_LI_KEY)}, l_linestatus,
+       CAST((row_number() OVER (PARTITION BY l_linestatus ORDER BY md5('0:' || {_LI_KEY_SQL}), {", ".join(_LI_KEY)}) - 1)
+            % {KF} AS INTEGER) AS fold
+FROM lineitem""")
+def q_strat_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """K4 on the whole lineitem table with its unique four-column key (two large classes)."""
+    li = read_table(spark, sf, "lineitem").select(*_LI_KEY, "l_linestatus")
+    return K.stratified_kfold(li, _LI_KEY, "l_linestatus", KF)
