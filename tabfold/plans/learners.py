@@ -21,7 +21,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
+from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -74,6 +74,7 @@ _KINDS = {
     "linear": (LinearRegression, "regression", False),
     "fm_regressor": (FMRegressor, "regression", False),
     "mlp_classifier": (MultilayerPerceptronClassifier, "classification", False),
+    "gbt_multiclass": (GBTClassifier, "classification", False),     # one-vs-rest around binary GBT
 }
 
 
@@ -95,13 +96,18 @@ class Learner:
         return _KINDS[self.kind][2]
 
     def estimator(self, features: str = "features", label: str = "label",
-                  params: Mapping | None = None, rounds: int | None = None) -> Estimator:
+                  params: Mapping | None = None, rounds: int | None = None,
+                  n_features: int | None = None) -> Estimator:
         cls = _KINDS[self.kind][0]
         p = spark_params({**self.params, **(params or {})})
-        if rounds is not None and self.boosted:
+        if rounds is not None and (self.boosted or self.kind == "gbt_multiclass"):
             p["maxIter"] = int(rounds)
         if cls().hasParam("seed"):
             p.setdefault("seed", self.seed)
+        if self.kind == "mlp_classifier" and "layers" not in p and n_features:
+            p["layers"] = [n_features, 2 * n_features + 1, int(p.pop("numClasses", 2))]
+        if self.kind == "gbt_multiclass":
+            return OneVsRest(classifier=cls(**p), featuresCol=features, labelCol=label)
         return cls(featuresCol=features, labelCol=label, **p)
 
     def with_params(self, **params) -> "Learner":
@@ -117,7 +123,7 @@ def build_pipeline(learner: Learner, features: Sequence[str], label: str,
                    impute: bool = True) -> Pipeline:
     """imputer -> assembler -> learner (fitted together on training rows only)."""
     stages = [MedianImputer(inputCols=list(features))] if impute else []
-    stages += [assembler(features), learner.estimator("features", label, params, rounds)]
+    stages += [assembler(features), learner.estimator("features", label, params, rounds, len(features))]
     return Pipeline(stages=stages)
 
 
@@ -228,5 +234,7 @@ def default_learner(kind: str = "gbt_regressor") -> Learner:
     if kind == "fm_regressor":
         return Learner(kind, {"factorSize": 4, "maxIter": 50}, grid={"factorSize": [2, 4, 8]})
     if kind == "mlp_classifier":
-        return Learner(kind, {"layers": [2, 8, 2], "maxIter": 50}, grid={"blockSize": [64, 128]})
+        return Learner(kind, {"maxIter": 100}, grid={"blockSize": [64, 128]})
+    if kind == "gbt_multiclass":
+        return Learner(kind, {"maxDepth": 3, "maxIter": 20}, grid={"maxDepth": [2, 3, 4]})
     raise ValueError(kind)

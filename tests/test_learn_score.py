@@ -135,3 +135,22 @@ def test_cached_folds_guard(spark, orders):
     cache.check(orders)
     with pytest.raises(ValueError):
         cache.check(orders.limit(5))
+
+
+@pytest.mark.parametrize("kind", ["rf_classifier", "mlp_classifier", "gbt_multiclass", "gbt_classifier"])
+def test_classification_learners(spark, kind):
+    from tabfold.plans.q_learn import doc_table
+    df = doc_table(spark, SF001).cache()
+    lrn = L.default_learner(kind)
+    feats = ["wpc", "n_chars", "n_sent"]
+    res = L.fit(lrn, df, feats, "quality", rounds=5 if kind == "gbt_classifier" else None)
+    pred = L.predict(res.model, df)
+    assert pred.count() == df.count()
+    assert set(r[0] for r in pred.select("prediction").distinct().collect()) <= {0.0, 1.0}
+
+
+def test_multiclass_gbt_on_severity(spark, orders):
+    lrn = L.default_learner("gbt_multiclass").with_params(maxIter=3)
+    res = L.fit(lrn, orders, FEATS, "y_class")
+    classes = {r[0] for r in L.predict(res.model, orders).select("prediction").distinct().collect()}
+    assert classes <= {0.0, 1.0, 2.0, 3.0} and len(classes) >= 2
