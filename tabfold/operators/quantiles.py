@@ -25,6 +25,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,3 +142,121 @@ def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                   max_band: int = MAX_BAND) -> DataFrame:
     """Exact median of every column (per group): (by..., column, value)."""
     return exact_quantile(to_long(df, cols, by), 0.5, by, max_band)
+
+
+def complement_quantile(long: DataFrame, k: int, fold: str = "fold", q: float = 0.5,
+                        max_band: int = MAX_BAND) -> DataFrame:
+    """Exact q-quantile of every column over the rows *outside* each fold.
+
+    Input: long frame (fold, column, v).  Output: (train_fold, column, value).
+    No row is copied per fold: counts are decomposable (complement of t =
+    sum over folds f != t), so each round aggregates per (fold, column):
+    a grid of the fold's values inside the union of the current bands plus
+    the counts below/inside it, and, for every target t, exact counts of
+    values below / not above t's candidate bounds (2k comparisons per row).
+    The driver combines the k fold grids into each complement's candidate
+    bracket and checks it with the exact counts.  Only the last narrow bands
+    (<= ``max_band`` values per target) are gathered per target.
+    """
+    spark = long.sparkSession
+    grid_p = [i / GRID for i in range(GRID + 1)]
+    ctype = dict((f.name, f.dataType.simpleString()) for f in long.schema.fields)
+    first = long.groupBy(fold, "column").agg(F.count(F.lit(1)).alias("_n"),
+                                             F.percentile_approx("v", grid_p, ACCURACY).alias("_g")).collect()
+    n_fc = {(r[fold], r["column"]): r["_n"] for r in first}
+    cols = sorted({c for _, c in n_fc})
+    folds = list(range(k))
+    info = {(r[fold], r["column"]): (0, r["_n"], r["_g"]) for r in first}      # (below U, in U, grid)
+    state = {}
+    for t in folds:
+        for c in cols:
+            n = sum(n_fc.get((f, c), 0) for f in folds if f != t)
+            if n == 0:
+                continue
+            r1, r2, frac = _targets(n, q)
+            state[(t, c)] = {"lo": -math.inf, "hi": math.inf, "below": 0, "band": n,
+                             "r1": r1, "r2": r2, "frac": frac, "value": None}
+
+    def union_band(c, keys):
+        los = [state[x]["lo"] for x in keys if x[1] == c]
+        his = [state[x]["hi"] for x in keys if x[1] == c]
+        return (min(los), max(his)) if los else (math.inf, -math.inf)
+
+    for rnd in range(MAX_ROUNDS):
+        active = [x for x, s in state.items() if s["value"] is None and s["band"] > max_band]
+        if not active:
+            break
+        if rnd > 0:
+            ub = [(c, *map(float, union_band(c, active))) for c in cols]
+            bt = spark.createDataFrame(ub, f"`column` {ctype['column']}, _ulo double, _uhi double")
+            inside = (F.col("v") >= F.col("_ulo")) & (F.col("v") <= F.col("_uhi"))
+            rows = (long.join(F.broadcast(bt), "column").groupBy(fold, "column")
+                        .agg(F.count_if(F.col("v") < F.col("_ulo")).alias("_b"), F.count_if(inside).alias("_m"),
+                             F.percentile_approx(F.when(inside, F.col("v")), grid_p, ACCURACY).alias("_g"))
+                        .collect())
+            info = {(r[fold], r["column"]): (r["_b"], r["_m"], r["_g"]) for r in rows}
+        pick = {}
+        for (t, c) in active:
+            s = state[(t, c)]
+            parts = [info[(f, c)] for f in folds if f != t and (f, c) in info and info[(f, c)][2]]
+            grids = [np.asarray(g, dtype=float) for _, _, g in parts]
+            cand = np.unique(np.concatenate(grids)) if grids else np.zeros(0)
+            cand = cand[(cand >= s["lo"]) & (cand <= s["hi"])]
+            est_lt = np.zeros(len(cand))        # ~ rows < x in the complement
+            est_le = np.zeros(len(cand))        # ~ rows <= x
+            for (b_, m_, _), g in zip(parts, grids):
+                est_lt += b_ + m_ * np.maximum(np.searchsorted(g, cand, "left") - 1, 0) / GRID
+                est_le += b_ + m_ * np.minimum(np.searchsorted(g, cand, "right"), GRID) / GRID
+            margin = MARGIN * sum(m_ for _, m_, _ in parts) / GRID
+            lows = cand[est_lt <= s["r1"] - margin]
+            highs = cand[est_le >= s["r2"] + 1 + margin]
+            a = float(lows.max()) if len(lows) else s["lo"]
+            b = float(highs.min()) if len(highs) else s["hi"]
+            pick[(t, c)] = (a, b)
+        arr_rows = []
+        for c in cols:
+            A = [float(pick.get((t, c), (math.inf, -math.inf))[0]) for t in folds]
+            B = [float(pick.get((t, c), (math.inf, -math.inf))[1]) for t in folds]
+            arr_rows.append((c, A, B))
+        at = spark.createDataFrame(arr_rows, f"`column` {ctype['column']}, _A array<double>, _B array<double>")
+        aggs = []
+        for t in folds:
+            aggs.append(F.count_if(F.col("v") < F.element_at("_A", t + 1)).alias(f"_lt{t}"))
+            aggs.append(F.count_if(F.col("v") <= F.element_at("_B", t + 1)).alias(f"_le{t}"))
+        cnt = long.join(F.broadcast(at), "column").groupBy(fold, "column").agg(*aggs).collect()
+        per = {(r[fold], r["column"]): r for r in cnt}
+        for (t, c), (a, b) in pick.items():
+            s = state[(t, c)]
+            lt = sum(per[(f, c)][f"_lt{t}"] for f in folds if f != t and (f, c) in per)
+            le = sum(per[(f, c)][f"_le{t}"] for f in folds if f != t and (f, c) in per)
+            if lt <= s["r1"] and le - 1 >= s["r2"]:
+                s["lo"], s["hi"], s["below"], s["band"] = a, b, lt, le - lt
+                if a == b:
+                    s["value"] = a
+    rest = [x for x, s in state.items() if s["value"] is None]
+    if any(state[x]["band"] > 10 * max_band for x in rest):
+        raise RuntimeError("complement quantile band did not narrow")
+    if rest:
+        rows = []
+        for c in cols:
+            LO = [float(state[(t, c)]["lo"]) if (t, c) in rest else math.inf for t in folds]
+            HI = [float(state[(t, c)]["hi"]) if (t, c) in rest else -math.inf for t in folds]
+            rows.append((c, LO, HI))
+        bt = spark.createDataFrame(rows, f"`column` {ctype['column']}, _LO array<double>, _HI array<double>")
+        ts = F.array(*[F.lit(t) for t in folds])
+        tagged = (long.join(F.broadcast(bt), "column")
+                      .withColumn("_t", F.explode(F.filter(ts, lambda t: (t != F.col(fold))
+                                                           & (F.col("v") >= F.element_at("_LO", t + 1))
+                                                           & (F.col("v") <= F.element_at("_HI", t + 1))))))
+        offs = [(t, c, state[(t, c)]["r1"] - state[(t, c)]["below"] + 1,
+                 state[(t, c)]["r2"] - state[(t, c)]["below"] + 1) for (t, c) in rest]
+        o = spark.createDataFrame(offs, f"_t int, `column` {ctype['column']}, _i1 int, _i2 int")
+        picks = (tagged.groupBy("_t", "column").agg(F.sort_array(F.collect_list("v")).alias("_arr"))
+                       .join(F.broadcast(o), ["_t", "column"])
+                       .select("_t", "column", F.element_at("_arr", F.col("_i1")).alias("_v1"),
+                               F.element_at("_arr", F.col("_i2")).alias("_v2")).collect())
+        for r in picks:
+            s = state[(r["_t"], r["column"])]
+            s["value"] = r["_v1"] + s["frac"] * (r["_v2"] - r["_v1"])
+    out = [(t, c, float(s["value"])) for (t, c), s in sorted(state.items())]
+    return spark.createDataFrame(out, f"train_fold int, `column` {ctype['column']}, value double")

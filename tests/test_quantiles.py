@@ -42,3 +42,18 @@ def test_heavy_ties(spark):
     pdf = df.toPandas()
     got = exact_medians(df, ["x"], max_band=10).first()["value"]
     assert got == pytest.approx(float(np.median(pdf["x"])))
+
+
+@pytest.mark.parametrize("band", [20, 500, 10**9])
+def test_complement_quantile_matches_brute_force(spark, band):
+    from tabfold.operators.folds import kfold
+    from tabfold.operators.quantiles import complement_quantile
+    li = kfold(read_table(spark, SF01, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 4)
+    cols = ["l_extendedprice", "l_quantity"]
+    pdf = li.select("fold", *cols).toPandas()
+    got = {(r.train_fold, r.column): r.value
+           for r in complement_quantile(to_long(li, cols, ["fold"]), 4, max_band=band).collect()}
+    for t in range(4):
+        for c in cols:
+            want = float(np.median(pdf.loc[pdf.fold != t, c].to_numpy()))
+            assert got[(t, c)] == pytest.approx(want, abs=1e-9), (t, c, band)
