@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabfold.operators import metrics as M
 from tabfold.plans import learners as L
@@ -102,8 +103,10 @@ def tune_grid(spark: SparkSession, cache: CachedFolds, learner: L.Learner, metri
 
 
 def tune_grid_cv(df_folded: DataFrame, learner: L.Learner, features: Sequence[str], label: str,
-                 metric: str, grid: Mapping[str, Sequence], parallelism: int = 2):
+                 metric: str, grid: Mapping[str, Sequence], parallelism: int = 2, k: int | None = None):
     """H2: Spark's CrossValidator over a ParamGridBuilder grid, folds from the ``fold`` column."""
+    if k is None:
+        k = int(df_folded.agg(F.max("fold")).first()[0]) + 1
     pipe = L.build_pipeline(learner, features, label)
     est = pipe.getStages()[-1]
     b = ParamGridBuilder()
@@ -113,7 +116,7 @@ def tune_grid_cv(df_folded: DataFrame, learner: L.Learner, features: Sequence[st
     ev = (BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC") if m is M.Metric.AUC
           else RegressionEvaluator(labelCol=label, metricName=m.value))
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=b.build(), evaluator=ev,
-                        foldCol="fold", parallelism=parallelism, seed=0)
+                        foldCol="fold", numFolds=k, parallelism=parallelism, seed=0)
     model = cv.fit(df_folded)
     return model, list(zip([{p.name: v for p, v in pm.items()} for pm in b.build()], model.avgMetrics))
 
