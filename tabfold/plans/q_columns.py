@@ -298,10 +298,10 @@ def q_select_numeric(spark: SparkSession, sf: str) -> DataFrame:
     return C.select_numeric(o)
 
 
-@query("q_csv_roundtrip", sql="""
+@query("q_csv_roundtrip", sql=f"""
 WITH po AS (SELECT l_orderkey, sum(l_quantity) AS qty, sum(l_extendedprice) / 4000 AS y
             FROM lineitem GROUP BY l_orderkey)
-SELECT l_orderkey AS Order_Key, qty AS Total_Qty_, y AS Target_y FROM po WHERE l_orderkey % 9 <> 0""")
+SELECT l_orderkey AS Order_Key, qty AS Total_Qty_, {r6('y')} AS Target_y FROM po WHERE l_orderkey % 9 <> 0""")
 def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A4 -> A1/A2/P1/P2: CSV sink with raw names, load back: clean names, NA tokens, drop null targets."""
     import uuid
@@ -315,4 +315,5 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                     .alias("Target-y"))
     path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
     CSV.write_csv(raw, path)
-    return CSV.load_labelled(spark, path, "Target-y", key="Order-Key")
+    back = CSV.load_labelled(spark, path, "Target-y", key="Order-Key")
+    return back.withColumn("Target_y", C.round6("Target_y"))
