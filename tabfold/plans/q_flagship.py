@@ -42,18 +42,18 @@ def class_sql(c: str) -> str:
 
 
 def qwk_sql(table: str, real: str, pred: str, by: str = "") -> str:
-    """QWK of ``table(real, pred)`` with classes ranked in the sorted union."""
-    sel_by = f"{by}, " if by else ""
-    grp = f"GROUP BY {by}" if by else ""
+    """QWK of ``table(real, pred)`` with classes ranked in the sorted union (a subquery)."""
+    sel_by = f"t.{by}, " if by else ""
+    grp = f"GROUP BY t.{by}" if by else ""
+    out_by = f"{by}, " if by else ""
     return f"""
-    (SELECT {sel_by}1 - sum((ri - rj) * (ri - rj)) /
+    (WITH labs AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS DOUBLE) AS r
+                   FROM (SELECT {real} AS v FROM {table} UNION SELECT {pred} FROM {table}) u WHERE v IS NOT NULL),
+          rr AS (SELECT {sel_by}a.r AS ri, b.r AS rj FROM {table} t
+                 JOIN labs a ON a.v = t.{real} JOIN labs b ON b.v = t.{pred})
+     SELECT {out_by}1 - sum((ri - rj) * (ri - rj)) /
             (sum(ri * ri) + sum(rj * rj) - 2 * sum(ri) * sum(rj) / count(*)) AS qwk
-     FROM (SELECT {sel_by}
-                  CAST((SELECT count(DISTINCT v) FROM (SELECT {real} AS v FROM {table} UNION ALL SELECT {pred} FROM {table}) u
-                        WHERE u.v < t.{real}) AS DOUBLE) AS ri,
-                  CAST((SELECT count(DISTINCT v) FROM (SELECT {real} AS v FROM {table} UNION ALL SELECT {pred} FROM {table}) u
-                        WHERE u.v < t.{pred}) AS DOUBLE) AS rj
-           FROM {table} t WHERE {real} IS NOT NULL AND {pred} IS NOT NULL) r {grp})"""
+     FROM rr {grp.replace('t.', '')})"""
 
 
 # ---------------------------------------------------------------- Spark side

@@ -39,13 +39,8 @@ def q_accuracy(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q_qwk", sql=f"""
 {OOF_CLS_SQL},
-ranked AS (SELECT fold,
-   CAST((SELECT count(DISTINCT v) FROM (SELECT real_class AS v FROM cls UNION ALL SELECT pred_class FROM cls) u
-         WHERE u.v < c.real_class) AS DOUBLE) AS ri,
-   CAST((SELECT count(DISTINCT v) FROM (SELECT real_class AS v FROM cls UNION ALL SELECT pred_class FROM cls) u
-         WHERE u.v < c.pred_class) AS DOUBLE) AS rj FROM cls c)
-SELECT fold, {r6('1 - sum((ri - rj) * (ri - rj)) / (sum(ri * ri) + sum(rj * rj) - 2 * sum(ri) * sum(rj) / count(*))')}
-       AS qwk FROM ranked GROUP BY fold""")
+q AS {qwk_sql('cls', 'real_class', 'pred_class', by='fold')}
+SELECT fold, {r6('qwk')} AS qwk FROM q""")
 def q_qwk(spark: SparkSession, sf: str) -> DataFrame:
     """G16 grouped: quadratic weighted kappa per fold (classes ranked in the pooled union)."""
     cls = with_classes(oof_linear(spark, sf))
