@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabfold.functions import columns as C
+from tabfold.plans.q_flagship import Y_SQL, order_label
 from tabfold.plans.registry import query
 from tabfold.plans.sqlfrag import r6
 from tabfold.sources import schema as S
@@ -78,15 +79,15 @@ def q_products_ratios(spark: SparkSession, sf: str) -> DataFrame:
                       *[C.round6(c).alias(c) for c in feats])
 
 
-@query("q_bin_left", sql="""
-WITH po AS (SELECT l_orderkey, sum(l_extendedprice) / 4000 AS y FROM lineitem GROUP BY l_orderkey)
+@query("q_bin_left", sql=f"""
+WITH po AS (SELECT l_orderkey, {Y_SQL} AS y FROM lineitem GROUP BY l_orderkey)
 SELECT CASE WHEN y * 1.2525 < 30 THEN 0 WHEN y * 1.2525 < 50 THEN 1 WHEN y * 1.2525 < 80 THEN 2 ELSE 3 END
        AS severity, CAST(count(*) AS BIGINT) AS n
 FROM po GROUP BY 1""")
 def q_bin_left(spark: SparkSession, sf: str) -> DataFrame:
     """Scaled score -> left-closed severity class, counted."""
     po = read_table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        (F.sum("l_extendedprice") / 4000).alias("y"))
+        order_label().alias("y"))
     return (po.select(C.scaled_class("y", 1.2525).alias("severity"))
               .groupBy("severity").agg(F.count(F.lit(1)).alias("n")))
 
@@ -299,7 +300,7 @@ def q_select_numeric(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q_csv_roundtrip", sql=f"""
-WITH po AS (SELECT l_orderkey, sum(l_quantity) AS qty, sum(l_extendedprice) / 4000 AS y
+WITH po AS (SELECT l_orderkey, sum(l_quantity) AS qty, {Y_SQL} AS y
             FROM lineitem GROUP BY l_orderkey)
 SELECT l_orderkey AS Order_Key, qty AS Total_Qty_, {r6('y')} AS Target_y FROM po WHERE l_orderkey % 9 <> 0""")
 def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -309,7 +310,7 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     from tabfold.session import scratch_path
     from tabfold.sources import csv as CSV
     li = read_table(spark, sf, "lineitem")
-    po = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("qty"), (F.sum("l_extendedprice") / 4000).alias("y"))
+    po = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("qty"), order_label().alias("y"))
     raw = po.select(F.col("l_orderkey").alias("Order-Key"), F.col("qty").alias("Total Qty (#)"),
                     F.when(F.col("l_orderkey") % 9 != 0, F.col("y").cast("string")).otherwise(F.lit("NA"))
                     .alias("Target-y"))

@@ -12,7 +12,7 @@ from tabfold.operators import sweep as W
 from tabfold.operators.folds import kfold
 from tabfold.plans import ensemble as E
 from tabfold.plans import linear
-from tabfold.plans.q_flagship import PER_ORDER_SQL, oof_linear, with_classes
+from tabfold.plans.q_flagship import PER_ORDER_SQL, oof_linear, with_classes, Y_SQL, order_label
 from tabfold.plans.registry import query
 from tabfold.plans.sqlfrag import fold_sql, r6
 from tabfold.session import cut_lineage
@@ -27,7 +27,7 @@ def member_oofs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     li = read_table(spark, sf, "lineitem")
     po = li.groupBy(F.col("l_orderkey").alias("id")).agg(
         F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).cast("double").alias("n_lines"),
-        (F.sum("l_extendedprice") / 4000).alias("y"))
+        order_label().alias("y"))
     folded = cut_lineage(kfold(po, "id", K))
     out = {}
     for name, feat in MEMBERS.items():
@@ -44,7 +44,7 @@ def oof_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 TWO_SQL = f"""po AS (SELECT l_orderkey AS id, sum(l_quantity) AS qty, CAST(count(*) AS DOUBLE) AS n_lines,
-       sum(l_extendedprice) / 4000 AS y FROM lineitem GROUP BY l_orderkey),
+       {Y_SQL} AS y FROM lineitem GROUP BY l_orderkey),
 f AS (SELECT *, {fold_sql('id', K)} AS fold FROM po),
 ks AS (SELECT CAST(range AS INTEGER) AS k FROM range({K})),
 ca AS (SELECT ks.k AS fold, regr_slope(f.y, f.qty) AS b, regr_intercept(f.y, f.qty) AS a
@@ -198,7 +198,7 @@ def q_weighted_predict(spark: SparkSession, sf: str) -> DataFrame:
     li = read_table(spark, sf, "lineitem")
     po = li.groupBy(F.col("l_orderkey").alias("id")).agg(
         F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).cast("double").alias("n_lines"),
-        (F.sum("l_extendedprice") / 4000).alias("y"))
+        order_label().alias("y"))
     scored = po
     for name, feat in MEMBERS.items():
         full = linear.fit_all(po, [feat], "y")

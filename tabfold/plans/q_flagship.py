@@ -22,18 +22,27 @@ from tabfold.sources.tables import read_table
 K = 5
 SEED = 0
 
+# the per-order label: total price / 4000.  Prices carry two decimals, so the
+# sum is taken exactly as DECIMAL(18,2) and converted once: every engine gets
+# the same double, whatever its summation order.
+Y_SQL = "CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / 4000"
+
+
+def order_label():
+    return F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / F.lit(4000.0)
+
 # ---------------------------------------------------------------- shared SQL fragments
 FOLD_SQL = "CAST(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT) % {k}"
 
 PER_ORDER_SQL = """
-po AS (SELECT l_orderkey AS id, sum(l_quantity) AS x, sum(l_extendedprice) / 4000 AS y
+po AS (SELECT l_orderkey AS id, sum(l_quantity) AS x, %s AS y
        FROM lineitem GROUP BY l_orderkey),
 f AS (SELECT *, CAST(%s AS INTEGER) AS fold FROM po),
 ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(%d)),
 coef AS (SELECT ks.k AS fold, regr_slope(f.y, f.x) AS b, regr_intercept(f.y, f.x) AS a
          FROM f JOIN ks ON f.fold <> ks.k GROUP BY ks.k),
 oof AS (SELECT f.id, f.fold, f.x, f.y, c.a + c.b * f.x AS p FROM f JOIN coef c USING (fold))
-""" % (FOLD_SQL.format(seed=SEED, key="id", k=K), K)
+""" % (Y_SQL, FOLD_SQL.format(seed=SEED, key="id", k=K), K)
 
 
 def class_sql(c: str) -> str:
@@ -62,7 +71,7 @@ def per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: x = total quantity, y = total price / 4000."""
     li = read_table(spark, sf_dir, "lineitem")
     return li.groupBy(F.col("l_orderkey").alias("id")).agg(
-        F.sum("l_quantity").alias("x"), (F.sum("l_extendedprice") / 4000).alias("y"))
+        F.sum("l_quantity").alias("x"), order_label().alias("y"))
 
 
 def oof_linear(spark: SparkSession, sf_dir: str, k: int = K, seed: int = SEED) -> DataFrame:

@@ -18,6 +18,7 @@ from tabfold.operators import synth as SY
 from tabfold.plans import learners as L
 from tabfold.plans import tuning as T
 from tabfold.plans import validate as V
+from tabfold.plans.q_flagship import Y_SQL, order_label
 from tabfold.plans.registry import query
 from tabfold.plans.scoring import Scorer, train_job
 from tabfold.session import cut_lineage, scratch_path
@@ -33,7 +34,7 @@ def order_table(spark: SparkSession, sf: str) -> DataFrame:
     po = li.groupBy(F.col("l_orderkey").alias("id")).agg(
         F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).cast("double").alias("n_lines"),
         F.avg("l_discount").alias("avg_disc"), F.avg("l_tax").alias("avg_tax"),
-        (F.sum("l_extendedprice") / 4000).alias("y"))
+        order_label().alias("y"))
     return po.withColumn("y_class", C.ordinal_bin("y", C.SEVERITY_CUTS))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tabfold.functions import columns as C
 from tabfold.operators import profile as P
+from tabfold.plans.q_flagship import Y_SQL, order_label
 from tabfold.plans.registry import query
 from tabfold.plans.sqlfrag import r6
 from tabfold.sources.tables import read_table
@@ -101,12 +102,12 @@ def order_features(spark: SparkSession, sf: str) -> DataFrame:
     return li.groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("n_lines"),
         F.avg("l_discount").alias("avg_disc"), F.avg("l_tax").alias("avg_tax"),
-        F.max("l_quantity").alias("max_qty"), (F.sum("l_extendedprice") / 4000).alias("y"))
+        F.max("l_quantity").alias("max_qty"), order_label().alias("y"))
 
 
-ORDER_FEATS_SQL = """po AS (SELECT l_orderkey, sum(l_quantity) AS qty, count(*) AS n_lines,
+ORDER_FEATS_SQL = f"""po AS (SELECT l_orderkey, sum(l_quantity) AS qty, count(*) AS n_lines,
   avg(l_discount) AS avg_disc, avg(l_tax) AS avg_tax, max(l_quantity) AS max_qty,
-  sum(l_extendedprice) / 4000 AS y FROM lineitem GROUP BY l_orderkey)"""
+  {Y_SQL} AS y FROM lineitem GROUP BY l_orderkey)"""
 FEATS = ["qty", "n_lines", "avg_disc", "avg_tax", "max_qty"]
 
 
