@@ -116,7 +116,9 @@ def stratified_kfold(df: DataFrame, key: str | Sequence[str], label: str, k: int
     """
     h = key_md5(key, seed)
     # null labels form one class of their own, as in SQL's PARTITION BY
-    salted = (df.withColumn("_h", h).withColumn("_salt", F.substring("_h", 1, SALT_HEX_DIGITS))
+    # a null key keeps its row (salt "" sorts before every hex salt)
+    salted = (df.withColumn("_h", h).withColumn("_salt", F.coalesce(F.substring("_h", 1, SALT_HEX_DIGITS),
+                                                                    F.lit("")))
               .withColumn("_lab", F.coalesce(F.col(label).cast("string"), F.lit("\u0000null"))))
     counts = salted.groupBy("_lab", "_salt").agg(F.count(F.lit(1)).alias("_cnt"))
     # per-class running offset over the bounded (class x 16^4) count table
