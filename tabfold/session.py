@@ -62,3 +62,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return base.rstrip("/") + "/tables/" + name
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (Hadoop FileSystem API, any scheme)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_for_input(spark: SparkSession, n_bytes: int, partition_bytes: int = 256 << 20,
+                   min_partitions: int = 200) -> int:
+    """Size shuffles and scans for an input of ``n_bytes`` so each task's share
+    fits executor memory: scan splits and post-shuffle partitions target
+    ``partition_bytes``; AQE coalesces small partitions and splits skewed ones
+    above five times the median.  Returns the shuffle partition count."""
+    parts = max(min_partitions, -(-n_bytes // partition_bytes))
+    for k, v in {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }.items():
+        spark.conf.set(k, v)
+    return parts

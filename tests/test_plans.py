@@ -60,3 +60,15 @@ def test_coefficients_are_broadcast(spark):
 def test_text_cleaning_has_no_python_udf(spark):
     p = plan(Q["q_clean_text"](spark, SF001))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
+
+
+def test_size_for_input(spark):
+    from tabfold.session import input_bytes, size_for_input
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = input_bytes(spark, [f"{SF001}/lineitem.parquet"])
+        assert n > 0
+        assert size_for_input(spark, 100 * (1 << 40)) == 100 * 4 * 1024     # 100 TiB / 256 MiB
+        assert size_for_input(spark, n) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
