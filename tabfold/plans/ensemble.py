@@ -152,3 +152,14 @@ def member_predictions(df: DataFrame, models: Mapping[str, object], key: str) ->
 def stacked_coefficients(fit) -> DataFrame:
     """Meta-learner coefficients, largest first (intercept excluded)."""
     return linear.coefficients(fit).where(F.col("term") != "intercept").orderBy(F.col("value").desc(), "term")
+
+
+def memoised_leaderboard(spark, path: str, compute):
+    """E1 memoisation: (leaderboard, oof_wide) read from ``path`` if written
+    before, else computed by ``compute()`` and written there (parquet)."""
+    from tabfold.session import path_exists
+    if not (path_exists(spark, f"{path}/leaderboard") and path_exists(spark, f"{path}/oof")):
+        lb, oof = compute()
+        lb.write.mode("overwrite").parquet(f"{path}/leaderboard")
+        oof.write.mode("overwrite").parquet(f"{path}/oof")
+    return spark.read.parquet(f"{path}/leaderboard"), spark.read.parquet(f"{path}/oof")

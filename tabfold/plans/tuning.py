@@ -123,15 +123,32 @@ def tune_grid_cv(df_folded: DataFrame, learner: L.Learner, features: Sequence[st
 
 def random_search(spark: SparkSession, cache: CachedFolds, learner: L.Learner, metric: str,
                   space: Mapping[str, object], trials: int = 20, seed: int = 0,
-                  parallelism: int | None = None) -> TuneResult:
-    """H3: seeded random search; sampled values are always merged into the starter params."""
+                  parallelism: int | None = None, halving: bool = False) -> TuneResult:
+    """H3: seeded random search; sampled values are always merged into the starter params.
+
+    ``halving``: every trial is first scored on a two-fold subset (step 0);
+    the better half is then scored on all folds (step 1) and the best full
+    score wins.
+    """
     m = M.Metric(metric)
     rng = random.Random(seed)
-    best, best_p, rows = (-math.inf if m.maximise else math.inf), dict(learner.params), []
-    for t in range(trials):
-        p = {**learner.params, **{k: v.sample(rng) for k, v in space.items()}}
+    cands = [{**learner.params, **{k: v.sample(rng) for k, v in space.items()}} for _ in range(trials)]
+    rows = []
+    if halving and cache.k > 2 and trials > 1:
+        scored = []
+        for t, p in enumerate(cands):
+            res = cache.cross_validate(learner, metric, p, parallelism=parallelism, folds=[0, 1])
+            rows.append((0, t, json.dumps(p, sort_keys=True, default=str), float(res.score)))
+            scored.append((res.score, t))
+        scored.sort(key=lambda x: (-x[0] if m.maximise else x[0], x[1]))
+        keep = sorted(t for _, t in scored[: (len(scored) + 1) // 2])
+    else:
+        keep = list(range(trials))
+    best, best_p = (-math.inf if m.maximise else math.inf), dict(learner.params)
+    for t in keep:
+        p = cands[t]
         res = cache.cross_validate(learner, metric, p, parallelism=parallelism)
-        rows.append((0, t, json.dumps(p, sort_keys=True, default=str), float(res.score)))
+        rows.append((1 if halving else 0, t, json.dumps(p, sort_keys=True, default=str), float(res.score)))
         if _better(res.score, best, m.maximise):
             best, best_p = res.score, p
     return TuneResult(best_p, best, spark.createDataFrame(rows, "step int, trial int, params string, score double"))

@@ -58,7 +58,8 @@ def _fit_fold(learner, folded, f, features, label, params, iterations, proba, ke
 def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], label: str, key: str,
                    metric: str = "rmse", k: int = 5, seed: int = 0, groups=None, stratify=None,
                    params: Mapping | None = None, iterations: int | None = None, parallelism: int | None = None,
-                   folded: DataFrame | None = None, start_rounds: int = 20) -> CVResult:
+                   folded: DataFrame | None = None, start_rounds: int = 20,
+                   folds: Sequence[int] | None = None) -> CVResult:
     """Per fold: fit the pipeline on the other folds, score the fold; OOF = union.
 
     The k fits are independent Spark jobs submitted concurrently (default
@@ -71,15 +72,16 @@ def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], l
         folded = cut_lineage(assign_folds(df.select(key, label, *features, *(
             [groups] if isinstance(groups, str) else list(groups or []))), key, k, seed, groups, stratify))
     proba = m is M.Metric.AUC
+    run = list(folds) if folds is not None else list(range(k))     # a fold subset scores fewer folds
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         outs = list(ex.map(lambda f: _fit_fold(learner, folded, f, features, label, params, iterations,
-                                               proba, key, start_rounds), range(k)))
+                                               proba, key, start_rounds), run))
     oof = outs[0][2]
     for _, _, p in outs[1:]:
         oof = oof.unionByName(p)
     per = M.evaluate(oof, m, label, "prediction", by=["fold"]) if m is not M.Metric.AUC else \
         oof.sparkSession.createDataFrame(
-            [(f, M.evaluate_value(oof.where(F.col("fold") == f), m, label, "prediction")) for f in range(k)],
+            [(f, M.evaluate_value(oof.where(F.col("fold") == f), m, label, "prediction")) for f in run],
             f"fold int, {m.value} double")
     rounds = {f: r.rounds for f, r, _ in outs}
     spark = oof.sparkSession
@@ -128,9 +130,10 @@ class CachedFolds:
             raise ValueError("input differs from the cached folds")
 
     def cross_validate(self, learner: L.Learner, metric: str = "rmse", params=None, iterations=None,
-                       parallelism: int | None = None, df: DataFrame | None = None) -> CVResult:
+                       parallelism: int | None = None, df: DataFrame | None = None,
+                       folds: Sequence[int] | None = None) -> CVResult:
         if df is not None:
             self.check(df)
         return cross_validate(None, learner, self.features, self.label, self.key, metric, self.k,
                               params=params, iterations=iterations, parallelism=parallelism,
-                              folded=self.folded)
+                              folded=self.folded, folds=folds)

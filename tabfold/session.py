@@ -94,3 +94,10 @@ def size_for_input(spark: SparkSession, n_bytes: int, partition_bytes: int = 256
     }.items():
         spark.conf.set(k, v)
     return parts
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists (Hadoop FileSystem API, any scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

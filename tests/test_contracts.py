@@ -87,3 +87,24 @@ def test_ensembles_contract(spark, reg_data, pair):
     blended = full.select("id", ens.predict_col().alias("p"))
     stacked = stack.predict(full, fold_col=None, out="p")
     assert blended.where("p is null").count() == 0 and stacked.count() == reg_data.count()
+
+
+def test_random_search_halving(spark, reg_data):
+    cache = V.CachedFolds(reg_data, "id", "y", FEATS, k=4)
+    lrn = _learner("rf_regressor")
+    res = T.random_search(spark, cache, lrn, "rmse", {"maxDepth": T.IntStep(2, 5)}, trials=4, halving=True)
+    steps = dict(res.trials.groupBy("step").count().collect())
+    assert steps == {0: 4, 1: 2} and res.params is not None
+
+
+def test_memoised_leaderboard(spark, reg_data, tmp_path):
+    calls = []
+
+    def compute():
+        calls.append(1)
+        lb = spark.createDataFrame([("a", 1.0, 0)], "member string, rmse double, rounds bigint")
+        return lb, reg_data.select("id", F.col("y").alias("a"))
+    p = str(tmp_path / "lb")
+    a = E.memoised_leaderboard(spark, p, compute)
+    b = E.memoised_leaderboard(spark, p, compute)
+    assert len(calls) == 1 and a[0].collect() == b[0].collect() and b[1].count() == reg_data.count()
