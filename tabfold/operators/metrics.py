@@ -15,7 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabfold.session import cut_lineage
+from pyspark import StorageLevel
 
 MAX_CLASSES = 10_000          # class-rank map is shipped inside the plan
 AUC_BUCKETS = 1024            # quantile buckets for the exact AUC prefix sums
@@ -157,13 +157,15 @@ def auc(df: DataFrame, label: str, score: str, by_bucket: int = AUC_BUCKETS) ->
     sum: distinct scores go into ``by_bucket`` quantile buckets (cut points
     from ``approxQuantile``, a bounded list), a per-bucket total table
     (bounded by the bucket count) gives each bucket's offset, and a window
-    partitioned by bucket adds the running sum inside it.
+    partitioned by bucket adds the running sum inside it.  The value is
+    computed eagerly (one number), so the distinct-score table is only
+    persisted while it is needed.
     """
     s = (df.where(_c(label).isNotNull() & _c(score).isNotNull())
            .groupBy(_c(score).cast("double").alias("_s"))
            .agg(F.sum((_c(label) == 1).cast("long")).alias("_pos"),
                 F.sum((_c(label) != 1).cast("long")).alias("_neg")))
-    s = cut_lineage(s)      # reused by three passes below; reliable checkpoint
+    s = s.persist(StorageLevel.MEMORY_AND_DISK)     # three passes below; lost blocks are recomputed
     probs = [i / by_bucket for i in range(1, by_bucket)]
     cuts = sorted(set(s.approxQuantile("_s", probs, 1.0 / (4 * by_bucket))))
     splits = [float("-inf"), *cuts, float("inf")]
@@ -180,7 +182,10 @@ def auc(df: DataFrame, label: str, score: str, by_bucket: int = AUC_BUCKETS) ->
     below = F.coalesce(F.sum("_neg").over(w), F.lit(0)) + F.element_at(offm, F.col("_b"))
     contrib = s.withColumn("_c", F.col("_pos") * (below + F.col("_neg") / 2.0))
     denom = float(n_pos) * float(n_neg)
-    return contrib.agg((F.sum("_c") / F.lit(denom if denom else float("nan"))).alias("auc"))
+    total = contrib.agg(F.sum("_c")).first()[0]
+    s.unpersist()
+    value = (float(total) / denom) if (denom and total is not None) else float("nan")
+    return df.sparkSession.createDataFrame([(value,)], "auc double")
 
 
 # ------------------------------------------------------------------ dispatch
