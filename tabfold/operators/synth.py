@@ -37,34 +37,64 @@ def normal_cdf(z: Column) -> Column:
     return F.when(z >= 0, (F.lit(1.0) + erf) / 2).otherwise((F.lit(1.0) - erf) / 2)
 
 
+MAX_CATEGORIES = 10_000      # category tables are shipped inside the plan
+
+
 @dataclass
 class Copula:
     columns: list[str]
     knots: dict[str, list[float]]
     chol: np.ndarray
     integral: dict[str, bool]
+    categories: dict[str, tuple[list[str], list[float]]] | None = None   # values, cumulative shares
+
+
+def _category_table(df: DataFrame, c: str) -> tuple[list, list[float]]:
+    """Values by frequency (desc, then value) and their cumulative shares (size-checked)."""
+    rows = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+              .orderBy(F.col("_n").desc(), c).limit(MAX_CATEGORIES + 1).collect())
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"{c}: more than {MAX_CATEGORIES} categories")
+    tot = float(sum(r["_n"] for r in rows)) or 1.0
+    cum, acc = [], 0.0
+    for r in rows:
+        acc += r["_n"] / tot
+        cum.append(acc)
+    return [r[c] for r in rows], cum
 
 
 def fit_copula(df: DataFrame, cols: Sequence[str], q: int = KNOTS) -> Copula:
+    """Numeric columns get quantile knots; string columns get frequency intervals on [0, 1]."""
     cols = list(cols)
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    num = [c for c in cols if types[c] != "string"]
+    cat = [c for c in cols if types[c] == "string"]
     probs = [i / q for i in range(q + 1)]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10_000).alias(c) for c in cols]).first()
-    knots = {c: [float(v) for v in row[c]] if row[c] else [0.0] * (q + 1) for c in cols}
-    # normal score per knot bucket (bounded table: q per column)
+    knots = {}
+    if num:
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10_000).alias(c) for c in num]).first()
+        knots = {c: [float(v) for v in row[c]] if row[c] else [0.0] * (q + 1) for c in num}
     nd = NormalDist()
-    splits = []
-    for c in cols:
-        inner = sorted(set(knots[c][1:-1]))
-        splits.append([-math.inf, *inner, math.inf])
-    b = Bucketizer(splitsArray=splits, inputCols=cols, outputCols=[f"_b_{c}" for c in cols],
-                   handleInvalid="keep").transform(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    zmap = {}
-    for c, sp in zip(cols, splits):
-        nb = len(sp) - 1
-        zs = [nd.inv_cdf(min(max((i + 0.5) / nb, 1e-6), 1 - 1e-6)) for i in range(nb)]
-        zmap[c] = F.create_map(*[x for i, z in enumerate(zs) for x in (F.lit(float(i)), F.lit(z))])
-    zcols = {c: F.element_at(zmap[c], F.col(f"_b_{c}")) for c in cols}
-    zdf = b.select(*[zcols[c].alias(c) for c in cols])
+    zcols = {}
+    if num:
+        splits = [[-math.inf, *sorted(set(knots[c][1:-1])), math.inf] for c in num]
+        b = Bucketizer(splitsArray=splits, inputCols=[f"_x_{c}" for c in num],
+                       outputCols=[f"_b_{c}" for c in num], handleInvalid="keep")
+        df = b.transform(df.withColumns({f"_x_{c}": F.col(c).cast("double") for c in num}))
+        for c, sp in zip(num, splits):
+            nb = len(sp) - 1
+            zs = [nd.inv_cdf(min(max((i + 0.5) / nb, 1e-6), 1 - 1e-6)) for i in range(nb)]
+            zmap = F.create_map(*[x for i, z in enumerate(zs) for x in (F.lit(float(i)), F.lit(z))])
+            zcols[c] = F.element_at(zmap, F.col(f"_b_{c}"))
+    categories = {}
+    for c in cat:
+        values, cum = _category_table(df, c)
+        categories[c] = (values, cum)
+        mids = [((cum[i - 1] if i else 0.0) + cum[i]) / 2 for i in range(len(values))]
+        zmap = F.create_map(*[x for v, m in zip(values, mids)
+                              for x in (F.lit(v), F.lit(nd.inv_cdf(min(max(m, 1e-6), 1 - 1e-6))))])
+        zcols[c] = F.element_at(zmap, F.col(c))
+    zdf = df.select(*[zcols[c].alias(c) for c in cols])
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     corr = np.eye(len(cols))
     if pairs:
@@ -73,19 +103,25 @@ def fit_copula(df: DataFrame, cols: Sequence[str], q: int = KNOTS) -> Copula:
             corr[i, j] = corr[j, i] = r[f"r{i}_{j}"] if r[f"r{i}_{j}"] is not None else 0.0
     w, v = np.linalg.eigh(corr)
     corr = (v * np.clip(w, 1e-9, None)) @ v.T
-    integral = {f.name: f.dataType.typeName() in ("integer", "long", "short", "byte")
-                for f in df.schema.fields if f.name in cols}
-    return Copula(cols, knots, np.linalg.cholesky(corr), integral)
+    integral = {c: types[c] in ("integer", "long", "short", "byte") for c in num}
+    return Copula(cols, knots, np.linalg.cholesky(corr), integral, categories)
 
 
 def sample(spark: SparkSession, cop: Copula, n: int, seed: int = 0, partitions: int | None = None) -> DataFrame:
     base = spark.range(0, n, numPartitions=partitions) if partitions else spark.range(n)
     p = len(cop.columns)
     g = base.select("id", *[F.randn(seed + i).alias(f"_g{i}") for i in range(p)])
-    out = []
+    out, cats = [], cop.categories or {}
     for i, c in enumerate(cop.columns):
         z = sum((F.lit(float(cop.chol[i, j])) * F.col(f"_g{j}") for j in range(i + 1)), F.lit(0.0))
         u = normal_cdf(z)
+        if c in cats:
+            values, cum = cats[c]
+            bounds = F.array(*[F.lit(float(x)) for x in cum[:-1]])
+            # index of the first cumulative share above u (categories are few and bounded)
+            idx = F.size(F.filter(bounds, lambda b: b <= u))
+            out.append(F.element_at(F.array(*[F.lit(v) for v in values]), idx + 1).alias(c))
+            continue
         kn = cop.knots[c]
         arr = F.array(*[F.lit(float(x)) for x in kn])
         pos = u * F.lit(float(len(kn) - 1))

@@ -170,3 +170,11 @@ def q_perm_importance(spark: SparkSession, sf: str) -> DataFrame:
     df = cut_lineage(order_table(spark, sf))
     res = L.fit(L.default_learner("linear"), df, FEATS, "y")
     return PI.permutation_importance(res.model, df, "id", FEATS, "y", "rmse", repeats=2)
+
+
+@query("q_synth_orders")
+def q_synth_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """K9 with mixed types: price (numeric) with status and priority (categorical), n = row count."""
+    o = read_table(spark, sf, "orders").select("o_totalprice", "o_orderstatus", "o_orderpriority")
+    cop = SY.fit_copula(o, ["o_totalprice", "o_orderstatus", "o_orderpriority"])
+    return SY.sample(spark, cop, o.count(), seed=1)

@@ -154,3 +154,19 @@ def test_multiclass_gbt_on_severity(spark, orders):
     res = L.fit(lrn, orders, FEATS, "y_class")
     classes = {r[0] for r in L.predict(res.model, orders).select("prediction").distinct().collect()}
     assert classes <= {0.0, 1.0, 2.0, 3.0} and len(classes) >= 2
+
+
+def test_copula_marginals_and_categories(spark):
+    from tabfold.operators import synth as SY
+    o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_totalprice", "o_orderstatus")
+    cop = SY.fit_copula(o, ["o_totalprice", "o_orderstatus"])
+    syn = SY.sample(spark, cop, 20_000, seed=3)
+    real = o.groupBy("o_orderstatus").count().toPandas().set_index("o_orderstatus")["count"]
+    fake = syn.groupBy("o_orderstatus").count().toPandas().set_index("o_orderstatus")["count"]
+    assert set(fake.index) <= set(real.index)
+    for k in real.index:
+        assert abs(fake.get(k, 0) / 20_000 - real[k] / real.sum()) < 0.03
+    qs = syn.approxQuantile("o_totalprice", [0.25, 0.5, 0.75], 0.001)
+    rq = o.approxQuantile("o_totalprice", [0.25, 0.5, 0.75], 0.001)
+    for a, b in zip(qs, rq):
+        assert abs(a - b) / b < 0.05
