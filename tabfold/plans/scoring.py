@@ -21,6 +21,7 @@ from tabfold.functions.columns import SEVERITY_CUTS, scaled_class
 from tabfold.operators import sweep as W
 from tabfold.plans import learners as L
 from tabfold.plans.validate import cross_validate
+from tabfold.session import cut_lineage
 from tabfold.sources import schema as S
 
 # fixed values: the published score weight
@@ -47,8 +48,15 @@ def train_job(spark: SparkSession, df: DataFrame, key: str, features: Sequence[s
               class_col: str | None, learner: L.Learner, model_dir: str, k: int = 5,
               metric: str = "rmse", params=None, tune_weight: bool = True,
               cuts: Sequence[float] = SEVERITY_CUTS) -> Published:
-    """CV with OOF -> weight tuned on OOF classes -> final fit with CV rounds -> persist."""
+    """CV with OOF -> weight tuned on OOF classes -> final fit with CV rounds -> persist.
+
+    The input is materialised once (reliable checkpoint): the CV folds, the
+    weight sweep and the final fit's several passes all read it instead of
+    recomputing its lineage.
+    """
     S.save_data_model(spark, df.select(key, *features).schema, f"{model_dir}/data_model")
+    keep = [key, label, *features] + ([class_col] if class_col and class_col not in (key, label) else [])
+    df = cut_lineage(df.select(*dict.fromkeys(keep)))
     cv = cross_validate(df, learner, features, label, key, metric, k, params=params)
     weight = DEFAULT_WEIGHT
     if tune_weight and class_col is not None:
