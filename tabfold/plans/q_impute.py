@@ -84,3 +84,14 @@ def q_impute_fold_apply(spark: SparkSession, sf: str) -> DataFrame:
     """G7 applied: each row filled with medians that never saw its fold."""
     out = I.impute_by_fold(_order_feats_injected(spark, sf), ["qty", "avg_disc"], 5)
     return out.select("l_orderkey", "fold", C.round6("qty").alias("qty"), C.round6("avg_disc").alias("avg_disc"))
+
+
+@query("q_median_by_group", sql=f"""
+SELECT event_type, 'value' AS "column", {r6('median(value)')} AS value FROM events GROUP BY event_type
+UNION ALL
+SELECT event_type, 'user_id' AS "column", {r6('median(CAST(user_id AS DOUBLE))')} AS value FROM events GROUP BY event_type""")
+def q_median_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    """G5 grouped: exact medians per (group, column) in one set of passes."""
+    e = read_table(spark, sf, "events")
+    m = exact_medians(e, ["value", "user_id"], by=["event_type"])
+    return m.select("event_type", "column", C.round6("value").alias("value"))
