@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRID = 1024
-ACCURACY = 4_096      # rank error 1/4096 of the band, far inside the MARGIN grid steps
+ACCURACY = 2_048      # rank error <= band/2048 = half a grid step, inside the MARGIN of 3 steps
 MAX_BAND = 200_000
 MARGIN = 3           # grid steps kept on each side of the target
 MAX_ROUNDS = 12
