@@ -149,3 +149,17 @@ def q_daily(spark: SparkSession, sf: str) -> DataFrame:
     waves = ["hour_sin", "hour_cos", "minute_sin", "minute_cos", "seconds_sin", "seconds_cos"]
     return f.select("event_id", *[F.col(c).cast("bigint").alias(c) for c in ("hour", "minute", "seconds")],
                     *[C.round6(w).alias(w) for w in waves])
+
+
+@query("q_page_readability", sql=f"""
+WITH b AS (SELECT page_id, {_re('html', X.TAG_RE, '')} AS body FROM pages),
+c AS (SELECT page_id, body, {clean_sql('body')} AS clean FROM b)
+SELECT page_id, CAST(length(clean) AS BIGINT) AS clean_chars, {r6(ari_sql('clean'))} AS ari,
+       {r6(f"({words_sql('body')} + {sents_sql('body')} * {words_sql('body')}) / {sents_sql('body')}")} AS eflaw
+FROM c""")
+def q_page_readability(spark: SparkSession, sf: str) -> DataFrame:
+    """S14-S16 on raw web pages: tags stripped, cleaned text scored per page."""
+    p = read_table(spark, sf, "pages").select("page_id", X.strip_tags("html").alias("body"))
+    c = X.clean_text(p, "body", "clean")
+    return c.select("page_id", F.length("clean").cast("bigint").alias("clean_chars"),
+                    C.round6(X.ari("clean")).alias("ari"), C.round6(X.eflaw("body")).alias("eflaw"))
