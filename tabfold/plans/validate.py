@@ -79,10 +79,7 @@ def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], l
     oof = outs[0][2]
     for _, _, p in outs[1:]:
         oof = oof.unionByName(p)
-    per = M.evaluate(oof, m, label, "prediction", by=["fold"]) if m is not M.Metric.AUC else \
-        oof.sparkSession.createDataFrame(
-            [(f, M.evaluate_value(oof.where(F.col("fold") == f), m, label, "prediction")) for f in run],
-            f"fold int, {m.value} double")
+    per = M.evaluate(oof, m, label, "prediction", by=["fold"])
     rounds = {f: r.rounds for f, r, _ in outs}
     spark = oof.sparkSession
     rframe = spark.createDataFrame([(int(f), rounds[f]) for f in rounds], "fold int, rounds int")

@@ -141,3 +141,16 @@ def test_sweep_matches_brute_force(spark):
         w = (800 + j) / 1000.0
         pred = np.digitize(s * w, [30, 50, 80])
         assert curve[j] == pytest.approx(brute_kappa(real.tolist(), pred.tolist()), abs=1e-12)
+
+
+def test_grouped_auc_matches_per_group(spark):
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 2, 4000).tolist()
+    s = np.round(rng.normal(size=4000) + np.array(y) * 0.5, 2).tolist()
+    g = (np.arange(4000) % 3).tolist()
+    df = spark.createDataFrame(list(zip(g, y, s)), "g int, y long, s double")
+    got = {r.g: r.auc for r in M.auc_by(df, "y", "s", ["g"], buckets=8).collect()}
+    for k in range(3):
+        ys = [a for a, b in zip(y, g) if b == k]
+        ss = [a for a, b in zip(s, g) if b == k]
+        assert got[k] == pytest.approx(brute_auc(ys, ss))
