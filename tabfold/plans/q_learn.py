@@ -18,7 +18,7 @@ from tabfold.operators import synth as SY
 from tabfold.plans import learners as L
 from tabfold.plans import tuning as T
 from tabfold.plans import validate as V
-from tabfold.plans.q_flagship import Y_SQL, order_label
+from tabfold.plans.q_flagship import order_label
 from tabfold.plans.registry import query
 from tabfold.plans.scoring import Scorer, train_job
 from tabfold.session import cut_lineage, scratch_path
