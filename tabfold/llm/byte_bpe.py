@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabfold.llm.common import text_or_empty
+from tabfold.llm.common import ship_package, text_or_empty
 
 PIECE = 1 << 16          # characters: longer texts are cut at safe places
 _SAFE = re.compile(r"(?<=\S)(?=\s)")
@@ -58,6 +58,8 @@ def encode(enc: tiktoken.Encoding, text: str) -> np.ndarray:
 
 def encode_texts(docs: DataFrame, key: str, rank_file: str, pattern: str, text: str = "text") -> DataFrame:
     """``key`` and ``ids`` (binary: little-endian unsigned 32-bit) of every row; no shuffle."""
+    ship_package(docs.sparkSession)
+
     @F.pandas_udf("binary")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoding(rank_file, pattern)
@@ -68,6 +70,8 @@ def encode_texts(docs: DataFrame, key: str, rank_file: str, pattern: str, text:
 
 def decode_ids(encoded: DataFrame, key: str, rank_file: str, pattern: str) -> DataFrame:
     """``key`` and ``bytes`` (raw: a part of a token sequence need not be valid UTF-8)."""
+    ship_package(encoded.sparkSession)
+
     @F.pandas_udf("binary")
     def raw(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoding(rank_file, pattern)
@@ -81,6 +85,8 @@ def round_trip(docs: DataFrame, key: str, rank_file: str, pattern: str, text: st
 
     One Python pass: ids of a batch are decoded where they were made.
     """
+    ship_package(docs.sparkSession)
+
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = encoding(rank_file, pattern)

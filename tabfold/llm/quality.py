@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabfold.llm.common import utf8
+from tabfold.llm.common import ship_package, utf8
 
 #: (bytes below, lowest ratio, highest ratio).  Written prose in European
 #: languages has ratios of about 1.3 (300 bytes) to 3 (100 KB); base64 has 1.3
@@ -105,6 +105,7 @@ def judge_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def compression_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` as a struct ``row`` beside its ``quality`` measures; no shuffle."""
+    ship_package(docs.sparkSession)
     measured = F.pandas_udf(judge_batches, SCHEMA)
     return docs.select(F.struct("*").alias("row"), measured(utf8(text)).alias("quality"))
 

@@ -6,10 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfold.llm import byte_bpe, quality, topk
+from tabfold.llm import byte_bpe, packing, quality, sharding, topk, warc
 from tabfold.llm.common import table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (quality.compression_quality(table(spark, sf_dir, "documents"))
             .select("row.doc_id", "quality.n_words", "quality.word_chars", "quality.n_symbols", "quality.n_dup_lines",
@@ -22,13 +30,38 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.deduplicated_archives(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT page_id, strlen(body) AS payload_bytes, h, max(page_id) OVER (PARTITION BY body) AS original,
+    array_to_string(list_transform(generate_series(0, 31), lambda i:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             CAST(((CAST('0x' || substr(h, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest
+  FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = original THEN NULL ELSE original END AS refers_to
+FROM d
+"""
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_warc": op5_warc,
     "op10_topk": op10_topk,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_warc": OP5_SQL}

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tabfold.llm.common import ship_package
+
 QUERY_BLOCK, ROW_BLOCK = 2048, 4096       # rows of a cell: at most about 2048 x 4096 bounds in memory
 DEPTHS = (0.25, 0.6)                      # shares of the lists read before the rest is read
 
@@ -105,7 +107,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
     side is broadcast.  A cell returns at most k rows for a query; the merge
     takes the best of these.
     """
-    spark = vectors.sparkSession
+    ship_package(vectors.sparkSession)
     whole = F.transform(F.col(vector), lambda v: F.floor(v.cast("double") * scale).cast("long"))
     finite = F.forall(F.col(vector), lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = (vectors.select(F.col(key).cast("long").alias("id"), is_query.alias("asks"), F.col(vector))
