@@ -23,35 +23,33 @@ MAX_PIVOTS = 6000       # pivots at most; the program is feasible after each one
 KEEP_FILL = 0.98        # a sequence made of left-over documents is kept if it is this full
 
 
-def price_pattern(units: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float, dict[int, int]]:
-    """The most valuable pattern by unbounded knapsack; ``worth`` per class, classes in rising order."""
-    best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    upto = np.searchsorted(units, np.arange(capacity + 1), "right")
+def price_pattern(worth: np.ndarray) -> tuple[float, dict[int, int]]:
+    """The most valuable pattern, by unbounded knapsack: ``worth[u]`` is that of a piece of u units, -inf if there is none."""
+    capacity = len(worth) - 1
+    back = np.zeros(capacity + 1)           # back[capacity - c]: the best worth of c units
+    pick = [0] * (capacity + 1)
     for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        if k := upto[c]:
-            got = best[c - units[:k]] + worth[:k]
-            j = int(got.argmax())
-            if got[j] > best[c] + 1e-12:
-                best[c], pick[c] = got[j], j
+        got = back[capacity - c + 1:] + worth[1:c + 1]      # a last piece of 1, 2, ... c units
+        u = int(got.argmax())
+        before = back[capacity - c + 1]
+        if got[u] > before + 1e-12:
+            back[capacity - c], pick[c] = got[u], u + 1
+        else:
+            back[capacity - c] = before
     items: dict[int, int] = {}
     c = capacity
     while c > 0:
-        j = int(pick[c])
-        if j < 0:
-            c -= 1
-        else:
-            items[j] = items.get(j, 0) + 1
-            c -= int(units[j])
-    return float(best[capacity]), items
+        if u := pick[c]:
+            items[u] = items.get(u, 0) + 1
+        c -= u or 1
+    return float(back[0]), items
 
 
 def solve(units: list[int], counts: list[int], capacity: int) -> tuple[list[tuple[float, dict[int, int], int]], dict[int, float]]:
     """(copies, {class: pieces}, filler units) of the patterns used, and the cut documents of each class."""
     size, need = np.array(units), np.array(counts, float)
     m = len(size)
-    # items of the knapsack: the classes, and one unit of filler
-    item_units = np.concatenate([[1], size])
+    place = {u: l for l, u in enumerate(units)}
     columns: list[tuple] = [("pattern", {l: int(capacity // size[l])}, 0) for l in range(m)] + [("pattern", {}, capacity)]
     basis = list(range(m + 1))
     cost = np.ones(m + 1)
@@ -65,16 +63,24 @@ def solve(units: list[int], counts: list[int], capacity: int) -> tuple[list[tupl
         a[m] = fill
         return a
 
+    least_sequences = float(size @ need) / capacity        # no plan needs fewer
     for step in range(MAX_PIVOTS):
+        if cost @ x <= least_sequences * (1 + GAP):
+            break
         prices = cost @ inverse
         filler = prices[m]
-        value, items = price_pattern(item_units, np.concatenate([[max(filler, 0.0)], np.maximum(prices[:m], 0.0)]), capacity)
+        worth = np.full(capacity + 1, -np.inf)
+        worth[size] = np.maximum(prices[:m], 0.0)
+        filling = filler > max(worth[1], 0.0)                  # a unit of filler is a piece, too
+        worth[1] = filler if filling else worth[1]
+        value, items = price_pattern(worth)
         gain_cut = prices[:m] - size * filler - CUT_PRICE
         l = int(gain_cut.argmax())
         if value - 1 <= GAP and gain_cut[l] <= GAP * CUT_PRICE:
             break
         if value - 1 >= gain_cut[l]:
-            new = ("pattern", {j - 1: k for j, k in items.items() if j}, items.get(0, 0) if filler > 0 else 0)
+            fill = items.pop(1, 0) if filling else 0
+            new = ("pattern", {place[u]: k for u, k in items.items()}, fill)
             price = 1.0
         else:
             new, price = ("cut", {l: 1}, -int(size[l])), CUT_PRICE
@@ -87,9 +93,9 @@ def solve(units: list[int], counts: list[int], capacity: int) -> tuple[list[tupl
         x -= least * a
         x[r] = least
         x[x < 0] = 0
-        inverse[r] /= a[r]
-        others = np.arange(m + 1) != r
-        inverse[others] -= np.outer(a[others], inverse[r])
+        row = inverse[r] / a[r]
+        inverse -= np.outer(a, row)
+        inverse[r] = row
         columns.append(new)
         basis[r], cost[r] = len(columns) - 1, price
         if step % 300 == 299:                                 # wash out rounding errors

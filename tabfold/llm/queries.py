@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfold.llm import byte_bpe, packing, quality, sharding, topk, warc
+from tabfold.llm import byte_bpe, near_dup, packing, quality, sharding, topk, warc
 from tabfold.llm.common import table
 
 
@@ -52,6 +52,10 @@ FROM d
 """
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_warc": op5_warc,
+    "op9_near_dup": op9_near_dup,
     "op10_topk": op10_topk,
 }
 ORACLES: dict[str, str] = {"op5_warc": OP5_SQL}
