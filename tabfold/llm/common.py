@@ -54,15 +54,11 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, also where body uses it within a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def utf8(col: str = "text") -> Column:
     """The text's UTF-8 bytes (null: none)."""
     return F.encode(text_or_empty(col), "UTF-8")
-
-
-def same_rows(n: int) -> int:
-    """Tasks for ``n`` narrow rows: one per 250,000, at least one."""
-    return max(1, -(-n // 250_000))
-
-
-def next_pow2(n: int) -> int:
-    return 1 << max(0, n - 1).bit_length()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfold.llm import byte_bpe, near_dup, packing, quality, sharding, topk, warc
+from tabfold.llm import byte_bpe, line_dedup, near_dup, packing, personal, quality, sharding, topk, warc
 from tabfold.llm.common import table
 
 
@@ -52,6 +52,39 @@ FROM d
 """
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.without_boilerplate(table(spark, sf_dir, "documents"))
+    return cleaned.select("row.doc_id", "n_lines", "n_removed", F.octet_length("clean").cast("long").alias("clean_bytes"),
+                          F.sha2(F.encode("clean", "UTF-8"), 256).alias("clean_sha256"))
+
+
+OP6_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents
+), l AS (
+  SELECT rid, doc_id, source, unnest(string_split(t, chr(10))) AS line,
+    unnest(generate_series(1, len(string_split(t, chr(10))))) AS pos
+  FROM d
+), k AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS key FROM l
+), spread AS (
+  SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 10
+), marked AS (
+  SELECT k.*, s.key IS NOT NULL AND row_number() OVER (PARTITION BY k.key ORDER BY doc_id, pos) > 1 AS gone
+  FROM k LEFT JOIN spread s ON k.key = s.key
+), docs AS (
+  SELECT rid, doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS clean
+  FROM marked GROUP BY rid, doc_id
+)
+SELECT doc_id, n_lines, n_removed, CAST(strlen(clean) AS BIGINT) AS clean_bytes, sha256(clean) AS clean_sha256 FROM docs
+"""
+
+
+def op7_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find_personal(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -66,7 +99,9 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_warc": op5_warc,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_personal": op7_personal,
     "op9_near_dup": op9_near_dup,
     "op10_topk": op10_topk,
 }
-ORACLES: dict[str, str] = {"op5_warc": OP5_SQL}
+ORACLES: dict[str, str] = {"op5_warc": OP5_SQL, "op6_line_dedup": OP6_SQL}
