@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfold.llm import byte_bpe, line_dedup, near_dup, packing, personal, quality, sharding, topk, warc
+from tabfold.llm import byte_bpe, line_dedup, near_dup, packing, personal, quality, repeats, sharding, topk, warc
 from tabfold.llm.common import table
 
 
@@ -85,6 +85,11 @@ def op7_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.find_personal(table(spark, sf_dir, "documents"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -101,6 +106,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
     "op7_personal": op7_personal,
+    "op8_repeats": op8_repeats,
     "op9_near_dup": op9_near_dup,
     "op10_topk": op10_topk,
 }
