@@ -244,6 +244,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                       F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its group; others go."""
+    gone = stash(near_duplicates(docs, key, text).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
+    return docs.join(F.broadcast(gone) if gone.count() <= FEW else gone, docs[key] == gone["_gone"], "left_anti")
+
+
 def confirmed_links(docs: DataFrame, rows: DataFrame, key: str, text: str) -> DataFrame:
     """Links (a, b) between ids whose transitive closure joins all similar documents."""
     linkable = rows.where("n > 0 AND doc_id IS NOT NULL")
