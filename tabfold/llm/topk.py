@@ -15,7 +15,7 @@ Bounds for all queries of a cell are matrix products: rows read so far are a
 as their sums stay below 2**53; a block with larger numbers is scored in
 Python integers.
 
-Defined cases: vectors that are null, empty, or hold a null or a non-finite
+Defined cases: scores must fit a 64-bit integer; vectors that are null, empty, or hold a null or a non-finite
 number take no part; vectors of another length than the query's are no
 candidates; a query never finds rows with its own id; ids that are null take
 no part; repeated rows count once; ties go to the smaller id; a table without
