@@ -2,22 +2,20 @@
 column in one task.
 
 Spark's exact ``percentile``/``median`` keeps a value->count map of the whole
-group in one final task.  Here every (group, column) pair narrows a value band
-that is known to contain the target ranks:
+group in one final task.  Here a rank is searched by value:
 
 1. one aggregation gives ``percentile_approx`` on a fixed grid of GRID+1
-   points inside the current band (sketch size is bounded by ``accuracy``);
-   the first one also gives the row counts;
-2. the driver (which only sees GRID+1 numbers per pair) picks two grid
-   values that bracket the target ranks with a safety margin;
-3. one aggregation counts the rows below / inside the new band exactly;
-4. repeat until a band holds at most ``max_band`` values (or one distinct
-   value), then sort just that band inside one task per pair and read the
-   values at the exact ranks.
+   points inside the current open interval (the sketch's size is bounded);
+2. the driver picks a few grid values around the rank;
+3. one aggregation counts the rows below and up to each of them exactly.
 
-The input is expected as a long frame (group..., column, v) built with
-``stack`` so that all columns and groups advance together; the state tables
-that are broadcast are bounded by (#groups x #columns).
+Either the rank lies among the rows equal to one of these values, and is
+found, or it lies strictly between two of them.  That interval is the next
+one: it holds about one grid step of rows and none of the values tried, so
+ties cannot stop the search.  At most ``max_band`` values left are sorted.
+
+Groups of at most ``SMALL`` rows never reach the driver; larger ones do in
+chunks of ``CHUNK``, so its state is bounded whatever the number of groups.
 """
 
 from __future__ import annotations
@@ -31,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRID = 1024
-ACCURACY = 2_048      # rank error <= band/2048 = half a grid step, inside the MARGIN of 3 steps
-MAX_BAND = 200_000
-MARGIN = 3           # grid steps kept on each side of the target
-MAX_ROUNDS = 12
+ACCURACY = 4_096      # rank error <= interval / 4096: a quarter of a grid step
+MAX_BAND = 2_000      # values of an interval that are sorted in one task
+MARGIN = 2            # grid steps on each side that are tried as well
+SMALL = 100_000       # rows of a group up to which a task may hold its value counts
+CHUNK = 512           # groups searched at a time
 
 
 def to_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -50,98 +49,153 @@ def _targets(n: int, q: float) -> tuple[int, int, float]:
     return r1, int(math.ceil(pos)), pos - r1
 
 
+def _types(long: DataFrame, keys: Sequence[str]) -> str:
+    types = {f.name: f.dataType.simpleString() for f in long.schema.fields}
+    return ", ".join(f"`{c}` {types[c]}" for c in keys)
+
+
+def _with(long: DataFrame, keys: Sequence[str], rows: list[tuple], extra: str) -> DataFrame:
+    """``long`` joined with a small table of one row a key (null keys match null keys)."""
+    small = long.sparkSession.createDataFrame(rows, _types(long, keys) + ", " + extra)
+    small = small.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(keys)})
+    on = None
+    for i, c in enumerate(keys):
+        same = F.col(c).eqNullSafe(F.col(f"_k{i}"))
+        on = same if on is None else on & same
+    return long.join(F.broadcast(small), on).drop(*[f"_k{i}" for i in range(len(keys))])
+
+
+def _search(long: DataFrame, keys: list[str], families: list[dict], max_band: int) -> list[dict[tuple, float]]:
+    """Values at ranks.  A family has ``counts`` (source key -> rows) and ``targets``
+    ((name, source keys, rank): the rank among the rows of these sources);
+    returns, per family, name -> value.  A source key belongs to one family.
+    """
+    grid_p = [i / GRID for i in range(GRID + 1)]
+    found: list[dict[tuple, float]] = [{} for _ in families]
+    # open interval, rows of the target's sources up to its low end, rows inside
+    state = [{name: (-math.inf, math.inf, 0, sum(fam["counts"][s] for s in src), src, rank)
+              for name, src, rank in fam["targets"]} for fam in families]
+    while any(state):
+        live = [i for i, s in enumerate(state) if any(x[3] > max_band for x in s.values())]
+        if not live:
+            break
+        spans = {i: (min(x[0] for x in state[i].values()), max(x[1] for x in state[i].values())) for i in live}
+        rows = [(*k, float(spans[i][0]), float(spans[i][1])) for i in live for k in families[i]["counts"]]
+        inside = (F.col("v") > F.col("_lo")) & (F.col("v") < F.col("_hi"))
+        grids = {tuple(r[c] for c in keys): (r["_b"], r["_m"], r["_g"]) for r in
+                 _with(long, keys, rows, "_lo double, _hi double").groupBy(*keys).agg(
+                     F.count_if(F.col("v") <= F.col("_lo")).alias("_b"), F.count_if(inside).alias("_m"),
+                     F.percentile_approx(F.when(inside, F.col("v")), grid_p, ACCURACY).alias("_g")).collect()}
+        tried = {}
+        for i in live:
+            points = set()
+            for lo, hi, below, band, src, rank in state[i].values():
+                if band <= max_band:
+                    continue
+                parts = [(b, m, np.asarray(g, float)) for b, m, g in (grids[k] for k in src if k in grids) if g]
+                cand = np.unique(np.concatenate([g for _, _, g in parts]))
+                cand = cand[(cand > lo) & (cand < hi)]
+                less = sum(b + m * np.maximum(np.searchsorted(g, cand, "left") - 1, 0) / GRID for b, m, g in parts)
+                step = max(1.0, sum(m for _, m, _ in parts) / GRID)
+                at = int(np.searchsorted(less, rank, "right"))
+                near = {at - 1, at, int(np.searchsorted(less, rank - MARGIN * step)) - 1,
+                        int(np.searchsorted(less, rank + MARGIN * step))}
+                points |= {float(cand[min(max(j, 0), len(cand) - 1)]) for j in near}
+            tried[i] = sorted(points)
+        width = max(map(len, tried.values()))
+        rows = [(*k, tried[i] + [math.inf] * (width - len(tried[i]))) for i in live for k in families[i]["counts"]]
+        aggs = []
+        for j in range(width):
+            aggs += [F.count_if(F.col("v") < F.element_at("_p", j + 1)).alias(f"_lt{j}"),
+                     F.count_if(F.col("v") <= F.element_at("_p", j + 1)).alias(f"_le{j}")]
+        counted = {tuple(r[c] for c in keys): r for r in
+                   _with(long, keys, rows, "_p array<double>").groupBy(*keys).agg(*aggs).collect()}
+        for i in live:
+            for name, (lo, hi, below, band, src, rank) in list(state[i].items()):
+                upto = below + band                            # rows below the high end
+                for j, p in enumerate(tried[i]):
+                    if not lo < p < hi:
+                        continue
+                    lt = sum(counted[k][f"_lt{j}"] for k in src if k in counted)
+                    le = sum(counted[k][f"_le{j}"] for k in src if k in counted)
+                    if le <= rank:
+                        lo, below = p, le
+                    elif lt <= rank:
+                        found[i][name] = p
+                        break
+                    else:
+                        hi, upto = p, lt
+                        break
+                if name in found[i]:
+                    del state[i][name]
+                else:
+                    state[i][name] = (lo, hi, below, upto - below, src, rank)
+    _read_off(long, keys, families, state, found)
+    return found
+
+
+def _read_off(long: DataFrame, keys: list[str], families: list[dict], state: list[dict], found: list[dict]) -> None:
+    """Sort the few values of each remaining interval and read the ranks."""
+    jobs = [(i, name, *x) for i, s in enumerate(state) for name, x in s.items()]
+    for lo in range(0, len(jobs), CHUNK):
+        part = jobs[lo:lo + CHUNK]
+        by_source: dict[tuple, list] = {}
+        for n, (_, _, a, b, _, _, src, _) in enumerate(part):
+            for k in src:
+                by_source.setdefault(k, []).append((n, float(a), float(b)))
+        rows = [(*k, v) for k, v in by_source.items()]
+        tagged = (_with(long, keys, rows, "_t array<struct<n:int,a:double,b:double>>")
+                  .select("v", F.explode(F.filter("_t", lambda t: (F.col("v") > t["a"]) & (F.col("v") < t["b"]))).alias("t")))
+        ranks = long.sparkSession.createDataFrame([(n, x[7] - x[4] + 1) for n, x in enumerate(part)], "n int, _i int")
+        got = (tagged.groupBy("t.n").agg(F.sort_array(F.collect_list("v")).alias("_a"))
+               .join(F.broadcast(ranks), "n").select("n", F.element_at("_a", F.col("_i")).alias("v")).collect())
+        for r in got:
+            found[part[r["n"]][0]][part[r["n"]][1]] = r["v"]
+
+
+def _interpolate(values: dict[tuple, float], frac: float, name: tuple) -> float:
+    v1, v2 = values[(*name, 1)], values[(*name, 2)]
+    return float(v1 + frac * (v2 - v1))
+
+
 def exact_quantile(long: DataFrame, q: float = 0.5, by: Sequence[str] = (),
-                   max_band: int = MAX_BAND) -> DataFrame:
+                   max_band: int = MAX_BAND, small: int | None = None) -> DataFrame:
     """Exact q-quantile per (by..., column) of a long frame; returns (by..., column, value).
 
     Pairs with no values are absent from the result.
     """
     spark = long.sparkSession
     keys = [*by, "column"]
-    grid_p = [i / GRID for i in range(GRID + 1)]
-    # round 0: counts and the first grid in one pass over all rows
-    first = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"),
-                                    F.percentile_approx("v", grid_p, ACCURACY).alias("_grid")).collect()
-    state, grids = {}, {}
-    for r in first:
-        k = tuple(r[c] for c in keys)
-        r1, r2, frac = _targets(r["_cnt"], q)
-        state[k] = {"lo": -math.inf, "hi": math.inf, "below": 0, "band": r["_cnt"],
-                    "r1": r1, "r2": r2, "frac": frac, "value": None}
-        grids[k] = r["_grid"]
-    if not state:
-        return spark.createDataFrame([], _schema(long, keys))
-    key_types = {f.name: f.dataType.simpleString() for f in long.schema.fields}
-    bschema = ", ".join(f"`{c}` {key_types[c]}" for c in keys) + ", _lo double, _hi double"
-
-    def in_band(pairs):
-        rows = [(*k, float(state[k]["lo"]), float(state[k]["hi"])) for k in pairs]
-        b = spark.createDataFrame(rows, bschema)
-        return (long.join(F.broadcast(b), keys)
-                    .where((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))))
-
-    for rnd in range(MAX_ROUNDS):
-        active = [k for k, s in state.items() if s["value"] is None and s["band"] > max_band]
-        if not active:
-            break
-        sub = in_band(active)
-        if rnd > 0:
-            grids = {tuple(r[c] for c in keys): r["_grid"] for r in
-                     sub.groupBy(*keys).agg(F.percentile_approx("v", grid_p, ACCURACY).alias("_grid")).collect()}
-        pick = {}
-        for k in active:
-            s, g = state[k], grids[k]
-            rel1 = (s["r1"] - s["below"]) / s["band"]
-            rel2 = (s["r2"] - s["below"]) / s["band"]
-            a = g[max(0, int(math.floor(rel1 * GRID)) - MARGIN)]
-            b = g[min(GRID, int(math.ceil(rel2 * GRID)) + MARGIN)]
-            pick[k] = (a, b)
-        prow = [(*k, float(a), float(b)) for k, (a, b) in pick.items()]
-        p = spark.createDataFrame(prow, ", ".join(f"`{c}` {key_types[c]}" for c in keys) + ", _a double, _b double")
-        cnt = (sub.join(F.broadcast(p), keys)
-                  .groupBy(*keys).agg(F.count_if(F.col("v") < F.col("_a")).alias("_lt"),
-                                      F.count_if(F.col("v") <= F.col("_b")).alias("_le"))).collect()
-        for r in cnt:
-            k = tuple(r[c] for c in keys)
-            s, (a, b) = state[k], pick[k]
-            lt, le = r["_lt"], r["_le"]
-            if s["below"] + lt <= s["r1"] and s["below"] + le - 1 >= s["r2"]:
-                s["lo"], s["hi"] = a, b
-                s["below"] += lt
-                s["band"] = le - lt
-                if a == b:
-                    s["value"] = a
-            # otherwise the sketch missed (outside its error bound): keep the band, retry
-    rest = [k for k, s in state.items() if s["value"] is None]
-    too_big = [k for k in rest if state[k]["band"] > 10 * max_band]
-    if too_big:
-        raise RuntimeError(f"quantile band did not narrow for {too_big[:3]}")
-    if rest:
-        sub = in_band(rest)
-        sorted_vals = sub.groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("_arr"))
-        offs = [(*k, state[k]["r1"] - state[k]["below"] + 1, state[k]["r2"] - state[k]["below"] + 1)
-                for k in rest]
-        o = spark.createDataFrame(offs, ", ".join(f"`{c}` {key_types[c]}" for c in keys) + ", _i1 int, _i2 int")
-        picks = (sorted_vals.join(F.broadcast(o), keys)
-                 .select(*keys, F.element_at("_arr", F.col("_i1")).alias("_v1"),
-                         F.element_at("_arr", F.col("_i2")).alias("_v2")).collect())
-        for r in picks:
-            k = tuple(r[c] for c in keys)
-            s = state[k]
-            s["value"] = r["_v1"] + s["frac"] * (r["_v2"] - r["_v1"])
-    rows = [(*k, float(s["value"])) for k, s in state.items()]
-    return spark.createDataFrame(rows, _schema(long, keys))
-
-
-def _schema(long: DataFrame, keys: Sequence[str]) -> str:
-    types = {f.name: f.dataType.simpleString() for f in long.schema.fields}
-    return ", ".join(f"`{c}` {types[c]}" for c in keys) + ", value double"
+    small = SMALL if small is None else small
+    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = [(tuple(r[c] for c in keys), r["_n"]) for r in sizes.where(F.col("_n") > small).collect()]
+    rows = []
+    for lo in range(0, len(large), CHUNK):
+        families, fracs = [], []
+        for k, n in large[lo:lo + CHUNK]:
+            r1, r2, frac = _targets(n, q)
+            families.append({"counts": {k: n}, "targets": [((1,), [k], r1), ((2,), [k], r2)]})
+            fracs.append(frac)
+        for fam, frac, values in zip(families, fracs, _search(long, keys, families, max_band)):
+            rows.append((*next(iter(fam["counts"])), _interpolate(values, frac, ())))
+    done = spark.createDataFrame(rows, _types(long, keys) + ", value double")
+    if len(large) == 0 and not by:
+        rest = long
+    else:                       # one row a large group: at most one in SMALL rows
+        named = done.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+        on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)]
+        cond = on[0]
+        for c in on[1:]:
+            cond = cond & c
+        rest = long.join(F.broadcast(named) if len(large) <= 100_000 else named, cond, "left_anti")
+    few = rest.groupBy(*keys).agg(F.percentile("v", F.lit(float(q))).alias("value"))
+    return few.unionByName(done)
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
-                  max_band: int = MAX_BAND) -> DataFrame:
+                  max_band: int = MAX_BAND, small: int | None = None) -> DataFrame:
     """Exact median of every column (per group): (by..., column, value)."""
-    return exact_quantile(to_long(df, cols, by), 0.5, by, max_band)
+    return exact_quantile(to_long(df, cols, by), 0.5, by, max_band, small)
 
 
 def complement_quantile(long: DataFrame, k: int, fold: str = "fold", q: float = 0.5,
@@ -149,114 +203,23 @@ def complement_quantile(long: DataFrame, k: int, fold: str = "fold", q: float =
     """Exact q-quantile of every column over the rows *outside* each fold.
 
     Input: long frame (fold, column, v).  Output: (train_fold, column, value).
-    No row is copied per fold: counts are decomposable (complement of t =
-    sum over folds f != t), so each round aggregates per (fold, column):
-    a grid of the fold's values inside the union of the current bands plus
-    the counts below/inside it, and, for every target t, exact counts of
-    values below / not above t's candidate bounds (2k comparisons per row).
-    The driver combines the k fold grids into each complement's candidate
-    bracket and checks it with the exact counts.  Only the last narrow bands
-    (<= ``max_band`` values per target) are gathered per target.
+    No row is copied per fold: counts add up, so the rows outside fold t are
+    those of all other (fold, column) sources, counted once for all targets.
     """
     spark = long.sparkSession
-    grid_p = [i / GRID for i in range(GRID + 1)]
-    ctype = dict((f.name, f.dataType.simpleString()) for f in long.schema.fields)
-    first = long.groupBy(fold, "column").agg(F.count(F.lit(1)).alias("_n"),
-                                             F.percentile_approx("v", grid_p, ACCURACY).alias("_g")).collect()
-    n_fc = {(r[fold], r["column"]): r["_n"] for r in first}
-    cols = sorted({c for _, c in n_fc})
-    folds = list(range(k))
-    info = {(r[fold], r["column"]): (0, r["_n"], r["_g"]) for r in first}      # (below U, in U, grid)
-    state = {}
-    for t in folds:
-        for c in cols:
-            n = sum(n_fc.get((f, c), 0) for f in folds if f != t)
-            if n == 0:
-                continue
-            r1, r2, frac = _targets(n, q)
-            state[(t, c)] = {"lo": -math.inf, "hi": math.inf, "below": 0, "band": n,
-                             "r1": r1, "r2": r2, "frac": frac, "value": None}
-
-    def union_band(c, keys):
-        los = [state[x]["lo"] for x in keys if x[1] == c]
-        his = [state[x]["hi"] for x in keys if x[1] == c]
-        return (min(los), max(his)) if los else (math.inf, -math.inf)
-
-    for rnd in range(MAX_ROUNDS):
-        active = [x for x, s in state.items() if s["value"] is None and s["band"] > max_band]
-        if not active:
-            break
-        if rnd > 0:
-            ub = [(c, *map(float, union_band(c, active))) for c in cols]
-            bt = spark.createDataFrame(ub, f"`column` {ctype['column']}, _ulo double, _uhi double")
-            inside = (F.col("v") >= F.col("_ulo")) & (F.col("v") <= F.col("_uhi"))
-            rows = (long.join(F.broadcast(bt), "column").groupBy(fold, "column")
-                        .agg(F.count_if(F.col("v") < F.col("_ulo")).alias("_b"), F.count_if(inside).alias("_m"),
-                             F.percentile_approx(F.when(inside, F.col("v")), grid_p, ACCURACY).alias("_g"))
-                        .collect())
-            info = {(r[fold], r["column"]): (r["_b"], r["_m"], r["_g"]) for r in rows}
-        pick = {}
-        for (t, c) in active:
-            s = state[(t, c)]
-            parts = [info[(f, c)] for f in folds if f != t and (f, c) in info and info[(f, c)][2]]
-            grids = [np.asarray(g, dtype=float) for _, _, g in parts]
-            cand = np.unique(np.concatenate(grids)) if grids else np.zeros(0)
-            cand = cand[(cand >= s["lo"]) & (cand <= s["hi"])]
-            est_lt = np.zeros(len(cand))        # ~ rows < x in the complement
-            est_le = np.zeros(len(cand))        # ~ rows <= x
-            for (b_, m_, _), g in zip(parts, grids):
-                est_lt += b_ + m_ * np.maximum(np.searchsorted(g, cand, "left") - 1, 0) / GRID
-                est_le += b_ + m_ * np.minimum(np.searchsorted(g, cand, "right"), GRID) / GRID
-            margin = MARGIN * sum(m_ for _, m_, _ in parts) / GRID
-            lows = cand[est_lt <= s["r1"] - margin]
-            highs = cand[est_le >= s["r2"] + 1 + margin]
-            a = float(lows.max()) if len(lows) else s["lo"]
-            b = float(highs.min()) if len(highs) else s["hi"]
-            pick[(t, c)] = (a, b)
-        arr_rows = []
-        for c in cols:
-            A = [float(pick.get((t, c), (math.inf, -math.inf))[0]) for t in folds]
-            B = [float(pick.get((t, c), (math.inf, -math.inf))[1]) for t in folds]
-            arr_rows.append((c, A, B))
-        at = spark.createDataFrame(arr_rows, f"`column` {ctype['column']}, _A array<double>, _B array<double>")
-        aggs = []
-        for t in folds:
-            aggs.append(F.count_if(F.col("v") < F.element_at("_A", t + 1)).alias(f"_lt{t}"))
-            aggs.append(F.count_if(F.col("v") <= F.element_at("_B", t + 1)).alias(f"_le{t}"))
-        cnt = long.join(F.broadcast(at), "column").groupBy(fold, "column").agg(*aggs).collect()
-        per = {(r[fold], r["column"]): r for r in cnt}
-        for (t, c), (a, b) in pick.items():
-            s = state[(t, c)]
-            lt = sum(per[(f, c)][f"_lt{t}"] for f in folds if f != t and (f, c) in per)
-            le = sum(per[(f, c)][f"_le{t}"] for f in folds if f != t and (f, c) in per)
-            if lt <= s["r1"] and le - 1 >= s["r2"]:
-                s["lo"], s["hi"], s["below"], s["band"] = a, b, lt, le - lt
-                if a == b:
-                    s["value"] = a
-    rest = [x for x, s in state.items() if s["value"] is None]
-    if any(state[x]["band"] > 10 * max_band for x in rest):
-        raise RuntimeError("complement quantile band did not narrow")
-    if rest:
-        rows = []
-        for c in cols:
-            LO = [float(state[(t, c)]["lo"]) if (t, c) in rest else math.inf for t in folds]
-            HI = [float(state[(t, c)]["hi"]) if (t, c) in rest else -math.inf for t in folds]
-            rows.append((c, LO, HI))
-        bt = spark.createDataFrame(rows, f"`column` {ctype['column']}, _LO array<double>, _HI array<double>")
-        ts = F.array(*[F.lit(t) for t in folds])
-        tagged = (long.join(F.broadcast(bt), "column")
-                      .withColumn("_t", F.explode(F.filter(ts, lambda t: (t != F.col(fold))
-                                                           & (F.col("v") >= F.element_at("_LO", t + 1))
-                                                           & (F.col("v") <= F.element_at("_HI", t + 1))))))
-        offs = [(t, c, state[(t, c)]["r1"] - state[(t, c)]["below"] + 1,
-                 state[(t, c)]["r2"] - state[(t, c)]["below"] + 1) for (t, c) in rest]
-        o = spark.createDataFrame(offs, f"_t int, `column` {ctype['column']}, _i1 int, _i2 int")
-        picks = (tagged.groupBy("_t", "column").agg(F.sort_array(F.collect_list("v")).alias("_arr"))
-                       .join(F.broadcast(o), ["_t", "column"])
-                       .select("_t", "column", F.element_at("_arr", F.col("_i1")).alias("_v1"),
-                               F.element_at("_arr", F.col("_i2")).alias("_v2")).collect())
-        for r in picks:
-            s = state[(r["_t"], r["column"])]
-            s["value"] = r["_v1"] + s["frac"] * (r["_v2"] - r["_v1"])
-    out = [(t, c, float(s["value"])) for (t, c), s in sorted(state.items())]
-    return spark.createDataFrame(out, f"train_fold int, `column` {ctype['column']}, value double")
+    sizes = {(r[fold], r["column"]): r["_n"] for r in
+             long.groupBy(fold, "column").agg(F.count(F.lit(1)).alias("_n")).collect()}
+    families, fracs, names = [], {}, []
+    for c in sorted({c for _, c in sizes}):
+        counts = {s: n for s, n in sizes.items() if s[1] == c}
+        targets = []
+        for t in range(k):
+            src = [s for s in counts if s[0] != t]
+            if n := sum(counts[s] for s in src):
+                r1, r2, fracs[t, c] = _targets(n, q)
+                targets += [((t, 1), src, r1), ((t, 2), src, r2)]
+        families.append({"counts": counts, "targets": targets})
+        names.append(c)
+    found = _search(long, [fold, "column"], families, max_band)
+    out = [(t, c, _interpolate(v, fracs[t, c], (t,))) for c, v in zip(names, found) for t in range(k) if (t, c) in fracs]
+    return spark.createDataFrame(sorted(out), f"train_fold int, {_types(long, ['column'])}, value double")
