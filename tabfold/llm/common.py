@@ -33,9 +33,14 @@ def stash(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
+BATCH_BYTES = 16 << 20        # of texts that a Python worker holds at a time, about
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once an application (as ``--py-files`` would)."""
+    """Send this package to the Python workers, once an application (as ``--py-files`` would),
+    and keep the batches of texts that they get small."""
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if sc.applicationId in _SHIPPED:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -54,6 +59,24 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+class Remembered(dict):
+    """Values made once for each key; about twice ``limit`` keys stay, those used last."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` worked out once, also where body uses it within a lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import functools
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -28,14 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabfold.llm.common import ship_package, stash, utf8
+from tabfold.llm.common import Remembered, ship_package, stash, utf8
 from tabfold.llm.cutting_stock import cutting_plan
 
 CAPACITY = 4096
 GRAIN = 8                  # tokens of a unit
 END_ID = 2
 SALT_ROWS = 50_000         # rows ranked by a task, about
-CACHED_WORDS = 300_000     # words whose ids a worker remembers
+CACHED_WORDS = 250_000     # pieces of words whose ids a worker remembers (twice as many at most: 100 MB)
 FEW = 200_000              # cut documents up to which their ids are broadcast
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, place long"
@@ -50,36 +52,65 @@ def tokenizer(path: str):
     return t
 
 
+#: Letters and digits below U+0180, where lower case and composition need no neighbours.
+#: Plain texts may also hold common punctuation above (quotes, dashes, the euro sign).
+_LATIN = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA1, 0x180)]]
+_LETTER = "".join(re.escape(c) for c in _LATIN if unicodedata.category(c)[0] == "L")
+_DIGIT = "".join(re.escape(c) for c in _LATIN if unicodedata.category(c)[0] == "N")
+_PLAIN = re.compile("[\t-\r\x20-\x7e\xa1-\u017f\u2010-\u2027\u2030-\u205e\u20ac]*")
+_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_LETTER}{_DIGIT}\t-\r ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """A letter for each byte, as byte-level models write them: printable ones stand for themselves."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class WordIds:
-    """Token ids of texts, word by word.
+    """Token ids of texts, piece by piece.
 
-    The tokenizer drops white space and never joins characters across it, so a
-    text's ids are those of its words in turn; each word is encoded once.
+    The tokenizer drops white space and never joins characters across it or
+    across its own splitting pattern, so a text's ids are those of its pieces
+    in turn; each is encoded once and remembered.  Texts of Latin letters are
+    split here, and their pieces go to the tokenizer's model; words of all
+    other texts go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        self.encode = tokenizer(path).encode_batch
-        self.known: dict[bytes, bytes] = {}
+        self.tokenizer = tokenizer(path)
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.pieces = Remembered(self._piece, CACHED_WORDS)
+        self.words = Remembered(self._word, CACHED_WORDS // 4)
+
+    def _piece(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
+
+    def _word(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
     def __call__(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids of a text, with the end id."""
-        words = text.split()
-        known = self.known
-        try:
-            ids = b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > CACHED_WORDS:
-                known.clear()
-            new = list({w for w in words if w not in known})
-            for w, e in zip(new, self.encode([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-            ids = b"".join([known[w] for w in words])
-        return ids + END_ID.to_bytes(4, "little")
+        t = text.decode("utf-8", "replace")
+        if _PLAIN.fullmatch(t):
+            ids = map(self.pieces.__getitem__, _SPLIT.findall(t.lower()))
+        else:
+            ids = map(self.words.__getitem__, text.split())
+        return b"".join(ids) + END_ID.to_bytes(4, "little")
+
+
+@functools.lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The encoder of a worker process: what it remembers serves its later tasks, too."""
+    return WordIds(path)
 
 
 def _measure(path: str, capacity: int):
     def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        ids_of, step = WordIds(path), 4 * capacity
+        ids_of, step = word_ids(path), 4 * capacity
         for texts in batches:
             rows = []
             for t in texts:
@@ -187,7 +218,7 @@ def _cut_pieces(docs: DataFrame, cut: DataFrame, n_cut: int, spaces: list, path:
     starts, units, firsts = (np.array(x) for x in zip(*spaces))
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = WordIds(path)
+        ids_of = word_ids(path)
         for batch in batches:
             out = []
             for doc, data, places in zip(batch["doc_id"], batch["body"], batch["places"]):
