@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabfold.llm.common import ship_package, stash, utf8
+from tabfold.llm.common import Remembered, ship_package, stash, utf8
 from tabfold.llm.components import components
 
 WIDTH = 5                   # words of a shingle
@@ -45,7 +45,7 @@ MAX_XOR = 72                # differing bits of a candidate pair: an estimate of
 BUCKET_BLOCK = 2048         # classes of a bucket that meet in a task
 FAMILY_BLOCK = 1_000_000    # shingles of a family that meet in a task
 FEW = 300_000               # ids up to which a table of ids is broadcast (15 MB)
-REMEMBERED = 1_000_000      # words whose hashes a worker remembers
+REMEMBERED = 100_000        # words whose hashes a worker remembers (twice as many at most: 25 MB)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -60,17 +60,12 @@ _FACTORS = _scatter(np.arange(1, SAMPLES + 1, dtype=np.uint64) * _MIX) | np.uint
 _SHIFTS = _scatter(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, each made once a worker."""
+def word_hashes() -> Remembered:
+    """64-bit hashes of words."""
+    return Remembered(xxhash.xxh3_64_intdigest, REMEMBERED)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
 
-
-def shingles(text: bytes, hashes: WordHashes, width: int = WIDTH) -> np.ndarray:
+def shingles(text: bytes, hashes: Remembered, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct hashes of the text's ``width``-word shingles (of all its words, if fewer)."""
     words = text.lower().split()             # bytes: only A-Z change, only ASCII white space cuts
     if not words:
@@ -104,7 +99,7 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes()
+    hashes = word_hashes()
     for texts in batches:
         rows = []
         for t in texts:
@@ -118,7 +113,7 @@ def _signatures(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def _sets_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes()
+    hashes = word_hashes()
     for texts in batches:
         sets = [shingles(t, hashes).tobytes() for t in texts]
         yield pd.DataFrame({"body": sets, "set_id": [xxhash.xxh3_128_digest(s) for s in sets]})
