@@ -23,6 +23,7 @@ WORD = r"[\p{L}\p{N}_]"
 
 # fixed values: regular expressions of the cleaning chain and the counters
 TAG_RE = r"<[^>]+>"
+_TAG = r"<[^>]++>"        # the same matches; an unclosed bracket gives nothing back
 URL_RE = "http" + WORD + "+"
 HANDLE_RE = "@" + WORD + "+"
 ISOLATED_LETTER_RE = WS + "[a-z]" + WS
@@ -50,7 +51,7 @@ def _c(c: Column | str) -> Column:
 
 
 def strip_tags(c: Column | str) -> Column:
-    return F.regexp_replace(_c(c), TAG_RE, "")
+    return F.regexp_replace(_c(c), _TAG, "")
 
 
 def strip_ws(c: Column | str) -> Column:
@@ -62,7 +63,7 @@ def normalise(c: Column | str) -> Column:
     """Cleaning stages before stopword removal, in order:
     lower -> tags -> ``http\\w+`` -> ``@\\w+`` -> isolated letters -> runs of 2+ spaces."""
     t = F.lower(_c(c))
-    t = F.regexp_replace(t, TAG_RE, "")
+    t = F.regexp_replace(t, _TAG, "")
     t = F.regexp_replace(t, URL_RE, "")
     t = F.regexp_replace(t, HANDLE_RE, "")
     t = F.regexp_replace(t, ISOLATED_LETTER_RE, " ")

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 SALT_HEX_DIGITS = 4
 # a group holding more than n / (k * HEAVY_FACTOR) rows is placed explicitly
 HEAVY_FACTOR = 64
+NULL_KEY = "\u0000null"
 
 
 def _key_string(key: str | Sequence[str]) -> Column:
     if isinstance(key, str):
-        return F.col(key).cast("string")
+        return F.coalesce(F.col(key).cast("string"), F.lit(NULL_KEY))      # nulls are one key of their own
     return F.concat_ws("\u0001", *[F.col(c).cast("string") for c in key])
 
 
@@ -99,8 +100,18 @@ def group_kfold(df: DataFrame, group: str | Sequence[str], k: int = 5, seed: int
     spark = df.sparkSession
     schema = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in gcols) + ", _heavy_fold int"
     place = spark.createDataFrame(rows, schema)
-    return (out.join(F.broadcast(place), gcols, "left")
-               .withColumn(col, F.coalesce(F.col("_heavy_fold"), F.col(col))).drop("_heavy_fold"))
+    place = place.withColumnsRenamed({g: f"_h{i}" for i, g in enumerate(gcols)})
+    return (out.join(F.broadcast(place), _same_groups(gcols, "_h"), "left")
+               .withColumn(col, F.coalesce(F.col("_heavy_fold"), F.col(col)))
+               .drop("_heavy_fold", *[f"_h{i}" for i in range(len(gcols))]))
+
+
+def _same_groups(gcols: Sequence[str], prefix: str) -> Column:
+    """Join condition of group columns with their renamed copies; null groups match."""
+    on = F.lit(True)
+    for i, g in enumerate(gcols):
+        on = on & F.col(g).eqNullSafe(F.col(f"{prefix}{i}"))
+    return on
 
 
 def stratified_kfold(df: DataFrame, key: str | Sequence[str], label: str, k: int = 5, seed: int = 0,
@@ -132,21 +143,17 @@ def stratified_kfold(df: DataFrame, key: str | Sequence[str], label: str, k: int
             .drop("_h", "_salt", "_off", "_lab"))
 
 
-def stratified_group_kfold(df: DataFrame, group: str, label: str, k: int = 5, seed: int = 0,
+def stratified_group_kfold(df: DataFrame, group: str | Sequence[str], label: str, k: int = 5, seed: int = 0,
                            col: str = "fold") -> DataFrame:
-    """Groups stay whole; groups are stratified by their dominant class."""
-    hist = df.groupBy(group, label).agg(F.count(F.lit(1)).alias("_n"))
+    """Groups stay whole; groups are stratified by their dominant class.  Null is a group like any other."""
+    gcols = [group] if isinstance(group, str) else list(group)
+    hist = df.groupBy(*dict.fromkeys([*gcols, label])).agg(F.count(F.lit(1)).alias("_n"))
     # most frequent class of the group; ties go to the smallest class
-    dominant = (hist.groupBy(group)
+    dominant = (hist.groupBy(*gcols)
                 .agg(F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias("_dom")))
     gf = stratified_kfold(dominant, group, "_dom", k, seed, col).drop("_dom")
-    return df.join(gf, group, "left")
-
-
-def fold_complements(df: DataFrame, k: int, col: str = "fold", as_col: str = "train_fold") -> DataFrame:
-    """Every row once per fold it trains: rows with fold != j, tagged j (k-1 copies)."""
-    folds = F.array(*[F.lit(j) for j in range(k)])
-    return df.withColumn(as_col, F.explode(F.filter(folds, lambda j: j != F.col(col))))
+    gf = gf.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(gcols)})
+    return df.join(gf, _same_groups(gcols, "_g"), "left").drop(*[f"_g{i}" for i in range(len(gcols))])
 
 
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> tuple:

@@ -1,7 +1,7 @@
 """Median imputation as Spark ML stages, plus the fold-safe variant.
 
 ``MedianImputer.fit`` computes exact medians (``operators.quantiles``) of the
-training rows; the model fills nulls with ``coalesce(c, median)``.  Columns
+training rows; the model fills nulls and NaN with the median.  Columns
 that are entirely null in training are dropped, as a median imputer does.
 ``fold_medians`` computes, for every fold k, medians over the rows *not* in
 fold k, so validation rows never leak into their own fill values; counts
@@ -56,7 +56,7 @@ class MedianImputerModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, df: DataFrame) -> DataFrame:
         cols, meds = self.getOrDefault(self.columns), self.getOrDefault(self.medians)
         empty = [c for c, m in zip(cols, meds) if m != m and c in df.columns]
-        fills = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in self.fill_values().items()
+        fills = {c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(m)) for c, m in self.fill_values().items()
                  if c in df.columns}
         return df.withColumns(fills).drop(*empty)
 
@@ -84,5 +84,5 @@ def impute_by_fold(df: DataFrame, cols: Sequence[str], k: int, fold_col: str = "
         if not m:
             continue
         lookup = F.create_map(*[x for f, v in sorted(m.items()) for x in (F.lit(f), F.lit(float(v)))])
-        fills[c] = F.coalesce(F.col(c).cast("double"), F.element_at(lookup, F.col(fold_col)))
+        fills[c] = F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.element_at(lookup, F.col(fold_col)))
     return df.withColumns(fills)

@@ -2,8 +2,8 @@
 
 Everything is an aggregation with map-side partial combine.  Class-based
 metrics first reduce the rows to the (label, prediction) count table, whose
-size is bounded by the number of classes squared; ranks of the classes are
-taken from a distinct-class list whose size is checked before use.
+size is bounded by the number of classes squared; classes are ranked within
+the plan, so their number is not limited.
 """
 
 from __future__ import annotations
@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from pyspark import StorageLevel
 
-MAX_CLASSES = 10_000          # class-rank map is shipped inside the plan
-AUC_BUCKETS = 1024            # quantile buckets for the exact AUC prefix sums
+AUC_ROWS = 100_000            # distinct scores of a quantile bucket of the exact AUC, about
 
 
 class Metric(str, Enum):
@@ -91,31 +90,34 @@ def confusion_wide(conf: DataFrame, classes: Sequence) -> DataFrame:
                 .fillna(0))
 
 
-def class_list(conf: DataFrame) -> list:
-    """Sorted union of real and predicted classes from a confusion table (size-checked)."""
-    vals = (conf.select(F.col("real").alias("c")).union(conf.select(F.col("pred").alias("c")))
-                .distinct().limit(MAX_CLASSES + 1).collect())
-    if len(vals) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes: not a class label")
-    return sorted(v[0] for v in vals)
+def ranked_classes(conf: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """(within..., _class, _rank): ranks from 0 in the sorted union of real and predicted classes."""
+    both = conf.select(*within, F.explode(F.array(F.col("real"), F.col("pred"))).alias("_class")).distinct()
+    # numbered over the distinct classes, not the rows
+    return both.withColumn("_rank", (F.row_number().over(Window.partitionBy(*within).orderBy("_class")) - 1).cast("double"))
 
 
-def _rank_expr(c: str, classes: Sequence) -> Column:
-    m = F.create_map(*[x for i, v in enumerate(classes) for x in (F.lit(v), F.lit(i))])
-    return F.element_at(m, F.col(c))
+def _with_ranks(conf: DataFrame, within: Sequence[str]) -> DataFrame:
+    ranks = ranked_classes(conf, within)
+    for side, name in (("real", "_i"), ("pred", "_j")):
+        own = ranks.select(*[F.col(c).alias(f"_w{i}") for i, c in enumerate(within)], F.col("_class").alias("_c"), F.col("_rank").alias(name))
+        on = F.col(side) == F.col("_c")
+        for i, c in enumerate(within):
+            on = on & F.col(c).eqNullSafe(F.col(f"_w{i}"))
+        conf = conf.join(own, on).drop("_c", *[f"_w{i}" for i in range(len(within))])
+    return conf
 
 
 def kappa_from_confusion(conf: DataFrame, weights: str = "quadratic", by: Sequence[str] = (),
-                         classes: Sequence | None = None) -> DataFrame:
-    """Cohen's kappa from a long confusion table, classes ranked in the sorted union.
+                         rank_within: Sequence[str] = ()) -> DataFrame:
+    """Cohen's kappa from a long confusion table, classes ranked in the sorted union
+    (of the whole table, or of each group of ``rank_within``).
 
     quadratic: 1 - Σ(i-j)²·O / Σ(i-j)²·E, and with row/column marginals r, c
     Σ(i-j)²·E = Σr·i² + Σc·j² - 2·(Σr·i)(Σc·j)/N, so only sums are needed.
     unweighted: 1 - (N - Σ_diag O) / (N - Σ_i r_i c_i / N).
     """
-    classes = list(classes) if classes is not None else class_list(conf)
-    t = conf.withColumn("_i", _rank_expr("real", classes).cast("double")) \
-            .withColumn("_j", _rank_expr("pred", classes).cast("double"))
+    t = _with_ranks(conf, list(rank_within))
     g = t.groupBy(*by) if by else t.groupBy()
     if weights == "quadratic":
         s = g.agg(F.sum("n").alias("_N"),
@@ -148,16 +150,16 @@ def qwk(df: DataFrame, label: str, pred: str, by: Sequence[str] = ()) -> DataFra
 
 # ------------------------------------------------------------------ AUC
 
-def auc(df: DataFrame, label: str, score: str, by_bucket: int = AUC_BUCKETS) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, by_bucket: int | None = None) -> DataFrame:
     """Exact ROC AUC with ties counted one half.
 
     AUC = Σ_s pos(s)·(neg(<s) + neg(s)/2) / (P·N) over distinct scores s.
     Rows first collapse to one row per distinct score (partial aggregation
     absorbs any hot score).  The running count neg(<s) is a two-level prefix
-    sum: distinct scores go into ``by_bucket`` quantile buckets (cut points
-    from ``approxQuantile``, a bounded list), a per-bucket total table
-    (bounded by the bucket count) gives each bucket's offset, and a window
-    partitioned by bucket adds the running sum inside it.  The value is
+    sum: distinct scores go into quantile buckets (as many as hold
+    ``AUC_ROWS`` scores each, or ``by_bucket``), a per-bucket total table
+    gives each bucket's offset, joined by bucket, and a window partitioned by
+    bucket adds the running sum inside it.  The value is
     computed eagerly (one number), so the distinct-score table is only
     persisted while it is needed.
     """
@@ -166,6 +168,7 @@ def auc(df: DataFrame, label: str, score: str, by_bucket: int = AUC_BUCKETS) ->
            .agg(F.sum((_c(label) == 1).cast("long")).alias("_pos"),
                 F.sum((_c(label) != 1).cast("long")).alias("_neg")))
     s = s.persist(StorageLevel.MEMORY_AND_DISK)     # three passes below; lost blocks are recomputed
+    by_bucket = by_bucket or max(2, -(-s.count() // AUC_ROWS))
     probs = [i / by_bucket for i in range(1, by_bucket)]
     cuts = sorted(set(s.approxQuantile("_s", probs, 1.0 / (4 * by_bucket))))
     splits = [float("-inf"), *cuts, float("inf")]
@@ -177,10 +180,10 @@ def auc(df: DataFrame, label: str, score: str, by_bucket: int = AUC_BUCKETS) ->
         run += r["_bn"]
     n_neg = run
     n_pos = sum(r["_bp"] for r in tot)
-    offm = F.create_map(*[x for b, o in off.items() for x in (F.lit(b), F.lit(o))])
+    offs = df.sparkSession.createDataFrame([(float(b), int(o)) for b, o in off.items()] or [(0.0, 0)], "_ob double, _off long")
     w = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("_neg").over(w), F.lit(0)) + F.element_at(offm, F.col("_b"))
-    contrib = s.withColumn("_c", F.col("_pos") * (below + F.col("_neg") / 2.0))
+    s2 = s.withColumn("_below", F.coalesce(F.sum("_neg").over(w), F.lit(0))).join(F.broadcast(offs), F.col("_b") == F.col("_ob"))
+    contrib = s2.withColumn("_c", F.col("_pos") * (F.col("_below") + F.col("_off") + F.col("_neg") / 2.0))
     denom = float(n_pos) * float(n_neg)
     total = contrib.agg(F.sum("_c")).first()[0]
     s.unpersist()

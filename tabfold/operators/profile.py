@@ -15,6 +15,7 @@ from pyspark.ml.param.shared import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _stack(row_df: DataFrame, names: Sequence[str], prefix: str, value: str, key: str = "column") -> DataFrame:
@@ -71,11 +72,14 @@ class DropSparseModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         return df.drop(*self.getOrDefault(self.dropCols))
 
 
-def row_digest(cols: Sequence[str]) -> Column:
-    """SHA-256 of an unambiguous encoding of the row (length-prefixed values, null marker)."""
+def row_digest(cols: Sequence[str], nested: Sequence[str] = ()) -> Column:
+    """SHA-256 of an unambiguous encoding of the row (length-prefixed values, null marker).
+
+    ``nested`` columns (arrays, structs, maps) are written as JSON, which quotes their strings.
+    """
     parts = []
     for c in cols:
-        v = F.col(c).cast("string")
+        v = F.to_json(F.col(c)) if c in nested else F.col(c).cast("string")
         parts.append(F.when(v.isNull(), F.lit("N")).otherwise(F.concat(F.lit("V"), F.length(v).cast("string"),
                                                                       F.lit(":"), v)))
     return F.sha2(F.concat(*parts), 256)
@@ -89,7 +93,8 @@ def duplicate_count(df: DataFrame, cols: Sequence[str], digest: bool = True) ->
     two different rows with equal SHA-256).  ``digest=False`` groups by the
     columns themselves.
     """
-    keys = [row_digest(cols).alias("_d")] if digest else list(cols)
+    nested = [c for c in cols if isinstance(df.schema[c].dataType, (T.ArrayType, T.StructType, T.MapType))]
+    keys = [row_digest(cols, nested).alias("_d")] if digest else list(cols)
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     return g.agg(F.sum("_c").cast("bigint").alias("n_rows"),
                  F.sum(F.col("_c") - 1).cast("bigint").alias("n_duplicates"))
@@ -98,12 +103,12 @@ def duplicate_count(df: DataFrame, cols: Sequence[str], digest: bool = True) ->
 def value_counts(df: DataFrame, col: str, with_share: bool = True) -> DataFrame:
     """(value, n[, pct]) with nulls excluded, sorted by count desc.
 
-    The share divides by the non-null row count (one extra scalar aggregate).
+    The share divides by the sum of the counts; the rows are not read again.
     """
     vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     if with_share:
-        total = df.where(F.col(col).isNotNull()).count()      # one number
-        vc = vc.withColumn("pct", F.col("n") * 100.0 / F.lit(float(total or 1)))
+        total = vc.agg(F.sum("n").cast("double"))             # one number, within the plan
+        vc = vc.withColumn("pct", F.col("n") * 100.0 / total.scalar())
     return vc.orderBy(F.col("n").desc(), col)
 
 
@@ -143,6 +148,8 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     width = (float(hi) - float(lo)) or 1.0
     b = F.least(F.floor((x - F.lit(float(lo))) / F.lit(width) * bins), F.lit(bins - 1)).cast("int")
     counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    bins_ = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))      # empty bins count 0
+    counts = bins_.join(F.broadcast(counts), "bin", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
     return counts.select("bin", (F.lit(float(lo)) + F.col("bin") * (width / bins)).alias("lo"),
                          (F.lit(float(lo)) + (F.col("bin") + 1) * (width / bins)).alias("hi"), "n")
 

@@ -6,20 +6,20 @@ explode).  Here each row's class is a step function of the candidate index
 j: it changes only where ``score * w_j`` crosses a cut, so a row emits at most
 1 + 2*len(cuts) (j, real, class, +-1) deltas.  Summing deltas per
 (j, real, class) is one aggregation with map-side combine; its result is
-bounded by lattice size x classes^2 (independent of the row count) and the
-per-candidate confusion tables follow by a running sum over j.
+bounded by lattice size x classes x predicted classes (independent of the row
+count) and the per-candidate confusion tables follow by a running sum over j,
+in Spark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabfold.functions.columns import SEVERITY_CUTS, ordinal_bin
-from tabfold.operators.metrics import MAX_CLASSES
+from tabfold.operators.metrics import kappa_from_confusion
 
 
 def lattice(lo_milli: int = 800, hi_milli: int = 1500) -> list[float]:
@@ -56,41 +56,30 @@ def class_deltas(df: DataFrame, real: str, score: str, cuts: Sequence[float] = S
                 .agg(F.sum("e.d").alias("delta")))
 
 
-def _kappa(cm: np.ndarray, present: np.ndarray, quadratic: bool) -> float:
-    idx = np.flatnonzero(present)
-    sub = cm[np.ix_(idx, idx)]
-    n = sub.sum()
-    if n == 0:
-        return float("nan")
-    rank = np.arange(len(idx), dtype=float)
-    w = (rank[:, None] - rank[None, :]) ** 2 if quadratic else (rank[:, None] != rank[None, :]).astype(float)
-    exp = np.outer(sub.sum(1), sub.sum(0)) / n
-    den = (w * exp).sum()
-    return float(1 - (w * sub).sum() / den) if den else float("nan")
+def confusion_at(deltas: DataFrame, n_j: int) -> DataFrame:
+    """(j, real, pred, n): the confusion table of every lattice point, from its changes.
+
+    Each (real, pred) cell is filled in along the lattice: a running sum per
+    cell, so the work grows with cells, not with classes squared.
+    """
+    cells = deltas.select("real", "pred").distinct().select("real", "pred", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_j - 1).cast("bigint"))).alias("j"))
+    upto = Window.partitionBy("real", "pred").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
+    filled = cells.join(deltas, ["real", "pred", "j"], "left").withColumn("n", F.sum(F.coalesce("delta", F.lit(0))).over(upto))
+    return filled.where("n > 0").select("j", "real", "pred", "n")
 
 
 def sweep(df: DataFrame, real: str, score: str, cuts: Sequence[float] = SEVERITY_CUTS,
           lo_milli: int = 800, hi_milli: int = 1500, quadratic: bool = True) -> DataFrame:
     """(j, weight, kappa) for every lattice point; classes ranked in the per-candidate union."""
     n_j = hi_milli - lo_milli + 1
-    bound = n_j * MAX_CLASSES * (len(cuts) + 1)
-    deltas = class_deltas(df, real, score, cuts, lo_milli, hi_milli).limit(bound + 1).collect()
-    if len(deltas) > bound:
-        raise ValueError(f"more than {MAX_CLASSES} real classes: not a class label")
-    labels = sorted({r["real"] for r in deltas} | set(range(len(cuts) + 1)))
-    pos = {v: i for i, v in enumerate(labels)}
-    d = np.zeros((n_j, len(labels), len(labels)))
-    for r in deltas:
-        d[r["j"], pos[r["real"]], pos[r["pred"]]] += r["delta"]
-    cm = np.cumsum(d, axis=0)
-    ws = lattice(lo_milli, hi_milli)
-    out = []
-    for j in range(n_j):
-        present = (cm[j].sum(1) > 0) | (cm[j].sum(0) > 0)
-        out.append((j, ws[j], _kappa(cm[j], present, quadratic)))
-    return df.sparkSession.createDataFrame(out, "j int, weight double, kappa double")
+    conf = confusion_at(class_deltas(df, real, score, cuts, lo_milli, hi_milli), n_j)
+    kappa = kappa_from_confusion(conf, "quadratic" if quadratic else "unweighted", by=["j"], rank_within=["j"])
+    points = df.sparkSession.range(n_j).select(F.col("id").alias("j"), _w(F.col("id"), lo_milli).alias("weight"))
+    value = F.col("qwk" if quadratic else "kappa")
+    return (points.join(kappa.withColumnRenamed("j", "_j"), F.col("j") == F.col("_j"), "left")
+            .select(F.col("j").cast("int").alias("j"), "weight", F.coalesce(value, F.lit(float("nan"))).alias("kappa")))
 
 
 def best_weight(curve: DataFrame) -> DataFrame:
     """Strict improvement, first wins: the smallest weight among the best kappas."""
-    return curve.where(F.col("kappa").isNotNull()).orderBy(F.col("kappa").desc(), "j").limit(1)
+    return curve.where(F.col("kappa").isNotNull() & ~F.isnan("kappa")).orderBy(F.col("kappa").desc(), "j").limit(1)

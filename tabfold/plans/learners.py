@@ -26,6 +26,7 @@ from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassi
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,23 @@ UNSUPPORTED = {"reg_alpha", "reg_lambda", "lambda_l1", "lambda_l2", "l2_leaf_reg
 MAX_ROUNDS = 2000
 
 
+def merge_params(*dicts: Mapping | None) -> dict:
+    """One dict under Spark names: later dicts win, whatever alias each uses.
+
+    Two aliases of one parameter within a dict are refused.
+    """
+    out: dict = {}
+    for d in dicts:
+        own: dict = {}
+        for k, v in (d or {}).items():
+            name = PARAM_MAP.get(k, k)
+            if name in own:
+                raise ValueError(f"{k!r} and another name for {name!r} are both given")
+            own[name] = v
+        out.update(own)
+    return out
+
+
 def spark_params(params: Mapping) -> dict:
     """Translate a parameter dict to Spark ML names (fails on unsupported names)."""
     out = {}
@@ -99,7 +117,7 @@ class Learner:
                   params: Mapping | None = None, rounds: int | None = None,
                   n_features: int | None = None) -> Estimator:
         cls = _KINDS[self.kind][0]
-        p = spark_params({**self.params, **(params or {})})
+        p = spark_params(merge_params(self.params, params))
         if rounds is not None and (self.boosted or self.kind == "gbt_multiclass"):
             p["maxIter"] = int(rounds)
         if cls().hasParam("seed"):
@@ -111,11 +129,26 @@ class Learner:
         return cls(featuresCol=features, labelCol=label, **p)
 
     def with_params(self, **params) -> "Learner":
-        return Learner(self.kind, {**self.params, **params}, self.seed, self.early_stopping_rounds, self.grid)
+        return Learner(self.kind, merge_params(self.params, params), self.seed, self.early_stopping_rounds, self.grid)
+
+
+class PresentAssembler(Estimator):
+    """Fits to a ``VectorAssembler`` of those features that the imputer kept
+    (it drops columns without any value in the training rows)."""
+
+    def __init__(self, features: Sequence[str], out: str = "features"):
+        super().__init__()
+        self.features, self.out = list(features), out
+
+    def _fit(self, df: DataFrame) -> VectorAssembler:
+        left = [c for c in self.features if c in df.columns]
+        if not left:
+            raise ValueError("every feature is empty in the training rows")
+        return VectorAssembler(inputCols=left, outputCol=self.out, handleInvalid="keep")
 
 
-def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
+def assembler(features: Sequence[str], out: str = "features") -> PresentAssembler:
+    return PresentAssembler(features, out)
 
 
 def build_pipeline(learner: Learner, features: Sequence[str], label: str,
@@ -163,7 +196,9 @@ def train_until_optimal(learner: Learner, train: DataFrame, val: DataFrame, feat
     if not learner.boosted:
         return fit(learner, train, features, label, params)
     prep = Pipeline(stages=[MedianImputer(inputCols=list(features)), assembler(features)]).fit(train)
-    tr, va = prep.transform(train), prep.transform(val)
+    # read by every refit; blocks that do not fit into memory go to disk, lost ones are made again
+    tr = prep.transform(train).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
+    va = prep.transform(val).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
     m = min(start, max_rounds)
     while True:
         est = learner.estimator("features", label, params, rounds=m)
@@ -175,6 +210,8 @@ def train_until_optimal(learner: Learner, train: DataFrame, val: DataFrame, feat
         m = min(2 * m, max_rounds)
     if best != m:
         model = learner.estimator("features", label, params, rounds=best).fit(tr)
+    tr.unpersist()
+    va.unpersist()
     return FitResult(PipelineModel(stages=[*prep.stages, model]), best, curve[:best])
 
 
@@ -204,7 +241,8 @@ def feature_importance(model: PipelineModel, features: Sequence[str], top: int =
     imp = tree.featureImportances.toArray()
     tot = float(imp.sum()) or 1.0
     spark = SparkSession.getActiveSession()
-    rows = [(f, float(v) * 100.0 / tot) for f, v in zip(features, imp)]
+    used = dict(zip(model.stages[-2].getInputCols(), imp))          # features without any value were dropped
+    rows = [(f, float(used.get(f, 0.0)) * 100.0 / tot) for f in features]
     return (spark.createDataFrame(rows, "feature string, importance double")
                  .orderBy(F.col("importance").desc(), F.col("feature").desc()).limit(top))
 

@@ -111,13 +111,13 @@ def order_items(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_linenumber",
         F.when(F.col("l_partkey") % 9 != 0,
                F.least(F.lit(5.0), F.floor(F.col("l_quantity") / 10))).alias("item"))
-    # (order, line) is not unique: max() makes the pivot deterministic
-    return (li.groupBy("l_orderkey").pivot("l_linenumber", ITEM_LINES).agg(F.max("item"))
+    # (order, line) is not unique: lines with the same number are added up
+    return (li.groupBy("l_orderkey").pivot("l_linenumber", ITEM_LINES).agg(F.sum("item"))
               .toDF("l_orderkey", *[f"item_{i}" for i in ITEM_LINES]))
 
 
 ITEMS_SQL = "items AS (SELECT l_orderkey, " + ", ".join(
-    f"max(CASE WHEN l_linenumber = {i} AND l_partkey % 9 <> 0 THEN least(5.0, floor(l_quantity / 10)) END)"
+    f"sum(CASE WHEN l_linenumber = {i} AND l_partkey % 9 <> 0 THEN least(5.0, floor(l_quantity / 10)) END)"
     f" AS item_{i}" for i in ITEM_LINES) + " FROM lineitem GROUP BY l_orderkey)"
 ITEM_COLS = [f"item_{i}" for i in ITEM_LINES]
 _SUM_SQL = " + ".join(f"coalesce({c}, 0)" for c in ITEM_COLS)
@@ -155,7 +155,7 @@ def q_recalc_class(spark: SparkSession, sf: str) -> DataFrame:
 WITH {ITEMS_SQL},
 direct AS (SELECT l_orderkey, sum(it) AS stored FROM (
     SELECT l_orderkey, l_linenumber,
-           max(CASE WHEN l_partkey % 9 <> 0 THEN least(5.0, floor(l_quantity / 10)) END) AS it
+           sum(CASE WHEN l_partkey % 9 <> 0 THEN least(5.0, floor(l_quantity / 10)) END) AS it
     FROM lineitem GROUP BY l_orderkey, l_linenumber) GROUP BY l_orderkey)
 SELECT CAST(count(*) AS BIGINT) AS n_orders,
        bool_and(coalesce(({_SUM_SQL}) = d.stored, false)) AS all_equal,
@@ -165,7 +165,7 @@ def q_row_sum_check(spark: SparkSession, sf: str) -> DataFrame:
     """Recomputed row total equals a stored total (NaN/null never equal)."""
     w = order_items(spark, sf)
     li = read_table(spark, sf, "lineitem")
-    per_line = li.groupBy("l_orderkey", "l_linenumber").agg(F.max(
+    per_line = li.groupBy("l_orderkey", "l_linenumber").agg(F.sum(
         F.when(F.col("l_partkey") % 9 != 0, F.least(F.lit(5.0), F.floor(F.col("l_quantity") / 10)))).alias("it"))
     stored = per_line.groupBy("l_orderkey").agg(F.sum("it").alias("stored"))
     eq = F.coalesce(C.row_sum(ITEM_COLS) == F.col("stored"), F.lit(False))

@@ -45,8 +45,7 @@ def q_qwk(spark: SparkSession, sf: str) -> DataFrame:
     """G16 grouped: quadratic weighted kappa per fold (classes ranked in the pooled union)."""
     cls = with_classes(oof_linear(spark, sf))
     conf = M.confusion(cls, "real_class", "pred_class", by=["fold"])
-    classes = M.class_list(conf)
-    q = M.kappa_from_confusion(conf, "quadratic", by=["fold"], classes=classes)
+    q = M.kappa_from_confusion(conf, "quadratic", by=["fold"])
     return q.select("fold", C.round6("qwk").alias("qwk"))
 
 

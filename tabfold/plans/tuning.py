@@ -11,7 +11,8 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,23 @@ from tabfold.plans import learners as L
 from tabfold.plans.validate import CachedFolds
 
 
+class MetricEvaluator(Evaluator):
+    """Any metric of ``operators.metrics`` (AUC exact, from the positive class's probability) for Spark's tuners."""
+
+    def __init__(self, metric: str, label: str):
+        super().__init__()
+        self.metric, self.label = M.Metric(metric), label
+
+    def isLargerBetter(self) -> bool:
+        return self.metric.maximise
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        score = "prediction"
+        if self.metric is M.Metric.AUC and "probability" in dataset.columns:
+            dataset, score = dataset.withColumn("_p", vector_to_array("probability")[1]), "_p"
+        return M.evaluate_value(dataset, self.metric, self.label, score)
+
+
 # ------------------------------------------------------------------ search spaces
 
 @dataclass(frozen=True)
@@ -89,7 +107,7 @@ def tune_grid(spark: SparkSession, cache: CachedFolds, learner: L.Learner, metri
         names = list(step)
         best, best_p = (-math.inf if m.maximise else math.inf), None
         for combo in itertools.product(*[step[n] for n in names]):
-            p = {**current, **dict(zip(names, combo))}
+            p = L.merge_params(current, dict(zip(names, combo)))
             res = cache.cross_validate(learner, metric, p, iterations=rounds, parallelism=parallelism)
             rows.append((si, trial, json.dumps(p, sort_keys=True, default=str), float(res.score)))
             trial += 1
@@ -97,7 +115,7 @@ def tune_grid(spark: SparkSession, cache: CachedFolds, learner: L.Learner, metri
                 best, best_p = res.score, p
         if best_p is not None:
             current, score = best_p, best
-    current.update(final_params or {})
+    current = L.merge_params(current, final_params)
     trials = spark.createDataFrame(rows, "step int, trial int, params string, score double")
     return TuneResult(current, score, trials)
 
@@ -113,8 +131,7 @@ def tune_grid_cv(df_folded: DataFrame, learner: L.Learner, features: Sequence[st
     for name, values in grid.items():
         b = b.addGrid(est.getParam(L.spark_params({name: values[0]}).popitem()[0]), list(values))
     m = M.Metric(metric)
-    ev = (BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC") if m is M.Metric.AUC
-          else RegressionEvaluator(labelCol=label, metricName=m.value))
+    ev = MetricEvaluator(m.value, label)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=b.build(), evaluator=ev,
                         foldCol="fold", numFolds=k, parallelism=parallelism, seed=0)
     model = cv.fit(df_folded)
@@ -132,7 +149,7 @@ def random_search(spark: SparkSession, cache: CachedFolds, learner: L.Learner, m
     """
     m = M.Metric(metric)
     rng = random.Random(seed)
-    cands = [{**learner.params, **{k: v.sample(rng) for k, v in space.items()}} for _ in range(trials)]
+    cands = [L.merge_params(learner.params, {k: v.sample(rng) for k, v in space.items()}) for _ in range(trials)]
     rows = []
     if halving and cache.k > 2 and trials > 1:
         scored = []

@@ -44,6 +44,12 @@ def assign_folds(df: DataFrame, key: str, k: int, seed: int = 0, groups: str | S
     return K.kfold(df, key, k, seed, col)
 
 
+def _needed(key, label, features, groups, stratify) -> list[str]:
+    """The columns that splitting and fitting read, each once."""
+    names = [key, label, *features, *([groups] if isinstance(groups, str) else list(groups or [])), stratify]
+    return list(dict.fromkeys(c for c in names if c))
+
+
 def _fit_fold(learner, folded, f, features, label, params, iterations, proba, key, start):
     train = folded.where(F.col("fold") != f)
     val = folded.where(F.col("fold") == f)
@@ -69,8 +75,7 @@ def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], l
     parallelism = parallelism or min(k, 8)
     m = M.check_compatible(metric, learner.objective)
     if folded is None:
-        folded = cut_lineage(assign_folds(df.select(key, label, *features, *(
-            [groups] if isinstance(groups, str) else list(groups or []))), key, k, seed, groups, stratify))
+        folded = cut_lineage(assign_folds(df.select(*_needed(key, label, features, groups, stratify)), key, k, seed, groups, stratify))
     proba = m is M.Metric.AUC
     run = list(folds) if folds is not None else list(range(k))     # a fold subset scores fewer folds
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
@@ -79,6 +84,7 @@ def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], l
     oof = outs[0][2]
     for _, _, p in outs[1:]:
         oof = oof.unionByName(p)
+    oof = cut_lineage(oof)          # scored once, then read by the metric and by every user of the result
     per = M.evaluate(oof, m, label, "prediction", by=["fold"])
     rounds = {f: r.rounds for f, r, _ in outs}
     spark = oof.sparkSession
@@ -116,7 +122,7 @@ class CachedFolds:
 
     def __init__(self, df: DataFrame, key: str, label: str, features: Sequence[str], k: int = 5,
                  seed: int = 0, groups=None, stratify=None):
-        cols = [key, label, *features, *([groups] if isinstance(groups, str) else list(groups or []))]
+        cols = _needed(key, label, features, groups, stratify)
         self.k, self.key, self.label, self.features, self.cols = k, key, label, list(features), cols
         self.print = K.fingerprint(df, cols)
         self.folded = cut_lineage(assign_folds(df.select(*cols), key, k, seed, groups, stratify))

@@ -40,10 +40,22 @@ def _retype(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with header; NA tokens -> null, NaN -> null.  With no schema, types are inferred."""
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True,
+             corrupt: str | None = None) -> DataFrame:
+    """CSV with header; NA tokens -> null, NaN -> null.  With no schema, types are inferred
+    by one more pass over the text columns.
+
+    Quotes within a quoted field are doubled.  ``multi_line`` lets quoted
+    fields hold line breaks; a file is then read by one task, so pass False
+    for large files without them.  With a schema, ``corrupt`` names a column
+    that keeps the text of rows which do not fit it (others have null there).
+    """
+    r = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
+         .option("multiLine", multi_line))
     if schema is not None:
+        if corrupt:
+            schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType(), True)])
+            r = r.option("columnNameOfCorruptRecord", corrupt)
         df = r.schema(schema).csv(path)
     else:
         df = _retype(_na_to_null(r.option("inferSchema", False).csv(path)))
@@ -51,13 +63,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def load_labelled(spark: SparkSession, path: str, target: str, key: str | None = None,
-                  drop_before_rename: bool = False, schema: T.StructType | None = None) -> DataFrame:
+                  drop_before_rename: bool = False, schema: T.StructType | None = None,
+                  multi_line: bool = True) -> DataFrame:
     """Load, clean names, drop rows whose target is null.
 
     The target is looked up after cleaning (``drop_before_rename=False``) or by
     its raw name before cleaning (``True``).  The key column, if given, stays.
     """
-    df = read_csv(spark, path, schema)
+    df = read_csv(spark, path, schema, multi_line)
     if drop_before_rename:
         df = df.dropna(subset=[target])
         df = sanitize_columns(df)
@@ -79,4 +92,4 @@ def write_csv(df: DataFrame, path: str, cols: Sequence[str] | None = None, singl
     out = df.select(*cols) if cols else df
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)

@@ -83,3 +83,23 @@ def split_rejects(df: DataFrame, model: dict, required: Sequence[str] | None = N
     """(accepted, rejects) frames from one enforced projection."""
     flagged = enforce(df, model, required, flag="_ok")
     return flagged.where("_ok").drop("_ok"), flagged.where("NOT _ok").drop("_ok")
+
+
+def with_reasons(df: DataFrame, model: dict, required: Sequence[str] | None = None, reason: str = "reason") -> DataFrame:
+    """Every row of ``df`` as the model's columns, with why it cannot be used (null: it can).
+
+    ``missing:c`` for a required column without a value, ``uncastable:c`` for a
+    value of any column that its type cannot hold; several are joined by ``;``.
+    """
+    fields = model["fields"] if "fields" in model else model
+    req = set(required if required is not None else fields)
+    cols, why = [], []
+    for c, t in fields.items():
+        src = F.col(c) if c in df.columns else F.lit(None).cast("string")
+        cast = src.try_cast(_SPARK_TYPE[t])
+        cols.append(cast.alias(c))
+        bad = src.isNotNull() & cast.isNull()
+        tell = F.when(bad, F.lit(f"uncastable:{c}"))
+        why.append(tell.when(src.isNull(), F.lit(f"missing:{c}")) if c in req else tell)
+    told = F.concat_ws(";", *why) if why else F.lit("")
+    return df.select(*cols, F.when(told != "", told).alias(reason))
