@@ -1,15 +1,14 @@
 """Permutation importance: metric loss when one feature's values are shuffled.
 
-A feature is permuted inside hash buckets: each row gets a bucket from its
-key and two pseudo-random orders (seeded hashes); within a bucket the i-th
-row by the first order takes the value of the i-th row by the second order.
-Two windows partitioned by bucket and one equi-join on (bucket, position):
-no global sort, no collect, balanced by construction.
+Rows go to hash buckets once.  For each repeat a bucket's rows are put into a
+pseudo-random order (a seeded hash of the key) and every row sees the features
+of the one after it, the last those of the first: one random cycle a bucket.
+All features and repeats are variants of a row in the same pass: one shuffle,
+one transform, one aggregation, whatever their number.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -18,33 +17,43 @@ from pyspark.sql import functions as F
 
 from tabfold.operators import metrics as M
 
-ROWS_PER_BUCKET = 1_000_000      # rows one permutation slice holds, at most on average
+ROWS_PER_BUCKET = 200_000        # rows of a bucket, about: their number grows with the data
+MIN_BUCKETS = 32
 
 
-def permute_column(df: DataFrame, key: str, col: str, seed: int, buckets: int = 256) -> DataFrame:
+def with_permuted(df: DataFrame, key: str, features: Sequence[str], repeats: int, seed: int = 0,
+                  buckets: int | None = None) -> DataFrame:
+    """``df`` with ``_p0`` ... : for each repeat, the features of another row of the bucket."""
     kc = F.col(key).cast("string")
-    b = F.pmod(F.xxhash64(F.lit(seed), F.lit("b"), kc), F.lit(buckets))
-    d = df.withColumn("_bk", b)
-    rows = d.withColumn("_pos", F.row_number().over(
-        Window.partitionBy("_bk").orderBy(F.xxhash64(F.lit(seed), F.lit("r"), kc), key)))
-    vals = d.select("_bk", F.col(col).alias("_v"), F.row_number().over(
-        Window.partitionBy("_bk").orderBy(F.xxhash64(F.lit(seed), F.lit("v"), kc), key)).alias("_pos"))
-    return (rows.drop(col).join(vals, ["_bk", "_pos"]).withColumnRenamed("_v", col)
-                .drop("_bk", "_pos"))
+    buckets = buckets or max(MIN_BUCKETS, -(-df.count() // ROWS_PER_BUCKET))
+    out = df.withColumn("_x", F.struct(*features)).withColumn("_bk", F.pmod(F.xxhash64(F.lit(seed), F.lit("b"), kc), F.lit(buckets)))
+    for r in range(repeats):
+        w = Window.partitionBy("_bk").orderBy(F.xxhash64(F.lit(seed), F.lit(f"r{r}"), kc), key)
+        out = out.withColumn(f"_p{r}", F.coalesce(F.lead("_x").over(w), F.first("_x").over(w)))
+    return out.drop("_bk", "_x")
+
+
+def permute_column(df: DataFrame, key: str, col: str, seed: int, buckets: int | None = None) -> DataFrame:
+    """``df`` with the values of one column permuted within buckets."""
+    return with_permuted(df, key, [col], 1, seed, buckets).withColumn(col, F.col("_p0").getField(col)).drop("_p0")
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, key: str, features: Sequence[str],
                            label: str, metric: str = "rmse", repeats: int = 10, seed: int = 0) -> DataFrame:
     """(feature, repeat, baseline, permuted, delta); delta > 0 means the feature helps."""
     m = M.Metric(metric)
-    buckets = max(256, -(-df.count() // ROWS_PER_BUCKET))   # slice count grows with the data
-    base = M.evaluate_value(model.transform(df), m, label, "prediction")
-    rows = []
-    for f in features:
-        for r in range(repeats):
-            perm = permute_column(df, key, f, seed + 1000 * r + zlib.crc32(f.encode()) % 997, buckets)
-            s = M.evaluate_value(model.transform(perm), m, label, "prediction")
-            delta = (base - s) if m.maximise else (s - base)
-            rows.append((f, r, base, s, delta))
+    features = list(features)
+    rows = with_permuted(df.select(*dict.fromkeys([key, label, *features])), key, features, repeats, seed)
+    own = {f: F.col(f) for f in features}
+    variants = [F.struct(F.lit("").alias("feature"), F.lit(-1).alias("repeat"), F.struct(*[own[f].alias(f) for f in features]).alias("x"))]
+    for r in range(repeats):
+        for f in features:
+            mixed = {**own, f: F.col(f"_p{r}").getField(f)}
+            variants.append(F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"), F.struct(*[mixed[g].alias(g) for g in features]).alias("x")))
+    each = rows.select(label, F.explode(F.array(*variants)).alias("_v")).select(label, "_v.feature", "_v.repeat", "_v.x.*")
+    scores = {(r["feature"], r["repeat"]): float(r[m.value]) for r in
+              M.evaluate(model.transform(each), m, label, "prediction", by=["feature", "repeat"]).collect()}
+    base = scores.get(("", -1), float("nan"))
+    out = [(f, r, base, s, (base - s) if m.maximise else (s - base)) for (f, r), s in sorted(scores.items()) if r >= 0]
     return df.sparkSession.createDataFrame(
-        rows, "feature string, repeat int, baseline double, permuted double, delta double")
+        out, "feature string, repeat int, baseline double, permuted double, delta double")

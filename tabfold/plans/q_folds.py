@@ -96,3 +96,14 @@ def q_strat_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     """K4 on the whole lineitem table with its unique four-column key (two large classes)."""
     li = read_table(spark, sf, "lineitem").select(*_LI_KEY, "l_linestatus")
     return K.stratified_kfold(li, _LI_KEY, "l_linestatus", KF)
+
+
+@query("q_group_null", sql=f"""
+WITH e AS (SELECT event_id, CASE WHEN user_id % 2 = 0 THEN user_id END AS g FROM events),
+k AS (SELECT g, CAST(CAST('0x' || substr(md5('0:' || coalesce(CAST(g AS VARCHAR), chr(0) || 'null')), 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold FROM e)
+SELECT fold, count(*) AS n, count(DISTINCT g) AS n_groups, count(*) FILTER (WHERE g IS NULL) AS n_null FROM k GROUP BY fold""")
+def q_group_null(spark: SparkSession, sf: str) -> DataFrame:
+    """K3: rows without a group are a group of their own and keep their place in a fold."""
+    e = read_table(spark, sf, "events").select("event_id", F.when(F.col("user_id") % 2 == 0, F.col("user_id")).alias("g"))
+    return K.group_kfold(e, "g", 5).groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("g").alias("n_groups"),
+                                                        F.count_if(F.col("g").isNull()).alias("n_null"))

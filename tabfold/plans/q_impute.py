@@ -27,6 +27,17 @@ def q_median(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("column", C.round6("value").alias("value"))
 
 
+_TIE_COLS = {"quantity": "l_quantity", "coin": "CAST(l_linenumber % 2 AS DOUBLE)", "half": "CASE WHEN l_orderkey % 2 = 0 THEN 3.0 ELSE 8.0 END"}
+
+
+@query("q_median_ties", sql=" UNION ALL ".join(
+    f"SELECT '{n}' AS \"column\", {r6(f'median(CAST({e} AS DOUBLE))')} AS value FROM lineitem" for n, e in _TIE_COLS.items()))
+def q_median_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns of few values, searched down to single values (no interval may hold more than 5)."""
+    li = read_table(spark, sf, "lineitem").select(*[F.expr(e).cast("double").alias(n) for n, e in _TIE_COLS.items()])
+    return exact_medians(li, list(_TIE_COLS), max_band=5, small=0).select("column", C.round6("value").alias("value"))
+
+
 def _part_injected(spark, sf):
     p = read_table(spark, sf, "part")
     return p.select("p_partkey",
