@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabfold.operators import metrics as M
+from tabfold.plans import learners as L
 from tabfold.plans import linear
 
 MIN_WEIGHT = 1e-14
@@ -23,23 +24,26 @@ MIN_WEIGHT = 1e-14
 
 def widen_oof(members: Mapping[str, DataFrame], key: str = "id", pred: str = "prediction",
               label: str | None = None, label_df: DataFrame | None = None) -> DataFrame:
-    """(key, <member>...) from per-member (key, prediction) frames: one union, one pivot shuffle.
+    """(key, <member>...) from per-member (key, prediction) frames: one union, one shuffle.
 
     The first member fixes the row set (left semantics); the label, if given,
-    is attached by key (never by position).
+    is attached by key (never by position) within the same grouping.
     """
     names = list(members)
-    parts = [df.select(key, F.lit(n).alias("_member"), F.col(pred).cast("double").alias("_p"))
+    none = F.lit(None)
+    parts = [df.select(key, F.lit(n).alias("_member"), F.col(pred).cast("double").alias("_p"), F.lit(n == names[0]).alias("_first"))
              for n, df in members.items()]
+    with_label = label is not None and label_df is not None
+    if with_label:
+        kind = label_df.schema[label].dataType
+        parts = [p.withColumn("_y", none.cast(kind)) for p in parts]
+        parts.append(label_df.select(key, F.lit("").alias("_member"), none.cast("double").alias("_p"), F.lit(False).alias("_first"), F.col(label).alias("_y")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    wide = u.groupBy(key).pivot("_member", names).agg(F.first("_p"))
-    first = members[names[0]].select(key)
-    wide = first.join(wide, key, "left")
-    if label is not None and label_df is not None:
-        wide = wide.join(label_df.select(key, label), key, "left")
-    return wide
+    own = [F.max(F.when((F.col("_member") == n) & (F.col("_first") | (n != names[0])), F.col("_p"))).alias(n) for n in names]
+    wide = u.groupBy(key).agg(F.bool_or("_first").alias("_keep"), *own, *([F.max("_y").alias(label)] if with_label else []))
+    return wide.where("_keep").drop("_keep")
 
 
 def leaderboard(scores: DataFrame, metric: str) -> DataFrame:
@@ -71,28 +75,78 @@ def error_gram(df: DataFrame, cols: Sequence[str], label: str) -> dict:
 
 
 def simplex_least_squares(G: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """argmin_v v'Gv - 2b'v on the probability simplex, exact by active sets (k small)."""
+    """argmin_v v'Gv - 2b'v on the probability simplex, exact by an active set of members."""
     k = len(b)
-    best, best_val = None, np.inf
-    for size in range(1, k + 1):
-        for S in itertools.combinations(range(k), size):
-            S = list(S)
-            A = np.zeros((size + 1, size + 1))
-            A[:size, :size] = 2 * G[np.ix_(S, S)]
-            A[:size, size] = 1
-            A[size, :size] = 1
-            rhs = np.concatenate([2 * b[S], [1.0]])
-            try:
-                sol = np.linalg.solve(A, rhs)
-            except np.linalg.LinAlgError:
-                sol = np.linalg.lstsq(A, rhs, rcond=None)[0]
-            v = np.zeros(k)
-            v[S] = sol[:size]
-            if (v >= -1e-12).all():
-                val = v @ G @ v - 2 * b @ v
-                if val < best_val - 1e-12:
-                    best, best_val = np.clip(v, 0, None), val
-    return best / best.sum()
+    start = int(np.argmin(np.diag(G) - 2 * b))
+    v, own = np.zeros(k), [start]
+    v[start] = 1.0
+    tol = 1e-10 * max(1.0, float(np.abs(G).max()))
+    for _ in range(50 * k):
+        while True:
+            n = len(own)
+            A = np.zeros((n + 1, n + 1))
+            A[:n, :n] = 2 * G[np.ix_(own, own)]
+            A[:n, n] = A[n, :n] = 1
+            z = np.zeros(k)
+            z[own] = np.linalg.lstsq(A, np.concatenate([2 * b[own], [1.0]]), rcond=None)[0][:n]
+            if (z[own] >= -1e-12).all():
+                v = np.clip(z, 0, None)
+                break
+            # go towards z until the first member's weight is gone, and leave that member out
+            share = [v[i] / (v[i] - z[i]) if z[i] < 0 else np.inf for i in own]
+            v = v + min(share) * (z - v)
+            own.pop(int(np.argmin(share)))
+        grad = 2 * (G @ v - b)
+        out = [i for i in range(k) if i not in own]
+        if not out or min(grad[i] for i in out) >= max(grad[i] for i in own) - tol:
+            break
+        own.append(min(out, key=lambda i: grad[i]))
+    return v / v.sum()
+
+
+def simplex_lattice(members: int, steps: int) -> list[tuple[float, ...]]:
+    """All weights that are multiples of 1/steps and add up to one, in lexicographic order."""
+    bars = itertools.combinations(range(steps + members - 1), members - 1)
+    cuts = ([-1, *b, steps + members - 1] for b in bars)
+    return [tuple((c[i + 1] - c[i] - 1) / steps for i in range(members)) for c in cuts]
+
+
+def blend_lattice(oof_wide: DataFrame, members: Sequence[str], label: str, metric: str, steps: int = 10) -> DataFrame:
+    """(point, weights, <metric>) of every lattice point, for any metric and number of members.
+
+    Rows are blended at all points at once and scored in one grouped
+    aggregation; the lattice is part of the plan, its size set by ``steps``.
+    """
+    m = M.Metric(metric)
+    lattice = simplex_lattice(len(members), steps)
+    points = F.array(*[F.struct(F.lit(i).alias("point"), F.array(*[F.lit(w) for w in ws]).alias("weights")) for i, ws in enumerate(lattice)])
+    blended = (oof_wide.select(label, *members, F.explode(points).alias("_t"))
+               .withColumn("_blend", sum((F.col(c) * F.get("_t.weights", F.lit(i)) for i, c in enumerate(members)), F.lit(0.0)))
+               .select(label, "_blend", "_t.point"))
+    named = oof_wide.sparkSession.createDataFrame([(i, list(ws)) for i, ws in enumerate(lattice)], "point int, weights array<double>")
+    return named.join(M.evaluate(blended, m, label, "_blend", by=["point"]), "point")
+
+
+def fit_weighted_metric(oof_wide: DataFrame, members: Sequence[str], label: str, metric: str, steps: int = 10) -> WeightedEnsemble:
+    """Weights best for ``metric``: exact for squared error, else the best lattice point (first wins)."""
+    m = M.Metric(metric)
+    if m in (M.Metric.RMSE, M.Metric.MSE):
+        return fit_weighted(oof_wide, members, label)
+    order = F.col(m.value).desc() if m.maximise else F.col(m.value).asc()
+    best = blend_lattice(oof_wide, members, label, metric, steps).where(F.col(m.value).isNotNull()).orderBy(order, "point").first()
+    w = np.maximum(np.array(best["weights"]), MIN_WEIGHT)
+    return WeightedEnsemble(list(members), w / w.max())
+
+
+def ensemble_score(oof_wide: DataFrame, ens: WeightedEnsemble, label: str, metric: str) -> DataFrame:
+    """(member_mean, ensemble): mean of the members' scores, and the score of the blend itself."""
+    m = M.Metric(metric)
+    both = oof_wide.withColumn("_blend", ens.predict_col())
+    names = [*ens.members, "_blend"]
+    long = both.select(label, F.explode(F.array(*[F.struct(F.lit(n).alias("_who"), F.col(n).cast("double").alias("_p")) for n in names])).alias("_s"))
+    scored = M.evaluate(long.select(label, "_s._who", "_s._p"), m, label, "_p", by=["_who"])
+    return scored.agg(F.avg(F.when(F.col("_who") != "_blend", F.col(m.value))).alias("member_mean"),
+                      F.max(F.when(F.col("_who") == "_blend", F.col(m.value))).alias("ensemble"))
 
 
 @dataclass
@@ -163,3 +217,72 @@ def memoised_leaderboard(spark, path: str, compute):
         lb.write.mode("overwrite").parquet(f"{path}/leaderboard")
         oof.write.mode("overwrite").parquet(f"{path}/oof")
     return spark.read.parquet(f"{path}/leaderboard"), spark.read.parquet(f"{path}/oof")
+
+
+def leaderboard_job(df: DataFrame, learners: Mapping[str, L.Learner], features: Sequence[str], label: str, key: str,
+                    metric: str = "rmse", k: int = 5, grids: Mapping[str, Sequence[Mapping]] | None = None,
+                    groups=None, stratify=None) -> tuple[DataFrame, DataFrame, dict]:
+    """Tune (if a grid is given) and validate every member on the same folds.
+
+    Returns the leaderboard (member, <metric>, rounds) in the metric's order,
+    the wide out-of-fold frame (key, <member>..., label), and each member's
+    parameters.
+    """
+    from tabfold.plans import tuning
+    from tabfold.plans.validate import CachedFolds
+    spark = df.sparkSession
+    cache = CachedFolds(df, key, label, features, k, groups=groups, stratify=stratify)
+    rows, oofs, chosen = [], {}, {}
+    for name, learner in learners.items():
+        chosen[name] = dict(learner.params)
+        if grids and name in grids:
+            chosen[name] = tuning.tune_grid(spark, cache, learner, metric, grids[name]).params
+        cv = cache.cross_validate(learner, metric, chosen[name])
+        rows.append((name, float(cv.score), int(cv.rounds)))
+        oofs[name] = cv.oof.select(key, "prediction")
+    scores = spark.createDataFrame(rows, f"member string, {M.Metric(metric).value} double, rounds int")
+    wide = widen_oof(oofs, key=key, label=label, label_df=cache.folded.select(key, label))
+    return leaderboard(scores, metric), wide, chosen
+
+
+def train_ensemble_job(df: DataFrame, learners: Mapping[str, L.Learner], features: Sequence[str], label: str, key: str,
+                       model_dir: str, metric: str = "rmse", k: int = 5, kind: str = "weighted", steps: int = 10,
+                       grids: Mapping[str, Sequence[Mapping]] | None = None, groups=None, stratify=None) -> dict:
+    """Leaderboard, weights (or a ridge stack) on its out-of-fold frame, members refitted on all
+    rows with the leaderboard's rounds, everything saved below ``model_dir``."""
+    from tabfold.plans.scoring import save_meta
+    from tabfold.session import cut_lineage
+    spark = df.sparkSession
+    board, wide, chosen = leaderboard_job(df, learners, features, label, key, metric, k, grids, groups, stratify)
+    wide = cut_lineage(wide)
+    rounds = {r["member"]: r["rounds"] for r in board.collect()}
+    names = list(learners)
+    meta = {"key": key, "members": names, "kind": kind, "features": list(features)}
+    if kind == "stacked":
+        fit = fit_stacked(wide, names, label)
+        meta["coefficients"] = {r["term"]: r["value"] for r in linear.coefficients(fit).collect()}
+    else:
+        ens = fit_weighted_metric(wide, names, label, metric, steps)
+        meta["weights"] = [float(w) for w in ens.weights]
+        score = ensemble_score(wide, ens, label, metric).first()
+        meta["member_mean"], meta["ensemble"] = score["member_mean"], score["ensemble"]
+    for name, learner in learners.items():
+        final = L.fit(learner, df, features, label, chosen[name], max(rounds[name], 1) if learner.boosted else None)
+        final.model.write().overwrite().save(f"{model_dir}/members/{name}")
+    save_meta(spark, f"{model_dir}/meta", meta)
+    return meta
+
+
+def score_ensemble(spark, model_dir: str, df: DataFrame) -> DataFrame:
+    """(key, <member>..., prediction) of a saved ensemble."""
+    from pyspark.ml import PipelineModel
+    from tabfold.plans.scoring import load_meta
+    meta = load_meta(spark, f"{model_dir}/meta")
+    names = meta["members"]
+    scored = member_predictions(df, {n: PipelineModel.load(f"{model_dir}/members/{n}") for n in names}, meta["key"])
+    if meta["kind"] == "stacked":
+        c = meta["coefficients"]
+        blend = sum((F.col(n) * F.lit(float(c[n])) for n in names), F.lit(float(c["intercept"])))
+    else:
+        blend = WeightedEnsemble(names, np.array(meta["weights"])).predict_col()
+    return scored.withColumn("prediction", blend)

@@ -153,9 +153,9 @@ def assembler(features: Sequence[str], out: str = "features") -> PresentAssemble
 
 def build_pipeline(learner: Learner, features: Sequence[str], label: str,
                    params: Mapping | None = None, rounds: int | None = None,
-                   impute: bool = True) -> Pipeline:
-    """imputer -> assembler -> learner (fitted together on training rows only)."""
-    stages = [MedianImputer(inputCols=list(features))] if impute else []
+                   impute: bool = True, imputer=None) -> Pipeline:
+    """imputer -> assembler -> learner (fitted together on training rows only; ``imputer``: one that is fitted already)."""
+    stages = [imputer or MedianImputer(inputCols=list(features))] if impute else []
     stages += [assembler(features), learner.estimator("features", label, params, rounds, len(features))]
     return Pipeline(stages=stages)
 
@@ -191,11 +191,11 @@ class FitResult:
 
 def train_until_optimal(learner: Learner, train: DataFrame, val: DataFrame, features: Sequence[str],
                         label: str, params: Mapping | None = None, start: int = 20,
-                        max_rounds: int = MAX_ROUNDS) -> FitResult:
+                        max_rounds: int = MAX_ROUNDS, imputer=None) -> FitResult:
     """Fit with patience-based early stopping on ``val``; boosted learners only."""
     if not learner.boosted:
-        return fit(learner, train, features, label, params)
-    prep = Pipeline(stages=[MedianImputer(inputCols=list(features)), assembler(features)]).fit(train)
+        return fit(learner, train, features, label, params, imputer=imputer)
+    prep = Pipeline(stages=[imputer or MedianImputer(inputCols=list(features)), assembler(features)]).fit(train)
     # read by every refit; blocks that do not fit into memory go to disk, lost ones are made again
     tr = prep.transform(train).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
     va = prep.transform(val).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
@@ -216,9 +216,9 @@ def train_until_optimal(learner: Learner, train: DataFrame, val: DataFrame, feat
 
 
 def fit(learner: Learner, train: DataFrame, features: Sequence[str], label: str,
-        params: Mapping | None = None, rounds: int | None = None) -> FitResult:
+        params: Mapping | None = None, rounds: int | None = None, imputer=None) -> FitResult:
     """Fixed-round (or non-boosted) fit of the whole pipeline."""
-    pm = build_pipeline(learner, features, label, params, rounds).fit(train)
+    pm = build_pipeline(learner, features, label, params, rounds, imputer=imputer).fit(train)
     return FitResult(pm, rounds if learner.boosted else None, [])
 
 

@@ -222,3 +222,25 @@ def q_stack_coef_order(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(r["term"], float(r["value"]), i + 1) for i, r in enumerate(rows)],
                                  "term string, value double, position int") \
         .select("term", C.round6("value").alias("value"), "position")
+
+
+@query("q_blend_mae", sql=f"""
+WITH {TWO_SQL}
+SELECT CAST(t AS INTEGER) AS point, {r6('avg(abs((t / 20.0) * ls_qty + ((20 - t) / 20.0) * ls_lines - y))', 4)} AS mae
+FROM w, range(21) r(t) GROUP BY t""")
+def q_blend_mae(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean absolute error of every lattice blend of two members, in one aggregation."""
+    b = E.blend_lattice(oof_wide(spark, sf), ["ls_qty", "ls_lines"], "y", "mae", steps=20)
+    return b.select("point", C.round6("mae", 4).alias("mae"))
+
+
+@query("q_ensemble_score", sql=f"""
+WITH {TWO_SQL}, s AS (
+  SELECT avg(abs(ls_qty - y)) AS a, avg(abs(ls_lines - y)) AS b, avg(abs(0.75 * ls_qty + 0.25 * ls_lines - y)) AS e FROM w)
+SELECT {r6('(a + b) / 2', 4)} AS member_mean, {r6('e', 4)} AS ensemble FROM s""")
+def q_ensemble_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean of the members' scores and the blend's own score (weights 3 : 1)."""
+    import numpy as np
+    ens = E.WeightedEnsemble(["ls_qty", "ls_lines"], np.array([1.0, 1.0 / 3.0]))
+    s = E.ensemble_score(oof_wide(spark, sf), ens, "y", "mae")
+    return s.select(C.round6("member_mean", 4).alias("member_mean"), C.round6("ensemble", 4).alias("ensemble"))

@@ -9,6 +9,7 @@ the per-fold scored validation rows, keyed by the row key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 
 from tabfold.operators import folds as K
 from tabfold.operators import metrics as M
+from tabfold.operators.impute import MedianImputerModel, fold_medians
 from tabfold.plans import learners as L
-from tabfold.session import cut_lineage
+from tabfold.session import cut_lineage, scratch_path
 
 
 @dataclass
@@ -44,19 +46,36 @@ def assign_folds(df: DataFrame, key: str, k: int, seed: int = 0, groups: str | S
     return K.kfold(df, key, k, seed, col)
 
 
+def write_folds(folded: DataFrame) -> DataFrame:
+    """Folds as Parquet in the shared folder, a directory a fold: reading all but one fold skips its files."""
+    spark = folded.sparkSession
+    path = scratch_path(spark, f"folds-{uuid.uuid4().hex}")
+    folded.write.partitionBy("fold").parquet(path)
+    return spark.read.schema(folded.schema).parquet(path)
+
+
 def _needed(key, label, features, groups, stratify) -> list[str]:
     """The columns that splitting and fitting read, each once."""
     names = [key, label, *features, *([groups] if isinstance(groups, str) else list(groups or [])), stratify]
     return list(dict.fromkeys(c for c in names if c))
 
 
-def _fit_fold(learner, folded, f, features, label, params, iterations, proba, key, start):
+def fold_imputers(folded: DataFrame, features: Sequence[str], k: int) -> dict[int, MedianImputerModel]:
+    """For each fold, the imputer of the rows outside it; all from one set of passes."""
+    medians: dict[int, dict[str, float]] = {f: {} for f in range(k)}
+    for r in fold_medians(folded, features, k).collect():
+        medians[r["train_fold"]][r["column"]] = r["value"]
+    return {f: MedianImputerModel(columns=list(features), medians=[float(m.get(c, float("nan"))) for c in features])
+            for f, m in medians.items()}
+
+
+def _fit_fold(learner, folded, f, features, label, params, iterations, proba, key, start, imputer):
     train = folded.where(F.col("fold") != f)
     val = folded.where(F.col("fold") == f)
     if iterations is None and learner.boosted:
-        res = L.train_until_optimal(learner, train, val, features, label, params, start=start)
+        res = L.train_until_optimal(learner, train, val, features, label, params, start=start, imputer=imputer)
     else:
-        res = L.fit(learner, train, features, label, params, iterations)
+        res = L.fit(learner, train, features, label, params, iterations, imputer=imputer)
     pred = L.predict(res.model, val.select(key, "fold", label, *features), "prediction", proba)
     return f, res, pred.select(key, "fold", label, "prediction")
 
@@ -65,9 +84,11 @@ def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], l
                    metric: str = "rmse", k: int = 5, seed: int = 0, groups=None, stratify=None,
                    params: Mapping | None = None, iterations: int | None = None, parallelism: int | None = None,
                    folded: DataFrame | None = None, start_rounds: int = 20,
-                   folds: Sequence[int] | None = None) -> CVResult:
+                   folds: Sequence[int] | None = None, imputers: Mapping | None = None) -> CVResult:
     """Per fold: fit the pipeline on the other folds, score the fold; OOF = union.
 
+    ``imputers``: ready-made ones by fold (``fold_imputers``), else made here.
+
     The k fits are independent Spark jobs submitted concurrently (default
     min(k, 8) driver threads), so small per-iteration stages of one fit
     overlap with those of the others.
@@ -75,12 +96,13 @@ def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], l
     parallelism = parallelism or min(k, 8)
     m = M.check_compatible(metric, learner.objective)
     if folded is None:
-        folded = cut_lineage(assign_folds(df.select(*_needed(key, label, features, groups, stratify)), key, k, seed, groups, stratify))
+        folded = write_folds(assign_folds(df.select(*_needed(key, label, features, groups, stratify)), key, k, seed, groups, stratify))
     proba = m is M.Metric.AUC
+    imputers = imputers or fold_imputers(folded, features, k)
     run = list(folds) if folds is not None else list(range(k))     # a fold subset scores fewer folds
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         outs = list(ex.map(lambda f: _fit_fold(learner, folded, f, features, label, params, iterations,
-                                               proba, key, start_rounds), run))
+                                               proba, key, start_rounds, imputers[f]), run))
     oof = outs[0][2]
     for _, _, p in outs[1:]:
         oof = oof.unionByName(p)
@@ -125,7 +147,8 @@ class CachedFolds:
         cols = _needed(key, label, features, groups, stratify)
         self.k, self.key, self.label, self.features, self.cols = k, key, label, list(features), cols
         self.print = K.fingerprint(df, cols)
-        self.folded = cut_lineage(assign_folds(df.select(*cols), key, k, seed, groups, stratify))
+        self.folded = write_folds(assign_folds(df.select(*cols), key, k, seed, groups, stratify))
+        self.imputers = fold_imputers(self.folded, self.features, k)        # the same for every trial
 
     def check(self, df: DataFrame) -> None:
         """Refuse an input whose rows differ from the cached one (order-free)."""
@@ -139,4 +162,4 @@ class CachedFolds:
             self.check(df)
         return cross_validate(None, learner, self.features, self.label, self.key, metric, self.k,
                               params=params, iterations=iterations, parallelism=parallelism,
-                              folded=self.folded, folds=folds)
+                              folded=self.folded, folds=folds, imputers=self.imputers)
