@@ -23,6 +23,7 @@ import io
 import uuid
 from base64 import b32encode
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -147,9 +148,13 @@ def responses_of(records: DataFrame) -> DataFrame:
 
 
 def deduplicated_archives(pages: DataFrame, path: str | None = None, min_bytes: int = 0,
-                          date: str = "2024-01-01T00:00:00Z") -> DataFrame:
-    """Resolve revisits, write the archives (a new folder of the shared one by default), read them back."""
+                          date: str | None = None) -> DataFrame:
+    """Resolve revisits, write the archives (a new folder of the shared one by default), read them back.
+
+    ``date``: the records' WARC-Date, by default that of the call.
+    """
     spark = pages.sparkSession
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     path = path or scratch_path(spark, f"warc-{uuid.uuid4().hex}")
     write_archives(as_records(resolve_revisits(payload_rows(pages), min_bytes), date), path)
     return responses_of(read_archives(spark, path)).select(
