@@ -1,30 +1,35 @@
 """Synthetic rows by Gaussian copula.
 
-fit (two aggregations): per numeric column Q+1 quantile knots
-(``percentile_approx``); each value's normal score from its knot bucket
-(``Bucketizer`` multi-column, JVM side) and the p x p correlation of the
-normal scores in one aggregation.  The driver keeps p*(Q+1) knots and a
-p x p Cholesky factor.
-
-sample: ``spark.range(n)`` with seeded ``randn`` columns, correlated by the
-Cholesky factor, mapped to uniforms (normal CDF as column arithmetic) and
-back to values by interpolating the knots.  Work is spread over
-``spark.range``'s partitions; no UDF.
+fit: per numeric-like column (numbers, dates, timestamps, booleans) Q+1
+quantile knots (``percentile_approx``) and the true share of rows between
+distinct knots; per string column the categories in order of frequency with
+their intervals on [0, 1], as a table of any size.  A value's normal score is
+that of the middle of its share, so ties and point masses count as what they
+are.  One aggregation gives the p x p correlation of the scores.
+
+sample: ``spark.range(n)`` with normal noise made from a hash of (seed, column,
+row id): the same rows under any partitioning.  Noise is correlated by the
+Cholesky factor, mapped to uniforms and back to values: by the knots, or by a
+join of the category intervals.  Nulls come with their share; types are kept.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from statistics import NormalDist
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tabfold.session import scratch_path
+
 KNOTS = 100
+CELLS = 1024          # slices of [0, 1] by which uniforms meet category intervals
 
 
 def normal_cdf(z: Column) -> Column:
@@ -37,97 +42,147 @@ def normal_cdf(z: Column) -> Column:
     return F.when(z >= 0, (F.lit(1.0) + erf) / 2).otherwise((F.lit(1.0) - erf) / 2)
 
 
-MAX_CATEGORIES = 10_000      # category tables are shipped inside the plan
-
-
 @dataclass
 class Copula:
     columns: list[str]
+    types: dict[str, str]                    # simple type strings
     knots: dict[str, list[float]]
     chol: np.ndarray
-    integral: dict[str, bool]
-    categories: dict[str, tuple[list[str], list[float]]] | None = None   # values, cumulative shares
+    nulls: dict[str, float]                  # share of nulls
+    categories: dict[str, DataFrame] = field(default_factory=dict)      # (value, lo, hi): intervals on [0, 1]
+
+
+def _as_number(c: str, kind: str) -> Column:
+    if kind == "date":
+        return F.unix_date(c).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    return F.col(c).cast("double")
+
+
+def _from_number(v: Column, kind: str) -> Column:
+    if kind == "boolean":
+        return v >= 0.5
+    if kind == "date":
+        return F.date_from_unix_date(F.round(v).cast("int"))
+    if kind.startswith("timestamp"):
+        return F.timestamp_micros(F.round(v).cast("bigint")).cast(kind)
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.round(v).cast(kind)
+    return v.cast(kind)
+
+
+def _score(share: float) -> float:
+    return NormalDist().inv_cdf(min(max(share, 1e-6), 1 - 1e-6))
 
 
-def _category_table(df: DataFrame, c: str) -> tuple[list, list[float]]:
-    """Values by frequency (desc, then value) and their cumulative shares (size-checked)."""
-    rows = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-              .orderBy(F.col("_n").desc(), c).limit(MAX_CATEGORIES + 1).collect())
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{c}: more than {MAX_CATEGORIES} categories")
-    tot = float(sum(r["_n"] for r in rows)) or 1.0
-    cum, acc = [], 0.0
-    for r in rows:
-        acc += r["_n"] / tot
-        cum.append(acc)
-    return [r[c] for r in rows], cum
+def _category_table(df: DataFrame, c: str) -> DataFrame:
+    """(value, lo, hi) by frequency (then value), written once: its size is that of the distinct values."""
+    spark = df.sparkSession
+    counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.orderBy(F.desc("n"), "value").rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum("n").over(Window.partitionBy())
+    t = counts.select("value", (F.sum("n").over(upto) / total).alias("hi"), (F.col("n") / total).alias("share"))
+    path = scratch_path(spark, f"categories-{uuid.uuid4().hex}")
+    t.select("value", (F.col("hi") - F.col("share")).alias("lo"), "hi").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def fit_copula(df: DataFrame, cols: Sequence[str], q: int = KNOTS) -> Copula:
-    """Numeric columns get quantile knots; string columns get frequency intervals on [0, 1]."""
+    """Fit marginals and the correlation of normal scores (see the module's text)."""
     cols = list(cols)
-    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    types = {c: df.schema[c].dataType.simpleString() for c in cols}
     num = [c for c in cols if types[c] != "string"]
-    cat = [c for c in cols if types[c] == "string"]
-    probs = [i / q for i in range(q + 1)]
-    knots = {}
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(cols)],
+                 *[F.percentile_approx(_as_number(c, types[c]), [i / q for i in range(q + 1)], 10_000).alias(f"k_{i}") for i, c in enumerate(num)]).first()
+    nulls = {c: 1.0 - row[f"n_{i}"] / row["_n"] if row["_n"] else 0.0 for i, c in enumerate(cols)}
+    knots = {c: [float(v) for v in row[f"k_{i}"]] if row[f"k_{i}"] else [0.0] * (q + 1) for i, c in enumerate(num)}
+    data, scores = df.select(*cols), {}
     if num:
-        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10_000).alias(c) for c in num]).first()
-        knots = {c: [float(v) for v in row[c]] if row[c] else [0.0] * (q + 1) for c in num}
-    nd = NormalDist()
-    zcols = {}
-    if num:
-        splits = [[-math.inf, *sorted(set(knots[c][1:-1])), math.inf] for c in num]
-        b = Bucketizer(splitsArray=splits, inputCols=[f"_x_{c}" for c in num],
-                       outputCols=[f"_b_{c}" for c in num], handleInvalid="keep")
-        df = b.transform(df.withColumns({f"_x_{c}": F.col(c).cast("double") for c in num}))
-        for c, sp in zip(num, splits):
-            nb = len(sp) - 1
-            zs = [nd.inv_cdf(min(max((i + 0.5) / nb, 1e-6), 1 - 1e-6)) for i in range(nb)]
-            zmap = F.create_map(*[x for i, z in enumerate(zs) for x in (F.lit(float(i)), F.lit(z))])
-            zcols[c] = F.element_at(zmap, F.col(f"_b_{c}"))
+        splits = [[-math.inf, *sorted(set(knots[c])), math.inf] for c in num]
+        data = data.withColumns({f"_x{i}": _as_number(c, types[c]) for i, c in enumerate(num)})
+        data = Bucketizer(splitsArray=splits, inputCols=[f"_x{i}" for i in range(len(num))],
+                          outputCols=[f"_b{i}" for i in range(len(num))], handleInvalid="keep").transform(data)
+        each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_b{i}").alias("b"), F.col(f"_x{i}").alias("x")) for i in range(len(num))])).alias("e")
+        shares: dict[int, dict[float, int]] = {}
+        for r in data.select(each).where("e.x IS NOT NULL AND NOT isnan(e.x)").groupBy("e.i", "e.b").agg(F.count(F.lit(1)).alias("n")).collect():
+            shares.setdefault(r["i"], {})[r["b"]] = r["n"]         # at most columns x (knots + 2) rows
+        for i, c in enumerate(num):
+            own, below, table = shares.get(i, {}), 0, []
+            total = float(sum(own.values())) or 1.0
+            for b in sorted(own):
+                table += [F.lit(float(b)), F.lit(_score((below + own[b] / 2) / total))]
+                below += own[b]
+            scores[c] = F.element_at(F.create_map(*table), F.col(f"_b{i}")) if table else F.lit(0.0)
     categories = {}
-    for c in cat:
-        values, cum = _category_table(df, c)
-        categories[c] = (values, cum)
-        mids = [((cum[i - 1] if i else 0.0) + cum[i]) / 2 for i in range(len(values))]
-        zmap = F.create_map(*[x for v, m in zip(values, mids)
-                              for x in (F.lit(v), F.lit(nd.inv_cdf(min(max(m, 1e-6), 1 - 1e-6))))])
-        zcols[c] = F.element_at(zmap, F.col(c))
-    zdf = df.select(*[zcols[c].alias(c) for c in cols])
+    for i, c in enumerate(c for c in cols if types[c] == "string"):
+        categories[c] = _category_table(df, c)
+        mid = categories[c].select(F.col("value").alias(f"_v{i}"), ((F.col("lo") + F.col("hi")) / 2).alias(f"_m{i}"))
+        data = data.join(mid, F.col(c) == F.col(f"_v{i}"), "left")
+        scores[c] = normal_score(F.col(f"_m{i}"))
+    zdf = data.select(*[scores[c].alias(c) for c in cols])
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     corr = np.eye(len(cols))
     if pairs:
         r = zdf.agg(*[F.corr(cols[i], cols[j]).alias(f"r{i}_{j}") for i, j in pairs]).first()
         for i, j in pairs:
-            corr[i, j] = corr[j, i] = r[f"r{i}_{j}"] if r[f"r{i}_{j}"] is not None else 0.0
+            value = r[f"r{i}_{j}"]
+            corr[i, j] = corr[j, i] = value if value is not None and value == value else 0.0
     w, v = np.linalg.eigh(corr)
     corr = (v * np.clip(w, 1e-9, None)) @ v.T
-    integral = {c: types[c] in ("integer", "long", "short", "byte") for c in num}
-    return Copula(cols, knots, np.linalg.cholesky(corr), integral, categories)
+    scale = np.sqrt(np.diag(corr))
+    return Copula(cols, types, knots, np.linalg.cholesky(corr / np.outer(scale, scale)), nulls, categories)
+
+
+def normal_score(p: Column) -> Column:
+    """Inverse of the normal distribution (Acklam's rational approximation, |relative error| < 1.2e-9)."""
+    p = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
+    # fixed values: coefficients of the approximation
+    a = (-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.3577518672690, -30.66479806614716, 2.506628277459239)
+    b = (-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0)
+    c = (-0.007784894002430293, -0.3223964580411365, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783)
+    d = (0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416, 1.0)
+
+    def poly(k: tuple, x: Column) -> Column:
+        out = F.lit(k[0])
+        for v in k[1:]:
+            out = out * x + F.lit(v)
+        return out
+    mid, tail = p - 0.5, F.sqrt(-2 * F.log(F.least(p, 1 - p)))
+    side = poly(c, tail) / poly(d, tail)
+    return F.when(F.abs(mid) <= 0.5 - 0.02425, mid * poly(a, mid * mid) / poly(b, mid * mid)).otherwise(F.when(mid < 0, side).otherwise(-side))
+
+
+def _uniform(seed: int, what: str) -> Column:
+    """In (0, 1), from a hash of (seed, what, row id)."""
+    return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(what), F.col("id")), 11).cast("double") + 0.5) / float(1 << 53)
+
+
+def _normal(seed: int, what: str) -> Column:
+    return F.sqrt(-2 * F.log(_uniform(seed, what + "r"))) * F.cos(2 * math.pi * _uniform(seed, what + "a"))
 
 
 def sample(spark: SparkSession, cop: Copula, n: int, seed: int = 0, partitions: int | None = None) -> DataFrame:
     base = spark.range(0, n, numPartitions=partitions) if partitions else spark.range(n)
-    p = len(cop.columns)
-    g = base.select("id", *[F.randn(seed + i).alias(f"_g{i}") for i in range(p)])
-    out, cats = [], cop.categories or {}
+    g = base.select("id", *[_normal(seed, f"z{i}").alias(f"_g{i}") for i in range(len(cop.columns))])
+    u = {c: normal_cdf(sum((F.lit(float(cop.chol[i, j])) * F.col(f"_g{j}") for j in range(i + 1)), F.lit(0.0))) for i, c in enumerate(cop.columns)}
+    rows = g.select("id", *[u[c].alias(f"_u{i}") for i, c in enumerate(cop.columns)])
+    out = []
     for i, c in enumerate(cop.columns):
-        z = sum((F.lit(float(cop.chol[i, j])) * F.col(f"_g{j}") for j in range(i + 1)), F.lit(0.0))
-        u = normal_cdf(z)
-        if c in cats:
-            values, cum = cats[c]
-            bounds = F.array(*[F.lit(float(x)) for x in cum[:-1]])
-            # index of the first cumulative share above u (categories are few and bounded)
-            idx = F.size(F.filter(bounds, lambda b: b <= u))
-            out.append(F.element_at(F.array(*[F.lit(v) for v in values]), idx + 1).alias(c))
-            continue
-        kn = cop.knots[c]
-        arr = F.array(*[F.lit(float(x)) for x in kn])
-        pos = u * F.lit(float(len(kn) - 1))
-        idx = F.least(F.floor(pos).cast("int"), F.lit(len(kn) - 2))
-        frac = pos - idx
-        lo, hi = F.element_at(arr, idx + 1), F.element_at(arr, idx + 2)
-        val = lo + frac * (hi - lo)
-        out.append((F.round(val).cast("bigint") if cop.integral.get(c) else val).alias(c))
-    return g.select("id", *out)
+        if c in cop.categories:
+            cells = F.explode(F.sequence(F.floor(F.col("lo") * CELLS), F.least(F.floor(F.col("hi") * CELLS), F.lit(CELLS - 1).cast("bigint")))).alias(f"_cell{i}")
+            t = cop.categories[c].select(F.col("value").alias(f"_c{i}"), F.col("lo").alias(f"_lo{i}"), F.col("hi").alias(f"_hi{i}"), "lo", "hi").select(
+                f"_c{i}", f"_lo{i}", f"_hi{i}", cells)
+            at = F.least(F.floor(F.col(f"_u{i}") * CELLS), F.lit(CELLS - 1).cast("bigint"))
+            rows = rows.join(t, (at == F.col(f"_cell{i}")) & (F.col(f"_u{i}") >= F.col(f"_lo{i}")) & (F.col(f"_u{i}") < F.col(f"_hi{i}")), "left")
+            value = F.col(f"_c{i}")
+        else:
+            kn = cop.knots[c]
+            arr = F.array(*[F.lit(float(x)) for x in kn])
+            pos = F.col(f"_u{i}") * F.lit(float(len(kn) - 1))
+            idx = F.least(F.floor(pos).cast("int"), F.lit(len(kn) - 2))
+            lo, hi = F.element_at(arr, idx + 1), F.element_at(arr, idx + 2)
+            discrete = len(set(kn)) <= len(kn) // 2             # few values: none between them
+            value = _from_number(F.when(pos - idx < 0.5, lo).otherwise(hi) if discrete else lo + (pos - idx) * (hi - lo), cop.types[c])
+        out.append(F.when(_uniform(seed, f"n{i}") >= F.lit(float(cop.nulls[c])), value).alias(c))
+    return rows.select("id", *out)
