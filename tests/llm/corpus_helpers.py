@@ -1,21 +1,12 @@
-import os
-import sys
+"""Frames and texts for the corpus operators' tests."""
 
-import pytest
+import random
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+import pytest
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from tabfold.session import local_session
-    s = local_session("*", 4)
-    yield s
-    s.stop()
-
-
 def doc_rows(texts, sources=None):
     """(doc_id, text, lang, source, n_chars) for texts, with sources in turn."""
     return [(i, t, "en", (sources or ["a"])[i % len(sources or ["a"])], None if t is None else len(t)) for i, t in enumerate(texts)]
@@ -24,10 +15,9 @@ def doc_rows(texts, sources=None):
 @pytest.fixture(scope="session")
 def prose():
     """A maker of sentences from a fixed vocabulary, the same for each seed."""
-    import random
+    words = ["".join(random.Random(k).choices("abcdefghijklmnopqrstuvwxyz", k=3 + k % 7)) for k in range(300)]
 
     def make(seed, n):
         r = random.Random(seed)
-        words = [w for k in range(300) for w in ["".join(random.Random(k).choices("abcdefghijklmnopqrstuvwxyz", k=3 + k % 7))]]
         return " ".join(r.choice(words) for _ in range(n))
     return make

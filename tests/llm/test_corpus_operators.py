@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import COLUMNS, doc_rows
+from corpus_helpers import COLUMNS, doc_rows, prose  # noqa: F401
 from pyspark.sql import functions as F
 from tabfold.llm import near_dup, personal, repeats, two_stage
 from tabfold.llm.components import components

@@ -8,7 +8,7 @@ from base64 import b32encode
 import duckdb
 import numpy as np
 import pytest
-from conftest import COLUMNS, doc_rows
+from corpus_helpers import COLUMNS, doc_rows, prose  # noqa: F401
 from pyspark.sql import functions as F
 from tabfold.llm import line_dedup, sharding, topk, warc
 from tabfold.llm.queries import OP5_SQL, OP6_SQL

@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import COLUMNS, doc_rows
+from corpus_helpers import COLUMNS, doc_rows, prose  # noqa: F401
 from tabfold.llm import byte_bpe, cutting_stock, packing, quality
 
 BPE = public_tokenizers.path("word_bpe_49k.json")
