@@ -98,6 +98,37 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+OP9_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM t
+), x AS (SELECT doc_id, len(g) AS n, unnest(g) AS h FROM s
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+  FROM x a JOIN x b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), link AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (na + nb - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(r.b) AS component_id, min(r.b) = s.doc_id AS kept
+FROM s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, g
+"""
+
+OP10_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_sharding": op2_sharding,
@@ -110,4 +141,4 @@ QUERIES = {
     "op9_near_dup": op9_near_dup,
     "op10_topk": op10_topk,
 }
-ORACLES: dict[str, str] = {"op5_warc": OP5_SQL, "op6_line_dedup": OP6_SQL}
+ORACLES: dict[str, str] = {"op5_warc": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_near_dup": OP9_SQL, "op10_topk": OP10_SQL}
