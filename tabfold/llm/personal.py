@@ -57,15 +57,26 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
 
 
-def _hits(kind: int) -> Column:
-    """Matches of a kind in ``text``, each with its number and the characters between it and the one before."""
-    hits = F.regexp_extract_all("text", F.lit(PATTERNS[kind]), F.lit(0))
-    gaps = F.split("text", PATTERNS[kind], -1)
+def _matches(kind: int, pattern: Column) -> Column:
+    """Matches in ``text``, each with the number of characters between it and the one before."""
+    hits = F.regexp_extract_all("text", pattern, F.lit(0))
+    gaps = F.split("text", pattern, -1)
     listed = F.zip_with(hits, gaps, lambda h, g: F.struct(F.lit(kind).alias("kind"), F.length(g).alias("gap"), h.alias("hit")))
     found = F.filter(listed, lambda x: x["hit"].isNotNull())      # no match follows the last gap
+    return F.when(F.size(hits) > 0, found).otherwise(F.array().cast("array<struct<kind:int,gap:int,hit:string>>"))
+
+
+def _hits(kind: int) -> Column:
     may = F.col("text").contains("@") if kind == 0 else F.col("text").rlike("[0-9]")
-    empty = F.array().cast("array<struct<kind:int,gap:int,hit:string>>")
-    return F.when(may & (F.size(hits) > 0), found).otherwise(empty)
+    return F.when(may, _matches(kind, F.lit(PATTERNS[kind])))
+
+
+def _placed(found: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, n, kind, gap, hit) with start and end: code points, end exclusive."""
+    before = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    alike = found.repartition("doc_id", "text_hash").dropDuplicates(["doc_id", "text_hash", "kind", "n"])     # of rows alike
+    return (alike.withColumn("end", F.sum(F.col("gap").cast("long") + F.length("hit")).over(before))
+            .withColumn("start", F.col("end") - F.length("hit")))
 
 
 def _digits(col: Column) -> Column:
@@ -91,18 +102,12 @@ def _valid() -> Column:
 
 def base_spans(texts: DataFrame) -> DataFrame:
     """(doc_id, text_hash, kind, start, end, value, context) of every base span; code points, end exclusive."""
-    found = (texts.select("doc_id", "text_hash", F.array(*[_hits(k) for k in range(4)]).alias("hits"), "text")
+    found = (texts.select("doc_id", "text_hash", F.array(*[_hits(k) for k in range(4)]).alias("hits"))
              .select("doc_id", "text_hash", F.explode("hits").alias("hits"))
              .select("doc_id", "text_hash", F.posexplode("hits").alias("n", "h"))
-             .select("doc_id", "text_hash", "n", "h.*")
-             .repartition("doc_id", "text_hash")
-             .dropDuplicates(["doc_id", "text_hash", "kind", "n"]))       # of rows alike
-    before = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    size = F.length("hit")
-    return (found.withColumn("end", F.sum(F.col("gap").cast("long") + size).over(before))
-            .withColumn("start", F.col("end") - size).where(_valid())
-            .withColumn("value", F.when(F.col("kind") == 0, F.lower("hit")).when(F.col("kind") == 1, F.col("hit")).otherwise(_digits(F.col("hit"))))
-            .select("doc_id", "text_hash", "kind", "start", "end", "value"))
+             .select("doc_id", "text_hash", "n", "h.*"))
+    value = F.when(F.col("kind") == 0, F.lower("hit")).when(F.col("kind") == 1, F.col("hit")).otherwise(_digits(F.col("hit")))
+    return _placed(found).where(_valid()).withColumn("value", value).select("doc_id", "text_hash", "kind", "start", "end", "value")
 
 
 def _terms(text: Column) -> Column:
@@ -150,16 +155,13 @@ def _around(start: Column, end: Column) -> Column:
 def term_spans(texts: DataFrame, terms: DataFrame, spans: DataFrame) -> DataFrame:
     """(doc_id, text_hash, kind, start, end, share) of every occurrence of ``terms`` outside base spans."""
     few = _few(terms.select("term", "share"))
-    with_term = (texts.select("doc_id", "text_hash", F.explode(_terms(F.col("text"))).alias("term"))
-                 .join(few, "term", "left_semi").select("doc_id", "text_hash").distinct())
-    some = texts.join(_few(stash(with_term, "texts-with-terms").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))),
-                      F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    runs = (some.select("doc_id", "text_hash", F.posexplode(F.split("text", NOT_LETTER, -1)).alias("n", "run"))
-            .repartition("doc_id", "text_hash").dropDuplicates(["doc_id", "text_hash", "n"]))
-    before = Window.partitionBy("doc_id", "text_hash").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (runs.withColumn("end", F.sum(F.length("run") + 1).over(before) - 1)       # one character follows each run
-              .withColumn("start", F.col("end") - F.length("run")).where(F.length("run") >= MIN_LETTERS)
-              .withColumn("term", F.lower("run")).join(few, "term"))
+    own = (texts.select("doc_id", "text_hash", F.explode(_terms(F.col("text"))).alias("term")).join(few, "term")
+           .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.collect_set("term").alias("terms")))
+    some = texts.join(_few(stash(own, "texts-with-terms")), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    # a document's own terms, as whole runs of letters in any case (terms are letters only)
+    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.array_sort("terms"), "|"), F.lit(r")(?!\p{L})"))
+    runs = (some.select("doc_id", "text_hash", F.posexplode(_matches(4, pattern)).alias("n", "h")).select("doc_id", "text_hash", "n", "h.*"))
+    placed = _placed(runs).withColumn("term", F.lower("hit")).join(few, "term")
     base = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("start").alias("_start"), F.col("end").alias("_end"))
     return (placed.join(base, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
                         & (F.col("start") < F.col("_end")) & (F.col("_start") < F.col("end")), "left_anti")
