@@ -33,7 +33,7 @@ def stash(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
-BATCH_BYTES = 16 << 20        # of texts that a Python worker holds at a time, about
+BATCH_BYTES = 4 << 20         # of texts that a Python worker holds at a time, about
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -45,7 +45,7 @@ MAX_XOR = 72                # differing bits of a candidate pair: an estimate of
 BUCKET_BLOCK = 2048         # classes of a bucket that meet in a task
 FAMILY_BLOCK = 1_000_000    # shingles of a family that meet in a task
 FEW = 300_000               # ids up to which a table of ids is broadcast (15 MB)
-REMEMBERED = 100_000        # words whose hashes a worker remembers (twice as many at most: 25 MB)
+REMEMBERED = 50_000         # words whose hashes a worker remembers (twice as many at most: 12 MB)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
