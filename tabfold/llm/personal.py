@@ -119,29 +119,29 @@ def _terms(text: Column) -> Column:
 
 def disclosing_terms(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """(term, share): terms that give away a protected value, and the largest share of its information they give away."""
-    # values in at least SUPPORT texts; copies of one text count once here
-    shared = (spans.select("kind", "value", "text_hash").distinct().groupBy("kind", "value")
-              .agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT).select("kind", "value"))
-    places = spans.join(_few(stash(shared, "shared-values")), ["kind", "value"])
-    places = stash(places.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("kind", "value", "start", "end")).alias("places")), "value-places")
+    places = stash(spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("kind", "value", "start", "end")).alias("places")), "value-places")
     near = (texts.join(_few(places.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "places")),
                        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
             .select("doc_id", "text_hash", "text", F.explode("places").alias("p"))
             .select("doc_id", "text_hash", "p.kind", "p.value",
                     F.explode(_terms(_around(F.col("p.start"), F.col("p.end")))).alias("term")).distinct())
     near = stash(near, "near-terms")
+    # copies of one text count once as evidence
     joint = (near.groupBy("kind", "value", "term").agg(F.count("*").alias("n_ct"), F.count_distinct("text_hash").alias("texts"))
              .where(F.col("texts") >= SUPPORT))
-    candidates = stash(joint, "candidate-terms")
     alone = spans.select("kind", "value", "doc_id", "text_hash").distinct().groupBy("kind", "value").agg(F.count("*").alias("n_c"))
     n = texts.count()
+    # a term close to values in so many documents that it discloses none of them need not be counted
+    seen = near.select("term", "doc_id", "text_hash").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    most = F.col("n_ct") * F.pow(F.lit(float(n)) / F.col("n_c"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
+    candidates = stash(joint.join(alone, ["kind", "value"]).join(seen, "term").where(F.col("n_near") <= most).drop("n_near"), "candidate-terms")
     # documents with each candidate term, over the whole corpus
     wanted = candidates.select("term").distinct()
     counts = (texts.select(F.explode(_terms(F.col("text"))).alias("term")).join(_few(wanted), "term")
               .groupBy("term").agg(F.count("*").alias("n_t")))
     pmi = F.log2(F.lit(float(n)) * F.col("n_ct") / (F.col("n_c").cast("double") * F.greatest("n_t", "n_ct")))
     content = F.log2(F.lit(float(n)) / F.col("n_c"))
-    return (candidates.join(alone, ["kind", "value"]).join(counts, "term").where(F.col("n_c") < n)
+    return (candidates.join(counts, "term").where(F.col("n_c") < n)
             .groupBy("term").agg(F.max(pmi / content).alias("share")).where(F.col("share") >= GENERALISE))
 
 
