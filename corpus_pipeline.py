@@ -6,7 +6,7 @@ to the shared folder and reads it again for the next one.
 
 1. quality rules    documents that fail them go
 2. line dedup       boilerplate lines go, but for their first occurrence
-3. near-dedup       one document of each group of near-duplicates stays
+3. near-dedup       one document of each group of near-duplicates (0.8 or more) stays
 4. personal data    values and the terms that reveal them are masked
 5. packing          a row for each piece of a sequence
 """
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from tabfold.llm import line_dedup, near_dup, packing, personal, quality
 from tabfold.llm.common import stash, table
 
+NEAR = 80         # percent of five-word shingles from which on documents are near-duplicates
+
 
 def _with_text(cleaned: DataFrame, columns: list[str], clean: Column) -> DataFrame:
     """The columns of ``row`` with another text (a null text stays null where nothing was taken from it)."""
@@ -40,7 +42,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.one_of_each(docs)
+    return near_dup.one_of_each(docs, percent=NEAR)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

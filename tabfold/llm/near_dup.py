@@ -1,12 +1,12 @@
 """Near-duplicate documents: MinHash bands, odd sketches, exact confirmation.
 
 1. A document's set is that of its 5-word shingles (64-bit hashes).  128
-   MinHash samples are taken; 64 of them make 16 bands of 4, and all are folded
+   MinHash samples are taken; some of them make bands of 4, and all are folded
    into an odd sketch: each sample flips one of 512 bits.  Documents with equal
    sets are one class from here on.
 2. Classes that share a band meet in a bucket.  The XOR of two odd sketches
    counts the samples that differ, which is precise for high similarities:
-   pairs within ``MAX_XOR`` bits are candidates.  A bucket returns a spanning
+   pairs within ``max_xor`` bits are candidates.  A bucket returns a spanning
    forest of its candidate pairs, never all of them.
 3. Connected candidates are a family.  Sets are gathered once, by family, and
    every pair that the forest does not join yet is confirmed on the full sets.
@@ -14,8 +14,10 @@
 
 Buckets and families above a block's size are met block by block (each pair of
 blocks in a task of its own), so no task holds an unbounded group and no pair
-is skipped.  At a similarity of 0.85 a link is missed with a probability of
-about 0.00001 (no shared band: 0.478 ** 16; odd sketch 4.5 deviations off).
+is skipped.  Bands and ``max_xor`` follow from the similarity asked for (85
+percent for the query, any from 75 to 99): 16 bands and 72 bits at 85, 22 bands
+and 84 bits at 80.  At exactly that similarity a link is missed with a
+probability of about 0.00001 (``MISSED``, and a quarter of it for the sketch).
 
 Defined cases: texts that are null or hold no word are linked with nothing;
 rows with a null id are returned with a null component and are kept; rows that
@@ -25,6 +27,8 @@ without rows gives no rows; other columns are never read.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,10 +42,10 @@ from tabfold.llm.common import Remembered, ship_package, stash, utf8
 from tabfold.llm.components import components
 
 WIDTH = 5                   # words of a shingle
-SIMILARITY = 85             # percent
-SAMPLES, BANDS, ROWS = 128, 16, 4
+SIMILARITY = 85             # percent, of the query
+SAMPLES, ROWS = 128, 4      # samples, and those of a band
 BITS = 512                  # of an odd sketch
-MAX_XOR = 72                # differing bits of a candidate pair: an estimate of 0.67 or more
+MISSED = 1e-5               # probability that a link at the very limit shares no band
 BUCKET_BLOCK = 2048         # classes of a bucket that meet in a task
 FAMILY_BLOCK = 1_000_000    # shingles of a family that meet in a task
 FEW = 300_000               # ids up to which a table of ids is broadcast (15 MB)
@@ -91,25 +95,48 @@ def odd_sketch(samples: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at.astype(np.int64), minlength=BITS) & 1).tobytes()
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
-    h = np.arange(BANDS, dtype=np.uint64)
+def n_bands(percent: int) -> int:
+    """Bands with which a link at ``percent`` is missed with a probability of ``MISSED`` at most."""
+    bands = math.ceil(math.log(MISSED) / math.log(1 - (percent / 100) ** ROWS)) if 0 < percent < 100 else 1
+    if not 0 < percent <= 100 or bands * ROWS > SAMPLES:
+        raise ValueError(f"a similarity of {percent} percent needs more than {SAMPLES} samples")
+    return bands
+
+
+@functools.lru_cache
+def max_xor(percent: int) -> int:
+    """Differing bits within which a pair at ``percent`` stays but for a probability of ``MISSED / 4``."""
+    differ, at = 1 - percent / 100, np.arange(BITS + 1)
+    bits, now = np.zeros(BITS + 1), np.eye(1, BITS + 1)[0]       # chances of each number of odd bits
+    for d in range(SAMPLES + 1):
+        bits += math.comb(SAMPLES, d) * differ ** d * (1 - differ) ** (SAMPLES - d) * now
+        for _ in range(2):                    # a sample that differs flips a bit of either sketch
+            now = np.append(0, (now * (1 - at / BITS))[:-1]) + np.append((now * at / BITS)[1:], 0)
+    beyond = np.cumsum(bits[::-1])[::-1]      # chance of k bits or more
+    return 2 * ((int(np.argmax(beyond <= MISSED / 4)) - 1) // 2)      # an even number of bits differs
+
+
+def band_keys(samples: np.ndarray, bands: int) -> np.ndarray:
+    h = np.arange(bands, dtype=np.uint64)
     for r in range(ROWS):
-        h = _scatter(h * _MIX + samples[r * BANDS:(r + 1) * BANDS])
+        h = _scatter(h * _MIX + samples[r * bands:(r + 1) * bands])
     return h.view(np.int64)
 
 
-def _signatures(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    hashes = word_hashes()
-    for texts in batches:
-        rows = []
-        for t in texts:
-            s = shingles(t, hashes)
-            if len(s):
-                m = min_hashes(s)
-                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), odd_sketch(m), band_keys(m)))
-            else:
-                rows.append((0, b"", b"", np.empty(0, np.int64)))
-        yield pd.DataFrame(rows, columns=["n", "set_id", "sketch", "bands"])
+def _signatures(bands: int):
+    def signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        hashes = word_hashes()
+        for texts in batches:
+            rows = []
+            for t in texts:
+                s = shingles(t, hashes)
+                if len(s):
+                    m = min_hashes(s)
+                    rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), odd_sketch(m), band_keys(m, bands)))
+                else:
+                    rows.append((0, b"", b"", np.empty(0, np.int64)))
+            yield pd.DataFrame(rows, columns=["n", "set_id", "sketch", "bands"])
+    return F.pandas_udf(signed, "n long, set_id binary, sketch binary, bands array<long>")
 
 
 def _sets_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -133,9 +160,9 @@ def _forest(n: int, near) -> Iterator[tuple[int, int]]:
             rest = rest[~hit]
 
 
-def sketch_edges(sketches: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs within MAX_XOR differing bits; a row of 64-bit words for each sketch."""
-    return list(_forest(len(sketches), lambda i, others: np.bitwise_count(sketches[others] ^ sketches[i]).sum(1) <= MAX_XOR))
+def sketch_edges(sketches: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs within ``most`` differing bits; a row of 64-bit words for each sketch."""
+    return list(_forest(len(sketches), lambda i, others: np.bitwise_count(sketches[others] ^ sketches[i]).sum(1) <= most))
 
 
 def set_edges(sets: list[np.ndarray], percent: int = SIMILARITY) -> list[tuple[int, int]]:
@@ -190,14 +217,18 @@ def _by_group(keys: list[str], edges_of, columns: list[str]):
     return run
 
 
-def _sketches(frame: pd.DataFrame):
-    words = np.frombuffer(b"".join(frame["sketch"]), np.uint64).reshape(len(frame), BITS // 64)
-    return lambda lo, hi: sketch_edges(words[lo:hi])
+def _sketches(most: int):
+    def data(frame: pd.DataFrame):
+        words = np.frombuffer(b"".join(frame["sketch"]), np.uint64).reshape(len(frame), BITS // 64)
+        return lambda lo, hi: sketch_edges(words[lo:hi], most)
+    return data
 
 
-def _sets(frame: pd.DataFrame):
-    sets = [np.frombuffer(b, np.uint64) for b in frame["body"]]
-    return lambda lo, hi: set_edges(sets[lo:hi])
+def _sets(percent: int):
+    def data(frame: pd.DataFrame):
+        sets = [np.frombuffer(b, np.uint64) for b in frame["body"]]
+        return lambda lo, hi: set_edges(sets[lo:hi], percent)
+    return data
 
 
 def meet(rows: DataFrame, key: str, weight, limit: int, edges_of, data: str) -> DataFrame:
@@ -225,12 +256,12 @@ def meet(rows: DataFrame, key: str, weight, limit: int, edges_of, data: str) ->
     return met.unionByName(many.mapInPandas(_by_group([key, "i", "j"], edges_of, [data]), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row; texts of a similarity of ``percent`` or more are linked."""
     ship_package(docs.sparkSession)
-    signed = F.pandas_udf(_signatures, "n long, set_id binary, sketch binary, bands array<long>")
+    signed = _signatures(n_bands(percent))
     rows = stash(docs.select(F.col(key).cast("long").alias("doc_id"), signed(utf8(text)).alias("s")).select("doc_id", "s.*"), "signatures")
-    links = confirmed_links(docs, rows, key, text)
+    links = confirmed_links(docs, rows, key, text, percent)
     found = components(links, "a", "b")
     out = (rows.select("doc_id", F.col("n").alias("n_shingles"), "set_id")
            .join(found, F.col("doc_id") == F.col("node"), "left")
@@ -239,13 +270,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                       F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group; others go."""
-    gone = stash(near_duplicates(docs, key, text).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
+    gone = stash(near_duplicates(docs, key, text, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
     return docs.join(F.broadcast(gone) if gone.count() <= FEW else gone, docs[key] == gone["_gone"], "left_anti")
 
 
-def confirmed_links(docs: DataFrame, rows: DataFrame, key: str, text: str) -> DataFrame:
+def confirmed_links(docs: DataFrame, rows: DataFrame, key: str, text: str, percent: int = SIMILARITY) -> DataFrame:
     """Links (a, b) between ids whose transitive closure joins all similar documents."""
     linkable = rows.where("n > 0 AND doc_id IS NOT NULL")
     # one row a class of equal sets; its members are linked to the smallest id
@@ -254,7 +285,7 @@ def confirmed_links(docs: DataFrame, rows: DataFrame, key: str, text: str) -> Da
     copies = (linkable.select("set_id", "doc_id").join(classes.select("set_id", "node"), "set_id")
               .where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     bucketed = classes.select("node", "sketch", F.explode("bands").alias("bucket"))
-    candidates = stash(meet(bucketed, "bucket", F.lit(1), BUCKET_BLOCK, _sketches, "sketch").distinct(), "candidates", "snappy")
+    candidates = stash(meet(bucketed, "bucket", F.lit(1), BUCKET_BLOCK, _sketches(max_xor(percent)), "sketch").distinct(), "candidates", "snappy")
     family = stash(components(candidates, "a", "b"), "families", "snappy")
     n = family.count()
     # the sets of documents with a family, made again from their texts
@@ -266,5 +297,5 @@ def confirmed_links(docs: DataFrame, rows: DataFrame, key: str, text: str) -> Da
     bodies = (some.select("node", "set_id", "component", sets("text_bytes").alias("s")).where("set_id = s.set_id")
               .select("node", "set_id", "component", "s.body").dropDuplicates(["node", "set_id"])
               .withColumn("n", F.octet_length("body") / 8))
-    links = meet(bodies, "component", F.col("n"), FAMILY_BLOCK, _sets, "body")
+    links = meet(bodies, "component", F.col("n"), FAMILY_BLOCK, _sets(percent), "body")
     return copies.unionByName(links)

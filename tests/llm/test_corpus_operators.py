@@ -142,6 +142,28 @@ def test_near_duplicates_repeated_rows_null_ids_and_nothing(spark, prose):
     assert near_dup.near_duplicates(df.where("false")).count() == 0
 
 
+def test_pipeline_links_from_80_percent(spark, prose):
+    """A pair between 0.80 and 0.85: two texts for the query, one for the pipeline's stage."""
+    import corpus_pipeline
+    texts = []
+    for base in range(30):
+        words = prose(3000 + base, 204).split()
+        texts += [" ".join(words), " ".join(words[:50] + ["edita"] + words[51:100] + ["editb"] + words[101:150] + ["editc"] + words[151:-4] + words[-3:])]
+        a, b = map(shingle_set, texts[-2:])
+        assert 80 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b)
+    df = spark.createDataFrame(doc_rows(texts), COLUMNS)
+    assert near_dup.one_of_each(df).count() == 60
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == list(range(0, 60, 2))
+
+
+def test_bands_and_sketch_limit_follow_the_similarity():
+    assert (near_dup.n_bands(85), near_dup.max_xor(85)) == (16, 72)
+    assert (near_dup.n_bands(80), near_dup.max_xor(80)) == (22, 84)
+    assert near_dup.n_bands(100) == 1 and near_dup.max_xor(100) == 0
+    with pytest.raises(ValueError):
+        near_dup.n_bands(60)
+
+
 def test_odd_sketch_estimates():
     """Sketches of samples that differ in d places differ in about 2 d bits, less what meets."""
     rng = np.random.default_rng(0)
