@@ -6,8 +6,8 @@ begins at the start of a run of characters (or where the last match ended) and
 runs never give characters back.
 
 Information-theoretic part: every distinct base value is a protected entity c.
-A term t (letters only, lower case) that occurs within ``CONTEXT`` characters
-of c is tested against the whole corpus:
+A term t (a whole run of letters outside e-mail addresses, lower case) that
+occurs within ``CONTEXT`` characters of c is tested against the whole corpus:
 
     PMI(c; t) = log2(N * n(c, t) / (n(c) * n(t)))      N: documents
     IC(c)     = log2(N / n(c))                         n: documents with c, t, or both close together
@@ -112,26 +112,37 @@ def base_spans(texts: DataFrame) -> DataFrame:
 
 def _terms(text: Column) -> Column:
     """Distinct lower-case runs of letters, without those inside e-mail addresses."""
-    rest = F.when(text.contains("@"), F.regexp_replace(text, EMAIL, " ")).otherwise(text)
-    runs = F.split(F.lower(rest), NOT_LETTER + "+")
+    return _runs(F.when(text.contains("@"), F.regexp_replace(text, EMAIL, " ")).otherwise(text))
+
+
+def _runs(text: Column) -> Column:
+    runs = F.split(F.lower(text), NOT_LETTER + "+")
     return F.filter(F.array_distinct(runs), lambda w: F.length(w) >= MIN_LETTERS)
 
 
+def _blanked(text: Column) -> Column:
+    """The text with a space for each character of its e-mail addresses."""
+    blanks = F.zip_with(F.split(text, EMAIL, -1), F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0)),
+                        lambda gap, hit: F.concat(gap, F.coalesce(F.repeat(F.lit(" "), F.length(hit)), F.lit(""))))
+    return F.when(text.contains("@"), F.array_join(blanks, "")).otherwise(text)
+
+
 def disclosing_terms(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """(term, share): terms that give away a protected value, and the largest share of its information they give away."""
     places = stash(spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("kind", "value", "start", "end")).alias("places")), "value-places")
     near = (texts.join(_few(places.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "places")),
                        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-            .select("doc_id", "text_hash", "text", F.explode("places").alias("p"))
+            .select("doc_id", "text_hash", _blanked(F.col("text")).alias("blanked"), F.explode("places").alias("p"))
             .select("doc_id", "text_hash", "p.kind", "p.value",
-                    F.explode(_terms(_around(F.col("p.start"), F.col("p.end")))).alias("term")).distinct())
+                    F.explode(_runs(_around(F.col("p.start"), F.col("p.end")))).alias("term")).distinct())
     near = stash(near, "near-terms")
     # copies of one text count once as evidence
     joint = (near.groupBy("kind", "value", "term").agg(F.count("*").alias("n_ct"), F.count_distinct("text_hash").alias("texts"))
              .where(F.col("texts") >= SUPPORT))
     alone = spans.select("kind", "value", "doc_id", "text_hash").distinct().groupBy("kind", "value").agg(F.count("*").alias("n_c"))
     n = texts.count()
-    # a term close to values in so many documents that it discloses none of them need not be counted
+    # a term close to values in so many documents that it discloses none of them need not be counted: n_near <= n_t,
+    # as every run that counts as near is a run of its whole document, too
     seen = near.select("term", "doc_id", "text_hash").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
     most = F.col("n_ct") * F.pow(F.lit(float(n)) / F.col("n_c"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
     candidates = stash(joint.join(alone, ["kind", "value"]).join(seen, "term").where(F.col("n_near") <= most).drop("n_near"), "candidate-terms")
@@ -146,10 +157,12 @@ def disclosing_terms(texts: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def _around(start: Column, end: Column) -> Column:
-    """The characters close to a span, without the span itself."""
-    first = F.greatest(start - CONTEXT, F.lit(0))
-    return F.concat(F.substring("text", first.cast("int") + 1, (start - first).cast("int")), F.lit(" "),
-                    F.substring("text", end.cast("int") + 1, F.lit(CONTEXT)))
+    """The characters of ``blanked`` close to a span, without the span itself and without runs of letters that go on outside."""
+    first = F.greatest(start - CONTEXT - 1, F.lit(0))       # one more on either side tells whether a run goes on
+    left = F.substring("blanked", first.cast("int") + 1, (start - first).cast("int"))
+    right = F.substring("blanked", end.cast("int") + 1, F.lit(CONTEXT + 1))
+    return F.concat(F.when(start > CONTEXT, F.regexp_replace(left, r"^\p{L}++", "")).otherwise(left), F.lit(" "),
+                    F.when(F.length(right) > CONTEXT, F.regexp_replace(right, r"(?<!\p{L})\p{L}++\z", "")).otherwise(right))
 
 
 def term_spans(texts: DataFrame, terms: DataFrame, spans: DataFrame) -> DataFrame:

@@ -260,6 +260,21 @@ def test_personal(spark, prose):
     assert "<PHONE>" in clean[len(texts) - 6] and "<EMAIL>" in clean[len(texts) - 1]
 
 
+def test_personal_terms_whose_letters_are_also_cut_pieces(spark, prose):
+    """Runs and addresses cut by the window's edge are no occurrences of a term, nor of a longer word's piece."""
+    texts = [f"{prose(k, 30)}" for k in range(200)]
+    texts += [f"{prose(300 + k, 20)} Qlee, +1 (555) 010-2007 {prose(350 + k, 20)}" for k in range(4)]
+    for k in range(20):
+        fill = prose(400 + k, 40)
+        texts.append(f"galumphqlee {fill[:59]} +1 (555) 030-{2000 + k} {fill[:61]} qleegalumph")       # 'qlee' begins 64 characters before
+        texts.append(f"{prose(450 + k, 20)} m{k}@qlee.org {fill[:54]} +1 (555) 040-{2000 + k}")        # '@' is 65 characters before
+        texts.append(f"+1 (555) 050-{2000 + k} {fill[:58]} qleex{k}y")                               # 'qlee' ends 64 characters after
+    df = spark.createDataFrame(doc_rows(texts), COLUMNS)
+    got = {r.doc_id: r for r in personal.find_personal(df).collect()}
+    assert [got[200 + k].n_term for k in range(4)] == [1] * 4
+    assert sum(r.n_term for r in got.values()) == 4
+
+
 def test_personal_repeated_rows_null_ids_and_nothing(spark):
     df = spark.createDataFrame([(1, "a@b.cd"), (1, "a@b.cd"), (None, "c@d.ef 1.1.1.1"), (2, None)], "doc_id long, text string")
     got = sorted(((r.doc_id, r.spans) for r in personal.find_personal(df).collect()), key=str)
