@@ -15,9 +15,12 @@ occurs within ``CONTEXT`` characters of c is tested against the whole corpus:
 A term discloses c if PMI(c; t) >= GENERALISE * IC(c): knowing t gives away
 that share of c's information.  Such terms become spans of kind "term"
 wherever they occur; from REMOVE * IC(c) on they are removed from the text,
-below it they are generalised to a placeholder.  An estimate needs at least
-``SUPPORT`` distinct texts with both, so chance neighbours of a value that
-occurs once, and exact copies of one text, prove nothing.
+below it they are generalised to a placeholder.  Pairs close together in fewer
+than ``SUPPORT`` distinct texts are estimated with caution, not left out: N and
+n then count distinct texts (exact copies of one text add nothing), and n(t) is
+taken ``UNSEEN`` larger, as if one more text held t without c.  A term of one
+text only, beside a value of that text only, has a share of 1 - 1 / log2(N): it
+counts from 1,024 distinct texts on; in fewer it may be a chance neighbour.
 
 Defined cases: a null text counts as the empty text and has no spans; a null
 id is an id like any other; rows alike in id and text are one document and
@@ -41,7 +44,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 PATTERNS = (EMAIL, IP, CARD, PHONE)
 
 CONTEXT = 64            # characters on either side of a value
-SUPPORT = 3             # distinct texts that hold value and term close together
+SUPPORT = 3             # distinct texts with value and term close together from which on plain counts do
+UNSEEN = 1              # texts with the term alone that are assumed below that
 GENERALISE, REMOVE = 0.9, 0.99   # shares of the value's information content
 MIN_LETTERS = 3         # of a term
 FEW = 300_000           # rows up to which a table is broadcast (about 20 MB)
@@ -136,23 +140,27 @@ def disclosing_terms(texts: DataFrame, spans: DataFrame) -> DataFrame:
             .select("doc_id", "text_hash", "p.kind", "p.value",
                     F.explode(_runs(_around(F.col("p.start"), F.col("p.end")))).alias("term")).distinct())
     near = stash(near, "near-terms")
-    # copies of one text count once as evidence
-    joint = (near.groupBy("kind", "value", "term").agg(F.count("*").alias("n_ct"), F.count_distinct("text_hash").alias("texts"))
-             .where(F.col("texts") >= SUPPORT))
-    alone = spans.select("kind", "value", "doc_id", "text_hash").distinct().groupBy("kind", "value").agg(F.count("*").alias("n_c"))
-    n = texts.count()
+    counted = lambda name: (F.count("*").alias("n_" + name), F.count_distinct("text_hash").alias("m_" + name))
+    joint = near.groupBy("kind", "value", "term").agg(*counted("ct"))
+    alone = spans.select("kind", "value", "doc_id", "text_hash").distinct().groupBy("kind", "value").agg(*counted("c"))
+    n, m = (float(x) for x in texts.agg(*counted("all")).first())
+    seen = near.select("term", "doc_id", "text_hash").distinct().groupBy("term").agg(*counted("near"))
+    # well supported pairs by documents; others by distinct texts and with a term's unseen ones
+    either = lambda docs, distinct: F.when(F.col("m_ct") >= SUPPORT, docs).otherwise(distinct)
+    of_all, of_c, of_ct = either(F.lit(n), F.lit(m)), either(F.col("n_c"), F.col("m_c")), either(F.col("n_ct"), F.col("m_ct"))
     # a term close to values in so many documents that it discloses none of them need not be counted: n_near <= n_t,
     # as every run that counts as near is a run of its whole document, too
-    seen = near.select("term", "doc_id", "text_hash").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    most = F.col("n_ct") * F.pow(F.lit(float(n)) / F.col("n_c"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
-    candidates = stash(joint.join(alone, ["kind", "value"]).join(seen, "term").where(F.col("n_near") <= most).drop("n_near"), "candidate-terms")
-    # documents with each candidate term, over the whole corpus
+    most = of_ct * F.pow(of_all / of_c, F.lit(1 - GENERALISE)) * (1 + 1e-9)
+    candidates = stash(joint.join(alone, ["kind", "value"]).join(seen, "term")
+                       .where(either(F.col("n_near"), F.col("m_near") + UNSEEN) <= most).drop("n_near", "m_near"), "candidate-terms")
+    # documents and distinct texts with each candidate term, over the whole corpus
     wanted = candidates.select("term").distinct()
-    counts = (texts.select(F.explode(_terms(F.col("text"))).alias("term")).join(_few(wanted), "term")
-              .groupBy("term").agg(F.count("*").alias("n_t")))
-    pmi = F.log2(F.lit(float(n)) * F.col("n_ct") / (F.col("n_c").cast("double") * F.greatest("n_t", "n_ct")))
-    content = F.log2(F.lit(float(n)) / F.col("n_c"))
-    return (candidates.join(counts, "term").where(F.col("n_c") < n)
+    counts = (texts.select("text_hash", F.explode(_terms(F.col("text"))).alias("term")).join(_few(wanted), "term")
+              .groupBy("term").agg(*counted("t")))
+    of_t = either(F.greatest("n_t", "n_ct"), F.greatest("m_t", "m_ct") + UNSEEN)
+    pmi = F.log2(of_all * of_ct / (of_c.cast("double") * of_t))
+    content = F.log2(of_all / of_c)
+    return (candidates.join(counts, "term").where(of_c < of_all)
             .groupBy("term").agg(F.max(pmi / content).alias("share")).where(F.col("share") >= GENERALISE))
 
 

@@ -260,6 +260,23 @@ def test_personal(spark, prose):
     assert "<PHONE>" in clean[len(texts) - 6] and "<EMAIL>" in clean[len(texts) - 1]
 
 
+def test_personal_terms_beside_values_of_one_or_two_texts(spark, prose):
+    """Names beside values that occur once or twice; the same in a copied text; a word seen elsewhere, too, gives nothing away."""
+    texts = [prose(k, 12) for k in range(1100)] + [f"Common {prose(2000 + k, 12)}" for k in range(5)]
+    texts += [f"{prose(3000, 12)} Vexworth Common, vex@one.org {prose(3001, 12)}"]
+    texts += [f"{prose(3010 + k, 12)} Plimsy, plim@two.org {prose(3020 + k, 12)}" for k in range(2)]
+    texts += [f"{prose(3030, 12)} Qarrow, qar@copied.org {prose(3031, 12)}"] * 4
+    df = spark.createDataFrame(doc_rows(texts), COLUMNS)
+    clean = {r["row"]["doc_id"]: r.clean for r in personal.sanitise(df).collect()}
+    for i, t in enumerate(texts):
+        want = t
+        for x in ("Vexworth", "Plimsy", "Qarrow"):
+            want = want.replace(x, "<TERM>")
+        for x in ("vex@one.org", "plim@two.org", "qar@copied.org"):
+            want = want.replace(x, "<EMAIL>")
+        assert clean[i] == want
+
+
 def test_personal_terms_whose_letters_are_also_cut_pieces(spark, prose):
     """Runs and addresses cut by the window's edge are no occurrences of a term, nor of a longer word's piece."""
     texts = [f"{prose(k, 30)}" for k in range(200)]
