@@ -51,6 +51,24 @@ def test_quality_base_and_bands(spark, prose):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i in rows if rows[i].kept}
 
 
+def test_quality_limits_come_from_the_table(spark, prose):
+    """Repeats that the base rules and the fixed limits let pass; copies do not move the limits."""
+    good = [prose(k, 350 + k) for k in range(120)]
+    loose = []
+    for k in range(5):                               # every phrase returns with another word in it
+        part = prose(500 + k, 200).split()
+        loose.append(" ".join(w if j % 4 else f"{w}{'abcdefg'[r]}" for r in range(2) for j, w in enumerate(part)))
+    texts = good + loose + [good[0]] * 300
+    df = spark.createDataFrame(doc_rows(texts), COLUMNS)
+    rows = {r["row"]["doc_id"]: r["quality"] for r in quality.compression_quality(df).collect()}
+    assert not any(rows[i].base_failed for i in rows)
+    assert sum(rows[i].kept for i in range(120)) >= 117 and all(rows[i].kept for i in range(125, 425))
+    assert [rows[i].verdict for i in range(120, 125)] == ["repetitive"] * 5
+    assert all(quality.in_band(len(t), len(t) / rows[120 + k].ratio, quality.FIXED) == 0 for k, t in enumerate(loose))
+    chunked = quality.limits_from({quality.WHOLE_CHUNKS: {2100 + k: 1 for k in range(100)}})
+    assert chunked[:-1] == quality.FIXED[:-1] and 1.9 < chunked[-1][0] < 2.1 < 2.2 < chunked[-1][1] < 2.4
+
+
 def test_quality_of_an_empty_table(spark):
     df = spark.createDataFrame([], COLUMNS)
     assert quality.compression_quality(df).count() == 0 and quality.keep_good(df).columns == df.columns
