@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfold.llm import byte_bpe, line_dedup, near_dup, packing, personal, quality, repeats, sharding, topk, warc
+from tabfold.llm import byte_bpe, fim, line_dedup, near_dup, packing, personal, quality, repeats, sharding, topk, warc
 from tabfold.llm.common import table
 
 
@@ -98,6 +98,35 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
+    return fim.fill_in_middle(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored()).alias("restored_sha256"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents
+), u AS (
+  SELECT rid, doc_id, t, regexp_extract_all(t, '(?s)[A-Za-z]+|[^A-Za-z]') AS units,
+    list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(x, i, 8) AS BIGINT)) AS h FROM d
+), c AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n, least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS a,
+    greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+         WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+    array_to_string(units[b + 1:], '') AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
 OP9_SQL = r"""
 WITH RECURSIVE t AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -140,5 +169,7 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_near_dup": op9_near_dup,
     "op10_topk": op10_topk,
+    "op11_fim": op11_fim,
 }
-ORACLES: dict[str, str] = {"op5_warc": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_near_dup": OP9_SQL, "op10_topk": OP10_SQL}
+ORACLES: dict[str, str] = {"op5_warc": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_near_dup": OP9_SQL, "op10_topk": OP10_SQL,
+                           "op11_fim": OP11_SQL}
