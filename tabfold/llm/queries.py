@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfold.llm import byte_bpe, fim, line_dedup, near_dup, packing, personal, quality, repeats, sharding, topk, warc
+from tabfold.llm import byte_bpe, fim, line_dedup, merkle, near_dup, packing, personal, quality, repeats, sharding, topk, toxicity, warc
 from tabfold.llm.common import table
 
 
@@ -127,6 +127,82 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
 FROM p
 """
 
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id's checksum divides by 3 are tampered with: their proofs must fail where the text had an A-Z."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    held = merkle.leaf(*[F.when(tampered, F.translate(c, UPPER, LOWER)).otherwise(F.col(c)) if c == "text" else F.col(c) for c in FIELDS])
+    rows = merkle.manifest(docs, FIELDS, "lang", "doc_id", carried={"held": held})
+    rows = rows.select("*", merkle.fold(F.col("held"), F.col("path")).alias("folded"))
+    return rows.select("doc_id", *[merkle.hexed(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+                       merkle.proof_digest(F.col("path")).alias("proof_sha256"), merkle.hexed(F.col("folded")).alias("folded_root"),
+                       (F.col("folded") == F.col("root")).alias("verified"))
+
+
+OP12_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, text, CAST(doc_id AS VARCHAR) AS id,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head FROM documents
+), c AS (
+  SELECT *, xor(4294967295, list_reduce(list_transform(range(CAST(strlen(id) AS BIGINT)), lambda i: CAST(ord(substr(id, i + 1, 1)) AS BIGINT)),
+      lambda a, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7],
+        lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(a, b)), 4294967295)) % 3 = 0 AS bent FROM d
+), f AS (
+  SELECT rid, doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(text) || ':' || CASE WHEN bent THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                            ELSE text END, '-')) AS held FROM c
+), leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM f WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf)
+), tree AS (
+  SELECT 0 AS level, g, pos, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT level + 1, g, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM tree WHERE n > 1 GROUP BY level, g, pos // 8
+), roots AS (SELECT g, h FROM tree WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, g AS pos, (SELECT count(*) FROM roots) AS n, h FROM roots
+  UNION ALL
+  SELECT level + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM upper WHERE n > 1 GROUP BY level, pos // 8
+), steps AS (
+  SELECT a.level, a.g, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM tree a JOIN tree b ON a.level = b.level AND a.g = b.g AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY ALL
+), upper_steps AS (
+  SELECT a.level, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM upper a JOIN upper b ON a.level = b.level AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY ALL
+), walk AS (
+  SELECT rid, g, 0 AS level, pos, held AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT rid, w.g, w.level + 1, w.pos // 8, sha256(l || h || r), proof || l || r
+  FROM walk w JOIN steps s ON w.g = s.g AND w.level = s.level AND w.pos = s.pos
+), climbed AS (SELECT rid, g, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM walk GROUP BY rid, g
+), upward AS (
+  SELECT rid, 0 AS level, g AS pos, h, proof FROM climbed
+  UNION ALL
+  SELECT rid, w.level + 1, w.pos // 8, sha256(l || h || r), proof || l || r
+  FROM upward w JOIN upper_steps s ON w.level = s.level AND w.pos = s.pos
+), top AS (SELECT rid, arg_max(h, level) AS folded_root, arg_max(proof, level) AS proof FROM upward GROUP BY rid
+)
+SELECT doc_id, leaf, roots.h AS subroot, upper.h AS root, sha256(proof) AS proof_sha256, folded_root, folded_root = upper.h AS verified
+FROM leaves JOIN roots ON leaves.g = roots.g JOIN top ON leaves.rid = top.rid JOIN upper ON upper.n = 1
+"""
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from four fifths of the labels (by the id's checksum); every document is scored."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = toxicity.train(docs, labels, ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "clauses", "directed_insults",
+                                              "insults", "directed_threats", "threats", "negated", "reported")
+
+
 OP9_SQL = r"""
 WITH RECURSIVE t AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -170,6 +246,8 @@ QUERIES = {
     "op9_near_dup": op9_near_dup,
     "op10_topk": op10_topk,
     "op11_fim": op11_fim,
+    "op12_merkle": op12_merkle,
+    "op13_toxicity": op13_toxicity,
 }
 ORACLES: dict[str, str] = {"op5_warc": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_near_dup": OP9_SQL, "op10_topk": OP10_SQL,
-                           "op11_fim": OP11_SQL}
+                           "op11_fim": OP11_SQL, "op12_merkle": OP12_SQL}
