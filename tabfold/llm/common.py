@@ -55,6 +55,15 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+BROADCAST_BYTES = 32 << 20    # of rows that are sent to every executor, at most
+
+
+def few_bytes(df: DataFrame, size: Column) -> DataFrame:
+    """``df`` to be broadcast, if its rows (of ``size`` bytes each) are few enough; else as it is."""
+    total = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

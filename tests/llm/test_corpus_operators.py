@@ -204,13 +204,41 @@ def brute_spans(t):
     return out
 
 
+def entropy_bits(s):
+    return -sum(n / len(s) * math.log2(n / len(s)) for n in Counter(s).values()) * len(s)
+
+
+def is_secret(s):
+    changes = len(re.findall("[0-9]+|[^0-9]+", s)) - 1
+    return len(s) >= 16 and changes >= max(3, len(s) / 8) and entropy_bits(s) >= personal.SECRET_BITS
+
+
+def brute_entities(texts):
+    """By text: base spans, then secrets and numbers that the table's distinct texts leave informative."""
+    spans = {t: [(k, a, b, v) for k, a, b, v in brute_spans(t)] for t in set(texts)}
+    added, holds = defaultdict(list), defaultdict(set)
+    for t, base in spans.items():
+        found = [("secret", m.start(), m.end(), m.group()) for m in re.finditer(r"[A-Za-z0-9+/_=-]+", t) if is_secret(m.group())]
+        for m in re.finditer(BASE[2][1], t):
+            d = re.sub("[^0-9]", "", m.group())
+            if not (13 <= len(d) <= 19 and luhn(d)) and re.search(personal.NUMBER, m.group()):
+                found.append(("number", m.start(), m.end(), d))
+        for s in found:
+            if not any(s[1] < b and a < s[2] for _, a, b, _ in base):
+                added[t].append(s)
+                holds[s[0], s[3]].add(t)
+    most = max(personal.SURELY, len(spans) ** (1 - personal.INFORMATION))
+    return spans, {t: [s for s in ss if len(holds[s[0], s[3]]) <= most] for t, ss in added.items()}
+
+
 def brute_terms(texts):
-    """Terms that give values away, from all texts."""
-    texts = [t or "" for t in texts]
+    """Terms that give values away, from all distinct texts."""
+    texts = sorted({t or "" for t in texts})
+    base, added = brute_entities(texts)
     terms = [{w for w in re.findall(r"[^\W\d_]+", re.sub(BASE[0][1], " ", t).lower()) if len(w) >= personal.MIN_LETTERS} for t in texts]
     near, holds = defaultdict(set), defaultdict(set)
     for i, t in enumerate(texts):
-        for kind, a, b, value in brute_spans(t):
+        for kind, a, b, value in [*base[t], *added.get(t, [])]:
             holds[kind, value].add(i)
             around = t[max(0, a - personal.CONTEXT):a] + " " + t[b:b + personal.CONTEXT]
             for w in re.findall(r"[^\W\d_]+", re.sub(BASE[0][1], " ", around).lower()):
@@ -218,10 +246,9 @@ def brute_terms(texts):
                     near[kind, value, w].add(i)
     out = set()
     for (kind, value, w), docs in near.items():
-        if len({texts[i] for i in docs}) >= personal.SUPPORT:
-            n_c, n_t = len(holds[kind, value]), max(len(docs), sum(w in s for s in terms))
-            if math.log2(len(texts) * len(docs) / (n_c * n_t)) >= personal.GENERALISE * math.log2(len(texts) / n_c):
-                out.add(w)
+        n_c, n_t = len(holds[kind, value]), max(len(docs), sum(w in s for s in terms)) + personal.UNSEEN
+        if n_c < len(texts) and math.log2(len(texts) * len(docs) / (n_c * n_t)) >= personal.GENERALISE * math.log2(len(texts) / n_c):
+            out.add(w)
     return out
 
 
@@ -233,7 +260,12 @@ def personal_texts(prose):
     texts = list(ODD) + tricky + [prose(k, 30) for k in range(150)]
     # a name that stands beside one telephone number in different texts, and nowhere else
     texts += [f"{prose(500 + k, 20)} Zyxwvut Quorbel, +1 (555) 010-20{k % 1}7 {prose(600 + k, 20)}" for k in range(6)]
-    texts += [f"{prose(700, 20)} Onecopy only@once.org {prose(701, 20)}"] * 5           # one text five times: no support
+    texts += [f"{prose(700, 20)} Onecopy only@once.org {prose(701, 20)}"] * 5           # one text five times: one text
+    key = "9f8e7d6c5b4a39281706f5e4d3c2b1a098765432"
+    texts += [f"{prose(710, 20)} token = \"{key}\" {prose(711, 20)}", f"{prose(712, 9)} 9807915762804490 and 1234-5678 9012 {prose(713, 9)}",
+              "2023 2024 2025 2026 1 2 3 4 5 6 7 8 9 10 11 12", "report-2024-01-15-final-version some/path/to/file_name_12.txt",
+              "aaaaaaaaaaaaaaaaaaaa1b1b1b1b", "4000-1234-5678-9010 4000 1234 5678 9017", f"x@{key}.org 5105105105105100 " + "0" * 40]
+    texts += [f"{prose(720 + k, 8)} notice 77b5c3d1e9f0a2b4c6d8e0f1 {prose(750 + k, 8)}" for k in range(70)]       # in too many texts
     return texts
 
 
@@ -243,21 +275,26 @@ def test_personal(spark, prose):
     got = {r.doc_id: r for r in personal.find_personal(df).collect()}
     found = brute_terms(texts)
     assert {"zyxwvut", "quorbel"} <= found and "onecopy" not in found
+    _, added = brute_entities([t or "" for t in texts])
+    assert sum(map(len, added.values())) >= 4 and not any("77b5" in s[3] for ss in added.values() for s in ss)
     for i, t in enumerate(texts):
-        base = brute_spans(t)
+        base, more = brute_spans(t), added.get(t or "", [])
         told = ",".join(f"{k}:{a}:{b}" for k, a, b, _ in base)
         assert got[i].base_sha256 == hashlib.sha256(told.encode()).hexdigest(), (t, told, got[i])
         assert [got[i].n_email, got[i].n_ip, got[i].n_card, got[i].n_phone] == [sum(s[0] == k for s in base) for k, _ in BASE]
         extra = [f"term:{m.start()}:{m.end()}" for m in re.finditer(r"[^\W\d_]+", t or "") if m.group().lower() in found
-                 and not any(m.start() < b and a < m.end() for _, a, b, _ in base)]
-        assert got[i].spans == ",".join([told] * bool(told) + extra)
+                 and not any(m.start() < b and a < m.end() for _, a, b, _ in [*base, *more])]
+        assert got[i].spans == ",".join([told] * bool(told) + extra + [f"{k}:{a}:{b}" for k, a, b, _ in more]), t
+        assert got[i].n_spans == len(base) + len(extra) + len(more)
     clean = {r["row"]["doc_id"]: r.clean for r in personal.sanitise(df).collect()}
     assert len(clean) == len(texts)
     for i, t in enumerate(texts):
         assert "Quorbel" not in clean[i] and not [s for s in brute_spans(clean[i]) if s[0] == "email"]
         if not got[i].spans:
             assert clean[i] == (t or "")
-    assert "<PHONE>" in clean[len(texts) - 6] and "<EMAIL>" in clean[len(texts) - 1]
+    at = next(i for i, t in enumerate(texts) if t and "Quorbel" in t)
+    assert "<PHONE>" in clean[at] and "token = \"<SECRET>\"" in clean[next(i for i, t in enumerate(texts) if t and "token" in t)]
+    assert not any("9807915762804490" in c for c in clean.values())
 
 
 def test_personal_terms_beside_values_of_one_or_two_texts(spark, prose):
@@ -288,7 +325,8 @@ def test_personal_terms_whose_letters_are_also_cut_pieces(spark, prose):
         texts.append(f"+1 (555) 050-{2000 + k} {fill[:58]} qleex{k}y")                               # 'qlee' ends 64 characters after
     df = spark.createDataFrame(doc_rows(texts), COLUMNS)
     got = {r.doc_id: r for r in personal.find_personal(df).collect()}
-    assert [got[200 + k].n_term for k in range(4)] == [1] * 4
+    found = brute_terms(texts)
+    assert "qlee" in found and [got[200 + k].n_term for k in range(4)] == [1] * 4
     assert sum(r.n_term for r in got.values()) == 4
 
 
