@@ -22,7 +22,7 @@ Their weights are log-odds.  The model's weights are drawn towards stated
 values, so that what the labels do not tell of keeps a sensible weight.
 
 Learning uses at most about ``SAMPLE`` labelled documents (by a hash of the
-id) and ``ENTRIES`` learned words; every document is scored, over its whole
+id; of near copies one) and ``ENTRIES`` learned words; every document is scored, over its whole
 text, in one narrow pass.
 
 Defined cases: null and empty texts have no clause and get the model's lowest
@@ -45,14 +45,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabfold.llm.common import Remembered, ship_package, stash, text_or_empty
+from tabfold.llm.common import Remembered, let, ship_package, stash, text_or_empty
 
 SAMPLE = 20_000            # labelled documents that are learned from, about
 ENTRIES = 5_000            # learned words and beginnings of words, those that tell most
 PREFIXES = range(3, 9)     # letters of a beginning of a word
 LONGEST = 40               # letters of a whole word of the lexicon
 CHANCE = 0.05              # beginnings of words that may be learned by chance, of all that were tried
-LIFT = 3.0                 # times the label's share that a learned one has at least
+LIFT = 4.0                 # times the label's share that a learned one has at least
+MORE = 0.5                 # log-odds by which a learned one differs from the longest beginning of it that is learned, too
+OWED = 0.9                 # share of a beginning's documents that one longer entry has at most
 REACH = 3                  # words
 
 # Common words of four languages (a start; labels add to them).
@@ -258,18 +260,20 @@ def _beginning_counts(sample: DataFrame) -> DataFrame:
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pos, neg = Counter(), Counter()
 
-        def told() -> pd.DataFrame:
+        def told() -> Iterator[pd.DataFrame]:
             keys = list(pos | neg)
-            return pd.DataFrame({"beginning": keys, "pos": [pos[k] for k in keys], "neg": [neg[k] for k in keys]})
+            for lo in range(0, len(keys), 20_000):
+                some = keys[lo:lo + 20_000]
+                yield pd.DataFrame({"beginning": some, "pos": [pos[k] for k in some], "neg": [neg[k] for k in some]})
+            pos.clear()
+            neg.clear()
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"], strict=True):
                 own = {b for w in {w.replace("’", "'") for w in WORD.findall(text.lower())} for b in beginnings(w)}
                 (pos if label else neg).update(own)
                 if len(pos) + len(neg) > 200_000:
-                    yield told()
-                    pos.clear()
-                    neg.clear()
-        yield told()
+                    yield from told()
+        yield from told()
     return (sample.select("text", "label").mapInPandas(counts, "beginning string, pos long, neg long")
             .groupBy("beginning").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
 
@@ -283,8 +287,20 @@ def _lexicon(sample: DataFrame, pos: int, neg: int) -> dict[str, float]:
     found = (counts.withColumn("ratio", ratio).where((a >= 3) & (a / has >= min(LIFT * p, (1 + p) / 2)))
              .where(F.col("ratio") >= 2 * math.log(max(tried, 1) / CHANCE))
              .orderBy(F.desc("ratio"), "beginning").limit(ENTRIES).collect())            # at most ENTRIES rows
-    odds = {r["beginning"]: math.log((r["pos"] + 0.5) / (r["neg"] + 0.5)) - math.log((pos + 0.5) / (neg + 0.5)) for r in found}
-    return odds
+    # a beginning that owes most of its documents to one longer entry says no more than that one
+    held = {r["beginning"]: r["pos"] for r in found}
+    owed: dict[str, int] = {}
+    for b, n in held.items():
+        for shorter in (b[:k] for k in PREFIXES if k < len(b)):
+            if shorter in held:
+                owed[shorter] = max(owed.get(shorter, 0), n)
+    base, learned = math.log((pos + 0.5) / (neg + 0.5)), {}
+    for r in sorted(found, key=lambda r: len(r["beginning"])):
+        b, odds = r["beginning"], math.log((r["pos"] + 0.5) / (r["neg"] + 0.5)) - base
+        shorter = [learned[b[:k]] for k in PREFIXES if k < len(b) and b[:k] in learned]
+        if owed.get(b, 0) < OWED * r["pos"] and not (shorter and abs(odds - shorter[-1]) <= MORE):
+            learned[b] = odds
+    return learned
 
 
 def _class_features(texts: Column, learned: dict[str, float]) -> Column:
@@ -312,8 +328,12 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, key: str = "do
     n = known.count()
     few = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < math.ceil(sample * (1 << 20) / max(n, sample)))
     # about ``sample`` rows of two numbers, so a broadcast is safe
-    texts = stash(docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("text")).join(F.broadcast(few), F.col("_key") == F.col("_id"))
-                  .select("text", (F.col("label") > 0).alias("label")), "toxicity-sample")
+    rows = docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("text")).join(F.broadcast(few), F.col("_key") == F.col("_id"))
+    # documents alike in their smallest hash of three words are mostly copies of one text: one of them tells
+    words = F.split(F.lower("text"), r"[^\p{L}]+")
+    threes = lambda w: F.array_min(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 2, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, 3), " "))))
+    one = rows.groupBy(let(words, threes).alias("alike")).agg(F.min_by(F.struct("text", "label"), F.struct("_id", "text")).alias("one"))
+    texts = stash(one.select("one.text", (F.col("one.label") > 0).alias("label")), "toxicity-sample")
     pos, neg = texts.agg(F.count_if("label"), F.count_if(~F.col("label"))).first()
     if not pos or not neg:
         return Model({}, STATED.tolist())
