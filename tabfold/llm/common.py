@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -68,6 +70,17 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def spent() -> None:
+    """Give back what a task of a Python worker does not need any more: the worker itself lives on, idle, beside other stages."""
+    import pyarrow
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):        # another C library
+        pass
+
+
 class Remembered(dict):
     """Values made once for each key; about twice ``limit`` keys stay, those used last."""
 
@@ -85,6 +98,10 @@ class Remembered(dict):
         self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.old.clear()
+
 
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` worked out once, also where body uses it within a lambda."""

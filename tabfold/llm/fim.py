@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabfold.llm.common import Remembered, let, ship_package, text_or_empty
+from tabfold.llm.common import Remembered, let, ship_package, spent, text_or_empty
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 PLAIN_FROM, SPM_BELOW = 90, 20        # percent of the third and of the fourth hash
@@ -159,6 +159,8 @@ def fill_in_middle(docs: DataFrame, key: str = "doc_id", text: str = "text", see
                 one, two = sorted((int(a) % (units.n + 1), int(b) % (units.n + 1)))
                 rows.append((units.n, units.chars_of(one), units.chars_of(two)))
             yield pd.DataFrame(rows, columns=["n", "cut1", "cut2"])
+        remembered.forget()
+        spent()
 
     t, c = F.col("t"), F.col("c")
     marked = t.contains(PREFIX) | t.contains(SUFFIX) | t.contains(MIDDLE)

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabfold.llm.common import ship_package, utf8
+from tabfold.llm.common import ship_package, spent, utf8
 
 #: (bytes below, lowest ratio, highest ratio).  Written prose in European
 #: languages has ratios of about 1.3 (300 bytes) to 3 (100 KB); base64 has 1.3
@@ -159,6 +159,7 @@ def _judged(limits):
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         for texts in batches:
             yield pd.DataFrame([judge(t, zstd, limits) for t in texts], columns=names)
+        spent()
     return F.pandas_udf(judge_batches, SCHEMA)
 
 

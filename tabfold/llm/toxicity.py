@@ -45,7 +45,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabfold.llm.common import Remembered, let, ship_package, stash, text_or_empty
+from tabfold.llm.common import Remembered, let, ship_package, spent, stash, text_or_empty
 
 SAMPLE = 20_000            # labelled documents that are learned from, about
 ENTRIES = 5_000            # learned words and beginnings of words, those that tell most
@@ -316,6 +316,8 @@ def _class_features(texts: Column, learned: dict[str, float]) -> Column:
                 sums, counts, clauses = clause_weights(t, classes, machine)
                 rows.append((*[sums[k] for k in KINDS], *[counts[k] for k in KINDS], clauses))
             yield pd.DataFrame(rows, columns=[f.split()[0] for f in fields])
+        classes.forget()
+        spent()
     return read(texts)
 
 
