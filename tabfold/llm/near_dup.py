@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabfold.llm.common import Remembered, ship_package, stash, utf8
+from tabfold.llm.common import Remembered, few_bytes, ship_package, spent, stash, utf8
 from tabfold.llm.components import components
 
 WIDTH = 5                   # words of a shingle
@@ -48,7 +48,6 @@ BITS = 512                  # of an odd sketch
 MISSED = 1e-5               # probability that a link at the very limit shares no band
 BUCKET_BLOCK = 2048         # classes of a bucket that meet in a task
 FAMILY_BLOCK = 1_000_000    # shingles of a family that meet in a task
-FEW = 300_000               # ids up to which a table of ids is broadcast (15 MB)
 REMEMBERED = 50_000         # words whose hashes a worker remembers (twice as many at most: 12 MB)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,6 +135,8 @@ def _signatures(bands: int):
                 else:
                     rows.append((0, b"", b"", np.empty(0, np.int64)))
             yield pd.DataFrame(rows, columns=["n", "set_id", "sketch", "bands"])
+        hashes.forget()
+        spent()
     return F.pandas_udf(signed, "n long, set_id binary, sketch binary, bands array<long>")
 
 
@@ -144,6 +145,9 @@ def _sets_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         sets = [shingles(t, hashes).tobytes() for t in texts]
         yield pd.DataFrame({"body": sets, "set_id": [xxhash.xxh3_128_digest(s) for s in sets]})
+        del sets
+    hashes.forget()
+    spent()
 
 
 def _forest(n: int, near) -> Iterator[tuple[int, int]]:
@@ -214,6 +218,8 @@ def _by_group(keys: list[str], edges_of, columns: list[str]):
                 rest = frame.iloc[cut:]
         if rest is not None:
             yield finished(rest)
+        del rest
+        spent()
     return run
 
 
@@ -234,24 +240,23 @@ def _sets(percent: int):
 def meet(rows: DataFrame, key: str, weight, limit: int, edges_of, data: str) -> DataFrame:
     """Edges (a, b) among the rows that share ``key``.
 
-    Rows of a key are numbered by running weight into blocks of about
-    ``limit``.  One block: the rows meet as they are.  More: every pair of
-    blocks is a group, to which the rows of both are sent.
+    The keys' weights are summed first.  Keys of up to ``limit`` meet as they
+    are.  The others, at most one for each ``limit`` of the whole weight, are
+    cut into blocks by a hash of the row, and every pair of blocks is a group,
+    to which the rows of both are sent: no task holds the rows of a heavy key.
     """
     spark_cols = ["node", data]
-    own = Window.partitionBy(key).orderBy("node")
-    sized = (rows.withColumn("_before", F.sum(weight).over(own.rowsBetween(Window.unboundedPreceding, 0)) - weight)
-             .withColumn("_rows", F.count("*").over(Window.partitionBy(key)))
-             .withColumn("_all", F.sum(weight).over(Window.partitionBy(key)))
-             .where("_rows > 1")
-             .withColumn("_block", F.floor(F.col("_before") / limit))
-             .withColumn("_blocks", F.ceil(F.col("_all") / limit)))
-    one = sized.where("_blocks <= 1").select(key, *spark_cols).sortWithinPartitions(key)
-    met = one.mapInPandas(_by_group([key], edges_of, [data]), "a long, b long")
+    heavy = stash(rows.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.sum(weight) / limit).alias("_blocks")).where("_blocks > 1"), "heavy-keys")
+    some = few_bytes(heavy, F.lit(32))
+    light = rows.select(key, *spark_cols).join(some, F.col(key) == F.col("_key"), "left_anti")
+    shared = light.withColumn("_rows", F.count("*").over(Window.partitionBy(key))).where("_rows > 1").select(key, *spark_cols)
+    met = shared.sortWithinPartitions(key).mapInPandas(_by_group([key], edges_of, [data]), "a long, b long")
     # pairs of blocks (i, j), i <= j: a row of block k goes to those with k in them
+    own = F.pmod(F.xxhash64("node"), F.col("_blocks"))
     pairs = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1),
                                   lambda j: F.struct(F.least(j, F.col("_block")).alias("i"), F.greatest(j, F.col("_block")).alias("j"))))
-    many = (sized.where("_blocks > 1").select(key, *spark_cols, pairs.alias("_pair")).select(key, *spark_cols, "_pair.*")
+    many = (rows.select(key, *spark_cols).join(some, F.col(key) == F.col("_key")).withColumn("_block", own)
+            .select(key, *spark_cols, pairs.alias("_pair")).select(key, *spark_cols, "_pair.*")
             .repartition(key, "i", "j").sortWithinPartitions(key, "i", "j"))
     return met.unionByName(many.mapInPandas(_by_group([key, "i", "j"], edges_of, [data]), "a long, b long"))
 
@@ -273,7 +278,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group; others go."""
     gone = stash(near_duplicates(docs, key, text, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(F.broadcast(gone) if gone.count() <= FEW else gone, docs[key] == gone["_gone"], "left_anti")
+    return docs.join(few_bytes(gone, F.lit(32)), docs[key] == F.col("_gone"), "left_anti")
 
 
 def confirmed_links(docs: DataFrame, rows: DataFrame, key: str, text: str, percent: int = SIMILARITY) -> DataFrame:
@@ -287,12 +292,11 @@ def confirmed_links(docs: DataFrame, rows: DataFrame, key: str, text: str, perce
     bucketed = classes.select("node", "sketch", F.explode("bands").alias("bucket"))
     candidates = stash(meet(bucketed, "bucket", F.lit(1), BUCKET_BLOCK, _sketches(max_xor(percent)), "sketch").distinct(), "candidates", "snappy")
     family = stash(components(candidates, "a", "b"), "families", "snappy")
-    n = family.count()
     # the sets of documents with a family, made again from their texts
     sets = F.pandas_udf(_sets_of, "body binary, set_id binary")
     wanted = classes.select("node", "set_id").join(family, "node")
     source = docs.select(F.col(key).cast("long").alias("node"), utf8(text).alias("text_bytes"))
-    some = source.join(F.broadcast(wanted) if n <= FEW else wanted, "node")
+    some = source.join(few_bytes(wanted, F.lit(64)), "node")
     # rows that share an id may differ in text: those of the class that the id stands for are compared
     bodies = (some.select("node", "set_id", "component", sets("text_bytes").alias("s")).where("set_id = s.set_id")
               .select("node", "set_id", "component", "s.body").dropDuplicates(["node", "set_id"])
