@@ -168,8 +168,9 @@ def repeated_ranges(bodies: DataFrame) -> DataFrame:
     again = strings.groupBy("string").agg(F.count("*").alias("c")).where("c > 1").select("string")
     many = strings.join(again, "string").select("file", "content", "a", (F.col("a") + 1).alias("b"))
     whole = kinds.where("copies > 1").select("file", "content", F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b"))
-    hits = (few.unionByName(many).unionByName(whole).groupBy("file", "content")
-            .agg(F.collect_list(F.struct("a", "b")).alias("runs")))
+    # written first: segments that very many documents share are a hot key, which Spark splits only between plain exchanges
+    hits = stash(few.unionByName(many).unionByName(whole).groupBy("file", "content")
+                 .agg(F.collect_list(F.struct("a", "b")).alias("runs")), "segment-runs")
     return (segs.join(hits, ["file", "content"])
             .select("doc_id", "text_hash", F.explode(F.transform("runs", lambda r: F.struct(
                 (F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"] + (LENGTH - 1)).alias("b")))).alias("r"))
