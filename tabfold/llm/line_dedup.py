@@ -23,12 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabfold.llm.common import let, stash, text_or_empty
+from tabfold.llm.common import few_bytes, let, stash, text_or_empty
 
 MIN_SITES = 10          # distinct sites of a boilerplate line
 LOG_K = 12              # sketch registers, base 2: a standard error of 1.6 percent
 NEAR = (0.75, 1.5)      # estimates within these shares of the threshold are counted exactly
-FEW = 300_000           # rows up to which a table of hashes or places is broadcast (about 20 MB)
 ENDS = " \t\r\x0b\x0c"
 
 
@@ -45,11 +44,6 @@ def _lines(docs: DataFrame, key: str, text: str, site: str) -> DataFrame:
             .select("doc_id", "text_hash", "site", "place", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2")))
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if its rows are few; the planner's own choice otherwise."""
-    return F.broadcast(df) if df.count() <= FEW else df
-
-
 def boilerplate_places(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source",
                        min_sites: int = MIN_SITES) -> DataFrame:
     """(doc_id, text_hash, removed: places of the lines that go) of the documents that lose lines."""
@@ -57,13 +51,15 @@ def boilerplate_places(docs: DataFrame, key: str = "doc_id", text: str = "text",
     spread = (lines.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LOG_K)).alias("sites"))
               .where(F.col("sites") >= NEAR[0] * min_sites))
     spread = stash(spread, "line-spread")
-    found = stash(lines.join(_few(spread), ["h1", "h2"]), "spread-lines")
+    found = stash(lines.join(few_bytes(spread, F.lit(40)), ["h1", "h2"]), "spread-lines")
     near = F.col("sites") <= NEAR[1] * min_sites
     exact = (found.where(near).select("h1", "h2", "site").distinct().groupBy("h1", "h2")
              .agg(F.count("site").alias("n")).where(F.col("n") >= min_sites).select("h1", "h2"))
     flagged = spread.where(~near).select("h1", "h2").unionByName(exact)
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "place")).alias("first"))
-    gone = (found.join(flagged.join(first, ["h1", "h2"]), ["h1", "h2"])
+    # written first: a very common line is a hot key, which Spark splits only between plain exchanges
+    known = stash(flagged.join(first, ["h1", "h2"]), "spread-first")
+    gone = (found.join(few_bytes(known, F.lit(64)), ["h1", "h2"])
             .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place")))))
     return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("removed"))
 
@@ -74,7 +70,7 @@ def without_boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text"
     places = stash(boilerplate_places(docs, key, text, site, min_sites), "removed-lines")
     places = places.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "removed")
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("_key"), _body(text).alias("_text"))
-    joined = rows.join(_few(places), F.col("_key").eqNullSafe(F.col("_id")) & (F.xxhash64("_text") == F.col("_hash")), "left")
+    joined = rows.join(few_bytes(places, 40 + 8 * F.size("removed")), F.col("_key").eqNullSafe(F.col("_id")) & (F.xxhash64("_text") == F.col("_hash")), "left")
     split = F.split("_text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("removed"))
     clean = F.when(F.col("removed").isNull(), F.col("_text")).otherwise(
