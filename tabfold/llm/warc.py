@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfold.llm.common import ship_package, text_or_empty
+from tabfold.llm.common import few_bytes, ship_package, stash, text_or_empty
 from tabfold.session import scratch_path
 
 BREAK = "\r\n"
@@ -53,6 +53,10 @@ def record_id(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
 
+ARCHIVE_BYTES = 128 << 20       # of records of an archive, about: a worker holds one
+HEADER_BYTES = 700              # of a record, about
+
+
 def payload_rows(pages: DataFrame, key: str = "page_id", uri: str = "url", body: str = "html") -> DataFrame:
     return pages.select(F.col(key).cast("long").alias("page_id"), F.col(uri).cast("string").alias("target_uri"),
                         text_or_empty(body).alias("payload")).withColumn("payload_digest", base32_sha1(F.encode("payload", "UTF-8")))
@@ -61,14 +65,18 @@ def payload_rows(pages: DataFrame, key: str = "page_id", uri: str = "url", body:
 def resolve_revisits(rows: DataFrame, min_bytes: int = 0) -> DataFrame:
     """``rows`` with ``refers_to``: the page id of the response that a revisit repeats, else null.
 
-    Headers (digest and id) shrink to one row a digest before they are joined
-    to the payload rows; that join may split a digest with very many rows.
+    Only headers (id and digest) are shuffled by digest: those of digests that
+    repeat are joined to their original.  What comes out is a row for each
+    revisit, and finds its payload row by id and digest; no payload is shuffled
+    while the revisits are few bytes, and none meets others of its digest.
     """
-    originals = (rows.where(F.octet_length("payload") >= min_bytes).groupBy("payload_digest")
-                 .agg(F.max("page_id").alias("original")))
-    joined = rows.join(originals, "payload_digest", "left")
-    repeats = (F.octet_length("payload") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("original"))
-    return joined.withColumn("refers_to", F.when(repeats, F.col("original"))).drop("original")
+    heads = stash(rows.where(F.octet_length("payload") >= min_bytes).select("page_id", "payload_digest"), "warc-heads")
+    originals = stash(heads.groupBy("payload_digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n")).where("n > 1"), "warc-originals")
+    revisits = stash(heads.join(few_bytes(originals, F.lit(72)), "payload_digest").where(~F.col("page_id").eqNullSafe(F.col("original")))
+                     .select(F.col("page_id").alias("_page"), F.col("payload_digest").alias("_digest"), F.col("original").alias("refers_to"))
+                     .distinct(), "warc-revisits")
+    return rows.join(few_bytes(revisits, F.lit(80)), F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("payload_digest") == F.col("_digest")),
+                     "left").drop("_page", "_digest")
 
 
 def as_records(rows: DataFrame, date: str) -> DataFrame:
@@ -91,10 +99,11 @@ def as_records(rows: DataFrame, date: str) -> DataFrame:
     return rows.withColumn("block", block).select(F.concat(header, F.col("block")).alias("value"))
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """Archives below ``path``, one for each partition (and 100,000 records at most)."""
+def write_archives(records: DataFrame, path: str, mean_bytes: float = 0) -> None:
+    """Archives below ``path``: one for each partition, or several, of about ``ARCHIVE_BYTES`` of records of ``mean_bytes`` at most."""
+    most = max(1, min(100_000, int(ARCHIVE_BYTES // max(mean_bytes, 1))))
     (records.write.option("lineSep", BREAK * 2).option("compression", "gzip")
-     .option("maxRecordsPerFile", 100_000).text(path))
+     .option("maxRecordsPerFile", most).text(path))
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[dict, bytes]]:
@@ -156,6 +165,8 @@ def deduplicated_archives(pages: DataFrame, path: str | None = None, min_bytes:
     spark = pages.sparkSession
     date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     path = path or scratch_path(spark, f"warc-{uuid.uuid4().hex}")
-    write_archives(as_records(resolve_revisits(payload_rows(pages), min_bytes), date), path)
+    rows = payload_rows(pages)
+    mean = rows.agg(F.avg(F.octet_length("payload"))).first()[0] or 0
+    write_archives(as_records(resolve_revisits(rows, min_bytes), date), path, mean + HEADER_BYTES)
     return responses_of(read_archives(spark, path)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "target_uri")
