@@ -95,7 +95,7 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5).drop("depth")
 
 
 def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,19 +1,25 @@
 """Exact top-k search by aggregation without random access.
 
 Queries and candidates meet in cells of one block each.  Within a cell every
-dimension is a list of the block's vectors, sorted by their component: from
-the top for queries with a positive weight there, from the bottom for a
-negative one.  All lists are read side by side to growing depths.  What was
-read gives an exact part of each score; what was not read lies between the
-list's last value read and its far end, so each vector has a lower and an upper
-bound.  Reading stops for a query when no vector outside its best k by lower
-bound has an upper bound that reaches the k-th lower bound; the scores of the
-vectors still possible are then resolved exactly.
-
-Bounds for all queries of a cell are matrix products: rows read so far are a
-0/1 mask on the block.  Integer scores are exact in double precision as long
-as their sums stay below 2**53; a block with larger numbers is scored in
-Python integers.
+dimension is a list of the block's vectors, sorted by their component once for
+all queries: read from the top for a query with a positive weight there, from
+the bottom for one with a negative weight.  All lists are read on side by
+side.  What was read gives an exact part of each score; what was not read lies
+between the list's last value read and its far end, so each vector has a lower
+and an upper bound.
+
+The bounds of all queries are looked at in steps of 1 / ``GRID`` of the lists.
+Reading stops for a query when at most ``OPEN`` vectors have an upper bound
+that reaches the k-th lower bound: all others cannot qualify.  The final
+scores of those few are then resolved exactly.  A query whose bounds never get
+there reads to the end of the lists, and its scores are exact.  How deep the
+first look is taken is found from a few of the cell's queries; it saves looks,
+and decides nothing.
+
+Bounds for the queries of a cell are matrix products: in place of a component
+that is not read stands the value it may have at most, or at least.  Integer
+scores are exact in double precision as long as their sums stay below 2**52; a
+block with larger numbers is scored in Python integers.
 
 Defined cases: scores must fit a 64-bit integer; vectors that are null, empty, or hold a null or a non-finite
 number take no part; vectors of another length than the query's are no
@@ -32,75 +38,104 @@ from pyspark.sql.window import Window
 
 from tabfold.llm.common import ship_package
 
-QUERY_BLOCK, ROW_BLOCK = 2048, 4096       # rows of a cell: at most about 2048 x 4096 bounds in memory
-DEPTHS = (0.25, 0.6)                      # shares of the lists read before the rest is read
-
-
-def _lists(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each component's place in its sorted list from the top, and the sorted columns."""
-    order = np.argsort(-x, axis=0, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(len(x))[:, None].repeat(x.shape[1], 1), axis=0)
-    return rank, np.take_along_axis(x, order, axis=0), order
-
-
-def nra_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int,
-              depths: tuple = DEPTHS) -> list[tuple]:
-    """(query id, id, score) of each query's best k of this block, ties to smaller ids."""
+QUERY_BLOCK, ROW_BLOCK = 2048, 4096       # rows of a cell
+CHUNK = 256                               # queries whose bounds are in memory at a time: CHUNK x ROW_BLOCK, a few times
+GRID = 32                                 # looks at the bounds that reading the lists to the end may take
+PROBES = 16                               # queries from which the depth of the first look is found
+OPEN = 64                                 # vectors still possible when reading stops, at most (or 8 k, if that is more)
+
+
+class Lists:
+    """The sorted lists of a block, and what is known of it at a depth."""
+
+    def __init__(self, x: np.ndarray):
+        self.x, self.n = x, len(x)
+        order = np.argsort(-x, axis=0, kind="stable")
+        self.rank = np.empty(order.shape, dtype=np.int32)              # each component's place from the top
+        np.put_along_axis(self.rank, order, np.arange(self.n, dtype=np.int32)[:, None].repeat(x.shape[1], 1), axis=0)
+        self.column = np.take_along_axis(x, order, axis=0)
+        self.known: dict[int, tuple[np.ndarray, ...]] = {}
+
+    def at(self, t: int) -> tuple[np.ndarray, ...]:
+        """With ``t`` rows of each list read: components at most, and at least, read from the top and from the bottom."""
+        if t not in self.known:
+            top, bottom = self.rank < t, self.rank >= self.n - t
+            self.known = {t: (np.where(top, self.x, self.column[t - 1]).T, np.where(top, self.x, self.column[-1]).T,
+                              np.where(bottom, self.x, self.column[self.n - t]).T, np.where(bottom, self.x, self.column[0]).T)}
+        return self.known[t]
+
+    def possible(self, plus: np.ndarray, minus: np.ndarray, own: np.ndarray, k: int, t: int) -> np.ndarray:
+        """Which vectors may be among each query's best k after ``t`` rows of the lists; ``own``: those that are no candidates."""
+        top_most, top_least, bottom_least, bottom_most = self.at(t)      # a negative weight turns most and least round
+        lower = plus @ top_least + minus @ bottom_most
+        lower[own] = -np.inf
+        bar = np.partition(lower, self.n - k, axis=1)[:, self.n - k]
+        may = plus @ top_most + minus @ bottom_least >= bar[:, None]
+        may[own] = False
+        return may
+
+
+def _first_look(lists: Lists, plus: np.ndarray, minus: np.ndarray, own: np.ndarray, k: int, few: int) -> int:
+    """The step at which half of some queries stop, by halving the steps."""
+    lo, hi = 1, GRID - 1
+    while lo < hi:
+        mid = (lo + hi) // 2
+        stopped = lists.possible(plus, minus, own, k, max(1, lists.n * mid // GRID)).sum(1) <= few
+        lo, hi = (lo, mid) if 2 * stopped.sum() >= len(plus) else (mid + 1, hi)
+    return lo
+
+
+def nra_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple]:
+    """(query id, id, score, depth) of each query's best k of this block, ties to smaller ids.
+
+    ``depth``: the share of the lists that was read for the query.
+    """
     n, dims = x.shape
     peak = int(abs(q).max(initial=0)) * int(abs(x).max(initial=0)) * dims
     if peak >= 1 << 52:
         q, x = q.astype(object), x.astype(object)
-        return [r for i, own in enumerate(q_ids) for r in _best(own, ids, x.dot(q[i]), k, np.arange(n))]
-    qf, xf = q.astype(np.float64), x.astype(np.float64)
-    plus, minus = np.maximum(qf, 0), np.minimum(qf, 0)
-    rank, column, _ = _lists(xf)
-    out: list[tuple] = []
-    live = np.arange(len(q_ids))
-    for share in depths:
-        t = int(n * share)
-        if not len(live) or t < 1 or n <= 2 * k:
-            break
-        top, bottom = rank < t, rank >= n - t
-        high, low = column[0], column[-1]                     # the ends of the lists
-        front_top, front_bottom = column[t - 1], column[n - t]   # last values read from either end
-        p, m = plus[live], minus[live]
-        seen = p @ (xf * top).T + m @ (xf * bottom).T
-        # not read: p * [low, front_top], m * [high, front_bottom] (m is negative)
-        lower = seen + (p * low) @ (~top).T.astype(float) + (m * high) @ (~bottom).T.astype(float)
-        upper = seen + (p * front_top) @ (~top).T.astype(float) + (m * front_bottom) @ (~bottom).T.astype(float)
-        lower[q_ids[live][:, None] == ids[None, :]] = -np.inf
-        bar = np.partition(lower, n - k, axis=1)[:, n - k]
-        possible = upper >= bar[:, None]
-        done = possible.sum(1) <= max(8 * k, 64)                # few outsiders left: resolve them
-        for i in np.flatnonzero(done):
-            own, at = live[i], np.flatnonzero(possible[i])
-            out += _best(q_ids[own], ids, xf[at] @ qf[own], k, at)
-        live = live[~done]
-    for lo in range(0, len(live), 256):                       # lists read to their end: exact scores
-        part = live[lo:lo + 256]
-        scores = qf[part] @ xf.T
-        scores[q_ids[part][:, None] == ids[None, :]] = -np.inf
-        if n > k:
-            bar = np.partition(scores, n - k, axis=1)[:, n - k]
-        else:
-            bar = np.full(len(part), -np.inf)
-        for i, own in enumerate(part):
-            at = np.flatnonzero(scores[i] >= bar[i])
-            out += _best(q_ids[own], ids, scores[i][at], k, at)
+        return [r for i, own in enumerate(q_ids) for r in _best(own, ids, x.dot(q[i]), k, np.arange(n), 1.0)]
+    lists, out = Lists(x.astype(np.float64)), []
+    few = max(8 * k, OPEN)
+    first = None
+    for lo in range(0, len(q), CHUNK):
+        qf, own_ids = q[lo:lo + CHUNK].astype(np.float64), q_ids[lo:lo + CHUNK]
+        plus, minus, own = np.maximum(qf, 0), np.minimum(qf, 0), own_ids[:, None] == ids[None, :]
+        live = np.arange(len(qf))
+        if n > few:
+            if first is None:
+                first = _first_look(lists, plus[:PROBES], minus[:PROBES], own[:PROBES], k, few)
+            for step in range(first, GRID):
+                if not len(live):
+                    break
+                t = max(1, n * step // GRID)
+                may = lists.possible(plus[live], minus[live], own[live], k, t)
+                stops = may.sum(1) <= few
+                for i in np.flatnonzero(stops):
+                    at = np.flatnonzero(may[i])
+                    out += _best(own_ids[live[i]], ids, lists.x[at] @ qf[live[i]], k, at, t / n)
+                live = live[~stops]
+        if len(live):                                             # lists read to their end
+            scores = qf[live] @ lists.x.T
+            scores[own[live]] = -np.inf
+            bar = np.partition(scores, n - k, axis=1)[:, n - k] if n > k else np.full(len(live), -np.inf)
+            for i, which in enumerate(live):
+                at = np.flatnonzero(scores[i] >= bar[i])
+                out += _best(own_ids[which], ids, scores[i][at], k, at, 1.0)
     return out
 
 
-def _best(own, ids: np.ndarray, scores: np.ndarray, k: int, at: np.ndarray) -> list[tuple]:
+def _best(own, ids: np.ndarray, scores: np.ndarray, k: int, at: np.ndarray, depth: float) -> list[tuple]:
     keep = ids[at] != own
     scores, at = scores[keep], at[keep]
     first = sorted(range(len(at)), key=lambda i: (-scores[i], ids[at[i]]))[:k]
-    return [(int(own), int(ids[at[i]]), int(scores[i])) for i in first]
+    return [(int(own), int(ids[at[i]]), int(scores[i]), depth) for i in first]
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vector: str = "embedding",
           scale: int = 256) -> DataFrame:
-    """query_id, rank, vec_id, score of every query's ``k`` highest integer inner products.
+    """query_id, rank, vec_id, score of every query's ``k`` highest integer inner products, and ``depth``:
+    the share of the lists that was read in the block where the vector was found.
 
     Cells are (query block, row block, length): each vector goes to every query
     block and each query to every row block, so a cell's size is fixed and no
@@ -126,13 +161,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
         found = []
         if len(qs) and len(xs):
             q, x = np.stack(qs["v"].to_numpy()), np.stack(xs["v"].to_numpy())
-            q_ids, ids = qs["id"].to_numpy(), xs["id"].to_numpy()
-            for lo in range(0, len(q), 512):
-                found += nra_block(q_ids[lo:lo + 512], q[lo:lo + 512], ids, x, k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+            found = nra_block(qs["id"].to_numpy(), q, xs["id"].to_numpy(), x, k)
+        frame = pd.DataFrame(found, columns=["query_id", "vec_id", "score", "depth"])
+        return frame.astype({"query_id": "int64", "vec_id": "int64", "score": "int64", "depth": "float64"})
 
     cells = ["qb", "rb", "dims"]
-    near = asks.groupBy(cells).cogroup(cand.groupBy(cells)).applyInPandas(cell, "query_id long, vec_id long, score long")
+    near = asks.groupBy(cells).cogroup(cand.groupBy(cells)).applyInPandas(cell, "query_id long, vec_id long, score long, depth double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", "score", "depth"))

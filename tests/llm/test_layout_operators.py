@@ -158,14 +158,14 @@ def test_top_k(spark, monkeypatch, blocks):
     ids = list(range(600))
     df = spark.createDataFrame([(i, v, 1, "v") for i, v in zip(ids, vectors)], "vec_id long, embedding array<float>, score int, v string")
     got = topk.top_k(df, F.col("vec_id") % 50 == 0, 5)
-    assert sorted(map(tuple, got.collect())) == brute_top(ids, vectors, 5)
+    assert sorted(map(tuple, got.drop("depth").collect())) == brute_top(ids, vectors, 5)
     assert topk.top_k(df.where("false"), F.col("vec_id") % 50 == 0, 5).count() == 0
     assert topk.top_k(df.unionByName(df), F.col("vec_id") % 50 == 0, 5).count() == got.count()
 
 
 def test_top_k_of_few_and_large(spark):
     df = spark.createDataFrame([(0, [1e6, -1e6]), (1, [1e6, 1.0]), (2, [0.0, -1e6])], "vec_id long, embedding array<double>")
-    got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 50 == 0, 5).collect()))
+    got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 50 == 0, 5).drop("depth").collect()))
     assert got == brute_top([0, 1, 2], [[1e6, -1e6], [1e6, 1.0], [0.0, -1e6]], 5)
 
 
@@ -174,6 +174,30 @@ def test_bounds_never_lose_a_row():
     for spread in (1, 50):
         x = np.floor(rng.normal(size=(900, 16)) * np.array([spread] + [1] * 15) * 256).astype("int64")
         ids = np.arange(900)
-        got = sorted(topk.nra_block(ids[:20], x[:20], ids, x, 5))
+        got = sorted(r[:3] for r in topk.nra_block(ids[:20], x[:20], ids, x, 5))
         want = sorted((q, int(i), int(x[q] @ x[i])) for q in range(20) for i in sorted((j for j in ids if j != q), key=lambda j: (-(x[q] @ x[j]), j))[:5])
         assert got == want
+
+
+def test_null_ids_take_no_part_in_top_k(spark):
+    df = spark.createDataFrame([(None, [9.0, 9.0]), (0, [1.0, 1.0]), (50, [2.0, 1.0]), (3, [3.0, 3.0])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r)[:4] for r in topk.top_k(df, F.col("vec_id") % 50 == 0, 5).collect())
+    assert got == brute_top([None, 0, 50, 3], [[9.0, 9.0], [1.0, 1.0], [2.0, 1.0], [3.0, 3.0]], 5)
+
+
+def test_bounds_stop_the_reading(spark):
+    """At least 95 of 100 queries are served by their bounds; the scores are those of all pairs."""
+    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    got = topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+    by_query = got.groupBy("query_id").agg(F.max("depth").alias("d")).collect()
+    assert len(by_query) >= 20 and sum(r["d"] < 1 for r in by_query) >= 0.95 * len(by_query)
+    rng = np.random.default_rng(3)
+    x = np.floor(256 * rng.normal(size=(3000, 64))).astype("int64")
+    ids = rng.permutation(3000)
+    out = topk.nra_block(ids[:300], x[:300], ids, x, 5)
+    assert len(out) == 1500 and sum(d < 1 for *_, d in out) >= 0.95 * len(out)
+    best = [sorted(((-int(x[i] @ x[j]), int(ids[j])) for j in range(3000) if j != i))[:5] for i in range(0, 300, 10)]
+    mine = {}
+    for q, v, s, _ in out:
+        mine.setdefault(q, []).append((-s, v))
+    assert [sorted(mine[int(ids[i])]) for i in range(0, 300, 10)] == best
