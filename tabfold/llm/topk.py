@@ -154,19 +154,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
     dims = F.size("v").alias("dims")
     block = lambda m, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(m).cast("long"))
     copies = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
-    cand = rows.select("id", "v", dims, block(row_blocks, 1).alias("rb"), copies(query_blocks).alias("qb"))
-    asks = rows.where("asks").select("id", "v", dims, copies(row_blocks).alias("rb"), block(query_blocks, 2).alias("qb"))
+    # names of their own on either side: both come from the same rows
+    cand = (rows.select("id", "v", dims, block(row_blocks, 1).alias("rb"), copies(query_blocks).alias("qb"))
+            .select(F.col("id").alias("x_id"), F.col("v").alias("x"), F.col("dims").alias("x_dims"), F.col("rb").alias("x_rb"), F.col("qb").alias("x_qb")))
+    asks = (rows.where("asks").select("id", "v", dims, copies(row_blocks).alias("rb"), block(query_blocks, 2).alias("qb"))
+            .select(F.col("id").alias("q_id"), F.col("v").alias("q"), F.col("dims").alias("q_dims"), F.col("rb").alias("q_rb"), F.col("qb").alias("q_qb")))
 
     def cell(qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(qs) and len(xs):
-            q, x = np.stack(qs["v"].to_numpy()), np.stack(xs["v"].to_numpy())
-            found = nra_block(qs["id"].to_numpy(), q, xs["id"].to_numpy(), x, k)
+            q, x = np.stack(qs["q"].to_numpy()), np.stack(xs["x"].to_numpy())
+            found = nra_block(qs["q_id"].to_numpy(), q, xs["x_id"].to_numpy(), x, k)
         frame = pd.DataFrame(found, columns=["query_id", "vec_id", "score", "depth"])
         return frame.astype({"query_id": "int64", "vec_id": "int64", "score": "int64", "depth": "float64"})
 
-    cells = ["qb", "rb", "dims"]
-    near = asks.groupBy(cells).cogroup(cand.groupBy(cells)).applyInPandas(cell, "query_id long, vec_id long, score long, depth double")
+    near = asks.groupBy("q_qb", "q_rb", "q_dims").cogroup(cand.groupBy("x_qb", "x_rb", "x_dims")).applyInPandas(cell, "query_id long, vec_id long, score long, depth double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score", "depth"))
