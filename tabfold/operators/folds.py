@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabfold.session import cut_lineage
+
 # md5 hex digits that define the salt bucket of stratified folds (16^4 buckets)
 SALT_HEX_DIGITS = 4
 # a group holding more than n / (k * HEAVY_FACTOR) rows is placed explicitly
@@ -143,9 +145,12 @@ def stratified_kfold(df: DataFrame, key: str | Sequence[str], label: str, k: int
             .drop("_h", "_salt", "_off", "_lab"))
 
 
-def stratified_group_kfold(df: DataFrame, group: str | Sequence[str], label: str, k: int = 5, seed: int = 0,
-                           col: str = "fold") -> DataFrame:
-    """Groups stay whole; groups are stratified by their dominant class.  Null is a group like any other."""
+def dominant_class_group_kfold(df: DataFrame, group: str | Sequence[str], label: str, k: int = 5, seed: int = 0,
+                               col: str = "fold") -> DataFrame:
+    """Groups stay whole; groups of one dominant class are dealt in turn.  Null is a group like any other.
+
+    Simpler than ``stratified_group_kfold``, which balances every class and the folds' sizes.
+    """
     gcols = [group] if isinstance(group, str) else list(group)
     hist = df.groupBy(*dict.fromkeys([*gcols, label])).agg(F.count(F.lit(1)).alias("_n"))
     # most frequent class of the group; ties go to the smallest class
@@ -156,6 +161,67 @@ def stratified_group_kfold(df: DataFrame, group: str | Sequence[str], label: str
     return df.join(gf, _same_groups(gcols, "_g"), "left").drop(*[f"_g{i}" for i in range(len(gcols))])
 
 
+def stratified_group_kfold(df: DataFrame, group: str | Sequence[str], label: str, k: int = 5, seed: int = 0,
+                           col: str = "fold") -> DataFrame:
+    """Groups stay whole; folds get nearly equal shares of every class.  Null is a group, and a class, like any other.
+
+    Heavy groups (at least n / (k * ``HEAVY_FACTOR``) rows, so at most
+    k * ``HEAVY_FACTOR`` of them) are placed one by one, the largest first: on
+    the fold where the squares of the classes' deviations from 1 / k of their
+    rows, summed over the group's classes, rise least; of several, the one
+    with fewer rows, then the smallest.  A light group goes by its most
+    frequent class (of several, the smallest): its hash draws a fold in
+    proportion to the room that is left for that class.  Only the heavy
+    groups' histograms and a row for each of their classes reach the driver.
+    """
+    gcols = [group] if isinstance(group, str) else list(group)
+    spark = df.sparkSession
+    own = df.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(gcols)], F.col(label).cast("string").alias("_c"))
+    keys = [f"_g{i}" for i in range(len(gcols))]
+    hist = own.groupBy(*keys, "_c").agg(F.count(F.lit(1)).alias("_n"))
+    # (group, its classes' counts by name, rows): a class is a name here, null among them
+    sized = hist.groupBy(*keys).agg(F.sum("_n").alias("_rows"), F.array_sort(F.collect_list(F.struct("_c", "_n"))).alias("_classes"))
+    sized = cut_lineage(sized)
+    n = sized.agg(F.sum("_rows")).first()[0] or 0
+    threshold = max(1, -(-n // (k * HEAVY_FACTOR)))
+    heavy = sized.where(F.col("_rows") >= threshold).orderBy(F.col("_rows").desc(), *keys).limit(k * HEAVY_FACTOR).collect()
+    met = {c["_c"] for r in heavy for c in r["_classes"]}
+    every = sized.select(F.explode("_classes").alias("c")).groupBy("c._c").agg(F.sum("c._n").alias("_all"))
+    if met:
+        named = F.col("_c").isin([c for c in met if c is not None]) | (F.col("_c").isNull() if None in met else F.lit(False))
+        totals = {r["_c"]: r["_all"] for r in every.where(F.coalesce(named, F.lit(False))).collect()}
+    else:
+        totals = {}
+    load: list[dict] = [{} for _ in range(k)]
+    sizes, placed = [0] * k, []
+    for r in heavy:
+        def rise(f: int, counts=r["_classes"]) -> float:
+            return sum(((load[f].get(c["_c"], 0) + c["_n"]) / totals[c["_c"]] - 1 / k) ** 2 - (load[f].get(c["_c"], 0) / totals[c["_c"]] - 1 / k) ** 2
+                       for c in counts)
+        f = min(range(k), key=lambda f: (round(rise(f), 12), sizes[f], f))
+        placed.append((*[r[g] for g in keys], f))
+        sizes[f] += r["_rows"]
+        for c in r["_classes"]:
+            load[f][c["_c"]] = load[f].get(c["_c"], 0) + c["_n"]
+    # upper ends of the folds' shares of [0, 1) for a light group, by its class; classes without a heavy group have equal room
+    rows = []
+    for c, total in totals.items():
+        room = [max(0.0, total / k - load[f].get(c, 0)) for f in range(k)]
+        room = room if sum(room) > 0 else [1.0] * k
+        rows.append((c, [sum(room[:f + 1]) / sum(room) for f in range(k - 1)]))
+    ends = spark.createDataFrame(rows, "_of string, _ends array<double>")
+    equal = F.array(*[F.lit((f + 1) / k) for f in range(k - 1)])
+    dominant = F.array_sort(F.transform("_classes", lambda c: F.struct((-c["_n"]).alias("n"), c["_c"].alias("c"))))[0]["c"]
+    light = (sized.where(F.col("_rows") < threshold) if len(heavy) < k * HEAVY_FACTOR else sized).withColumn("_dom", dominant)
+    drawn = (light.join(ends, F.col("_dom").eqNullSafe(F.col("_of")), "left")
+             .withColumn("_u", unit_interval(keys if len(keys) > 1 else keys[0], seed))
+             .select(*keys, F.size(F.filter(F.coalesce("_ends", equal), lambda e: e <= F.col("_u"))).alias("_fold"), F.lit(0).alias("_by")))
+    kinds = ", ".join(f"{g} {sized.schema[g].dataType.simpleString()}" for g in keys)
+    fixed = spark.createDataFrame(placed, f"{kinds}, _fold int").withColumn("_by", F.lit(1))
+    folds = drawn.unionByName(fixed).groupBy(*keys).agg(F.max_by("_fold", "_by").alias(col))
+    return df.join(folds, _same_groups(gcols, "_g"), "left").drop(*keys)
+
+
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> tuple:
     """Order-free frame fingerprint (row count, summed 64-bit row hashes)."""
     cols = list(cols or df.columns)

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from pyspark import StorageLevel
 
+from tabfold.operators.prefix import running_sums_by
+
 AUC_ROWS = 100_000            # distinct scores of a quantile bucket of the exact AUC, about
 
 
@@ -191,36 +193,22 @@ def auc(df: DataFrame, label: str, score: str, by_bucket: int | None = None) ->
     return df.sparkSession.createDataFrame([(value,)], "auc double")
 
 
-def auc_by(df: DataFrame, label: str, score: str, by: Sequence[str], buckets: int = 256) -> DataFrame:
+def auc_by(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     """Exact AUC per group in one set of passes: (by..., auc).
 
-    Same two-level prefix sum as :func:`auc`, with per-group quantile cut
-    lists (groups x buckets values, bounded) and a bucket index found by
-    counting the group's cuts below each distinct score.
+    One row per (group, distinct score), then running counts of negatives in
+    the order of the scores, range by range (``prefix.running_sums_by``): one
+    group of any size and any number of small ones are the same plan, and
+    nothing is broadcast.  A group without both classes has no AUC (null).
     """
     by = list(by)
     s = (df.where(_c(label).isNotNull() & _c(score).isNotNull())
            .groupBy(*by, _c(score).cast("double").alias("_s"))
            .agg(F.sum((_c(label) == 1).cast("long")).alias("_pos"),
                 F.sum((_c(label) != 1).cast("long")).alias("_neg")))
-    s = s.persist(StorageLevel.MEMORY_AND_DISK)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = s.groupBy(*by).agg(F.percentile_approx("_s", probs, 4 * buckets).alias("_cuts"))
-    b = (s.join(F.broadcast(cuts), by)
-          .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_s")))).drop("_cuts"))
-    tot = b.groupBy(*by, "_b").agg(F.sum("_neg").alias("_bn"), F.sum("_pos").alias("_bp"))
-    w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.withColumn("_off", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)))   # groups x buckets rows
-    w = Window.partitionBy(*by, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    contrib = (b.join(F.broadcast(offs.select(*by, "_b", "_off")), [*by, "_b"])
-                .withColumn("_c", F.col("_pos") * (F.coalesce(F.sum("_neg").over(w), F.lit(0)) + F.col("_off")
-                                                   + F.col("_neg") / 2.0)))
-    out = contrib.groupBy(*by).agg((F.sum("_c") / (F.sum("_pos").cast("double") * F.sum("_neg").cast("double")))
-                                   .alias("auc"))
-    rows = out.collect()                 # one row per group
-    s.unpersist()
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by) + ", auc double"
-    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+    summed = running_sums_by(s, by, [F.col("_s")], ["_neg"])
+    won = F.sum(F.col("_pos") * (F.col("_neg_before") + F.col("_neg") / 2.0))
+    return summed.groupBy(*by).agg(F.try_divide(won, F.sum("_pos").cast("double") * F.sum("_neg").cast("double")).alias("auc"))
 
 
 # ------------------------------------------------------------------ dispatch

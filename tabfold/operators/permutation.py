@@ -3,20 +3,29 @@
 Rows go to hash buckets once.  For each repeat a bucket's rows are put into a
 pseudo-random order (a seeded hash of the key) and every row sees the features
 of the one after it, the last those of the first: one random cycle a bucket.
-All features and repeats are variants of a row in the same pass: one shuffle,
-one transform, one aggregation, whatever their number.
+
+The pipeline up to its vector runs once; rows are then a label, their vector
+and, for each repeat, the vector of another row, written to the shared folder.
+A variant of a row is its vector with one slot from the other row's: a small
+(slot, repeat) pair until it is scored.  Variants come in batches of
+``BATCH``, so neither the plan nor a row grows with features times repeats.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabfold.operators import metrics as M
+from tabfold.session import scratch_path
 
+BATCH = 64                       # variants of a row that are scored in one pass
 ROWS_PER_BUCKET = 200_000        # rows of a bucket, about: their number grows with the data
 MIN_BUCKETS = 32
 
@@ -40,20 +49,42 @@ def permute_column(df: DataFrame, key: str, col: str, seed: int, buckets: int |
 
 def permutation_importance(model: PipelineModel, df: DataFrame, key: str, features: Sequence[str],
                            label: str, metric: str = "rmse", repeats: int = 10, seed: int = 0) -> DataFrame:
-    """(feature, repeat, baseline, permuted, delta); delta > 0 means the feature helps."""
-    m = M.Metric(metric)
-    features = list(features)
-    rows = with_permuted(df.select(*dict.fromkeys([key, label, *features])), key, features, repeats, seed)
-    own = {f: F.col(f) for f in features}
-    variants = [F.struct(F.lit("").alias("feature"), F.lit(-1).alias("repeat"), F.struct(*[own[f].alias(f) for f in features]).alias("x"))]
-    for r in range(repeats):
-        for f in features:
-            mixed = {**own, f: F.col(f"_p{r}").getField(f)}
-            variants.append(F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"), F.struct(*[mixed[g].alias(g) for g in features]).alias("x")))
-    each = rows.select(label, F.explode(F.array(*variants)).alias("_v")).select(label, "_v.feature", "_v.repeat", "_v.x.*")
-    scores = {(r["feature"], r["repeat"]): float(r[m.value]) for r in
-              M.evaluate(model.transform(each), m, label, "prediction", by=["feature", "repeat"]).collect()}
-    base = scores.get(("", -1), float("nan"))
-    out = [(f, r, base, s, (base - s) if m.maximise else (s - base)) for (f, r), s in sorted(scores.items()) if r >= 0]
-    return df.sparkSession.createDataFrame(
-        out, "feature string, repeat int, baseline double, permuted double, delta double")
+    """(feature, repeat, baseline, permuted, delta); delta > 0 means the feature helps.
+
+    ``features`` are columns of ``df`` that the pipeline's vector is assembled
+    from; one that the pipeline dropped (it had no value) makes no difference.
+    """
+    m, spark, features = M.Metric(metric), df.sparkSession, list(features)
+    at = next(i for i, s in enumerate(model.stages) if isinstance(s, VectorAssembler))
+    vector = model.stages[at]
+    first, rest = PipelineModel(stages=model.stages[:at + 1]), PipelineModel(stages=model.stages[at + 1:])
+    slots = {c: i for i, c in enumerate(vector.getInputCols())}
+    out = vector.getOutputCol()
+    rows = first.transform(df.select(*dict.fromkeys([key, label, *features]))).select(
+        F.col(key).alias("_key"), F.col(label).alias("_label"), vector_to_array(out).alias("_vec"))
+    path = scratch_path(spark, f"permuted-{uuid.uuid4().hex}")
+    with_permuted(rows, "_key", ["_vec"], repeats, seed).drop("_key").write.parquet(path)
+    rows = spark.read.parquet(path)
+
+    def scored(variants: list[tuple[int, int]]) -> dict[tuple[int, int], float]:
+        """The metric by (slot, repeat); slot -1: nothing is permuted."""
+        pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.lit(r).alias("repeat")) for i, r in variants])).alias("v")
+        used = sorted({r for _, r in variants if r >= 0})
+        other = F.coalesce(*[F.when(F.col("v.repeat") == r, F.get(F.col(f"_p{r}._vec"), F.col("v.slot"))) for r in used], F.lit(None).cast("double")) \
+            if used else F.lit(None).cast("double")
+        each = rows.select("_label", "_vec", *[f"_p{r}" for r in used], pairs).select("_label", "_vec", "v.slot", "v.repeat", other.alias("_other"))
+        mixed = F.transform("_vec", lambda x, i: F.when(i == F.col("slot"), F.col("_other")).otherwise(x))
+        each = each.select(F.col("_label").alias(label), "slot", "repeat", array_to_vector(mixed).alias(out))
+        return {(r["slot"], r["repeat"]): float(r[m.value]) for r in
+                M.evaluate(rest.transform(each), m, label, "prediction", by=["slot", "repeat"]).collect()}
+    base = scored([(-1, -1)]).get((-1, -1), float("nan"))
+    wanted = [(slots[f], r) for f in features if f in slots for r in range(repeats)]
+    told: dict[tuple[int, int], float] = {}
+    for lo in range(0, len(wanted), BATCH):
+        told |= scored(wanted[lo:lo + BATCH])
+    lines = []
+    for f in sorted(features):
+        for r in range(repeats):
+            s = told.get((slots[f], r), float("nan")) if f in slots else base
+            lines.append((f, r, base, s, (base - s) if m.maximise else (s - base)))
+    return spark.createDataFrame(lines, "feature string, repeat int, baseline double, permuted double, delta double")

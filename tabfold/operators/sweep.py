@@ -5,21 +5,21 @@ Brute force scores every row once per candidate (701 passes or a 701x
 explode).  Here each row's class is a step function of the candidate index
 j: it changes only where ``score * w_j`` crosses a cut, so a row emits at most
 1 + 2*len(cuts) (j, real, class, +-1) deltas.  Summing deltas per
-(j, real, class) is one aggregation with map-side combine; its result is
-bounded by lattice size x classes x predicted classes (independent of the row
-count) and the per-candidate confusion tables follow by a running sum over j,
-in Spark.
+(j, real, class) is one aggregation with map-side combine, and the only shuffle:
+its result is bounded by lattice size x real classes x predicted classes,
+whatever the number of rows.  Running sums of it along the lattice are the
+confusion tables of all candidates, and kappa is a few sums of each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabfold.functions.columns import SEVERITY_CUTS, ordinal_bin
-from tabfold.operators.metrics import kappa_from_confusion
 
 
 def lattice(lo_milli: int = 800, hi_milli: int = 1500) -> list[float]:
@@ -56,28 +56,48 @@ def class_deltas(df: DataFrame, real: str, score: str, cuts: Sequence[float] = S
                 .agg(F.sum("e.d").alias("delta")))
 
 
-def confusion_at(deltas: DataFrame, n_j: int) -> DataFrame:
-    """(j, real, pred, n): the confusion table of every lattice point, from its changes.
-
-    Each (real, pred) cell is filled in along the lattice: a running sum per
-    cell, so the work grows with cells, not with classes squared.
-    """
-    cells = deltas.select("real", "pred").distinct().select("real", "pred", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_j - 1).cast("bigint"))).alias("j"))
-    upto = Window.partitionBy("real", "pred").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
-    filled = cells.join(deltas, ["real", "pred", "j"], "left").withColumn("n", F.sum(F.coalesce("delta", F.lit(0))).over(upto))
-    return filled.where("n > 0").select("j", "real", "pred", "n")
+def kappas(deltas: Sequence[tuple], n_j: int, n_pred: int, quadratic: bool = True) -> np.ndarray:
+    """Kappa at each of ``n_j`` lattice points from (j, real, pred, delta); classes ranked in the union of those present."""
+    real = sorted({r for _, r, _, _ in deltas})
+    every = sorted({*real, *range(n_pred)})
+    place = {c: i for i, c in enumerate(every)}
+    rows = np.array([place[r] for r in real], dtype=int)
+    n = np.zeros((n_j, len(real), n_pred))
+    at = {r: i for i, r in enumerate(real)}
+    for j, r, p, d in deltas:
+        n[j, at[r], p] += d
+    n = n.cumsum(axis=0)
+    by_real, by_pred = n.sum(2), n.sum(1)
+    present = np.zeros((n_j, len(every)))
+    np.maximum.at(present, (slice(None), rows), (by_real > 0).astype(float))
+    np.maximum.at(present, (slice(None), [place[p] for p in range(n_pred)]), (by_pred > 0).astype(float))
+    rank = present.cumsum(1) - 1
+    i, k = rank[:, rows], rank[:, [place[p] for p in range(n_pred)]]
+    total = by_real.sum(1)
+    with np.errstate(all="ignore"):
+        if quadratic:
+            # sums over cells of n (i - k)^2, expanded
+            cross = (n * i[:, :, None] * k[:, None, :]).sum((1, 2))
+            r2, c2, r1, c1 = (by_real * i * i).sum(1), (by_pred * k * k).sum(1), (by_real * i).sum(1), (by_pred * k).sum(1)
+            return 1 - (r2 + c2 - 2 * cross) / (r2 + c2 - 2 * r1 * c1 / total)
+        same = (n * (rows[:, None] == np.array([place[p] for p in range(n_pred)])[None, :])).sum((1, 2))
+        by_class = np.zeros((n_j, len(every)))
+        by_class[:, [place[p] for p in range(n_pred)]] = by_pred
+        return 1 - (total - same) / (total - (by_real * by_class[:, rows]).sum(1) / total)
 
 
 def sweep(df: DataFrame, real: str, score: str, cuts: Sequence[float] = SEVERITY_CUTS,
           lo_milli: int = 800, hi_milli: int = 1500, quadratic: bool = True) -> DataFrame:
-    """(j, weight, kappa) for every lattice point; classes ranked in the per-candidate union."""
+    """(j, weight, kappa) for every lattice point; classes ranked in the per-candidate union.
+
+    ``real`` holds class codes, as many as the cuts make or a few more: the
+    driver takes a number for each lattice point, real and predicted class.
+    """
     n_j = hi_milli - lo_milli + 1
-    conf = confusion_at(class_deltas(df, real, score, cuts, lo_milli, hi_milli), n_j)
-    kappa = kappa_from_confusion(conf, "quadratic" if quadratic else "unweighted", by=["j"], rank_within=["j"])
-    points = df.sparkSession.range(n_j).select(F.col("id").alias("j"), _w(F.col("id"), lo_milli).alias("weight"))
-    value = F.col("qwk" if quadratic else "kappa")
-    return (points.join(kappa.withColumnRenamed("j", "_j"), F.col("j") == F.col("_j"), "left")
-            .select(F.col("j").cast("int").alias("j"), "weight", F.coalesce(value, F.lit(float("nan"))).alias("kappa")))
+    deltas = [tuple(r) for r in class_deltas(df, real, score, cuts, lo_milli, hi_milli).collect()]
+    curve = kappas(deltas, n_j, len(cuts) + 1, quadratic)
+    return df.sparkSession.createDataFrame([(j, w, float(v)) for j, (w, v) in enumerate(zip(lattice(lo_milli, hi_milli), curve, strict=True))],
+                                           "j int, weight double, kappa double")
 
 
 def best_weight(curve: DataFrame) -> DataFrame:

@@ -23,9 +23,10 @@ from statistics import NormalDist
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabfold.operators.prefix import running_sum
 from tabfold.session import scratch_path
 
 KNOTS = 100
@@ -77,15 +78,17 @@ def _score(share: float) -> float:
 
 
 def _category_table(df: DataFrame, c: str) -> DataFrame:
-    """(value, lo, hi) by frequency (then value), written once: its size is that of the distinct values."""
+    """(value, lo, hi) by frequency (then value), written once: its size is that of the distinct values.
+
+    The running sum goes range by range, so a nearly unique column passes through no single task.
+    """
     spark = df.sparkSession
     counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.orderBy(F.desc("n"), "value").rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("n").over(Window.partitionBy())
-    t = counts.select("value", (F.sum("n").over(upto) / total).alias("hi"), (F.col("n") / total).alias("share"))
+    summed, total = running_sum(counts, [F.desc("n"), F.asc("value")], "n")
     path = scratch_path(spark, f"categories-{uuid.uuid4().hex}")
-    t.select("value", (F.col("hi") - F.col("share")).alias("lo"), "hi").write.parquet(path)
-    return spark.read.parquet(path)
+    every = F.lit(float(total or 1))
+    summed.select("value", (F.col("before") / every).alias("lo"), ((F.col("before") + F.col("n")) / every).alias("hi")).write.parquet(path)
+    return spark.read.schema("value string, lo double, hi double").parquet(path)
 
 
 def fit_copula(df: DataFrame, cols: Sequence[str], q: int = KNOTS) -> Copula:

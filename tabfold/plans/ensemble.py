@@ -12,12 +12,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabfold.functions.columns import SEVERITY_CUTS, scaled_class
 from tabfold.operators import metrics as M
 from tabfold.plans import learners as L
 from tabfold.plans import linear
+from tabfold.sources import schema as S
 
 MIN_WEIGHT = 1e-14
 
@@ -190,17 +192,21 @@ def fit_stacked(oof_wide: DataFrame, members: Sequence[str], label: str, alpha:
     return linear.fit_all(oof_wide, list(members), label, alpha)
 
 
-def member_predictions(df: DataFrame, models: Mapping[str, object], key: str) -> DataFrame:
-    """Score every member's full-data model on the same rows -> (key, <member>...).
+def member_predictions(df: DataFrame, models: Mapping[str, object], key: str, proba: bool = False) -> DataFrame:
+    """Every member's prediction (or positive-class probability) of the same rows -> (key, <member>...).
 
-    Each member's pipeline runs as a projection over ``df``; the scored
-    frames share the key, so one union + pivot widens them (no positions).
+    Row by row: each member's pipeline is a projection over the rows as they
+    came in, so nothing is shuffled and null or repeated keys are rows like
+    any other.
     """
-    frames = {}
-    for name, model in models.items():
-        scored = model.transform(df)
-        frames[name] = scored.select(key, F.col("prediction").cast("double").alias("prediction"))
-    return widen_oof(frames, key=key)
+    made = {"features", "rawPrediction", "probability", "prediction"}      # names that pipelines write
+    rows, done = df.select(F.struct(*df.columns).alias("_own")), []
+    for i, model in enumerate(models.values()):
+        seen = [F.col("_own").getField(c).alias(c) for c in df.columns if c not in made]
+        scored = L.predict(model, rows.select(*seen, "_own", *done), f"_member{i}", proba)
+        done.append(f"_member{i}")
+        rows = scored.select("_own", *done)
+    return rows.select(F.col("_own").getField(key).alias(key), *[F.col(c).cast("double").alias(n) for c, n in zip(done, models, strict=True)])
 
 
 def stacked_coefficients(fit) -> DataFrame:
@@ -219,45 +225,78 @@ def memoised_leaderboard(spark, path: str, compute):
     return spark.read.parquet(f"{path}/leaderboard"), spark.read.parquet(f"{path}/oof")
 
 
-def leaderboard_job(df: DataFrame, learners: Mapping[str, L.Learner], features: Sequence[str], label: str, key: str,
-                    metric: str = "rmse", k: int = 5, grids: Mapping[str, Sequence[Mapping]] | None = None,
-                    groups=None, stratify=None) -> tuple[DataFrame, DataFrame, dict]:
+def features_of(features: Sequence[str] | Mapping[str, Sequence[str]], member: str) -> list[str]:
+    """A member's features: its own, if they are given by member."""
+    return list(features[member] if isinstance(features, Mapping) else features)
+
+
+def leaderboard_job(df: DataFrame, learners: Mapping[str, L.Learner], features: Sequence[str] | Mapping[str, Sequence[str]],
+                    label: str, key: str, metric: str = "rmse", k: int = 5, grids: Mapping[str, Sequence[Mapping]] | None = None,
+                    groups=None, stratify=None, carry: Sequence[str] = (), callback=None) -> tuple[DataFrame, DataFrame, dict]:
     """Tune (if a grid is given) and validate every member on the same folds.
 
-    Returns the leaderboard (member, <metric>, rounds) in the metric's order,
-    the wide out-of-fold frame (key, <member>..., label), and each member's
-    parameters.
+    ``features``: of all members, or by member.  Returns the leaderboard
+    (member, <metric>, rounds) in the metric's order, the wide out-of-fold
+    frame (key, <member>..., label, carried columns; a row for each row of
+    ``df``, whatever its key), and each member's parameters.  ``callback`` is
+    called with the first two when all members are validated.
     """
     from tabfold.plans import tuning
-    from tabfold.plans.validate import CachedFolds
+    from tabfold.plans.validate import ROW, CachedFolds
     spark = df.sparkSession
-    cache = CachedFolds(df, key, label, features, k, groups=groups, stratify=stratify)
+    every = list(dict.fromkeys(f for name in learners for f in features_of(features, name)))
+    folds = CachedFolds(df, key, label, every, k, groups=groups, stratify=stratify, carry=carry)
     rows, oofs, chosen = [], {}, {}
     for name, learner in learners.items():
+        cache = folds.only(features_of(features, name))
         chosen[name] = dict(learner.params)
         if grids and name in grids:
             chosen[name] = tuning.tune_grid(spark, cache, learner, metric, grids[name]).params
         cv = cache.cross_validate(learner, metric, chosen[name])
         rows.append((name, float(cv.score), int(cv.rounds)))
-        oofs[name] = cv.oof.select(key, "prediction")
+        oofs[name] = cv.oof.select(ROW, "prediction")
     scores = spark.createDataFrame(rows, f"member string, {M.Metric(metric).value} double, rounds int")
-    wide = widen_oof(oofs, key=key, label=label, label_df=cache.folded.select(key, label))
-    return leaderboard(scores, metric), wide, chosen
-
-
-def train_ensemble_job(df: DataFrame, learners: Mapping[str, L.Learner], features: Sequence[str], label: str, key: str,
-                       model_dir: str, metric: str = "rmse", k: int = 5, kind: str = "weighted", steps: int = 10,
-                       grids: Mapping[str, Sequence[Mapping]] | None = None, groups=None, stratify=None) -> dict:
+    # a row is told by the id it got when the folds were written, never by its key
+    own = [F.col(c).alias(f"o{i}") for i, c in enumerate(dict.fromkeys([key, label, *carry]))]
+    wide = widen_oof(oofs, key=ROW, label="_own", label_df=folds.folded.select(ROW, F.struct(*own).alias("_own")))
+    wide = wide.select(*[F.col(f"_own.o{i}").alias(c) for i, c in enumerate(dict.fromkeys([key, label, *carry]))], *learners)
+    board = leaderboard(scores, metric)
+    if callback is not None:
+        callback(board, wide)
+    return board, wide, chosen
+
+
+def train_ensemble_job(df: DataFrame, learners: Mapping[str, L.Learner], features: Sequence[str] | Mapping[str, Sequence[str]] | None,
+                       label: str, key: str, model_dir: str, metric: str = "rmse", k: int = 5, kind: str = "weighted", steps: int = 10,
+                       grids: Mapping[str, Sequence[Mapping]] | None = None, groups=None, stratify=None,
+                       preprocessor=None, class_col: str | None = None, cuts: Sequence[float] = SEVERITY_CUTS,
+                       required: Sequence[str] = (), callback=None, sized: bool = False) -> dict:
     """Leaderboard, weights (or a ridge stack) on its out-of-fold frame, members refitted on all
-    rows with the leaderboard's rounds, everything saved below ``model_dir``."""
-    from tabfold.plans.scoring import save_meta
+    rows with the leaderboard's rounds, everything saved below ``model_dir``: preprocessor, the data model of
+    raw rows, members, weights.
+
+    ``class_col``: the real classes; the score weight is then tuned on the
+    blend's out-of-fold scores, and scoring gives classes, too.  For a metric
+    of AUC the members' probabilities are blended, in the fit as in scoring.
+    ``required``: columns without which a raw row is rejected.
+    """
+    from pyspark.ml import PipelineModel
+    from tabfold.plans.scoring import prepare, save_meta, size_session, tuned_weight
     from tabfold.session import cut_lineage
-    spark = df.sparkSession
-    board, wide, chosen = leaderboard_job(df, learners, features, label, key, metric, k, grids, groups, stratify)
+    spark, names = df.sparkSession, list(learners)
+    if sized:
+        size_session(df)
+    every = features if features is None else list(dict.fromkeys(f for n in names for f in features_of(features, n)))
+    first, every, df = prepare(spark, df, key, every, label, class_col, model_dir, preprocessor, groups, stratify)
+    features = every if features is None else features
+    if stratify is None and all(x.objective == "classification" for x in learners.values()):
+        stratify = label
+    board, wide, chosen = leaderboard_job(df, learners, features, label, key, metric, k, grids, groups, stratify,
+                                          [class_col] if class_col else [], callback)
     wide = cut_lineage(wide)
     rounds = {r["member"]: r["rounds"] for r in board.collect()}
-    names = list(learners)
-    meta = {"key": key, "members": names, "kind": kind, "features": list(features)}
+    meta = {"key": key, "members": names, "kind": kind, "features": {n: features_of(features, n) for n in names}, "metric": M.Metric(metric).value,
+            "proba": M.Metric(metric) is M.Metric.AUC, "preprocessed": bool(first), "required": list(required), "n_rows": wide.count()}
     if kind == "stacked":
         fit = fit_stacked(wide, names, label)
         meta["coefficients"] = {r["term"]: r["value"] for r in linear.coefficients(fit).collect()}
@@ -266,23 +305,61 @@ def train_ensemble_job(df: DataFrame, learners: Mapping[str, L.Learner], feature
         meta["weights"] = [float(w) for w in ens.weights]
         score = ensemble_score(wide, ens, label, metric).first()
         meta["member_mean"], meta["ensemble"] = score["member_mean"], score["ensemble"]
+    if class_col is not None:
+        meta["cuts"] = list(cuts)
+        meta["weight"] = tuned_weight(wide.withColumn("_blend", blended(meta)), class_col, "_blend", cuts)
+    if first:
+        PipelineModel(stages=first).write().overwrite().save(f"{model_dir}/preprocessor")
     for name, learner in learners.items():
-        final = L.fit(learner, df, features, label, chosen[name], max(rounds[name], 1) if learner.boosted else None)
+        final = L.fit(learner, df, features_of(features, name), label, chosen[name], max(rounds[name], 1) if learner.boosted else None)
         final.model.write().overwrite().save(f"{model_dir}/members/{name}")
     save_meta(spark, f"{model_dir}/meta", meta)
     return meta
 
 
-def score_ensemble(spark, model_dir: str, df: DataFrame) -> DataFrame:
-    """(key, <member>..., prediction) of a saved ensemble."""
-    from pyspark.ml import PipelineModel
-    from tabfold.plans.scoring import load_meta
-    meta = load_meta(spark, f"{model_dir}/meta")
+def blended(meta: Mapping) -> Column:
+    """The ensemble's score from its members' columns."""
     names = meta["members"]
-    scored = member_predictions(df, {n: PipelineModel.load(f"{model_dir}/members/{n}") for n in names}, meta["key"])
     if meta["kind"] == "stacked":
         c = meta["coefficients"]
-        blend = sum((F.col(n) * F.lit(float(c[n])) for n in names), F.lit(float(c["intercept"])))
-    else:
-        blend = WeightedEnsemble(names, np.array(meta["weights"])).predict_col()
-    return scored.withColumn("prediction", blend)
+        return sum((F.col(n) * F.lit(float(c[n])) for n in names), F.lit(float(c["intercept"])))
+    return WeightedEnsemble(names, np.array(meta["weights"])).predict_col()
+
+
+@dataclass
+class EnsembleScorer:
+    """A saved ensemble: frozen schema, preprocessor, members, weights."""
+    members: dict
+    data_model: dict
+    meta: dict
+    first: object | None = None
+
+    @classmethod
+    def load(cls, spark, model_dir: str) -> EnsembleScorer:
+        from pyspark.ml import PipelineModel
+        from tabfold.plans.scoring import load_meta
+        meta = load_meta(spark, f"{model_dir}/meta")
+        return cls({n: PipelineModel.load(f"{model_dir}/members/{n}") for n in meta["members"]},
+                   S.load_data_model(spark, f"{model_dir}/data_model"), meta,
+                   PipelineModel.load(f"{model_dir}/preprocessor") if meta["preprocessed"] else None)
+
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(accepted, rejects): rows as the frozen columns; rejects have a ``reason``.  Together they are ``df``'s rows."""
+        told = S.with_reasons(df, self.data_model, required=self.meta["required"], reason="_reason")
+        return (told.where(F.col("_reason").isNull()).drop("_reason"),
+                told.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason"))
+
+    def score(self, df: DataFrame, weight: float | None = None) -> DataFrame:
+        """(key, <member>..., prediction[, class]) of every accepted row; no shuffle."""
+        rows = self.split(df)[0]
+        if self.first is not None:
+            rows = self.first.transform(rows)
+        out = member_predictions(rows, self.members, self.meta["key"], self.meta["proba"]).withColumn("prediction", blended(self.meta))
+        if "cuts" not in self.meta:
+            return out
+        return out.withColumn("class", scaled_class("prediction", float(weight if weight is not None else self.meta["weight"]), self.meta["cuts"]))
+
+
+def score_ensemble(spark, model_dir: str, df: DataFrame) -> DataFrame:
+    """(key, <member>..., prediction) of a saved ensemble."""
+    return EnsembleScorer.load(spark, model_dir).score(df)

@@ -6,12 +6,10 @@ perceptron are the other registered learners.  Parameters from the common
 boosted-tree vocabulary are mapped to Spark names; parameters with no Spark
 counterpart are refused loudly.
 
-Early stopping (``train_until_optimal``) uses patience: fit M trees,
-score every prefix on the validation rows with ``evaluateEachIteration``
-(one pass per model, not per tree), stop when the best prefix is followed by
-``patience`` non-improving rounds; otherwise double M.  The kept model is a
-refit with ``maxIter = best`` (same seed: the first n trees of a longer fit
-are the n-tree fit).
+Early stopping (``train_until_optimal``) uses patience: trees are grown in
+blocks on a margin column (``plans.boosting``), every prefix of a block is
+scored on the validation rows in one pass, and the best prefix is kept when
+``patience`` rounds did not improve on it.  No tree is fitted twice.
 """
 
 from __future__ import annotations
@@ -21,16 +19,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabfold.operators.impute import MedianImputer
+from tabfold.plans import boosting as B
+from tabfold.plans.boosting import patience_best  # noqa: F401
 
 # fixed values: boosted-tree parameter names -> Spark ML names
 PARAM_MAP = {
@@ -92,7 +91,7 @@ _KINDS = {
     "linear": (LinearRegression, "regression", False),
     "fm_regressor": (FMRegressor, "regression", False),
     "mlp_classifier": (MultilayerPerceptronClassifier, "classification", False),
-    "gbt_multiclass": (GBTClassifier, "classification", False),     # one-vs-rest around binary GBT
+    "gbt_multiclass": (GBTClassifier, "classification", True),      # softmax boosting on shared margins
 }
 
 
@@ -118,14 +117,14 @@ class Learner:
                   n_features: int | None = None) -> Estimator:
         cls = _KINDS[self.kind][0]
         p = spark_params(merge_params(self.params, params))
-        if rounds is not None and (self.boosted or self.kind == "gbt_multiclass"):
+        if rounds is not None and self.boosted:
             p["maxIter"] = int(rounds)
         if cls().hasParam("seed"):
             p.setdefault("seed", self.seed)
         if self.kind == "mlp_classifier" and "layers" not in p and n_features:
             p["layers"] = [n_features, 2 * n_features + 1, int(p.pop("numClasses", 2))]
         if self.kind == "gbt_multiclass":
-            return OneVsRest(classifier=cls(**p), featuresCol=features, labelCol=label)
+            raise ValueError("several classes are boosted together: use fit or train_until_optimal")
         return cls(featuresCol=features, labelCol=label, **p)
 
     def with_params(self, **params) -> "Learner":
@@ -171,17 +170,6 @@ def iteration_curve(model, data: DataFrame, learner: Learner) -> list[float]:
     return list(model.evaluateEachIteration(data))
 
 
-def patience_best(curve: Sequence[float], patience: int) -> tuple[int, bool]:
-    """(trees kept, stopped): best prefix = first minimum; stopped if `patience` rounds followed it."""
-    best_i, best_v = 0, float("inf")
-    for i, v in enumerate(curve):
-        if v < best_v:
-            best_i, best_v = i, v
-        elif i - best_i >= patience:
-            return best_i + 1, True
-    return best_i + 1, False
-
-
 @dataclass
 class FitResult:
     model: PipelineModel
@@ -189,35 +177,56 @@ class FitResult:
     curve: list[float]
 
 
+def _prepared(train: DataFrame, features: Sequence[str], label: str, imputer) -> tuple[list, DataFrame]:
+    """Fitted imputer and assembler, and the rows as (features, label)."""
+    prep = Pipeline(stages=[imputer or MedianImputer(inputCols=list(features)), assembler(features)]).fit(train)
+    return list(prep.stages), _vectors(prep.stages, train, label)
+
+
+def _vectors(stages: Sequence, rows: DataFrame, label: str) -> DataFrame:
+    return PipelineModel(stages=list(stages)).transform(rows).select("features", F.col(label).cast("double").alias("label"))
+
+
+def _n_classes(rows: DataFrame) -> int:
+    """Classes are 0 .. the largest label."""
+    top = rows.agg(F.max("label")).first()[0]
+    return max(2, int(top) + 1) if top is not None else 2
+
+
 def train_until_optimal(learner: Learner, train: DataFrame, val: DataFrame, features: Sequence[str],
-                        label: str, params: Mapping | None = None, start: int = 20,
+                        label: str, params: Mapping | None = None, start: int = 10,
                         max_rounds: int = MAX_ROUNDS, imputer=None) -> FitResult:
-    """Fit with patience-based early stopping on ``val``; boosted learners only."""
+    """Fit with patience-based early stopping on ``val``; boosted learners only.
+
+    ``start``: rounds between two looks at the validation rows.
+    """
     if not learner.boosted:
         return fit(learner, train, features, label, params, imputer=imputer)
-    prep = Pipeline(stages=[imputer or MedianImputer(inputCols=list(features)), assembler(features)]).fit(train)
-    # read by every refit; blocks that do not fit into memory go to disk, lost ones are made again
-    tr = prep.transform(train).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
-    va = prep.transform(val).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
-    m = min(start, max_rounds)
-    while True:
-        est = learner.estimator("features", label, params, rounds=m)
-        model = est.fit(tr)
-        curve = iteration_curve(model, va, learner)
-        best, stopped = patience_best(curve, learner.early_stopping_rounds)
-        if stopped or m >= max_rounds:
-            break
-        m = min(2 * m, max_rounds)
-    if best != m:
-        model = learner.estimator("features", label, params, rounds=best).fit(tr)
-    tr.unpersist()
-    va.unpersist()
-    return FitResult(PipelineModel(stages=[*prep.stages, model]), best, curve[:best])
+    p = spark_params(merge_params(learner.params, params))
+    seed, stages = int(p.pop("seed", learner.seed)), None
+    stages, tr = _prepared(train, features, label, imputer)
+    va, n_features = _vectors(stages, val, label), len(stages[-1].getInputCols())
+    if learner.kind == "gbt_multiclass":
+        n = _n_classes(tr)
+        made = B.grow_classes(tr, n, p, seed, max_rounds, va, learner.early_stopping_rounds, start)
+        return FitResult(PipelineModel(stages=[*stages, *B.class_stages(made, n, n_features)]), made.best, made.curve[:made.best])
+    classifier = learner.objective == "classification"
+    loss = "logistic" if classifier else p.get("lossType", "squared")
+    made = B.grow(tr, va, loss, p, seed, learner.early_stopping_rounds, start, max_rounds)
+    model = B.gbt_model(made.trees[:made.best], made.weights[:made.best], n_features, classifier)
+    return FitResult(PipelineModel(stages=[*stages, model]), made.best, made.curve[:made.best])
 
 
 def fit(learner: Learner, train: DataFrame, features: Sequence[str], label: str,
         params: Mapping | None = None, rounds: int | None = None, imputer=None) -> FitResult:
     """Fixed-round (or non-boosted) fit of the whole pipeline."""
+    if learner.kind == "gbt_multiclass":
+        p = spark_params(merge_params(learner.params, params))
+        rounds = int(rounds if rounds is not None else p.get("maxIter", 20))
+        stages, tr = _prepared(train, features, label, imputer)
+        n = _n_classes(tr)
+        made = B.grow_classes(tr, n, p, int(p.pop("seed", learner.seed)), rounds)
+        return FitResult(PipelineModel(stages=[*stages, *B.class_stages(made, n, len(stages[-1].getInputCols()))]), rounds, made.curve)
     pm = build_pipeline(learner, features, label, params, rounds, imputer=imputer).fit(train)
     return FitResult(pm, rounds if learner.boosted else None, [])
 
@@ -226,10 +235,12 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "prediction", proba:
     """Prediction column (or positive-class probability for classifiers with ``proba``)."""
     scored = model.transform(df)
     if proba:
-        scored = scored.withColumn(out, vector_to_array("probability")[1])
+        told = F.col("probability") if isinstance(scored.schema["probability"].dataType, T.ArrayType) else vector_to_array("probability")
+        scored = scored.withColumn(out, told[1])
     elif out != "prediction":
         scored = scored.withColumnRenamed("prediction", out)
-    drop = [c for c in ("features", "rawPrediction", "probability") if c in scored.columns]
+    drop = [c for c in ("features", "rawPrediction", "probability", "_parts") if c in scored.columns]
+    drop += [c for c in scored.columns if c.startswith("_margin")]
     if proba and "prediction" in scored.columns and out != "prediction":
         drop.append("prediction")
     return scored.drop(*drop)
@@ -237,11 +248,12 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "prediction", proba:
 
 def feature_importance(model: PipelineModel, features: Sequence[str], top: int = 50) -> DataFrame:
     """(feature, importance %) of a tree model, top-N by importance then name (both desc)."""
-    tree = model.stages[-1]
-    imp = tree.featureImportances.toArray()
+    trees = [s for s in model.stages if hasattr(s, "featureImportances")]         # several for several classes
+    imp = sum(t.featureImportances.toArray() for t in trees) / len(trees)
     tot = float(imp.sum()) or 1.0
     spark = SparkSession.getActiveSession()
-    used = dict(zip(model.stages[-2].getInputCols(), imp))          # features without any value were dropped
+    vector = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    used = dict(zip(vector.getInputCols(), imp))          # features without any value were dropped
     rows = [(f, float(used.get(f, 0.0)) * 100.0 / tot) for f in features]
     return (spark.createDataFrame(rows, "feature string, importance double")
                  .orderBy(F.col("importance").desc(), F.col("feature").desc()).limit(top))
@@ -257,7 +269,7 @@ def params_json(params: Mapping) -> str:
     return json.dumps(dict(sorted(params.items())), default=str)
 
 
-# starter learners and default grids
+# starter learners; fixed values: the default grids
 def default_learner(kind: str = "gbt_regressor") -> Learner:
     if kind.startswith("gbt"):
         return Learner(kind, {"maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8},
@@ -273,6 +285,4 @@ def default_learner(kind: str = "gbt_regressor") -> Learner:
         return Learner(kind, {"factorSize": 4, "maxIter": 50}, grid={"factorSize": [2, 4, 8]})
     if kind == "mlp_classifier":
         return Learner(kind, {"maxIter": 100}, grid={"blockSize": [64, 128]})
-    if kind == "gbt_multiclass":
-        return Learner(kind, {"maxDepth": 3, "maxIter": 20}, grid={"maxDepth": [2, 3, 4]})
     raise ValueError(kind)

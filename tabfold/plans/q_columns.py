@@ -13,6 +13,7 @@ from tabfold.plans.q_flagship import Y_SQL, order_label
 from tabfold.plans.registry import query
 from tabfold.plans.sqlfrag import r6
 from tabfold.sources import schema as S
+from tabfold.sources.csv import NA_TOKENS
 from tabfold.sources.tables import read_table
 
 # fixed values for the driver tables: a partial order-priority code table
@@ -318,3 +319,22 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     CSV.write_csv(raw, path)
     back = CSV.load_labelled(spark, path, "Target-y", key="Order-Key")
     return back.withColumn("Target_y", C.round6("Target_y"))
+
+
+_NA_SQL = ", ".join("'" + t + "'" for t in NA_TOKENS)
+
+
+@query("q_csv_quotes", sql=f"""
+SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars, len(string_split(t, chr(10))) AS n_lines
+FROM (SELECT doc_id, CASE WHEN text NOT IN ({_NA_SQL}) THEN text END AS t FROM documents)""")
+def q_csv_quotes(spark: SparkSession, sf: str) -> DataFrame:
+    """A1/A3/A4: whole texts (line breaks, quotation marks) through CSV: written, cut into records by many tasks, read back."""
+    import uuid
+
+    from tabfold.session import scratch_path
+    from tabfold.sources import csv as CSV
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    CSV.write_csv(read_table(spark, sf, "documents").select("doc_id", "text"), path, quote_all=True)
+    back = CSV.load_unlabelled(spark, path)
+    return back.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"),
+                       F.size(F.split("text", "\n")).cast("long").alias("n_lines"))

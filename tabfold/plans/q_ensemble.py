@@ -3,19 +3,22 @@ blend lattice, simplex weights, ridge stacking, score-weight sweep."""
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabfold.functions import columns as C
 from tabfold.operators import metrics as M
 from tabfold.operators import sweep as W
-from tabfold.operators.folds import kfold
+from tabfold.operators.folds import NULL_KEY, kfold
 from tabfold.plans import ensemble as E
 from tabfold.plans import linear
 from tabfold.plans.q_flagship import PER_ORDER_SQL, oof_linear, with_classes, Y_SQL, order_label
 from tabfold.plans.registry import query
 from tabfold.plans.sqlfrag import fold_sql, r6
-from tabfold.session import cut_lineage
+from tabfold.session import cut_lineage, scratch_path
 from tabfold.sources.tables import read_table
 
 K = 5
@@ -244,3 +247,37 @@ def q_ensemble_score(spark: SparkSession, sf: str) -> DataFrame:
     ens = E.WeightedEnsemble(["ls_qty", "ls_lines"], np.array([1.0, 1.0 / 3.0]))
     s = E.ensemble_score(oof_wide(spark, sf), ens, "y", "mae")
     return s.select(C.round6("member_mean", 4).alias("member_mean"), C.round6("ensemble", 4).alias("ensemble"))
+
+
+_NULL_FOLD = int(hashlib.md5(f"0:{NULL_KEY}".encode()).hexdigest()[:8], 16) % K
+
+
+@query("q_ensemble_publish", sql=f"""
+WITH po AS (SELECT l_orderkey AS id, sum(l_quantity) AS qty, CAST(count(*) AS DOUBLE) AS n_lines, {Y_SQL} AS y FROM lineitem GROUP BY l_orderkey),
+t AS (SELECT CASE WHEN id % 11 = 0 THEN NULL ELSE id END AS id, qty, n_lines, y FROM po
+      UNION ALL SELECT id, qty, n_lines, y FROM po WHERE id % 10 = 0),
+f AS (SELECT *, CASE WHEN id IS NULL THEN {_NULL_FOLD} ELSE {fold_sql('id', K)} END AS fold FROM t),
+ks AS (SELECT CAST(range AS INTEGER) AS k FROM range({K})),
+ca AS (SELECT k AS fold, regr_slope(y, qty) AS b, regr_intercept(y, qty) AS a FROM f JOIN ks ON fold <> k GROUP BY k),
+cb AS (SELECT k AS fold, regr_slope(y, n_lines) AS b, regr_intercept(y, n_lines) AS a FROM f JOIN ks ON fold <> k GROUP BY k),
+w AS (SELECT f.y, ca.a + ca.b * f.qty AS p, cb.a + cb.b * f.n_lines AS q FROM f JOIN ca USING (fold) JOIN cb USING (fold)),
+s AS (SELECT greatest(0.0, least(1.0, sum((y - q) * (p - q)) / sum((p - q) * (p - q)))) AS t FROM w),
+fa AS (SELECT regr_slope(y, qty) AS b, regr_intercept(y, qty) AS a FROM t),
+fb AS (SELECT regr_slope(y, n_lines) AS b, regr_intercept(y, n_lines) AS a FROM t),
+r AS (SELECT t.id, CASE WHEN qty % 5 = 0 THEN 'uncastable:qty' END AS reason,
+        s.t * (fa.a + fa.b * qty) + (1 - s.t) * (fb.a + fb.b * n_lines) AS blend FROM t JOIN s ON true JOIN fa ON true JOIN fb ON true)
+SELECT id, CASE WHEN reason IS NULL THEN {r6('blend', 4)} END AS blend, coalesce(reason, 'scored') AS outcome FROM r""")
+def q_ensemble_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """An ensemble of two members validated, weighted, refitted, published and served on raw text rows:
+    every row (null keys, repeated keys) is scored or rejected with the reason."""
+    from tabfold.plans.q_learn import EXACT_LINEAR, order_table
+    po = order_table(spark, sf).select("id", "qty", "n_lines", "y")
+    rows = po.withColumn("id", F.when(F.col("id") % 11 != 0, F.col("id"))).unionByName(po.where("id % 10 = 0"))
+    model_dir = scratch_path(spark, f"ensemble-{uuid.uuid4().hex}")
+    E.train_ensemble_job(rows, {n: EXACT_LINEAR for n in MEMBERS}, {n: [f] for n, f in MEMBERS.items()}, "y", "id", model_dir)
+    qty = F.col("qty")
+    raw = rows.select(F.col("id").cast("string"), F.when(qty % 5 == 0, F.lit("n/k")).otherwise(qty.cast("string")).alias("qty"),
+                      F.col("n_lines").cast("string"))
+    scorer = E.EnsembleScorer.load(spark, model_dir)
+    scored = scorer.score(raw).select("id", C.round6("prediction", 4).alias("blend"), F.lit("scored").alias("outcome"))
+    return scored.unionByName(scorer.split(raw)[1].select("id", F.lit(None).cast("double").alias("blend"), F.col("reason").alias("outcome")))

@@ -69,6 +69,42 @@ SELECT e.event_id, e.user_id, g.fold FROM events e JOIN g USING (user_id)""")
 def q_strat_group(spark: SparkSession, sf: str) -> DataFrame:
     """K5: groups intact, stratified by each group's dominant class."""
     e = read_table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    return K.dominant_class_group_kfold(e, "user_id", "event_type", KF).select("event_id", "user_id", "fold")
+
+
+@query("q_strat_group_balanced", sql=f"""
+WITH RECURSIVE h AS (SELECT user_id, event_type AS c, count(*) AS n FROM events GROUP BY ALL),
+cls AS (SELECT c, sum(n) AS total, row_number() OVER (ORDER BY c) AS ci FROM h GROUP BY c),
+tl AS (SELECT list(CAST(total AS DOUBLE) ORDER BY ci) AS total, count(*) AS nc FROM cls),
+g AS (SELECT user_id, sum(n) AS n_rows, min_by(c, (-n, c)) AS dom FROM h GROUP BY 1),
+thr AS (SELECT greatest(1, ceil(sum(n_rows) / ({KF} * {K.HEAVY_FACTOR}.0))) AS least FROM g),
+hv AS (SELECT user_id, n_rows, row_number() OVER (ORDER BY n_rows DESC, user_id) AS i FROM g, thr WHERE n_rows >= least),
+hc AS (SELECT hv.i, hv.user_id, hv.n_rows, list(coalesce(h.n, 0) ORDER BY cls.ci) AS cnt
+       FROM hv JOIN cls ON true LEFT JOIN h ON h.user_id = hv.user_id AND h.c = cls.c GROUP BY ALL),
+rec AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS user_id, CAST(-1 AS BIGINT) AS fold,
+    list_transform(range({KF}), lambda f: list_transform(range(nc), lambda c: CAST(0 AS BIGINT))) AS loads,
+    list_transform(range({KF}), lambda f: CAST(0 AS BIGINT)) AS sizes FROM tl
+  UNION ALL
+  SELECT i, user_id, best, list_transform(loads, lambda l, f: CASE WHEN f - 1 = best THEN list_transform(l, lambda x, c: x + cnt[c]) ELSE l END),
+    list_transform(sizes, lambda s, f: CASE WHEN f - 1 = best THEN CAST(s + n_rows AS BIGINT) ELSE s END)
+  FROM (SELECT hc.i, CAST(hc.user_id AS BIGINT) AS user_id, loads, sizes, cnt, n_rows,
+          list_sort(list_transform(range({KF}), lambda f: {{'rise': round(list_sum(list_transform(range(nc), lambda c: CASE WHEN cnt[c + 1] > 0 THEN
+              pow((loads[f + 1][c + 1] + cnt[c + 1]) / total[c + 1] - 1.0 / {KF}, 2) - pow(loads[f + 1][c + 1] / total[c + 1] - 1.0 / {KF}, 2) ELSE 0 END)), 12),
+            'size': sizes[f + 1], 'f': f}}))[1].f AS best
+        FROM rec JOIN hc ON hc.i = rec.i + 1 JOIN tl ON true)
+),
+fin AS (SELECT loads FROM rec ORDER BY i DESC LIMIT 1),
+room AS (SELECT c, list_transform(range({KF}), lambda f: greatest(0, total / {KF}.0 - loads[f + 1][ci])) AS r FROM cls, fin),
+light AS (SELECT user_id, {unit_sql('user_id')} AS u, list_sum(r) AS s, r FROM g JOIN room ON dom = c, thr WHERE n_rows < least),
+folds AS (
+  SELECT user_id, fold FROM rec WHERE i > 0 UNION ALL
+  SELECT user_id, len(list_filter(range(1, {KF}), lambda f: CASE WHEN s > 0 THEN list_sum(r[1:f]) / s ELSE f / {KF}.0 END <= u)) FROM light
+)
+SELECT e.event_id, e.user_id, CAST(folds.fold AS INTEGER) AS fold FROM events e JOIN folds USING (user_id)""")
+def q_strat_group_balanced(spark: SparkSession, sf: str) -> DataFrame:
+    """K5: groups intact, every class's share and the sizes balanced over the folds."""
+    e = read_table(spark, sf, "events").select("event_id", "user_id", "event_type")
     return K.stratified_group_kfold(e, "user_id", "event_type", KF).select("event_id", "user_id", "fold")
 
 

@@ -26,7 +26,7 @@ from tabfold.plans.sqlfrag import fold_sql, r6, unit_sql
 from tabfold.plans.scoring import Scorer, train_job
 from tabfold.session import cut_lineage, scratch_path
 from tabfold.sources.tables import read_table
-from tabfold.streaming.score_stream import score_stream
+from tabfold.streaming.score_stream import rejects_of, score_stream
 
 FEATS = ["qty", "n_lines", "avg_disc", "avg_tax"]
 
@@ -249,18 +249,43 @@ def q_score_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return scored.unionByName(rejects)
 
 
+@query("q_stream_rejects", sql=f"""
+WITH {ORDERS_SQL}, raw AS (
+  SELECT CASE WHEN id % 7 = 0 THEN NULL ELSE id END AS id, CASE WHEN id % 5 = 0 THEN 'n/k' ELSE CAST(CAST(qty AS BIGINT) AS VARCHAR) END AS qty, qty AS q FROM o),
+c AS (SELECT regr_slope(y, qty) AS b, regr_intercept(y, qty) AS a FROM o),
+told AS (SELECT nullif(concat_ws(';', CASE WHEN id IS NULL THEN 'missing:id' END, CASE WHEN qty = 'n/k' THEN 'uncastable:qty' END), '') AS reason, id, q FROM raw)
+SELECT coalesce(reason, 'scored') AS outcome, count(*) AS n, sum(id) AS ids, {r6('sum(CASE WHEN reason IS NULL THEN a + b * q END)', 2)} AS score FROM told, c GROUP BY 1""")
+def q_stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """ST1/A7: a stream of raw rows: scores and rejects with reasons, together the input; a second run adds nothing."""
+    df = order_table(spark, sf)
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    train_job(spark, df, "id", ["qty"], "y", "y_class", EXACT_LINEAR, f"{run}/model", tune_weight=False)
+    raw = df.select(F.when(F.col("id") % 7 != 0, F.col("id")).alias("id"),
+                    F.when(F.col("id") % 5 == 0, F.lit("n/k")).otherwise(F.col("qty").cast("bigint").cast("string")).alias("qty"))
+    raw.repartition(4).write.parquet(f"{run}/in")
+    for _ in range(2):
+        scored = score_stream(spark, f"{run}/in", f"{run}/model", f"{run}/out", f"{run}/ckpt")
+    rejects = spark.read.parquet(rejects_of(f"{run}/out"))
+    both = scored.select(F.lit("scored").alias("outcome"), "id", "score").unionByName(rejects.select(F.col("reason").alias("outcome"), "id", F.lit(None).cast("double").alias("score")))
+    return both.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"), F.sum("score").alias("_s")) \
+        .select("outcome", "n", "ids", C.round6("_s", 2).alias("score"))
+
+
 @query("q_synth", sql=f"""
 WITH {ORDERS_SQL}
 SELECT c AS "column", (SELECT count(*) FROM o) AS n, true AS mean_close, true AS spread_close
 FROM (SELECT unnest(['qty', 'n_lines', 'y']) AS c)""")
 def q_synth(spark: SparkSession, sf: str) -> DataFrame:
-    """K9: Gaussian-copula synthetic orders, as many as there are real ones; means and deviations within 5 % of the deviation."""
+    """K9: Gaussian-copula synthetic orders, as many as there are real ones; means and deviations within 5 % of the
+    deviation (what the knots may cost) and four standard errors (what drawing ``n`` rows may)."""
     cols = ["qty", "n_lines", "y"]
     df = order_table(spark, sf).select(*cols)
     made = SY.sample(spark, SY.fit_copula(df, cols), df.count(), seed=0)
     real = df.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev))]).first()
     fake = made.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev))]).first()
-    rows = [(c, fake["n"], abs(real[f"m_{c}"] - fake[f"m_{c}"]) < 0.05 * real[f"s_{c}"], abs(real[f"s_{c}"] - fake[f"s_{c}"]) < 0.05 * real[f"s_{c}"]) for c in cols]
+    def near(c: str, what: str) -> bool:
+        return abs(real[f"{what}_{c}"] - fake[f"{what}_{c}"]) < (0.05 + 4 / fake["n"] ** 0.5) * real[f"s_{c}"]
+    rows = [(c, fake["n"], near(c, "m"), near(c, "s")) for c in cols]
     return spark.createDataFrame(rows, "column string, n long, mean_close boolean, spread_close boolean")
 
 
@@ -279,11 +304,11 @@ def q_perm_importance(spark: SparkSession, sf: str) -> DataFrame:
 SELECT o_orderstatus AS status, true AS share_close, (SELECT count(*) FROM orders) AS n FROM orders GROUP BY 1""")
 def q_synth_orders(spark: SparkSession, sf: str) -> DataFrame:
     """K9 with mixed types: price (numeric) with status and priority (categorical), n = row count;
-    shares of each status within one percent of the rows."""
+    shares of each status within one percent of the rows and four standard errors."""
     o = read_table(spark, sf, "orders").select("o_totalprice", "o_orderstatus", "o_orderpriority")
     n = o.count()
     made = SY.sample(spark, SY.fit_copula(o, ["o_totalprice", "o_orderstatus", "o_orderpriority"]), n, seed=1)
     real = o.groupBy(F.col("o_orderstatus").alias("status")).agg((F.count(F.lit(1)) / n).alias("a"))
     fake = made.groupBy(F.col("o_orderstatus").alias("status")).agg((F.count(F.lit(1)) / n).alias("b"))
-    return real.join(fake, "status").select("status", (F.abs(F.col("a") - F.col("b")) < 0.01).alias("share_close"),
+    return real.join(fake, "status").select("status", (F.abs(F.col("a") - F.col("b")) < 0.01 + 4 * F.sqrt(F.col("a") * (1 - F.col("a")) / n)).alias("share_close"),
                                             F.lit(made.count()).cast("long").alias("n"))

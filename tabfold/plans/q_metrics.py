@@ -97,6 +97,21 @@ def q_auc(spark: SparkSession, sf: str) -> DataFrame:
     return a.select(C.round6("auc").alias("auc"))
 
 
+@query("q_auc_by", sql=f"""
+WITH x AS (
+  SELECT 'status ' || l_linestatus AS grp, l_extendedprice AS score, l_returnflag = 'R' AS hit FROM lineitem
+  UNION ALL SELECT 'supplier ' || l_suppkey, l_extendedprice, l_returnflag = 'R' FROM lineitem),
+s AS (SELECT grp, score, count(*) FILTER (WHERE hit) AS pos, count(*) FILTER (WHERE NOT hit) AS neg FROM x GROUP BY grp, score),
+c AS (SELECT grp, pos, neg, coalesce(sum(neg) OVER (PARTITION BY grp ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+SELECT grp, {r6("sum(pos * (below + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0)")} AS auc FROM c GROUP BY grp""")
+def q_auc_by(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact AUC of returns against price, of the two statuses (all rows) and of every supplier, in one plan."""
+    li = read_table(spark, sf, "lineitem").select("l_extendedprice", (F.col("l_returnflag") == "R").cast("int").alias("hit"), F.explode(F.array(
+        F.concat(F.lit("status "), "l_linestatus"), F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")))).alias("grp"))
+    scored = M.evaluate(li, "auc", "hit", "l_extendedprice", by=["grp"])
+    return scored.select("grp", C.round6("auc").alias("auc"))
+
+
 @query("q_cv_summary", sql=f"""
 WITH {PER_ORDER_SQL},
 pf AS (SELECT fold, sqrt(avg((y - p) * (y - p))) AS rmse, CAST(NULL AS BIGINT) AS rounds FROM oof GROUP BY fold)

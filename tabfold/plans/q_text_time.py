@@ -151,6 +151,21 @@ def q_daily(spark: SparkSession, sf: str) -> DataFrame:
                     *[C.round6(w).alias(w) for w in waves])
 
 
+@query("q_parse_time", sql="""
+WITH t AS (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'not a date' ELSE strftime(ts, '%d/%m/%Y %H:%M:%S') END AS said FROM events),
+p AS (SELECT event_id, try_strptime(said, '%d/%m/%Y %H:%M:%S') AS ts FROM t),
+d AS (SELECT event_id, ts, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS d FROM p)
+SELECT event_id, CAST(hour(ts) AS BIGINT) AS hour, CAST(minute(ts) AS BIGINT) AS minute, CAST(d % 365 AS BIGINT) AS dayofyear,
+  CAST(d % 7 AS BIGINT) AS dayofweek, CAST((d % 365) // 31 AS BIGINT) AS month FROM d""")
+def q_parse_time(spark: SparkSession, sf: str) -> DataFrame:
+    """S21 with S19 and S20: dates written as text, parsed by a strftime pattern; what is no date gives nulls."""
+    e = read_table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 13 == 0, F.lit("not a date"))
+                                               .otherwise(F.date_format("ts", "dd/MM/yyyy HH:mm:ss")).alias("said"))
+    pattern = "%d/%m/%Y %H:%M:%S"
+    both = TF.yearly_features(TF.daily_features(e, "said", time_format=pattern), "said", date_format=pattern)
+    return both.select("event_id", *[F.col(c).cast("bigint").alias(c) for c in ("hour", "minute", "dayofyear", "dayofweek", "month")])
+
+
 @query("q_page_readability", sql=f"""
 WITH b AS (SELECT page_id, {_re('html', X.TAG_RE, '')} AS body FROM pages),
 c AS (SELECT page_id, body, {clean_sql('body')} AS clean FROM b)

@@ -54,6 +54,32 @@ def size_session(df: DataFrame) -> None:
         size_for_input(df.sparkSession, input_bytes(df.sparkSession, folders))
 
 
+def prepare(spark: SparkSession, df: DataFrame, key: str, features: Sequence[str] | None, label: str, class_col: str | None,
+            model_dir: str, preprocessor: Estimator | None, groups=None, stratify: str | None = None) -> tuple[list, list[str], DataFrame]:
+    """Fit the preprocessor, settle the features, save the data model of raw rows; the training frame, materialised once.
+
+    Returns the fitted first stages, the features, and the frame.
+    """
+    outside = {label, class_col, stratify, *([groups] if isinstance(groups, str) else list(groups or []))} - {None, key}
+    first: list = []
+    raw = df
+    if preprocessor is not None:
+        model = preprocessor.fit(df)
+        first, df = [model], model.transform(df)
+    if features is None:
+        features = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))
+                    and f.name != key and f.name not in outside]
+    wanted = [c for c in raw.columns if c not in outside] if first else [key, *features]
+    S.save_data_model(spark, raw.select(*dict.fromkeys(wanted)).schema, f"{model_dir}/data_model")
+    return first, list(features), cut_lineage(df.select(*dict.fromkeys([key, label, *features, *sorted(outside)])))
+
+
+def tuned_weight(oof: DataFrame, class_col: str, score: str, cuts: Sequence[float]) -> float:
+    """The score weight that is best for out-of-fold rows that hold their class."""
+    best = W.best_weight(W.sweep(oof, class_col, score, cuts)).first()
+    return float(best["weight"]) if best is not None else DEFAULT_WEIGHT
+
+
 def train_job(spark: SparkSession, df: DataFrame, key: str, features: Sequence[str] | None, label: str,
               class_col: str | None, learner: L.Learner, model_dir: str, k: int = 5,
               metric: str = "rmse", params: Mapping | None = None, tune_weight: bool = True,
@@ -75,32 +101,16 @@ def train_job(spark: SparkSession, df: DataFrame, key: str, features: Sequence[s
     """
     if sized:
         size_session(df)
-    outside = {label, class_col, stratify, *([groups] if isinstance(groups, str) else list(groups or []))} - {None, key}
-    first: list = []
-    raw = df
-    if preprocessor is not None:
-        model = preprocessor.fit(df)
-        first, df = [model], model.transform(df)
-    if features is None:
-        features = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))
-                    and f.name != key and f.name not in outside]
-    wanted = [c for c in raw.columns if c not in outside] if first else [key, *features]
-    S.save_data_model(spark, raw.select(*dict.fromkeys(wanted)).schema, f"{model_dir}/data_model")
-    df = cut_lineage(df.select(*dict.fromkeys([key, label, *features, *sorted(outside)])))
+    first, features, df = prepare(spark, df, key, features, label, class_col, model_dir, preprocessor, groups, stratify)
     if stratify is None and learner.objective == "classification":
         stratify = label
-    cache = CachedFolds(df, key, label, features, k, groups=groups, stratify=stratify)
+    cache = CachedFolds(df, key, label, features, k, groups=groups, stratify=stratify, carry=[class_col] if class_col else [])
     if grid:
         params = tuning.tune_grid(spark, cache, learner, metric, grid, final_params).params
     elif final_params:
         params = L.merge_params(params, final_params)
     cv = cache.cross_validate(learner, metric, params)
-    weight = DEFAULT_WEIGHT
-    if tune_weight and class_col is not None:
-        oof = cv.oof.join(df.select(key, class_col), key)
-        best = W.best_weight(W.sweep(oof, class_col, "prediction", cuts)).first()
-        if best is not None:
-            weight = float(best["weight"])
+    weight = tuned_weight(cv.oof, class_col, "prediction", cuts) if tune_weight and class_col is not None else DEFAULT_WEIGHT
     rounds = cv.rounds if learner.boosted else None
     final = L.fit(learner, df, features, label, params, rounds)
     PipelineModel(stages=[*first, *final.model.stages]).write().overwrite().save(f"{model_dir}/pipeline")

@@ -9,6 +9,8 @@ the per-fold scored validation rows, keyed by the row key.
 
 from __future__ import annotations
 
+import copy
+import functools
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -24,11 +26,15 @@ from tabfold.plans import learners as L
 from tabfold.session import cut_lineage, scratch_path
 
 
+#: an id of each row of cached folds, made when they are written: keys may be null or repeated
+ROW = "_row"
+
+
 @dataclass
 class CVResult:
     score: float
     rounds: int
-    oof: DataFrame                  # (key, fold, label, prediction)
+    oof: DataFrame                  # (key, fold, label, carried columns, prediction)
     per_fold: DataFrame             # (fold, <metric>, rounds)
     curves: dict = field(default_factory=dict)
     models: dict = field(default_factory=dict)
@@ -69,24 +75,29 @@ def fold_imputers(folded: DataFrame, features: Sequence[str], k: int) -> dict[in
             for f, m in medians.items()}
 
 
-def _fit_fold(learner, folded, f, features, label, params, iterations, proba, key, start, imputer):
+def _fit_fold(learner, folded, f, features, label, params, iterations, proba, key, start, imputer, carry=()):
     train = folded.where(F.col("fold") != f)
     val = folded.where(F.col("fold") == f)
     if iterations is None and learner.boosted:
         res = L.train_until_optimal(learner, train, val, features, label, params, start=start, imputer=imputer)
     else:
         res = L.fit(learner, train, features, label, params, iterations, imputer=imputer)
-    pred = L.predict(res.model, val.select(key, "fold", label, *features), "prediction", proba)
-    return f, res, pred.select(key, "fold", label, "prediction")
+    own = list(dict.fromkeys([key, "fold", label, *carry]))
+    # what is carried goes along under names of its own: the model may fill or drop the features
+    rows = val.select(*features, *[F.col(c).alias(f"_own{i}") for i, c in enumerate(own)])
+    pred = L.predict(res.model, rows, "prediction", proba)
+    return f, res, pred.select(*[F.col(f"_own{i}").alias(c) for i, c in enumerate(own)], "prediction")
 
 
 def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], label: str, key: str,
                    metric: str = "rmse", k: int = 5, seed: int = 0, groups=None, stratify=None,
                    params: Mapping | None = None, iterations: int | None = None, parallelism: int | None = None,
-                   folded: DataFrame | None = None, start_rounds: int = 20,
-                   folds: Sequence[int] | None = None, imputers: Mapping | None = None) -> CVResult:
+                   folded: DataFrame | None = None, start_rounds: int = 10,
+                   folds: Sequence[int] | None = None, imputers: Mapping | None = None, carry: Sequence[str] = ()) -> CVResult:
     """Per fold: fit the pipeline on the other folds, score the fold; OOF = union.
 
+    ``carry``: more columns of ``folded`` that the out-of-fold rows keep.
+
     ``imputers``: ready-made ones by fold (``fold_imputers``), else made here.
 
     The k fits are independent Spark jobs submitted concurrently (default
@@ -102,7 +113,7 @@ def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], l
     run = list(folds) if folds is not None else list(range(k))     # a fold subset scores fewer folds
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         outs = list(ex.map(lambda f: _fit_fold(learner, folded, f, features, label, params, iterations,
-                                               proba, key, start_rounds, imputers[f]), run))
+                                               proba, key, start_rounds, imputers[f], carry), run))
     oof = outs[0][2]
     for _, _, p in outs[1:]:
         oof = oof.unionByName(p)
@@ -143,18 +154,29 @@ class CachedFolds:
     with an order-free fingerprint guard against a different input (K8)."""
 
     def __init__(self, df: DataFrame, key: str, label: str, features: Sequence[str], k: int = 5,
-                 seed: int = 0, groups=None, stratify=None):
-        cols = _needed(key, label, features, groups, stratify)
+                 seed: int = 0, groups=None, stratify=None, carry: Sequence[str] = ()):
+        cols = list(dict.fromkeys([*_needed(key, label, features, groups, stratify), *carry]))
         self.k, self.key, self.label, self.features, self.cols = k, key, label, list(features), cols
-        self.print = K.fingerprint(df, cols)
-        self.folded = write_folds(assign_folds(df.select(*cols), key, k, seed, groups, stratify))
+        self.carry = [ROW, *carry]
+        folded = assign_folds(df.select(*cols), key, k, seed, groups, stratify)
+        self.folded = write_folds(folded.withColumn(ROW, F.monotonically_increasing_id()))
         self.imputers = fold_imputers(self.folded, self.features, k)        # the same for every trial
 
+    @functools.cached_property
+    def print(self) -> tuple:
+        return K.fingerprint(self.folded, self.cols)
+
     def check(self, df: DataFrame) -> None:
         """Refuse an input whose rows differ from the cached one (order-free)."""
         if K.fingerprint(df, self.cols) != self.print:
             raise ValueError("input differs from the cached folds")
 
+    def only(self, features: Sequence[str]) -> CachedFolds:
+        """The same folds for a learner that sees fewer features."""
+        view = copy.copy(self)
+        view.features = list(features)
+        return view
+
     def cross_validate(self, learner: L.Learner, metric: str = "rmse", params=None, iterations=None,
                        parallelism: int | None = None, df: DataFrame | None = None,
                        folds: Sequence[int] | None = None) -> CVResult:
@@ -162,4 +184,4 @@ class CachedFolds:
             self.check(df)
         return cross_validate(None, learner, self.features, self.label, self.key, metric, self.k,
                               params=params, iterations=iterations, parallelism=parallelism,
-                              folded=self.folded, folds=folds, imputers=self.imputers)
+                              folded=self.folded, folds=folds, imputers=self.imputers, carry=self.carry)

@@ -149,7 +149,7 @@ def test_grouped_auc_matches_per_group(spark):
     s = np.round(rng.normal(size=4000) + np.array(y) * 0.5, 2).tolist()
     g = (np.arange(4000) % 3).tolist()
     df = spark.createDataFrame(list(zip(g, y, s)), "g int, y long, s double")
-    got = {r.g: r.auc for r in M.auc_by(df, "y", "s", ["g"], buckets=8).collect()}
+    got = {r.g: r.auc for r in M.auc_by(df, "y", "s", ["g"]).collect()}
     for k in range(3):
         ys = [a for a, b in zip(y, g) if b == k]
         ss = [a for a, b in zip(s, g) if b == k]
