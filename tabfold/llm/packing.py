@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabfold.llm.common import Remembered, ship_package, stash, utf8
+from tabfold.llm.common import Remembered, ship_package, spent, stash, utf8
 from tabfold.llm.cutting_stock import cutting_plan
 
 CAPACITY = 4096
 GRAIN = 8                  # tokens of a unit
 END_ID = 2
 SALT_ROWS = 50_000         # rows ranked by a task, about
-CACHED_WORDS = 250_000     # pieces of words whose ids a worker remembers (twice as many at most: 100 MB)
+CACHED_WORDS = 100_000     # pieces of words whose ids a worker remembers (twice as many at most within a task: 40 MB)
 FEW = 200_000              # cut documents up to which their ids are broadcast
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, place long"
@@ -102,6 +102,12 @@ class WordIds:
         return b"".join(ids) + END_ID.to_bytes(4, "little")
 
 
+    def rest(self) -> None:
+        """Between tasks only what was used last stays."""
+        self.pieces.old.clear()
+        self.words.old.clear()
+
+
 @functools.lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
     """The encoder of a worker process: what it remembers serves its later tasks, too."""
@@ -117,6 +123,8 @@ def _measure(path: str, capacity: int):
                 ids = ids_of(t)
                 rows.append((len(ids) // 4, [zlib.crc32(ids[i:i + step]) for i in range(0, len(ids), step)]))
             yield pd.DataFrame(rows, columns=["n", "crcs"])
+        ids_of.rest()
+        spent()
     return F.pandas_udf(measure, "n long, crcs array<long>")
 
 
@@ -239,6 +247,8 @@ def _cut_pieces(docs: DataFrame, cut: DataFrame, n_cut: int, spaces: list, path:
                         done = stop
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in PIECES.split(", ")])
             yield frame.astype({"doc_id": "Int64"})
+        ids_of.rest()
+        spent()
 
     # rows alike in id and text share one tokenised text; every one of their places is dealt
     wanted = cut.groupBy("doc_id", "text_hash").agg(F.collect_list("at").alias("places"))
