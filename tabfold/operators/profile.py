@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param.shared import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,8 +128,20 @@ def target_correlations(df: DataFrame, features: Sequence[str], target: str,
     return out.orderBy("corr", "feature")
 
 
+WIDE = 30            # columns from which on pairs are summed as matrices
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairs (a, b, corr) in one aggregation (p*(p-1)/2 correlations)."""
+    """All pairs (a, b, corr), pairwise complete, in one aggregation.
+
+    Few columns: an aggregate a pair.  From ``WIDE`` columns on: a partition's
+    rows become matrix products of values and of masks of what is there, one
+    row of sums a column, which are added by column (``gram_sums``).  The
+    numbers are the same but for rounding.
+    """
+    cols = list(cols)
+    if len(cols) >= WIDE:
+        return _from_gram(gram_sums(df, cols), cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_r{i}")
                    for i, (a, b) in enumerate(pairs)])
@@ -135,6 +149,46 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return agg.selectExpr(f"stack({len(pairs)}, {parts}) as (a, b, corr)")
 
 
+def gram_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, n, sx, sy, sxx, syy, sxy): per column, arrays over all columns j of sums over the rows that have both.
+
+    Values are taken from the columns' means, so no large sums are
+    subtracted.  NaN counts as missing.
+    """
+    p, number = len(cols), [F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in cols]
+    means = [m if m is not None else 0.0 for m in df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(number)]).first()]
+    centred = df.select(F.array(*[x - F.lit(float(m)) for x, m in zip(number, means, strict=True)]).alias("x"))
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+    def partial(batches):
+        total = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            x = np.array([[np.nan if v is None else v for v in row] for row in batch["x"]], dtype=float)
+            there = ~np.isnan(x)
+            x, m = np.where(there, x, 0.0), there.astype(float)
+            some = np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+            total = some if total is None else total + some
+        if total is not None:
+            yield pd.DataFrame({"i": np.arange(p), **{name: list(total[k]) for k, name in enumerate(names)}})
+
+    def added(key, rows):
+        return pd.DataFrame({"i": [key[0]], **{name: [np.sum(np.stack(rows[name].to_numpy()), axis=0)] for name in names}})
+    kind = "i int, " + ", ".join(f"{name} array<double>" for name in names)
+    # a row a column and partition meets its like
+    return centred.mapInPandas(partial, kind).groupBy("i").applyInPandas(added, kind)
+
+
+def _from_gram(sums: DataFrame, cols: Sequence[str]) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in cols])
+    each = sums.select("i", F.posexplode(F.arrays_zip("n", "sx", "sy", "sxx", "syy", "sxy")).alias("j", "s")).where("j > i")
+    n, sx, sy = F.col("s.n"), F.col("s.sx"), F.col("s.sy")
+    spread = (F.col("s.sxx") - sx * sx / n) * (F.col("s.syy") - sy * sy / n)
+    corr = F.when((n > 1) & (spread > 0), (F.col("s.sxy") - sx * sy / n) / F.sqrt(spread))
+    return each.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), corr.alias("corr"))
+
+
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram (bin, lo, hi, n); last bin closed; nulls ignored.
 

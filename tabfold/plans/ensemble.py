@@ -8,6 +8,7 @@ algebra runs on the driver.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -129,14 +130,65 @@ def blend_lattice(oof_wide: DataFrame, members: Sequence[str], label: str, metri
     return named.join(M.evaluate(blended, m, label, "_blend", by=["point"]), "point")
 
 
+LATTICE_POINTS = 300          # blends that a full lattice may have; beyond, edges of the simplex are searched
+SHARES = (1.0, 0.75, 0.5, 0.35, 0.25, 0.15, 0.1, 0.05, 0.025, 0.01)
+
+
+def scored_blends(oof_wide: DataFrame, members: Sequence[str], label: str, metric: str, weights: Sequence[Sequence[float]]) -> list[float]:
+    """The metric of each blend (weights that add up to one); all in one grouped aggregation."""
+    m = M.Metric(metric)
+    points = F.array(*[F.struct(F.lit(i).alias("point"), F.array(*[F.lit(float(w)) for w in ws]).alias("weights")) for i, ws in enumerate(weights)])
+    rows = (oof_wide.select(label, F.array(*[F.col(c).cast("double") for c in members]).alias("_all"), F.explode(points).alias("_t"))
+            .select(label, "_t.point", F.aggregate(F.zip_with("_all", "_t.weights", lambda p, w: p * w), F.lit(0.0), lambda a, x: a + x).alias("_blend")))
+    told = {r["point"]: r[m.value] for r in M.evaluate(rows, m, label, "_blend", by=["point"]).collect()}
+    return [float(told[i]) if told.get(i) is not None else float("nan") for i in range(len(weights))]
+
+
+def search_weights(oof_wide: DataFrame, members: Sequence[str], label: str, metric: str, rounds: int = 30) -> tuple[np.ndarray, float]:
+    """Weights found along the edges from the best blend so far to each member, and away from it.
+
+    A round tries ``SHARES`` of the way to every member, and of its own weight
+    away from it: candidates grow with the members, not with their
+    combinations.  The best strictly better one is taken; without one, the
+    search ends.  It starts from the best single member or the equal blend, so
+    the result is never worse than any of them.
+    """
+    m, k = M.Metric(metric), len(members)
+    sign = -1.0 if m.maximise else 1.0
+    worth = lambda scores: [sign * x if x == x else float("inf") for x in scores]
+    starts = [*np.eye(k), np.full(k, 1 / k)]
+    scores = worth(scored_blends(oof_wide, members, label, metric, starts))
+    best = int(np.argmin(scores))
+    v, at = starts[best], scores[best]
+    for _ in range(rounds):
+        tried = []
+        for i in range(k):
+            tried += [(1 - t) * v + t * np.eye(k)[i] for t in SHARES]
+            if 0 < v[i] < 1:
+                for t in SHARES:                        # the member keeps 1 - t of its weight, the others share the rest
+                    w = v.copy()
+                    w[i] *= 1 - t
+                    tried.append(w / w.sum())
+        scores = worth(scored_blends(oof_wide, members, label, metric, tried))
+        best = int(np.argmin(scores))
+        if not scores[best] < at:
+            break
+        v, at = tried[best], scores[best]
+    return v, sign * at
+
+
 def fit_weighted_metric(oof_wide: DataFrame, members: Sequence[str], label: str, metric: str, steps: int = 10) -> WeightedEnsemble:
-    """Weights best for ``metric``: exact for squared error, else the best lattice point (first wins)."""
+    """Weights best for ``metric``: exact for squared error, else the best point of a lattice (first wins), if it has
+    ``LATTICE_POINTS`` points at most; for more members, by a search along the simplex's edges."""
     m = M.Metric(metric)
     if m in (M.Metric.RMSE, M.Metric.MSE):
         return fit_weighted(oof_wide, members, label)
-    order = F.col(m.value).desc() if m.maximise else F.col(m.value).asc()
-    best = blend_lattice(oof_wide, members, label, metric, steps).where(F.col(m.value).isNotNull()).orderBy(order, "point").first()
-    w = np.maximum(np.array(best["weights"]), MIN_WEIGHT)
+    if math.comb(steps + len(members) - 1, len(members) - 1) > LATTICE_POINTS:
+        w = search_weights(oof_wide, members, label, metric)[0]
+    else:
+        order = F.col(m.value).desc() if m.maximise else F.col(m.value).asc()
+        w = blend_lattice(oof_wide, members, label, metric, steps).where(F.col(m.value).isNotNull()).orderBy(order, "point").first()["weights"]
+    w = np.maximum(np.array(w), MIN_WEIGHT)
     return WeightedEnsemble(list(members), w / w.max())
 
 

@@ -8,6 +8,7 @@ label's own deviation.
 
 from __future__ import annotations
 
+import random
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,6 +120,22 @@ def q_gbt_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return rows.join(cv.per_fold, "fold").select("fold", "n", "positives", F.lit(bool(cv.score > 0.5)).alias("ranks_better_than_chance"))
 
 
+@query("q_gbt_multiclass", sql=f"""
+WITH {ORDERS_SQL}, c AS (SELECT id, {class_sql('y')} AS y_class FROM o)
+SELECT CAST(y_class AS INTEGER) AS y_class, count(*) AS n, true AS sums_to_one, true AS loss_falls, true AS better_than_largest_class FROM c GROUP BY 1""")
+def q_gbt_multiclass(spark: SparkSession, sf: str) -> DataFrame:
+    """Several classes boosted together: probabilities sum to one, the log-loss falls in each round, and
+    more rows are right than by the largest class."""
+    df = cut_lineage(order_table(spark, sf))
+    res = L.fit(L.default_learner("gbt_multiclass").with_params(maxDepth=3, stepSize=0.3), df, FEATS, "y_class", rounds=4)
+    out = cut_lineage(res.model.transform(df).select("y_class", "prediction", F.aggregate("probability", F.lit(0.0), lambda a, p: a + p).alias("_all")))
+    classes = out.groupBy("y_class").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("_all") - 1)).alias("_off"), F.count_if(F.col("prediction") == F.col("y_class")).alias("_right"))
+    largest, right = classes.agg(F.max("n"), F.sum("_right")).first()
+    falls = all(b < a for a, b in zip(res.curve, res.curve[1:]))
+    return classes.select(F.col("y_class").cast("int").alias("y_class"), "n", (F.col("_off") < 1e-9).alias("sums_to_one"), F.lit(falls).alias("loss_falls"),
+                          F.lit(bool(right >= largest)).alias("better_than_largest_class"))
+
+
 @query("q_holdout_eval", sql=f"""
 WITH {ORDERS_SQL},
 c AS (SELECT regr_slope(y, qty) AS b, regr_intercept(y, qty) AS a FROM o WHERE NOT {unit_sql('id')} < 0.25),
@@ -187,6 +204,34 @@ def q_random_search(spark: SparkSession, sf: str) -> DataFrame:
     return trials.select("step", "trial", (p("maxDepth").between(2, 6) & p("subsamplingRate").between(0.6, 1.0) & F.col("score").isNotNull()).alias("in_space"))
 
 
+SEARCH_SPACE = {"regParam": T.LogUniform(0.01, 100.0), "solver": T.Choice(("normal", "auto"))}
+SEARCH_TRIALS = 25
+
+
+def sampled_trials() -> list[tuple[int, float]]:
+    """(trial, regParam) that the search below draws, from the same generator."""
+    rng = random.Random(0)
+    return [(t, {k: v.sample(rng) for k, v in SEARCH_SPACE.items()}["regParam"]) for t in range(SEARCH_TRIALS)]
+
+
+@query("q_search_ridge", sql=f"""
+WITH {ORDERS_SQL}, f AS (SELECT *, {fold_sql('id', 5)} AS fold FROM o),
+k AS (SELECT CAST(range AS INTEGER) AS k FROM range(5)),
+lam AS (SELECT * FROM (VALUES {", ".join(f"({t}, CAST({v!r} AS DOUBLE))" for t, v in sampled_trials())}) v(trial, lam)),
+m AS (SELECT k.k AS fold, avg(qty) AS mx, avg(y) AS my, covar_samp(qty, y) AS cxy, var_samp(qty) AS vx,
+        count(*) AS n, stddev_samp(y) AS sy FROM f JOIN k ON f.fold <> k.k GROUP BY k.k),
+c AS (SELECT fold, trial, mx, my, cxy / vx * ((n - 1.0) / n) / ((n - 1.0) / n + lam / sy) AS b FROM m, lam),
+e AS (SELECT trial, f.fold, sqrt(avg(power(y - (my + b * (qty - mx)), 2))) AS rmse FROM f JOIN c USING (fold) GROUP BY 1, 2),
+s AS (SELECT trial, avg(rmse) AS rmse FROM e GROUP BY trial)
+SELECT CAST(trial AS INTEGER) AS trial, {r6('rmse', 4)} AS rmse, trial = (SELECT arg_min(trial, rmse) FROM s) AS chosen FROM s""")
+def q_search_ridge(spark: SparkSession, sf: str) -> DataFrame:
+    """H3/H5: seeded search over logarithmic and discrete spaces with a closed-form learner: every score, and the choice."""
+    cache = V.CachedFolds(order_table(spark, sf), "id", "y", ["qty"], k=5)
+    found = T.random_search(spark, cache, EXACT_LINEAR, "rmse", SEARCH_SPACE, trials=SEARCH_TRIALS)
+    chosen = F.abs(F.get_json_object("params", "$.regParam").cast("double") - F.lit(float(found.params["regParam"]))) < 1e-12
+    return found.trials.select("trial", C.round6("score", 4).alias("rmse"), chosen.alias("chosen"))
+
+
 _SCORE_SQL = f"""
 WITH {ORDERS_SQL},
 c AS (SELECT regr_slope(y, qty) AS b, regr_intercept(y, qty) AS a FROM o),

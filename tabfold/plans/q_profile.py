@@ -131,6 +131,25 @@ def q_corr_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("a", "b", C.round6("corr").alias("corr"))
 
 
+_WIDE = 34
+
+
+def _wide_sql(k: int) -> str:
+    """Column k of the wide table: a mix of quantity, price and order, null in a row of eleven."""
+    return f"CASE WHEN (l_orderkey + {k}) % 11 <> 0 THEN CAST(l_quantity AS DOUBLE) * {k % 5} + CAST((l_orderkey * {k + 3}) % {k + 17} AS DOUBLE) + CAST(l_extendedprice AS DOUBLE) / {10_000 * (k + 1)} END"
+
+
+@query("q_corr_wide", sql=f"""
+WITH w AS (SELECT {", ".join(f"{_wide_sql(k)} AS x{k}" for k in range(_WIDE))} FROM lineitem),
+r AS (SELECT unnest([{", ".join(f"{{'a': 'x{i}', 'b': 'x{j}', 'corr': corr(x{i}, x{j})}}" for i in range(_WIDE) for j in range(i + 1, _WIDE))}]) AS p FROM w)
+SELECT p.a AS a, p.b AS b, {r6('p.corr', 5)} AS corr FROM r""")
+def q_corr_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """G8 over many columns with nulls: pairwise complete, by matrix products."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
+    wide = li.selectExpr(*[f"{_wide_sql(k)} AS x{k}" for k in range(_WIDE)])
+    return P.correlation_matrix(wide, [f"x{k}" for k in range(_WIDE)]).select("a", "b", C.round6("corr", 5).alias("corr"))
+
+
 @query("q_null_rows", sql=f"""
 WITH {LI_INJ_SQL}
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_discount, l_tax

@@ -78,6 +78,28 @@ class Choice:
         return rng.choice(list(self.options))
 
 
+@dataclass(frozen=True)
+class Step:
+    """A step of a coordinate grid; ``recalibrate``: the rounds are found again, with the best parameters so far, before it."""
+    grid: Mapping[str, Sequence]
+    recalibrate: bool = False
+
+
+# fixed values: the default steps and spaces of boosted trees (those parameters that Spark's trees have)
+BOOSTED_STEPS = (
+    Step({"max_depth": tuple(range(3, 10)), "min_child_weight": tuple(range(1, 6))}),
+    Step({"gamma": (0.0, 0.1, 0.2, 0.3, 0.4)}),
+    Step({"subsample": (0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95), "colsample_bytree": (0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)}, recalibrate=True),
+)
+BOOSTED_SPACE = {"max_depth": IntStep(3, 10), "min_child_weight": IntStep(1, 6), "gamma": Uniform(0.0, 0.5),
+                 "colsample_bytree": Uniform(0.5, 1.0), "subsample": Uniform(0.5, 1.0)}
+
+
+def default_steps(learner: L.Learner) -> tuple[Step, ...]:
+    """The steps of a learner's coordinate grid: those of boosted trees, else its own grid as one step."""
+    return BOOSTED_STEPS if learner.boosted else (Step(learner.grid),) if learner.grid else ()
+
+
 def _better(score: float, best: float, maximise: bool) -> bool:
     return score > best if maximise else score < best
 
@@ -86,7 +108,7 @@ def _better(score: float, best: float, maximise: bool) -> bool:
 class TuneResult:
     params: dict
     score: float
-    trials: DataFrame       # (step, trial, params, score)
+    trials: DataFrame       # (step, trial, params, score[, rounds])
 
 
 def optimal_rounds(cache: CachedFolds, learner: L.Learner, metric: str, params=None) -> int:
@@ -95,28 +117,37 @@ def optimal_rounds(cache: CachedFolds, learner: L.Learner, metric: str, params=N
 
 
 def tune_grid(spark: SparkSession, cache: CachedFolds, learner: L.Learner, metric: str,
-              steps: Sequence[Mapping[str, Sequence]], final_params: Mapping | None = None,
-              recalibrate: bool = False, parallelism: int | None = None) -> TuneResult:
-    """H1: coordinate grid.  Each step's grid is merged into the best so far;
-    strict improvement, first wins; maximised metrics start at -inf."""
+              steps: Sequence[Mapping[str, Sequence] | Step] | None = None, final_params: Mapping | None = None,
+              recalibrate: bool = True, parallelism: int | None = None) -> TuneResult:
+    """H1: coordinate grid (default: the learner's own steps).  Each step's grid is merged into the best so far;
+    strict improvement, first wins; maximised metrics start at -inf.
+
+    ``recalibrate``: a boosted learner's rounds are found by patience first,
+    and again before a step that asks for it; trials then use them.  Without
+    it every trial stops by its own patience.
+    """
     m = M.Metric(metric)
     current = dict(learner.params)
     rows, trial, score = [], 0, float("nan")
-    rounds = optimal_rounds(cache, learner, metric, current) if (recalibrate and learner.boosted) else None
-    for si, step in enumerate(steps):
-        names = list(step)
+    counted = recalibrate and learner.boosted
+    rounds = max(1, optimal_rounds(cache, learner, metric, current)) if counted else None
+    for si, step in enumerate(default_steps(learner) if steps is None else steps):
+        step = step if isinstance(step, Step) else Step(step)
+        if step.recalibrate and counted and si:
+            rounds = max(1, optimal_rounds(cache, learner, metric, current))
+        names = list(step.grid)
         best, best_p = (-math.inf if m.maximise else math.inf), None
-        for combo in itertools.product(*[step[n] for n in names]):
+        for combo in itertools.product(*[step.grid[n] for n in names]):
             p = L.merge_params(current, dict(zip(names, combo)))
             res = cache.cross_validate(learner, metric, p, iterations=rounds, parallelism=parallelism)
-            rows.append((si, trial, json.dumps(p, sort_keys=True, default=str), float(res.score)))
+            rows.append((si, trial, json.dumps(p, sort_keys=True, default=str), float(res.score), rounds))
             trial += 1
             if _better(res.score, best, m.maximise):
                 best, best_p = res.score, p
         if best_p is not None:
             current, score = best_p, best
     current = L.merge_params(current, final_params)
-    trials = spark.createDataFrame(rows, "step int, trial int, params string, score double")
+    trials = spark.createDataFrame(rows, "step int, trial int, params string, score double, rounds int")
     return TuneResult(current, score, trials)
 
 

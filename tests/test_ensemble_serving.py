@@ -102,3 +102,42 @@ def test_permutation_of_many_features(spark):
     want = model.transform(p).select(F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2))).first()[0]
     first = next(row for row in got if row["feature"] == "f7" and row["repeat"] == 0)
     assert first["permuted"] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("metric", ["mae", "auc"])
+def test_weights_of_eight_members(spark, metric):
+    """No worse than a lattice of tenths over the three best, and than any member."""
+    r = np.random.default_rng(5)
+    y = r.normal(size=600)
+    label = (y > 0.2).astype(float) if metric == "auc" else y
+    p = np.c_[[y + s * r.normal(size=600) + (0.6 * np.sin(3 * y) if s > 1 else 0) for s in (0.6, 0.7, 0.9, 1.1, 1.3, 1.6, 2.0, 3.0)]].T
+    names = [f"m{i}" for i in range(8)]
+    df = spark.createDataFrame([(float(t), *map(float, row)) for t, row in zip(label, p)], "y double, " + ", ".join(f"{n} double" for n in names)).cache()
+    v, score = E.search_weights(df, names, "y", metric)
+    assert v.sum() == pytest.approx(1) and (v >= 0).all()
+    lattice = E.blend_lattice(df, names[:3], "y", metric, 10).agg(F.max(metric) if metric == "auc" else F.min(metric)).first()[0]
+    better = (lambda a, b: a >= b - 1e-9) if metric == "auc" else (lambda a, b: a <= b + 1e-9)
+    assert better(score, lattice) and all(better(score, s) for s in E.scored_blends(df, names, "y", metric, np.eye(8)))
+    assert E.scored_blends(df, names, "y", metric, [v])[0] == pytest.approx(score)
+    ens = E.fit_weighted_metric(df, names, "y", metric)
+    assert np.allclose(ens.weights / ens.weights.sum(), v, atol=1e-9)
+
+
+def test_gram_sums_against_numpy(spark):
+    from tabfold.operators import profile as P
+    r = np.random.default_rng(6)
+    x = 1e6 + r.normal(size=(300, 40)) @ r.normal(size=(40, 40))
+    x[r.random(x.shape) < 0.15] = np.nan
+    x[:, 39] = 5.0
+    names = [f"c{i}" for i in range(40)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in x], ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(row["a"], row["b"]): row["corr"] for row in P.correlation_matrix(df, names).collect()}
+    assert len(got) == 780
+    for i in range(40):
+        for j in range(i + 1, 40):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            if j == 39:
+                assert got[names[i], names[j]] is None
+            else:
+                assert got[names[i], names[j]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+    assert all(row["corr"] is None for row in P.correlation_matrix(df.where("false"), names).collect())
