@@ -11,6 +11,10 @@ plus a price for every document that is cut to make filler:
 New patterns come from a knapsack dynamic program over the dual prices.  The
 size of the program depends on the number of classes only, never on how many
 documents there are.
+
+Defined cases: classes without documents take no part; no documents give an
+empty plan; a class as long as a sequence has patterns of its own; a plan that
+is not optimal yet (``GAP``, ``MAX_PIVOTS``) still places every document.
 """
 
 from __future__ import annotations

@@ -7,6 +7,10 @@ Only the wanted suffixes are sorted, each by its first ``depth`` bytes:
    and the suffix before each one scanned, if larger than it, takes the next
    place in its own bucket.
 3. Neighbours in the order whose common prefix reaches ``depth`` are repeated.
+
+Defined cases: an empty text has no suffixes; no wanted suffixes give an empty
+order; any byte may occur, zero included; suffixes that are equal up to
+``depth`` stand in any order among themselves, and are told as repeated.
 """
 
 from __future__ import annotations

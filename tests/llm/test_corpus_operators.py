@@ -369,3 +369,21 @@ def test_pipeline_stages(spark, prose, tmp_path):
     empty = docs.where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "").count() == 0
+
+
+def test_pipeline_of_odd_rows(spark, prose, tmp_path):
+    """Null ids, repeated rows, a very long text, clashing columns: every stage returns the columns it got and loses no clean row."""
+    import corpus_pipeline
+    long = "\n".join(prose(3000 + k, 400) for k in range(60))
+    base = [(i, prose(4000 + i, 60 + i % 9)) for i in range(30)] + [(None, prose(4100, 70)), (50, prose(4101, 70)), (50, prose(4101, 70)), (51, long), (52, None), (53, "")]
+    rows = [(i, t, None if i == 5 else "en", None if i == 6 else "s", None if t is None else len(t), "x", 1, "k") for i, t in base]
+    df = spark.createDataFrame(rows, COLUMNS + ", clean string, component_id int, `key` string")
+    docs = df
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.dtypes == df.dtypes, name
+        docs = spark.createDataFrame(out.collect(), out.schema)
+        left = sorted((r.doc_id for r in docs.collect()), key=str)
+        assert left == sorted([*range(30), None, 50, 50, 51], key=str), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    assert {r.doc_id for r in packed} == {*range(30), None, 50, 51}
