@@ -9,6 +9,13 @@ to the shared folder and reads it again for the next one.
 3. near-dedup       one document of each group of near-duplicates (0.8 or more) stays
 4. personal data    values and the terms that reveal them are masked
 5. packing          a row for each piece of a sequence
+
+Defined cases: a null text stays null until packing, where it is the empty
+text; the quality rules drop texts without ten words, so null and empty ones go
+there; rows with a null id are kept by every stage that judges texts (they are
+linked with nothing); rows alike in every column are treated alike, and
+near-dedup keeps them all, as they share an id; other columns, whatever their
+names, are passed through; an empty table gives empty results.
 """
 
 from __future__ import annotations
