@@ -204,7 +204,7 @@ def q_random_search(spark: SparkSession, sf: str) -> DataFrame:
     return trials.select("step", "trial", (p("maxDepth").between(2, 6) & p("subsamplingRate").between(0.6, 1.0) & F.col("score").isNotNull()).alias("in_space"))
 
 
-SEARCH_SPACE = {"regParam": T.LogUniform(0.01, 100.0), "solver": T.Choice(("normal", "auto"))}
+SEARCH_SPACE = {"regParam": T.LogUniform(0.01, 100.0), "aggregationDepth": T.Choice((2, 3))}
 SEARCH_TRIALS = 25
 
 
