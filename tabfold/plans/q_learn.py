@@ -218,9 +218,9 @@ def sampled_trials() -> list[tuple[int, float]]:
 WITH {ORDERS_SQL}, f AS (SELECT *, {fold_sql('id', 5)} AS fold FROM o),
 k AS (SELECT CAST(range AS INTEGER) AS k FROM range(5)),
 lam AS (SELECT * FROM (VALUES {", ".join(f"({t}, CAST({v!r} AS DOUBLE))" for t, v in sampled_trials())}) v(trial, lam)),
-m AS (SELECT k.k AS fold, avg(qty) AS mx, avg(y) AS my, covar_samp(qty, y) AS cxy, var_samp(qty) AS vx,
-        count(*) AS n, stddev_samp(y) AS sy FROM f JOIN k ON f.fold <> k.k GROUP BY k.k),
-c AS (SELECT fold, trial, mx, my, cxy / vx * ((n - 1.0) / n) / ((n - 1.0) / n + lam / sy) AS b FROM m, lam),
+m AS (SELECT k.k AS fold, avg(qty) AS mx, avg(y) AS my, covar_pop(qty, y) AS cxy, var_pop(qty) AS vx,
+        stddev_pop(y) AS sy FROM f JOIN k ON f.fold <> k.k GROUP BY k.k),
+c AS (SELECT fold, trial, mx, my, cxy / vx / (1 + lam / sy) AS b FROM m, lam),
 e AS (SELECT trial, f.fold, sqrt(avg(power(y - (my + b * (qty - mx)), 2))) AS rmse FROM f JOIN c USING (fold) GROUP BY 1, 2),
 s AS (SELECT trial, avg(rmse) AS rmse FROM e GROUP BY trial)
 SELECT CAST(trial AS INTEGER) AS trial, {r6('rmse', 4)} AS rmse, trial = (SELECT arg_min(trial, rmse) FROM s) AS chosen FROM s""")
