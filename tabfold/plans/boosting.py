@@ -4,13 +4,21 @@ Every row holds its margin: the weighted sum of the trees so far.  A round
 fits one tree to the negative gradient of the loss at the margin and adds it
 with its weight (1 for the first tree, ``stepSize`` after it), as Spark's own
 boosting does; its trees are the same where no rows are sampled.  After a
-block of rounds the margins are written to the shared folder, all prefixes of
-the block are scored on the validation rows in one pass, and patience decides
-whether another block follows.  Stopping early keeps a prefix of the trees.
+block of rounds the margins are checkpointed into the shared folder, all
+prefixes of the block are scored on the validation rows in one pass, and
+patience decides whether another block follows.  Stopping early keeps a
+prefix of the trees.
+
+Rows are binned once, by split values found as Spark's trees find them, and
+kept as blocks: the bins of some ten thousand rows, their labels and margins.
+A level of a tree is one job: each task sums counts, gradients and their
+squares by node, feature and bin, the sums of all tasks are added, and the
+driver picks the splits.  A round thus reads some 20 bytes a row and level,
+evaluates its own tree only, and plans no query.
 
 Two or more classes share their margins: a round fits a tree a class to
 1{y = c} - softmax(margins)[c], so the probabilities of a row add up to one
-all along.
+all along.  Their trees grow in the same jobs.
 """
 
 from __future__ import annotations
@@ -18,59 +26,322 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from operator import add
 
-from pyspark import SparkContext, StorageLevel
+import numpy as np
+import pyarrow as pa
+from pyspark import RDD, SparkContext, StorageLevel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import SQLTransformer
-from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabfold.session import scratch_path
+from tabfold.llm.common import ship_package
+from tabfold.session import checkpoint_dir
 
 #: parameters of a boosted learner that its single trees take
 TREE_PARAMS = ("maxDepth", "maxBins", "minInstancesPerNode", "minInfoGain", "subsamplingRate", "featureSubsetStrategy",
                "maxMemoryInMB", "cacheNodeIds", "checkpointInterval", "minWeightFractionPerNode")
+#: all that ``grow`` reads
+PARAMS = (*TREE_PARAMS, "stepSize", "maxIter", "lossType", "seed")
 
+BLOCK_ROWS = 50_000              # rows of a block, about
+TASK_ROWS = 500_000              # rows of a task, about: a level takes some 50 ns a row, a task some 50 ms besides
+SPLIT_ROWS = 10_000              # rows that split values are found from, as in Spark's trees
+SUM_BYTES = 16 << 20             # sums of a level that the driver adds itself, at most; more are added by Spark first
 
-def _signed(label: str) -> Column:
-    return 2.0 * F.col(label).cast("double") - 1.0
 
+# -- losses ----------------------------------------------------------------------------------------------------------
 
-def _gradient(loss: str, label: str, margin: Column) -> Column:
-    """What a round's tree is fitted to: the negative gradient at the margin."""
-    if loss == "logistic":
-        y = _signed(label)
-        return 4.0 * y / (1.0 + F.exp(2.0 * y * margin))
-    away = F.col(label).cast("double") - margin
-    return F.signum(away) if loss == "absolute" else 2.0 * away
+def _shares(margins: np.ndarray) -> np.ndarray:
+    parts = np.exp(margins - margins.max(axis=1, keepdims=True))
+    return parts / parts.sum(axis=1, keepdims=True)
 
 
-def _loss(loss: str, label: str, margin: Column) -> Column:
+def _targets(loss: str, y: np.ndarray, margins: np.ndarray, first: bool) -> np.ndarray:
+    """(rows, trees): what a round's trees are fitted to, the negative gradient at the margin."""
+    if loss == "classes":
+        return (y[:, None] == np.arange(margins.shape[1])) - _shares(margins)
+    y = (2.0 * y - 1.0 if loss == "logistic" else y)[:, None]
+    if first:
+        return y
+    if loss == "logistic":
+        with np.errstate(over="ignore"):
+            return 4.0 * y / (1.0 + np.exp(2.0 * y * margins))
+    away = y - margins
+    return np.sign(away) if loss == "absolute" else 2.0 * away
+
+
+def _losses(loss: str, y: np.ndarray, margins: np.ndarray) -> np.ndarray:
+    if loss == "classes":
+        own = np.where((y >= 0) & (y < margins.shape[1]), y, -1)
+        at = np.nan_to_num(own, nan=-1.0).astype(int)
+        p = np.where(at >= 0, _shares(margins)[np.arange(len(y)), at], 0.0)
+        return -np.log(np.maximum(p, 1e-15))
+    m = margins[:, 0]
     if loss == "logistic":
-        z = -2.0 * _signed(label) * margin
-        return 2.0 * (F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))))
-    away = F.col(label).cast("double") - margin
-    return F.abs(away) if loss == "absolute" else away * away
+        z = -2.0 * (2.0 * y - 1.0) * m
+        return 2.0 * (np.maximum(z, 0.0) + np.log1p(np.exp(-np.abs(z))))
+    return np.abs(y - m) if loss == "absolute" else (y - m) ** 2
+
 
+# -- one tree --------------------------------------------------------------------------------------------------------
 
-def _tree(rows: DataFrame, target: Column, params: Mapping, seed: int, out: str):
-    """One regression tree, its prediction column named ``out``."""
-    own = {k: v for k, v in params.items() if k in TREE_PARAMS}
-    own.setdefault("featureSubsetStrategy", "all")
-    grown = RandomForestRegressor(numTrees=1, bootstrap=False, seed=seed, featuresCol="features", labelCol="_target", **own)
-    tree = grown.fit(rows.select("features", target.alias("_target"))).trees[0]
-    return tree.setFeaturesCol("features").setPredictionCol(out)
+EPSILON = float(np.finfo(float).eps)
 
 
-def _written(rows: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(rows.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+@dataclass
+class Tree:
+    """Nodes as lists; a leaf is its own child.  ``stats``: rows, sum and sum of squares of the target."""
+    feature: list[int] = field(default_factory=list)
+    cut: list[int] = field(default_factory=list)            # bins up to it go left
+    threshold: list[float] = field(default_factory=list)
+    child: list[list[int]] = field(default_factory=list)
+    gain: list[float] = field(default_factory=list)
+    stats: list[np.ndarray] = field(default_factory=list)
+    depth: int = 0
+
+    def leaf(self, stats: np.ndarray) -> int:
+        at = len(self.stats)
+        self.feature.append(0)
+        self.cut.append(1 << 30)
+        self.threshold.append(0.0)
+        self.child.append([at, at])
+        self.gain.append(-1.0)
+        self.stats.append(stats)
+        return at
+
+    def values(self) -> np.ndarray:
+        return np.array([s[1] / s[0] if s[0] else 0.0 for s in self.stats])
+
+    def nodes(self, bins: np.ndarray) -> np.ndarray:
+        """The node that each row has come to."""
+        at = np.zeros(len(bins), int)
+        feature, cut, child = np.array(self.feature), np.array(self.cut), np.array(self.child).reshape(-1)
+        flat, start = bins.reshape(-1), np.arange(len(bins)) * bins.shape[1]
+        for _ in range(self.depth):
+            at = child[2 * at + (flat[start + feature[at]] > cut[at])]
+        return at
+
+
+def _impurity(s: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(s[..., 0] > 0, (s[..., 2] - s[..., 1] * s[..., 1] / s[..., 0]) / s[..., 0], 0.0)
+
+
+def _n_tried(strategy: str, p: int) -> int:
+    """Features that a node tries, by Spark's ``featureSubsetStrategy`` of one tree."""
+    named = {"auto": p, "all": p, "sqrt": math.ceil(math.sqrt(p)), "log2": max(1, math.ceil(math.log2(p))), "onethird": math.ceil(p / 3)}
+    s = str(strategy).lower()
+    if s in named:
+        return named[s]
+    return min(p, int(s)) if s.isdigit() and int(s) > 0 else max(1, math.ceil(float(s) * p))
+
+
+def _split(tree: Tree, at: int, sums: np.ndarray, cuts: Sequence[np.ndarray], params: Mapping, n_rows: int, rng) -> list[int]:
+    """Splits node ``at`` by its sums (feature, bin, 3), if that gains; returns the children that may be split."""
+    total = sums[0].sum(axis=0)
+    left = sums.cumsum(axis=1)[:, :-1]
+    right = total - left
+    least = max(int(params.get("minInstancesPerNode", 1)), float(params.get("minWeightFractionPerNode", 0.0)) * n_rows)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = _impurity(total) - (left[..., 0] * _impurity(left) + right[..., 0] * _impurity(right)) / total[0]
+    fits = (left[..., 0] >= least) & (right[..., 0] >= least) & (gain >= float(params.get("minInfoGain", 0.0)))
+    fits &= np.arange(left.shape[1]) < np.array([len(c) for c in cuts])[:, None]
+    tried = _n_tried(params.get("featureSubsetStrategy", "all"), len(cuts))
+    if tried < len(cuts):
+        fits[rng.permutation(len(cuts))[tried:]] = False
+    gain = np.where(fits, gain, -np.inf)
+    j, k = np.unravel_index(int(gain.argmax()), gain.shape)        # the first of equal ones
+    if not gain[j, k] > 0:
+        return []
+    sides = [tree.leaf(left[j, k]), tree.leaf(right[j, k])]
+    tree.feature[at], tree.cut[at], tree.threshold[at], tree.gain[at] = int(j), int(k), float(cuts[j][k]), float(gain[j, k])
+    tree.child[at] = sides
+    return [s for s in sides if abs(float(_impurity(tree.stats[s]))) >= EPSILON]
+
+
+def _level_sums(blocks, loss: str, first: bool, trees: Sequence[Tree], open_nodes: Sequence[Sequence[int]], seeds: Sequence[int],
+                rate: float, n_bins: int):
+    """((tree, node), sums by feature and bin) of some blocks."""
+    total: dict[tuple[int, int], np.ndarray] = {}
+    for ident, bins, y, margins, _ in blocks:
+        p, targets = bins.shape[1], _targets(loss, y, margins, first)
+        for c, (tree, open_) in enumerate(zip(trees, open_nodes)):
+            if not open_:
+                continue
+            slot = np.full(max(len(tree.stats), 1), -1)
+            slot[list(open_)] = np.arange(len(open_))
+            own = slot[tree.nodes(bins)]
+            if rate < 1.0:
+                own = np.where(np.random.default_rng([seeds[c] & 0xFFFFFFFF, *ident]).random(len(y)) < rate, own, -1)
+            here = np.flatnonzero(own >= 0)
+            g, base, x = targets[here, c], own[here] * n_bins, bins[here]
+            gg, size = g * g, len(open_) * n_bins
+            sums = np.empty((len(open_), p, n_bins, 3))
+            for j in range(p):
+                at = base + x[:, j]
+                for i, w in enumerate((None, g, gg)):
+                    sums[:, j, :, i] = np.bincount(at, w, size).reshape(len(open_), n_bins)
+            for s, node in enumerate(open_):
+                total[c, node] = total[c, node] + sums[s] if (c, node) in total else sums[s]
+    return total.items()
+
+
+def _grown(rows: RDD, loss: str, first: bool, n_trees: int, params: Mapping, seeds: Sequence[int], cuts: Sequence[np.ndarray], n_rows: int) -> list[Tree]:
+    """The trees of a round, level by level."""
+    trees = [Tree() for _ in range(n_trees)]
+    open_nodes: list[list[int]] = [[0]] * n_trees
+    rate, n_bins, tasks = float(params.get("subsamplingRate", 1.0)), max(map(len, cuts)) + 1, rows.getNumPartitions()
+    rngs = [np.random.default_rng(s & 0xFFFFFFFF) for s in seeds]
+    for depth in range(max(1, int(params.get("maxDepth", 5)))):
+        told = rows.mapPartitions(lambda part: _level_sums(part, loss, first, trees, open_nodes, seeds, rate, n_bins))
+        if tasks * sum(map(len, open_nodes)) * len(cuts) * n_bins * 24 > SUM_BYTES:
+            told = told.reduceByKey(add, min(tasks, max(1, sum(map(len, open_nodes)))))
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for k, s in told.collect():
+            sums[k] = sums[k] + s if k in sums else s
+        following: list[list[int]] = []
+        for c, tree in enumerate(trees):
+            if depth == 0:
+                tree.leaf(sums[c, 0][0].sum(axis=0) if (c, 0) in sums else np.zeros(3))
+            more = []
+            if int(params.get("maxDepth", 5)) > 0:
+                for node in open_nodes[c]:
+                    if (c, node) in sums:
+                        more += _split(tree, node, sums[c, node], cuts, params, n_rows, rngs[c])
+            tree.depth = depth + 1
+            following.append(more)
+        open_nodes = following
+        if not any(open_nodes):
+            break
+    return trees
+
+
+# -- rows ------------------------------------------------------------------------------------------------------------
+
+def _cuts(values: np.ndarray, n_splits: int, rows: float) -> np.ndarray:
+    """Split values of a feature from those of a sample that stands for ``rows`` rows, by the rule of Spark's trees."""
+    v, n = np.unique(values[values != 0.0], return_counts=True)
+    n = n.astype(float)
+    rest = rows - n.sum()
+    v, n = v[~np.isnan(v)], n[~np.isnan(v)]
+    if rest > EPSILON * len(values) * 100:
+        at = int(np.searchsorted(v, 0.0))
+        v, n = np.insert(v, at, 0.0), np.insert(n, at, rest)
+    if len(v) < 2:
+        return np.empty(0)
+    middles = (v[:-1] + v[1:]) / 2.0
+    if len(middles) <= n_splits:
+        return middles
+    stride, found = rows / (n_splits + 1), []
+    goal, seen = stride, np.cumsum(n)
+    for i in range(1, len(v)):
+        if abs(seen[i - 1] - goal) < abs(seen[i] - goal):
+            found.append(middles[i - 1])
+            goal += stride
+    return np.array(found)
+
+
+def _columns(rows: DataFrame, label: str) -> DataFrame:
+    return rows.select(vector_to_array("features").alias("x"), F.col(label).cast("double").alias("y"))
+
+
+def _find_cuts(rows: DataFrame, params: Mapping, seed: int) -> tuple[list[np.ndarray], int]:
+    """Split values a feature, and the number of rows."""
+    n = rows.count()
+    if n == 0:
+        raise ValueError("no training rows")
+    bins = min(int(params.get("maxBins", 32)), n)
+    share = min(1.0, max(bins * bins, SPLIT_ROWS) / n)
+    some = rows if share == 1.0 else rows.sample(share, seed)
+    x = np.array([r["x"] for r in some.select("x").collect()], dtype=float)
+    if not len(x):
+        x = np.array([rows.select("x").first()["x"]], dtype=float)
+    return [_cuts(x[:, j], bins - 1, share * n) for j in range(x.shape[1])], n
+
+
+def _blocks(rows: DataFrame, cuts: Sequence[np.ndarray], n_margins: int, strict: bool, tasks: int, binary: bool = False) -> RDD:
+    """(id, bins, labels, margins, losses) of some ten thousand rows each."""
+    kind = np.uint8 if max(map(len, cuts)) < 256 else np.int32
+    p = len(cuts)
+
+    def binned(batches):
+        held, size = [], 0
+
+        def block():
+            y = np.concatenate([b[1] for b in held])
+            return pa.RecordBatch.from_arrays([pa.array([np.concatenate([b[0] for b in held]).tobytes()], pa.binary()), pa.array([y.tobytes()], pa.binary())], names=["x", "y"])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+            y = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
+            if strict and np.isnan(y).any():
+                raise ValueError("a training row has no label")
+            if binary and not np.isin(y, (0.0, 1.0)).all():
+                raise ValueError("a label is neither 0 nor 1")
+            held.append((np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)], axis=1).astype(kind), y))
+            size += len(y)
+            if size >= BLOCK_ROWS:
+                yield block()
+                held, size = [], 0
+        if held:
+            yield block()
+
+    def opened(part, found):
+        for i, r in enumerate(found):
+            y = np.frombuffer(bytes(r["y"]))
+            yield (part, i), np.frombuffer(bytes(r["x"]), kind).reshape(len(y), p), y, np.zeros((len(y), n_margins)), None
+    made = rows.mapInArrow(binned, "x binary, y binary").rdd
+    if tasks < made.getNumPartitions():
+        made = made.coalesce(tasks)
+    return made.mapPartitionsWithIndex(opened)
+
+
+def _with_trees(rows: RDD, rounds: Sequence[Sequence[Tree]], weights: Sequence[float], loss: str, told: bool) -> RDD:
+    """The blocks with the trees of some rounds added to the margins; ``told``: and the losses' sum and number after each round."""
+    def added(block):
+        ident, bins, y, margins, _ = block
+        margins, losses = margins.copy(), []
+        for trees, w in zip(rounds, weights):
+            for c, tree in enumerate(trees):
+                margins[:, c] += w * tree.values()[tree.nodes(bins)]
+            if told:
+                each = _losses(loss, y, margins)
+                each = each if loss == "classes" else each[~np.isnan(y)]
+                losses.append((float(each.sum()), len(each)))
+        return ident, bins, y, margins, np.array(losses)
+    return rows.map(added)
+
+
+def _model(tree: Tree, n_features: int):
+    """Spark's own model of a tree, made by the JVM classes' constructors."""
+    sc = SparkContext._active_spark_context
+    ml, mllib = sc._jvm.org.apache.spark.ml, sc._jvm.org.apache.spark.mllib
 
+    def calculator(stats):
+        array = sc._gateway.new_array(sc._jvm.double, 3)
+        for i, v in enumerate(stats):
+            array[i] = float(v)
+        return mllib.tree.impurity.VarianceCalculator(array, int(stats[0]))
 
-def gbt_model(trees: Sequence, weights: Sequence[float], n_features: int, classifier: bool):
+    values = tree.values()
+
+    def node(at: int):
+        impurity, stats = float(_impurity(tree.stats[at])), calculator(tree.stats[at])
+        sides = tree.child[at]
+        if sides[0] == at:
+            return ml.tree.LeafNode(float(values[at]), impurity, stats)
+        split = ml.tree.ContinuousSplit(tree.feature[at], tree.threshold[at])
+        return ml.tree.InternalNode(float(values[at]), impurity, tree.gain[at], node(sides[0]), node(sides[1]), split, stats)
+    return ml.regression.DecisionTreeRegressionModel(f"dtr_{uuid.uuid4().hex[:12]}", node(0), n_features)
+
+
+def gbt_model(trees: Sequence[Tree], weights: Sequence[float], n_features: int, classifier: bool):
     """Spark's own model of these trees: it scores, saves and tells importances like any other.
 
     Made by the JVM class's constructor, as Spark has no other way to keep a
@@ -81,7 +352,7 @@ def gbt_model(trees: Sequence, weights: Sequence[float], n_features: int, classi
     j_trees = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(trees))
     j_weights = sc._gateway.new_array(sc._jvm.double, len(trees))
     for i, (t, w) in enumerate(zip(trees, weights, strict=True)):
-        j_trees[i], j_weights[i] = t._java_obj, float(w)
+        j_trees[i], j_weights[i] = _model(t, n_features), float(w)
     if classifier:
         return GBTClassificationModel(ml.classification.GBTClassificationModel(f"GBTClassifier_{uuid.uuid4().hex[:12]}", j_trees, j_weights, n_features, 2))
     return GBTRegressionModel(ml.regression.GBTRegressionModel(f"GBTRegressor_{uuid.uuid4().hex[:12]}", j_trees, j_weights, n_features))
@@ -106,34 +377,69 @@ def patience_best(curve: Sequence[float], patience: int) -> tuple[int, bool]:
     return best_i + 1, False
 
 
-def grow(train: DataFrame, val: DataFrame, loss: str, params: Mapping, seed: int, patience: int,
-         block: int, max_rounds: int, label: str = "label") -> Boosted:
-    """Rounds in blocks until patience ends them; ``train`` and ``val`` have features and label."""
-    start = F.lit(0.0).alias("margin")
-    tr, va = train.select("features", label, start), val.select("features", label, start)
-    made = Boosted([], [], [], 0)
-    while True:
-        tr = tr.persist(StorageLevel.MEMORY_AND_DISK)     # read by every level of every tree of the block
-        seen, held, here = tr, va, []
-        margin = F.col("margin")
-        for _ in range(min(block, max_rounds - len(made.trees))):
-            t = len(made.trees)
-            target = F.col(label).cast("double") if t == 0 and loss != "logistic" else _signed(label) if t == 0 else _gradient(loss, label, margin)
-            tree = _tree(seen, target, params, seed + t, f"_t{t}")
-            made.trees.append(tree)
-            made.weights.append(1.0 if t == 0 else float(params.get("stepSize", 0.1)))
-            seen, held = tree.transform(seen), tree.transform(held)
-            margin = margin + F.lit(made.weights[t]) * F.col(f"_t{t}")
-            here.append(_loss(loss, label, margin))
-        means = held.agg(*[F.avg(e).alias(f"l{i}") for i, e in enumerate(here)]).first()
-        made.curve += [float(v) if v is not None else math.nan for v in means]
-        made.best, stopped = patience_best(made.curve, patience)
-        if stopped or len(made.trees) >= max_rounds:
-            tr.unpersist()
-            return made
-        done = tr
-        tr, va = (_written(rows.select("features", label, margin.alias("margin")), "margins") for rows in (seen, held))
-        done.unpersist()
+def _boost(train: DataFrame, val: DataFrame | None, loss: str, params: Mapping, seed: int, patience: int | None, block: int,
+           max_rounds: int, label: str, n_margins: int, binary: bool = False) -> Boosted:
+    """Rounds in blocks, ``n_margins`` trees each, until patience or ``max_rounds`` ends them; without ``patience`` all are kept."""
+    spark = train.sparkSession
+    checkpoint_dir(spark)
+    ship_package(spark)
+    rows = _columns(train, label)
+    cuts, n_rows = _find_cuts(rows, params, seed)
+    tasks = -(-n_rows // TASK_ROWS)
+    tr, done = _blocks(rows, cuts, n_margins, True, tasks, binary).persist(StorageLevel.MEMORY_AND_DISK), None
+    tr.checkpoint()                 # rows stay in their blocks when they are needed again
+    va = _blocks(_columns(val, label), cuts, n_margins, False, tasks).persist(StorageLevel.MEMORY_AND_DISK) if val is not None else None
+    made, step = Boosted([], [], [], 0), float(params.get("stepSize", 0.1))
+    try:
+        while True:
+            here, weights = [], []
+            for _ in range(min(block, max_rounds - len(made.trees))):
+                t = len(made.trees)
+                first = t == 0 and loss != "classes"
+                here.append(_grown(tr, loss, first, n_margins, params, [seed + t * n_margins + c for c in range(n_margins)], cuts, n_rows))
+                weights.append(1.0 if first else step)
+                made.trees.append(here[-1])
+                made.weights.append(weights[-1])
+                if done is not None:
+                    done.unpersist()                    # the next margins are kept by now
+                done, tr = tr, _with_trees(tr, here[-1:], weights[-1:], loss, val is None and loss == "classes").persist(StorageLevel.MEMORY_AND_DISK)
+                if val is None and loss == "classes":
+                    made.curve += _means(tr, 1)
+            tr.checkpoint()
+            if va is not None:
+                before, va = va, _with_trees(va, here, weights, loss, True).persist(StorageLevel.MEMORY_AND_DISK)
+                va.checkpoint()
+                made.curve += _means(va, len(here))
+                before.unpersist()
+            stopped = False
+            if patience and val is not None:
+                made.best, stopped = patience_best(made.curve, patience)
+            else:
+                made.best = len(made.trees)
+            if stopped or len(made.trees) >= max_rounds:
+                return made
+    finally:
+        for kept in (tr, done, va):
+            if kept is not None:
+                kept.unpersist()
+
+
+def _means(rows: RDD, n: int) -> list[float]:
+    """The mean loss after each of the last ``n`` rounds."""
+    told = rows.map(lambda block: block[4]).fold(np.zeros((n, 2)), add)
+    return [float(s / m) if m else math.nan for s, m in told]
+
+
+def grow(train: DataFrame, val: DataFrame | None, loss: str, params: Mapping, seed: int, patience: int | None,
+         block: int, max_rounds: int, label: str = "label", binary: bool = False) -> Boosted:
+    """Rounds in blocks until patience ends them; ``train`` and ``val`` have features and label.
+
+    Without ``val`` all ``max_rounds`` are kept and there is no curve.
+    ``binary``: labels other than 0 and 1 are refused.
+    """
+    made = _boost(train, val, loss, params, seed, patience, block, max_rounds, label, 1, binary)
+    made.trees = [trees[0] for trees in made.trees]
+    return made
 
 
 # -- several classes -------------------------------------------------------------------------------------------------
@@ -145,35 +451,7 @@ def grow_classes(train: DataFrame, n_classes: int, params: Mapping, seed: int, r
     Without ``val`` all ``rounds`` are kept and the curve is that of the
     training rows.
     """
-    zero = F.array(*[F.lit(0.0)] * n_classes).alias("margins")
-    tr = train.select("features", label, zero)
-    va = (val if val is not None else train).select("features", label, zero)
-    step = float(params.get("stepSize", 0.1))
-    made = Boosted([], [], [], 0)
-    while True:
-        tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
-        seen, held, here = tr, va, []
-        margins = [F.get("margins", F.lit(c)) for c in range(n_classes)]
-        for _ in range(min(block, rounds - len(made.trees))):
-            t, shares = len(made.trees), softmax(margins)
-            grown = [_tree(seen, (F.col(label) == c).cast("double") - shares[c], params, seed + t * n_classes + c, f"_t{t}_{c}")
-                     for c in range(n_classes)]
-            for tree in grown:
-                seen, held = tree.transform(seen), tree.transform(held)
-            made.trees.append(grown)
-            made.weights.append(step)
-            margins = [m + F.lit(step) * F.col(f"_t{t}_{c}") for c, m in enumerate(margins)]
-            own = F.coalesce(F.get(F.array(*softmax(margins)), F.col(label).cast("int")), F.lit(0.0))
-            here.append(-F.log(F.greatest(own, F.lit(1e-15))))
-        means = held.agg(*[F.avg(e).alias(f"l{i}") for i, e in enumerate(here)]).first()
-        made.curve += [float(v) if v is not None else math.nan for v in means]
-        made.best, stopped = patience_best(made.curve, patience) if val is not None and patience else (len(made.trees), False)
-        if stopped or len(made.trees) >= rounds:
-            tr.unpersist()
-            return made
-        done = tr
-        tr, va = (_written(rows.select("features", label, F.array(*margins).alias("margins")), "margins") for rows in (seen, held))
-        done.unpersist()
+    return _boost(train, val, "classes", params, seed, patience, block, rounds, label, n_classes)
 
 
 def softmax(margins: Sequence[Column]) -> list[Column]:

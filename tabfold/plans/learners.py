@@ -49,6 +49,7 @@ UNSUPPORTED = {"reg_alpha", "reg_lambda", "lambda_l1", "lambda_l2", "l2_leaf_reg
                "random_strength", "num_leaves", "max_leaf_nodes", "scale_pos_weight"}
 
 MAX_ROUNDS = 2000
+ROUNDS_KEPT = 10                # rounds between two checkpoints of the margins, where no rows are validated
 
 
 def merge_params(*dicts: Mapping | None) -> dict:
@@ -227,6 +228,14 @@ def fit(learner: Learner, train: DataFrame, features: Sequence[str], label: str,
         n = _n_classes(tr)
         made = B.grow_classes(tr, n, p, int(p.pop("seed", learner.seed)), rounds)
         return FitResult(PipelineModel(stages=[*stages, *B.class_stages(made, n, len(stages[-1].getInputCols()))]), rounds, made.curve)
+    p = spark_params(merge_params(learner.params, params)) if learner.boosted else {}
+    if learner.boosted and p.keys() <= set(B.PARAMS):            # others are left to Spark's own estimator
+        classifier = learner.objective == "classification"
+        stages, tr = _prepared(train, features, label, imputer)
+        made = B.grow(tr, None, "logistic" if classifier else p.get("lossType", "squared"), p, int(p.get("seed", learner.seed)), None, ROUNDS_KEPT,
+                      int(rounds if rounds is not None else p.get("maxIter", 20)), binary=classifier)
+        model = B.gbt_model(made.trees, made.weights, len(stages[-1].getInputCols()), classifier)
+        return FitResult(PipelineModel(stages=[*stages, model]), rounds, [])
     pm = build_pipeline(learner, features, label, params, rounds, imputer=imputer).fit(train)
     return FitResult(pm, rounds if learner.boosted else None, [])
 

@@ -78,3 +78,37 @@ def test_softmax_against_numpy(spark):
     got = spark.range(1).select(*[c.alias(f"p{i}") for i, c in enumerate(B.softmax([F.lit(v) for v in m]))]).first()
     e = np.exp(np.array(m) - 3.0)
     assert np.allclose(list(got), e / e.sum())
+
+
+@pytest.mark.parametrize("loss, label, kind", [("squared", "y", GBTRegressor), ("logistic", "flag", GBTClassifier)])
+def test_fixed_rounds_are_spark_s_own_and_their_sums_may_be_added_by_spark(rows, loss, label, kind, monkeypatch):
+    """Without validation rows all rounds are kept; many sums are added before they reach the driver."""
+    params = {"maxDepth": 4, "stepSize": 0.3, "minInstancesPerNode": 5}
+    want = kind(featuresCol="features", labelCol=label, maxIter=4, **params).fit(rows)
+    monkeypatch.setattr(B, "SUM_BYTES", 0)
+    monkeypatch.setattr(B, "TASK_ROWS", 50)
+    made = B.grow(rows, None, loss, params, 0, None, 3, 4, label)
+    assert len(made.trees) == made.best == 4 and made.curve == []
+    model = B.gbt_model(made.trees, made.weights, 3, kind is GBTClassifier)
+    shown = "prediction" if kind is GBTRegressor else "rawPrediction"
+    a, b = ({r["id"]: r[shown] for r in m.transform(rows).select("id", shown).collect()} for m in (model, want))
+    assert all(np.allclose(a[i], b[i], atol=1e-9) for i in b)
+    assert np.allclose(model.featureImportances.toArray(), want.featureImportances.toArray())
+
+
+def test_fit_refuses_labels_and_leaves_other_parameters_to_spark(rows):
+    raw = rows.drop("features")
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        L.fit(L.Learner("gbt_classifier", {"maxDepth": 2}), raw, ["a", "b"], "cls", rounds=1)
+    with pytest.raises(Exception, match="no label"):
+        L.fit(L.Learner("gbt_regressor", {"maxDepth": 2}), raw.withColumn("y", F.when(F.col("id") > 5, F.col("y"))), ["a", "b"], "y", rounds=1)
+    left = L.fit(L.Learner("gbt_regressor", {"maxDepth": 2, "impurity": "variance"}), raw, ["a", "b"], "y", rounds=2)
+    assert left.model.stages[-1].getNumTrees == 2
+
+
+def test_each_task_keeps_its_share_of_the_rows(rows):
+    """A tree of sampled rows has about that share of them, and the same again."""
+    params = {"maxDepth": 2, "subsamplingRate": 0.5}
+    one, two = (B.grow(rows, None, "squared", params, 3, None, 5, 3, "y") for _ in range(2))
+    assert all(120 < t.stats[0][0] < 280 for t in one.trees) and len({t.stats[0][0] for t in one.trees}) > 1
+    assert all(np.allclose(a.values(), b.values()) for a, b in zip(one.trees, two.trees))
