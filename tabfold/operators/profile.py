@@ -8,6 +8,7 @@ aggregate, never on the data.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model
@@ -15,10 +16,13 @@ from pyspark.ml.param.shared import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabfold.llm.common import ship_package
+
 
 def _stack(row_df: DataFrame, names: Sequence[str], prefix: str, value: str, key: str = "column") -> DataFrame:
     parts = ", ".join(f"'{n}', `{prefix}{i}`" for i, n in enumerate(names))
@@ -136,7 +140,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     Few columns: an aggregate a pair.  From ``WIDE`` columns on: a partition's
     rows become matrix products of values and of masks of what is there, one
-    row of sums a column, which are added by column (``gram_sums``).  The
+    row of moments a column, which are merged by column (``gram_sums``).  The
     numbers are the same but for rounding.
     """
     cols = list(cols)
@@ -149,43 +153,60 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return agg.selectExpr(f"stack({len(pairs)}, {parts}) as (a, b, corr)")
 
 
+MOMENTS = ["n", "mx", "my", "vx", "vy", "cxy"]
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of two sets of rows together: numbers, means, and sums of squares and products about the means."""
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy, f = b[1] - a[1], b[2] - a[2], a[0] * share
+    return np.stack([n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dx * f, a[4] + b[4] + dy * dy * f, a[5] + b[5] + dx * dy * f])
+
+
 def gram_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(i, n, sx, sy, sxx, syy, sxy): per column, arrays over all columns j of sums over the rows that have both.
+    """(i, n, mx, my, vx, vy, cxy): per column, arrays over all columns j of moments of the rows that have both:
+    their number, both means, sums of squares about the means, and of products.
 
-    Values are taken from the columns' means, so no large sums are
-    subtracted.  NaN counts as missing.
+    One pass.  The values of a batch are taken from one of its own, and
+    batches are merged by their means, so no large sums are subtracted.
+    NaN counts as missing.
     """
-    p, number = len(cols), [F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in cols]
-    means = [m if m is not None else 0.0 for m in df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(number)]).first()]
-    centred = df.select(F.array(*[x - F.lit(float(m)) for x, m in zip(number, means, strict=True)]).alias("x"))
-    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    ship_package(df.sparkSession)                 # the workers call ``_merged``
+    p = len(cols)
+    number = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"x{i}") for i, c in enumerate(cols)]
 
     def partial(batches):
-        total = None
+        total = np.zeros((len(MOMENTS), p, p))
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            x = np.array([[np.nan if v is None else v for v in row] for row in batch["x"]], dtype=float)
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
             there = ~np.isnan(x)
-            x, m = np.where(there, x, 0.0), there.astype(float)
-            some = np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
-            total = some if total is None else total + some
-        if total is not None:
-            yield pd.DataFrame({"i": np.arange(p), **{name: list(total[k]) for k, name in enumerate(names)}})
+            start = np.where(there.any(axis=1), x[np.arange(p), there.argmax(axis=1)], 0.0)      # a value that is there
+            x, m = np.where(there, x - start[:, None], 0.0), there.astype(float)
+            n, sx, sxx, sxy = m @ m.T, x @ m.T, (x * x) @ m.T, x @ x.T
+            some = np.maximum(n, 1.0)
+            here = np.stack([n, np.where(n > 0, start[:, None] + sx / some, 0.0), np.where(n > 0, start[None, :] + sx.T / some, 0.0),
+                             sxx - sx * sx / some, (sxx - sx * sx / some).T, sxy - sx * sx.T / some])
+            total = _merged(total, here)
+        if total[0].any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(p, dtype=np.int32)), *[pa.array(list(t), pa.list_(pa.float64())) for t in total]], names=["i", *MOMENTS])
 
     def added(key, rows):
-        return pd.DataFrame({"i": [key[0]], **{name: [np.sum(np.stack(rows[name].to_numpy()), axis=0)] for name in names}})
-    kind = "i int, " + ", ".join(f"{name} array<double>" for name in names)
+        each = zip(*[rows[name] for name in MOMENTS], strict=True)
+        total = functools.reduce(_merged, [np.stack(list(r)) for r in each])
+        return pd.DataFrame({"i": [key[0]], **{name: [total[k]] for k, name in enumerate(MOMENTS)}})
+    kind = "i int, " + ", ".join(f"{name} array<double>" for name in MOMENTS)
     # a row a column and partition meets its like
-    return centred.mapInPandas(partial, kind).groupBy("i").applyInPandas(added, kind)
+    return df.select(*number).mapInArrow(partial, kind).groupBy("i").applyInPandas(added, kind)
 
 
 def _from_gram(sums: DataFrame, cols: Sequence[str]) -> DataFrame:
     names = F.array(*[F.lit(c) for c in cols])
-    each = sums.select("i", F.posexplode(F.arrays_zip("n", "sx", "sy", "sxx", "syy", "sxy")).alias("j", "s")).where("j > i")
-    n, sx, sy = F.col("s.n"), F.col("s.sx"), F.col("s.sy")
-    spread = (F.col("s.sxx") - sx * sx / n) * (F.col("s.syy") - sy * sy / n)
-    corr = F.when((n > 1) & (spread > 0), (F.col("s.sxy") - sx * sy / n) / F.sqrt(spread))
+    each = sums.select("i", F.posexplode(F.arrays_zip(*MOMENTS)).alias("j", "s")).where("j > i")
+    spread = F.col("s.vx") * F.col("s.vy")
+    corr = F.when((F.col("s.n") > 1) & (spread > 0), F.col("s.cxy") / F.sqrt(spread))
     return each.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), corr.alias("corr"))
 
 
