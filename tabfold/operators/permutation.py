@@ -1,6 +1,7 @@
 """Permutation importance: metric loss when one feature's values are shuffled.
 
-Rows go to hash buckets once.  For each repeat a bucket's rows are put into a
+Rows go to hash buckets once, buckets of some ten thousand rows to tasks of
+about two: what a task holds does not grow with the data.  For each repeat a bucket's rows are put into a
 pseudo-random order (a seeded hash of the key) and every row sees the features
 of the one after it, the last those of the first: one random cycle a bucket.
 
@@ -26,7 +27,7 @@ from tabfold.operators import metrics as M
 from tabfold.session import scratch_path
 
 BATCH = 64                       # variants of a row that are scored in one pass
-ROWS_PER_BUCKET = 200_000        # rows of a bucket, about: their number grows with the data
+ROWS_PER_BUCKET = 10_000         # rows of a bucket, about: their number grows with the data
 MIN_BUCKETS = 32
 
 
@@ -36,12 +37,18 @@ def with_permuted(df: DataFrame, key: str, features: Sequence[str], repeats: int
     kc = F.col(key).cast("string")
     buckets = buckets or max(MIN_BUCKETS, -(-df.count() // ROWS_PER_BUCKET))
     out = df.withColumn("_x", F.struct(*features)).withColumn("_bk", F.pmod(F.xxhash64(F.lit(seed), F.lit("b"), kc), F.lit(buckets)))
+    out = _dealt(out, buckets)
     for r in range(repeats):
         w = Window.partitionBy("_bk").orderBy(F.xxhash64(F.lit(seed), F.lit(f"r{r}"), kc), key)
         out = out.withColumn(f"_p{r}", F.coalesce(F.lead("_x").over(w), F.first("_x").over(w)))
     return out.drop("_bk", "_x")
 
 
+def _dealt(df: DataFrame, buckets: int) -> DataFrame:
+    """Buckets dealt over tasks whose number grows with theirs: a task sorts its rows once a repeat, each time wider."""
+    return df.repartition(min(buckets, max(MIN_BUCKETS, buckets // 2)), "_bk")
+
+
 def permute_column(df: DataFrame, key: str, col: str, seed: int, buckets: int | None = None) -> DataFrame:
     """``df`` with the values of one column permuted within buckets."""
     return with_permuted(df, key, [col], 1, seed, buckets).withColumn(col, F.col("_p0").getField(col)).drop("_p0")

@@ -141,3 +141,33 @@ def test_gram_sums_against_numpy(spark):
             else:
                 assert got[names[i], names[j]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
     assert all(row["corr"] is None for row in P.correlation_matrix(df.where("false"), names).collect())
+
+
+def test_tasks_of_the_permutation_grow_with_the_rows(spark, monkeypatch):
+    """A task holds some rows of each repeat, however many there are."""
+    monkeypatch.setattr(PI, "ROWS_PER_BUCKET", 10)
+    df = spark.range(2000).withColumn("x", F.col("id") * 2.0)
+    got = PI.with_permuted(df, "id", ["x"], 2)
+    assert got.rdd.getNumPartitions() == 100
+    rows = got.collect()
+    for r in range(2):
+        assert sorted(row[f"_p{r}"]["x"] for row in rows) == [2.0 * i for i in range(2000)]
+
+
+def test_moments_far_from_zero_in_one_pass(spark):
+    """Sorted values far from zero, nulls, NaN and a constant: moments as numpy has them."""
+    from tabfold.operators import profile as P
+    n, names = 3000, ["a", "b", "c", "d"]
+    df = spark.range(n).select((F.lit(1e9) + F.col("id")).alias("a"), F.when(F.col("id") % 3 > 0, F.lit(1e9) + (F.col("id") * 7) % 11).alias("b"),
+                               F.lit(0.1).alias("c"), F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.col("id") * 1.0).alias("d")).repartitionByRange(7, "a")
+    got = {r["i"]: r for r in P.gram_sums(df, names).collect()}
+    i = np.arange(n)
+    x = np.stack([1e9 + i, np.where(i % 3 > 0, 1e9 + (i * 7) % 11, np.nan), np.full(n, 0.1), np.where(i % 2 == 0, np.nan, i)])
+    for a in range(4):
+        for b in range(4):
+            both = ~np.isnan(x[a]) & ~np.isnan(x[b])
+            u, v = x[a][both], x[b][both]
+            assert got[a]["n"][b] == both.sum()
+            assert np.allclose([got[a]["mx"][b], got[a]["my"][b]], [u.mean(), v.mean()])
+            assert np.isclose(got[a]["cxy"][b], ((u - u.mean()) * (v - v.mean())).sum(), rtol=1e-6, atol=1e-3)
+    assert got[2]["vx"] == [0.0] * 4
