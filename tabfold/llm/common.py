@@ -6,6 +6,7 @@ import ctypes
 import gc
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 
@@ -33,6 +34,7 @@ def stash(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+_SHIPPING = threading.Lock()
 
 
 BATCH_BYTES = 4 << 20         # of texts that a Python worker holds at a time, about
@@ -43,18 +45,19 @@ def ship_package(spark: SparkSession) -> None:
     and keep the batches of texts that they get small."""
     sc = spark.sparkContext
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    if sc.applicationId in _SHIPPED:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    name = os.path.basename(top)
-    archive = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
-    with zipfile.ZipFile(archive, "w") as z:
-        for folder, _, files in os.walk(top):
-            for f in files:
-                if f.endswith(".py"):
-                    z.write(os.path.join(folder, f), os.path.join(name, os.path.relpath(os.path.join(folder, f), top)))
-    sc.addPyFile(archive)
-    _SHIPPED.add(sc.applicationId)
+    with _SHIPPING:                 # folds are fitted in threads
+        if sc.applicationId in _SHIPPED:
+            return
+        top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        name = os.path.basename(top)
+        archive = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, files in os.walk(top):
+                for f in files:
+                    if f.endswith(".py"):
+                        z.write(os.path.join(folder, f), os.path.join(name, os.path.relpath(os.path.join(folder, f), top)))
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
 
 
 BROADCAST_BYTES = 32 << 20    # of rows that are sent to every executor, at most

@@ -33,9 +33,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark import RDD, SparkContext, StorageLevel
 from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel
+from pyspark.ml.linalg import DenseMatrix
+from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +49,14 @@ TREE_PARAMS = ("maxDepth", "maxBins", "minInstancesPerNode", "minInfoGain", "sub
                "maxMemoryInMB", "cacheNodeIds", "checkpointInterval", "minWeightFractionPerNode")
 #: all that ``grow`` reads
 PARAMS = (*TREE_PARAMS, "stepSize", "maxIter", "lossType", "seed")
+#: and ``forest``
+FOREST_PARAMS = (*TREE_PARAMS, "numTrees", "bootstrap", "seed")
 
 BLOCK_ROWS = 50_000              # rows of a block, about
 TASK_ROWS = 500_000              # rows of a task, about: a level takes some 50 ns a row, a task some 50 ms besides
 SPLIT_ROWS = 10_000              # rows that split values are found from, as in Spark's trees
 SUM_BYTES = 16 << 20             # sums of a level that the driver adds itself, at most; more are added by Spark first
+LEVEL_BYTES = 64 << 20           # sums that a task holds, at most
 
 
 # -- losses ----------------------------------------------------------------------------------------------------------
@@ -165,7 +170,7 @@ def _split(tree: Tree, at: int, sums: np.ndarray, cuts: Sequence[np.ndarray], pa
 
 
 def _level_sums(blocks, loss: str, first: bool, trees: Sequence[Tree], open_nodes: Sequence[Sequence[int]], seeds: Sequence[int],
-                rate: float, n_bins: int):
+                rate: float, n_bins: int, bootstrap: bool):
     """((tree, node), sums by feature and bin) of some blocks."""
     total: dict[tuple[int, int], np.ndarray] = {}
     for ident, bins, y, margins, _ in blocks:
@@ -176,51 +181,67 @@ def _level_sums(blocks, loss: str, first: bool, trees: Sequence[Tree], open_node
             slot = np.full(max(len(tree.stats), 1), -1)
             slot[list(open_)] = np.arange(len(open_))
             own = slot[tree.nodes(bins)]
-            if rate < 1.0:
-                own = np.where(np.random.default_rng([seeds[c] & 0xFFFFFFFF, *ident]).random(len(y)) < rate, own, -1)
+            times, rng = None, np.random.default_rng([seeds[c] & 0xFFFFFFFF, *ident])
+            if bootstrap:
+                times = rng.poisson(rate, len(y))
+                own = np.where(times > 0, own, -1)
+            elif rate < 1.0:
+                own = np.where(rng.random(len(y)) < rate, own, -1)
             here = np.flatnonzero(own >= 0)
-            g, base, x = targets[here, c], own[here] * n_bins, bins[here]
-            gg, size = g * g, len(open_) * n_bins
+            g, base, x = targets[here, min(c, targets.shape[1] - 1)], own[here] * n_bins, bins[here]
+            n = times[here].astype(float) if bootstrap else None
+            g, gg, size = (g, g * g, len(open_) * n_bins) if n is None else (n * g, n * g * g, len(open_) * n_bins)
             sums = np.empty((len(open_), p, n_bins, 3))
             for j in range(p):
                 at = base + x[:, j]
-                for i, w in enumerate((None, g, gg)):
+                for i, w in enumerate((n, g, gg)):
                     sums[:, j, :, i] = np.bincount(at, w, size).reshape(len(open_), n_bins)
             for s, node in enumerate(open_):
                 total[c, node] = total[c, node] + sums[s] if (c, node) in total else sums[s]
     return total.items()
 
 
-def _grown(rows: RDD, loss: str, first: bool, n_trees: int, params: Mapping, seeds: Sequence[int], cuts: Sequence[np.ndarray], n_rows: int) -> list[Tree]:
-    """The trees of a round, level by level."""
+def _grown(rows: RDD, loss: str, first: bool, n_trees: int, params: Mapping, seeds: Sequence[int], cuts: Sequence[np.ndarray], n_rows: int,
+           bootstrap: bool = False) -> list[Tree]:
+    """The trees of a round, level by level; a level of many nodes takes several jobs."""
     trees = [Tree() for _ in range(n_trees)]
-    open_nodes: list[list[int]] = [[0]] * n_trees
     rate, n_bins, tasks = float(params.get("subsamplingRate", 1.0)), max(map(len, cuts)) + 1, rows.getNumPartitions()
-    rngs = [np.random.default_rng(s & 0xFFFFFFFF) for s in seeds]
-    for depth in range(max(1, int(params.get("maxDepth", 5)))):
-        told = rows.mapPartitions(lambda part: _level_sums(part, loss, first, trees, open_nodes, seeds, rate, n_bins))
-        if tasks * sum(map(len, open_nodes)) * len(cuts) * n_bins * 24 > SUM_BYTES:
-            told = told.reduceByKey(add, min(tasks, max(1, sum(map(len, open_nodes)))))
-        sums: dict[tuple[int, int], np.ndarray] = {}
-        for k, s in told.collect():
-            sums[k] = sums[k] + s if k in sums else s
-        following: list[list[int]] = []
-        for c, tree in enumerate(trees):
-            if depth == 0:
-                tree.leaf(sums[c, 0][0].sum(axis=0) if (c, 0) in sums else np.zeros(3))
-            more = []
-            if int(params.get("maxDepth", 5)) > 0:
-                for node in open_nodes[c]:
-                    if (c, node) in sums:
-                        more += _split(tree, node, sums[c, node], cuts, params, n_rows, rngs[c])
+    rngs, deepest = [np.random.default_rng(s & 0xFFFFFFFF) for s in seeds], int(params.get("maxDepth", 5))
+    node_bytes = len(cuts) * n_bins * 24
+    level = [(c, 0) for c in range(n_trees)]
+    for depth in range(max(1, deepest)):
+        following = []
+        for lo in range(0, len(level), most := max(1, LEVEL_BYTES // node_bytes)):
+            part = level[lo:lo + most]
+            sums = _summed(rows, loss, first, trees, part, seeds, rate, n_bins, bootstrap, tasks * len(part) * node_bytes > SUM_BYTES)
+            for c, node in part:
+                if depth == 0:
+                    trees[c].leaf(sums[c, node][0].sum(axis=0) if (c, node) in sums else np.zeros(3))
+                if deepest and (c, node) in sums:
+                    following += [(c, side) for side in _split(trees[c], node, sums[c, node], cuts, params, n_rows, rngs[c])]
+        level = following
+        for tree in trees:
             tree.depth = depth + 1
-            following.append(more)
-        open_nodes = following
-        if not any(open_nodes):
+        if not level:
             break
     return trees
 
 
+def _summed(rows: RDD, loss: str, first: bool, trees: Sequence[Tree], nodes: Sequence[tuple[int, int]], seeds: Sequence[int], rate: float,
+            n_bins: int, bootstrap: bool, by_spark: bool) -> dict[tuple[int, int], np.ndarray]:
+    """The sums of some (tree, node) over all rows, in one job."""
+    open_nodes: list[list[int]] = [[] for _ in trees]
+    for c, node in nodes:
+        open_nodes[c].append(node)
+    told = rows.mapPartitions(lambda part: _level_sums(part, loss, first, trees, open_nodes, seeds, rate, n_bins, bootstrap))
+    if by_spark:
+        told = told.reduceByKey(add, min(rows.getNumPartitions(), len(nodes)))
+    sums: dict[tuple[int, int], np.ndarray] = {}
+    for k, s in told.collect():
+        sums[k] = sums[k] + s if k in sums else s
+    return sums
+
+
 # -- rows ------------------------------------------------------------------------------------------------------------
 
 def _cuts(values: np.ndarray, n_splits: int, rows: float) -> np.ndarray:
@@ -318,27 +339,31 @@ def _with_trees(rows: RDD, rounds: Sequence[Sequence[Tree]], weights: Sequence[f
     return rows.map(added)
 
 
-def _model(tree: Tree, n_features: int):
-    """Spark's own model of a tree, made by the JVM classes' constructors."""
-    sc = SparkContext._active_spark_context
-    ml, mllib = sc._jvm.org.apache.spark.ml, sc._jvm.org.apache.spark.mllib
-
-    def calculator(stats):
-        array = sc._gateway.new_array(sc._jvm.double, 3)
-        for i, v in enumerate(stats):
-            array[i] = float(v)
-        return mllib.tree.impurity.VarianceCalculator(array, int(stats[0]))
-
-    values = tree.values()
+def _models(trees: Sequence[Tree], n_features: int):
+    """Spark's own models of trees, as a Java array, made by the JVM classes' constructors.
 
-    def node(at: int):
-        impurity, stats = float(_impurity(tree.stats[at])), calculator(tree.stats[at])
-        sides = tree.child[at]
-        if sides[0] == at:
-            return ml.tree.LeafNode(float(values[at]), impurity, stats)
-        split = ml.tree.ContinuousSplit(tree.feature[at], tree.threshold[at])
-        return ml.tree.InternalNode(float(values[at]), impurity, tree.gain[at], node(sides[0]), node(sides[1]), split, stats)
-    return ml.regression.DecisionTreeRegressionModel(f"dtr_{uuid.uuid4().hex[:12]}", node(0), n_features)
+    The sums of all nodes go to the JVM at once: a call a number takes longer than growing the trees.
+    """
+    sc = SparkContext._active_spark_context
+    ml = sc._jvm.org.apache.spark.ml
+    leaf, inner, cut, one = ml.tree.LeafNode, ml.tree.InternalNode, ml.tree.ContinuousSplit, ml.regression.DecisionTreeRegressionModel
+    calculator = sc._jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator
+    sums = _py2java(sc, DenseMatrix(3, max(1, sum(len(t.stats) for t in trees)), np.concatenate([np.concatenate(t.stats) for t in trees]))).values()
+    copy = sc._jvm.java.util.Arrays.copyOfRange
+    made, start = sc._gateway.new_array(one, len(trees)), 0
+    for i, tree in enumerate(trees):
+        values, impurities = tree.values(), _impurity(np.stack(tree.stats))
+
+        def node(at: int):
+            lo = 3 * (start + at)
+            stats = calculator(copy(sums, lo, lo + 3), int(tree.stats[at][0]))
+            sides = tree.child[at]
+            if sides[0] == at:
+                return leaf(float(values[at]), float(impurities[at]), stats)
+            return inner(float(values[at]), float(impurities[at]), tree.gain[at], node(sides[0]), node(sides[1]), cut(tree.feature[at], tree.threshold[at]), stats)
+        made[i] = one(f"dtr_{uuid.uuid4().hex[:12]}", node(0), n_features)
+        start += len(tree.stats)
+    return made
 
 
 def gbt_model(trees: Sequence[Tree], weights: Sequence[float], n_features: int, classifier: bool):
@@ -349,10 +374,9 @@ def gbt_model(trees: Sequence[Tree], weights: Sequence[float], n_features: int,
     """
     sc = SparkContext._active_spark_context
     ml = sc._jvm.org.apache.spark.ml
-    j_trees = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(trees))
-    j_weights = sc._gateway.new_array(sc._jvm.double, len(trees))
-    for i, (t, w) in enumerate(zip(trees, weights, strict=True)):
-        j_trees[i], j_weights[i] = _model(t, n_features), float(w)
+    j_trees, j_weights = _models(trees, n_features), sc._gateway.new_array(sc._jvm.double, len(trees))
+    for i, (_, w) in enumerate(zip(trees, weights, strict=True)):
+        j_weights[i] = float(w)
     if classifier:
         return GBTClassificationModel(ml.classification.GBTClassificationModel(f"GBTClassifier_{uuid.uuid4().hex[:12]}", j_trees, j_weights, n_features, 2))
     return GBTRegressionModel(ml.regression.GBTRegressionModel(f"GBTRegressor_{uuid.uuid4().hex[:12]}", j_trees, j_weights, n_features))
@@ -442,6 +466,35 @@ def grow(train: DataFrame, val: DataFrame | None, loss: str, params: Mapping, se
     return made
 
 
+# -- forests ---------------------------------------------------------------------------------------------------------
+
+def forest(train: DataFrame, params: Mapping, seed: int, label: str = "label") -> list[Tree]:
+    """The trees of a regression forest, grown together: each row counts for a tree as often as a Poisson number
+    says (``bootstrap``), or with the given probability."""
+    checkpoint_dir(train.sparkSession)
+    ship_package(train.sparkSession)
+    rows, n_trees = _columns(train, label), int(params.get("numTrees", 20))
+    own = dict(params)
+    if str(own.get("featureSubsetStrategy", "auto")).lower() == "auto":
+        own["featureSubsetStrategy"] = "onethird" if n_trees > 1 else "all"
+    cuts, n_rows = _find_cuts(rows, own, seed)
+    kept = _blocks(rows, cuts, 1, True, -(-n_rows // TASK_ROWS)).persist(StorageLevel.MEMORY_AND_DISK)
+    kept.checkpoint()
+    try:
+        return _grown(kept, "squared", True, n_trees, own, [seed + c for c in range(n_trees)], cuts, n_rows, bool(own.get("bootstrap", True)))
+    finally:
+        kept.unpersist()
+
+
+def forest_model(trees: Sequence[Tree], n_features: int) -> RandomForestRegressionModel:
+    """Spark's own model of these trees (as ``gbt_model``)."""
+    sc = SparkContext._active_spark_context
+    kind = sc._jvm.org.apache.spark.ml.regression
+    made = kind.RandomForestRegressionModel(f"rfr_{uuid.uuid4().hex[:12]}", _models(trees, n_features), n_features)
+    made.set(made.getParam("numTrees"), len(trees))               # the sum of the trees is divided by it
+    return RandomForestRegressionModel(made)
+
+
 # -- several classes -------------------------------------------------------------------------------------------------
 
 def grow_classes(train: DataFrame, n_classes: int, params: Mapping, seed: int, rounds: int, val: DataFrame | None = None,

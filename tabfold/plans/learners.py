@@ -236,6 +236,10 @@ def fit(learner: Learner, train: DataFrame, features: Sequence[str], label: str,
                       int(rounds if rounds is not None else p.get("maxIter", 20)), binary=classifier)
         model = B.gbt_model(made.trees, made.weights, len(stages[-1].getInputCols()), classifier)
         return FitResult(PipelineModel(stages=[*stages, model]), rounds, [])
+    if learner.kind == "rf_regressor" and (p := spark_params(merge_params(learner.params, params))).keys() <= set(B.FOREST_PARAMS):
+        stages, tr = _prepared(train, features, label, imputer)
+        trees, n_features = B.forest(tr, p, int(p.get("seed", learner.seed))), len(stages[-1].getInputCols())
+        return FitResult(PipelineModel(stages=[*stages, B.forest_model(trees, n_features)]), None, [])
     pm = build_pipeline(learner, features, label, params, rounds, imputer=imputer).fit(train)
     return FitResult(pm, rounds if learner.boosted else None, [])
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tabfold.plans import boosting as B
@@ -112,3 +112,22 @@ def test_each_task_keeps_its_share_of_the_rows(rows):
     one, two = (B.grow(rows, None, "squared", params, 3, None, 5, 3, "y") for _ in range(2))
     assert all(120 < t.stats[0][0] < 280 for t in one.trees) and len({t.stats[0][0] for t in one.trees}) > 1
     assert all(np.allclose(a.values(), b.values()) for a, b in zip(one.trees, two.trees))
+
+
+def test_forest_against_spark(rows, monkeypatch):
+    """All rows in one tree: Spark's own tree; many trees of drawn rows: near its forest, in any number of jobs and tasks."""
+    monkeypatch.setattr(B, "TASK_ROWS", 100)
+    one = {"numTrees": 1, "bootstrap": False, "maxDepth": 4}
+    a, b = B.forest_model(B.forest(rows, one, 0, "y"), 3), RandomForestRegressor(labelCol="y", **one).fit(rows)
+    got, want = ([r["prediction"] for r in m.transform(rows).orderBy("id").collect()] for m in (a, b))
+    assert np.allclose(got, want, atol=1e-9)
+    many = {"numTrees": 30, "maxDepth": 5, "subsamplingRate": 0.8}
+    grown = B.forest(rows, many, 0, "y")
+    assert len({t.stats[0][0] for t in grown}) > 5 and abs(np.mean([t.stats[0][0] for t in grown]) / 400 - 0.8) < 0.05
+    monkeypatch.setattr(B, "LEVEL_BYTES", 1 << 14)
+    again = B.forest(rows, many, 0, "y")
+    assert all(np.allclose(s.values(), t.values()) for s, t in zip(grown, again, strict=True))
+    true = np.array([r["y"] for r in rows.orderBy("id").collect()])
+    own, spark_s = (np.sqrt(np.mean((np.array([r["prediction"] for r in m.transform(rows).orderBy("id").collect()]) - true) ** 2))
+                    for m in (B.forest_model(grown, 3), RandomForestRegressor(labelCol="y", seed=1, **many).fit(rows)))
+    assert abs(own / spark_s - 1) < 0.1
