@@ -18,14 +18,17 @@ a table without rows gives no rows; other columns are never read.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,8 +39,10 @@ from tabfold.llm.cutting_stock import cutting_plan
 CAPACITY = 4096
 GRAIN = 8                  # tokens of a unit
 END_ID = 2
+WORD_END = b"\xff" * 4     # stands behind the ids of a word, within a batch only
 SALT_ROWS = 50_000         # rows ranked by a task, about
-CACHED_WORDS = 100_000     # pieces of words whose ids a worker remembers (twice as many at most within a task: 40 MB)
+CACHED_WORDS = 250_000     # pieces of words whose ids a worker remembers (twice as many at most within a task: 100 MB)
+RESTING_WORDS = 100_000    # of these, what stays between tasks (20 MB)
 FEW = 200_000              # cut documents up to which their ids are broadcast
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, place long"
@@ -58,7 +63,7 @@ _LATIN = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA1, 0x180)]]
 _LETTER = "".join(re.escape(c) for c in _LATIN if unicodedata.category(c)[0] == "L")
 _DIGIT = "".join(re.escape(c) for c in _LATIN if unicodedata.category(c)[0] == "N")
 _PLAIN = re.compile("[\t-\r\x20-\x7e\xa1-\u017f\u2010-\u2027\u2030-\u205e\u20ac]*")
-_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_LETTER}{_DIGIT}\t-\r ]+")
+_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_LETTER}{_DIGIT}\t-\r ]+|\n")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -69,13 +74,15 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordIds:
-    """Token ids of texts, piece by piece.
+    """Token ids of texts, word by word.
 
     The tokenizer drops white space and never joins characters across it or
-    across its own splitting pattern, so a text's ids are those of its pieces
-    in turn; each is encoded once and remembered.  Texts of Latin letters are
-    split here, and their pieces go to the tokenizer's model; words of all
-    other texts go through the whole tokenizer.
+    across its own splitting pattern, so a text's ids are those of its words
+    in turn.  Arrow splits a batch of texts at ASCII white space and numbers
+    its distinct words; only these are encoded, and their ids are dealt out to
+    all places by number.  Words of Latin letters are split here, and their
+    pieces, which are remembered, go to the tokenizer's model; other words go
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -85,27 +92,57 @@ class WordIds:
         self.words = Remembered(self._word, CACHED_WORDS // 4)
 
     def _piece(self, piece: str) -> bytes:
+        if piece == "\n":
+            return WORD_END
         mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
 
-    def _word(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+    def _word(self, word: str) -> bytes:
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def __call__(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text, with the end id."""
-        t = text.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(t):
-            ids = map(self.pieces.__getitem__, _SPLIT.findall(t.lower()))
-        else:
-            ids = map(self.words.__getitem__, text.split())
-        return b"".join(ids) + END_ID.to_bytes(4, "little")
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        """The ids of each word, as binary values."""
+        all_of_them = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.view(pa.large_binary()))
+        lines = pc.binary_join(all_of_them, pa.scalar(b"\n", pa.large_binary()))[0].as_py().decode("utf-8", "replace")
+        odd = {}
+        if not _PLAIN.fullmatch(lines):
+            split = lines.split("\n")
+            odd = {k: self.words[w] for k, w in enumerate(split) if not _PLAIN.fullmatch(w)}
+            lines = "\n".join(["" if k in odd else w for k, w in enumerate(split)])
+        ids = np.frombuffer(b"".join(map(self.pieces.__getitem__, _SPLIT.findall(lines.lower() + "\n"))), "<u4")
+        end = ids == np.frombuffer(WORD_END, "<u4")
+        stops = np.flatnonzero(end)
+        offsets = np.concatenate([[0], 4 * (stops - np.arange(len(stops)))])
+        found = pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(ids[~end])])
+        if odd:
+            at = np.arange(len(words))
+            at[list(odd)] = len(words) + np.arange(len(odd))
+            found = pa.concat_arrays([found, pa.array(list(odd.values()), pa.large_binary())]).take(pa.array(at))
+        return found
+
+    def batch(self, texts: Sequence[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text, with the end id."""
+        end = END_ID.to_bytes(4, "little")
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        if not len(words):
+            return [end] * len(texts)
+        ids = self._of_words(words.dictionary).take(words.indices)
+        _, offsets, data = ids.buffers()
+        stops = np.frombuffer(offsets, np.int64)[np.asarray(split.offsets)].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[a:b]) + end for a, b in zip(stops, stops[1:])]
 
+    def __call__(self, text: bytes) -> bytes:
+        return self.batch([text])[0]
 
     def rest(self) -> None:
-        """Between tasks only what was used last stays."""
-        self.pieces.old.clear()
-        self.words.old.clear()
+        """Between tasks a part of what was used last stays."""
+        for memory, limit in ((self.pieces, RESTING_WORDS), (self.words, RESTING_WORDS // 4)):
+            kept = dict(itertools.islice(memory.items(), limit))      # the first to come again are the common ones
+            memory.forget()
+            memory.update(kept)
 
 
 @functools.lru_cache(maxsize=1)
@@ -119,8 +156,7 @@ def _measure(path: str, capacity: int):
         ids_of, step = word_ids(path), 4 * capacity
         for texts in batches:
             rows = []
-            for t in texts:
-                ids = ids_of(t)
+            for ids in ids_of.batch(list(texts)):
                 rows.append((len(ids) // 4, [zlib.crc32(ids[i:i + step]) for i in range(0, len(ids), step)]))
             yield pd.DataFrame(rows, columns=["n", "crcs"])
         ids_of.rest()
@@ -229,8 +265,7 @@ def _cut_pieces(docs: DataFrame, cut: DataFrame, n_cut: int, spaces: list, path:
         ids_of = word_ids(path)
         for batch in batches:
             out = []
-            for doc, data, places in zip(batch["doc_id"], batch["body"], batch["places"]):
-                ids = ids_of(bytes(data))
+            for doc, ids, places in zip(batch["doc_id"], ids_of.batch(list(batch["body"])), batch["places"]):
                 n = len(ids) // 4
                 base = n // capacity * capacity
                 end = -(-(n - base) // grain)

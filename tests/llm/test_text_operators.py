@@ -109,6 +109,43 @@ def test_tokens_by_word_are_those_of_the_whole_text():
         assert np.frombuffer(ids((t or "").encode()), "<u4").tolist() == want, t
 
 
+def test_tokens_of_a_batch_are_those_of_its_texts():
+    ids = packing.WordIds(BPE)
+    spaces = ["a\x1cb\x85c\u2028d\xa0e", "\v\fDon't\r\n  Été's 12\t", "İ ı ŉ", "漢字 plain 漢字", " \n\t", "x" * 5000]
+    texts = [(t or "").encode() for t in ODD + spaces]
+    for part in (texts, texts[:1], [b"", b" "], [], texts * 3):
+        got = [np.frombuffer(b, "<u4").tolist() for b in ids.batch(part)]
+        assert got == [packing.tokenizer(BPE).encode(t.decode(), add_special_tokens=False).ids + [packing.END_ID] for t in part]
+
+
+def test_bytes_that_are_no_utf8_end_at_white_space():
+    ids = packing.WordIds(BPE)
+    texts = [b"a\xff b", b"\xe2\x80 \xa6", b"plain words"]
+    for t, got in zip(texts, ids.batch(texts)):
+        want = packing.tokenizer(BPE).encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids + [packing.END_ID]
+        assert np.frombuffer(got, "<u4").tolist() == want
+
+
+def test_a_batch_splits_each_distinct_word_once(prose):
+    ids, seen = packing.WordIds(BPE), []
+    ids.pieces = type("Seen", (packing.Remembered,), {"__getitem__": lambda self, k: seen.append(k) or super(type(self), self).__getitem__(k)})(ids._piece, 1000)
+    texts = [prose(k, 40).encode() for k in range(5)] * 100
+    got = ids.batch(texts)
+    words = {w for t in texts for w in t.split()}
+    assert len(seen) <= 8 * len(words) < sum(len(t.split()) for t in texts)      # not once a place
+    assert got[:5] * 100 == got == [packing.WordIds(BPE)(t) for t in texts[:5]] * 100
+
+
+def test_between_tasks_a_bounded_part_of_the_pieces_stays(monkeypatch):
+    monkeypatch.setattr(packing, "RESTING_WORDS", 8)
+    ids = packing.WordIds(BPE)
+    texts = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)} 漢{k}".encode() for k in range(100)]
+    want = ids.batch(texts)
+    ids.rest()
+    assert len(ids.pieces) == 8 and len(ids.words) == 2 and not ids.pieces.old and not ids.words.old
+    assert ids.batch(texts) == want
+
+
 def check_pieces(rows, texts, capacity):
     want = {i: np.array(packing.tokenizer(BPE).encode(t or "", add_special_tokens=False).ids + [2], "<u4") for i, t in enumerate(texts)}
     by_doc, by_seq = {}, {}
