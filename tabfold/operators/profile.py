@@ -154,14 +154,20 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 MOMENTS = ["n", "mx", "my", "vx", "vy", "cxy"]
+ORIGINS = ["ox", "oy"]         # until all is merged, means are counted from here
 
 
 def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Moments of two sets of rows together: numbers, means, and sums of squares and products about the means."""
+    """Moments of two sets of rows together: numbers, means, sums of squares and products about the means, origins.
+
+    Means are counted from an origin, a value of the rows, so that those far from zero keep their digits.
+    """
     n = a[0] + b[0]
     share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
-    dx, dy, f = b[1] - a[1], b[2] - a[2], a[0] * share
-    return np.stack([n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dx * f, a[4] + b[4] + dy * dy * f, a[5] + b[5] + dx * dy * f])
+    ox, oy = np.where(a[0] > 0, a[6], b[6]), np.where(a[0] > 0, a[7], b[7])
+    dx, dy, f = b[6] - ox + b[1] - a[1], b[7] - oy + b[2] - a[2], a[0] * share
+    return np.stack([n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dx * f, a[4] + b[4] + dy * dy * f, a[5] + b[5] + dx * dy * f,
+                     ox, oy])
 
 
 def gram_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -177,7 +183,7 @@ def gram_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     number = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"x{i}") for i, c in enumerate(cols)]
 
     def partial(batches):
-        total = np.zeros((len(MOMENTS), p, p))
+        total = np.zeros((len(MOMENTS + ORIGINS), p, p))
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -187,19 +193,21 @@ def gram_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             x, m = np.where(there, x - start[:, None], 0.0), there.astype(float)
             n, sx, sxx, sxy = m @ m.T, x @ m.T, (x * x) @ m.T, x @ x.T
             some = np.maximum(n, 1.0)
-            here = np.stack([n, np.where(n > 0, start[:, None] + sx / some, 0.0), np.where(n > 0, start[None, :] + sx.T / some, 0.0),
-                             sxx - sx * sx / some, (sxx - sx * sx / some).T, sxy - sx * sx.T / some])
+            here = np.stack([n, sx / some, sx.T / some, sxx - sx * sx / some, (sxx - sx * sx / some).T, sxy - sx * sx.T / some,
+                             np.where(n > 0, start[:, None], 0.0), np.where(n > 0, start[None, :], 0.0)])
             total = _merged(total, here)
         if total[0].any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(p, dtype=np.int32)), *[pa.array(list(t), pa.list_(pa.float64())) for t in total]], names=["i", *MOMENTS])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(p, dtype=np.int32)), *[pa.array(list(t), pa.list_(pa.float64())) for t in total]], names=["i", *MOMENTS, *ORIGINS])
 
     def added(key, rows):
-        each = zip(*[rows[name] for name in MOMENTS], strict=True)
+        each = zip(*[rows[name] for name in MOMENTS + ORIGINS], strict=True)
         total = functools.reduce(_merged, [np.stack(list(r)) for r in each])
+        total[1:3] += total[6:]
         return pd.DataFrame({"i": [key[0]], **{name: [total[k]] for k, name in enumerate(MOMENTS)}})
-    kind = "i int, " + ", ".join(f"{name} array<double>" for name in MOMENTS)
+    def kind(names):
+        return "i int, " + ", ".join(f"{name} array<double>" for name in names)
     # a row a column and partition meets its like
-    return df.select(*number).mapInArrow(partial, kind).groupBy("i").applyInPandas(added, kind)
+    return df.select(*number).mapInArrow(partial, kind(MOMENTS + ORIGINS)).groupBy("i").applyInPandas(added, kind(MOMENTS))
 
 
 def _from_gram(sums: DataFrame, cols: Sequence[str]) -> DataFrame:
