@@ -281,6 +281,16 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     return docs.join(few_bytes(gone, F.lit(32)), docs[key] == F.col("_gone"), "left_anti")
 
 
+def _bodies(some: DataFrame) -> DataFrame:
+    """The sets of documents with a family, made again from their texts."""
+    # not deterministic, to Spark: else the filter on the set's id is pushed below the function, which then runs twice in each task
+    sets = F.pandas_udf(_sets_of, "body binary, set_id binary").asNondeterministic()
+    # rows that share an id may differ in text: those of the class that the id stands for are compared
+    return (some.select("node", "set_id", "component", sets("text_bytes").alias("s")).where("set_id = s.set_id")
+            .select("node", "set_id", "component", "s.body").dropDuplicates(["node", "set_id"])
+            .withColumn("n", F.octet_length("body") / 8))
+
+
 def confirmed_links(docs: DataFrame, rows: DataFrame, key: str, text: str, percent: int = SIMILARITY) -> DataFrame:
     """Links (a, b) between ids whose transitive closure joins all similar documents."""
     linkable = rows.where("n > 0 AND doc_id IS NOT NULL")
@@ -292,14 +302,8 @@ def confirmed_links(docs: DataFrame, rows: DataFrame, key: str, text: str, perce
     bucketed = classes.select("node", "sketch", F.explode("bands").alias("bucket"))
     candidates = stash(meet(bucketed, "bucket", F.lit(1), BUCKET_BLOCK, _sketches(max_xor(percent)), "sketch").distinct(), "candidates", "snappy")
     family = stash(components(candidates, "a", "b"), "families", "snappy")
-    # the sets of documents with a family, made again from their texts
-    sets = F.pandas_udf(_sets_of, "body binary, set_id binary")
     wanted = classes.select("node", "set_id").join(family, "node")
     source = docs.select(F.col(key).cast("long").alias("node"), utf8(text).alias("text_bytes"))
-    some = source.join(few_bytes(wanted, F.lit(64)), "node")
-    # rows that share an id may differ in text: those of the class that the id stands for are compared
-    bodies = (some.select("node", "set_id", "component", sets("text_bytes").alias("s")).where("set_id = s.set_id")
-              .select("node", "set_id", "component", "s.body").dropDuplicates(["node", "set_id"])
-              .withColumn("n", F.octet_length("body") / 8))
+    bodies = _bodies(source.join(few_bytes(wanted, F.lit(64)), "node"))
     links = meet(bodies, "component", F.col("n"), FAMILY_BLOCK, _sets(percent), "body")
     return copies.unionByName(links)

@@ -40,6 +40,7 @@ GRAIN = 8                  # tokens of a unit
 END_ID = 2
 WORD_END = b"\xff" * 4     # stands behind the ids of a word, within a batch only
 SALT_ROWS = 50_000         # rows ranked by a task, about
+SLICE_BYTES = 1 << 20      # of texts that a worker encodes at a time, about: their words are numbered, so they take some 20 times as much
 CACHED_WORDS = 100_000     # pieces of words whose ids a worker remembers (twice as many at most within a task: 40 MB)
 FEW = 200_000              # cut documents up to which their ids are broadcast
 
@@ -52,6 +53,7 @@ def tokenizer(path: str):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True                       # their strings in a text are ordinary text
+    spent()                                              # reading the file took as much again
     return t
 
 
@@ -132,6 +134,18 @@ class WordIds:
         data = memoryview(data or b"")
         return [bytes(data[a:b]) + end for a, b in zip(stops, stops[1:])]
 
+    def each(self, texts: Sequence[bytes], most: int = SLICE_BYTES) -> Iterator[bytes]:
+        """The ids of each text in turn, encoded in slices of at most ``most`` bytes (or one text)."""
+        part, size = [], 0
+        for t in texts:
+            if part and size + len(t) > most:
+                yield from self.batch(part)
+                part, size = [], 0
+            part.append(t)
+            size += len(t)
+        if part:
+            yield from self.batch(part)
+
     def __call__(self, text: bytes) -> bytes:
         return self.batch([text])[0]
 
@@ -152,7 +166,7 @@ def _measure(path: str, capacity: int):
         ids_of, step = word_ids(path), 4 * capacity
         for texts in batches:
             rows = []
-            for ids in ids_of.batch(list(texts)):
+            for ids in ids_of.each(texts):
                 rows.append((len(ids) // 4, [zlib.crc32(ids[i:i + step]) for i in range(0, len(ids), step)]))
             yield pd.DataFrame(rows, columns=["n", "crcs"])
         ids_of.rest()
@@ -261,7 +275,7 @@ def _cut_pieces(docs: DataFrame, cut: DataFrame, n_cut: int, spaces: list, path:
         ids_of = word_ids(path)
         for batch in batches:
             out = []
-            for doc, ids, places in zip(batch["doc_id"], ids_of.batch(list(batch["body"])), batch["places"]):
+            for doc, ids, places in zip(batch["doc_id"], ids_of.each(batch["body"]), batch["places"]):
                 n = len(ids) // 4
                 base = n // capacity * capacity
                 end = -(-(n - base) // grain)

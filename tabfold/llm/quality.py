@@ -103,6 +103,7 @@ def _ratio_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield pd.Series([[[class_of(len(t)), binned(t)]] + [[WHOLE_CHUNKS, binned(c)] for c in chunks_of(t) if len(c) == CHUNK] if t else []
                          for t in texts])
+    spent()
 
 
 def limits_from(histogram: dict[int, dict[int, int]]) -> tuple:
@@ -118,13 +119,19 @@ def limits_from(histogram: dict[int, dict[int, int]]) -> tuple:
     return tuple(out)
 
 
+def ratio_bins(docs: DataFrame, text: str = "text") -> DataFrame:
+    """class, bin, count of the ratios of a table's distinct texts."""
+    # not deterministic, to Spark: else the explode's filter on empty lists is pushed below the function, which then runs twice
+    # in each task, in a second Python worker that stays
+    ratios = F.pandas_udf(_ratio_batches, "array<array<int>>").asNondeterministic()
+    once = docs.select(F.xxhash64(utf8(text)).alias("text_hash"), ratios(utf8(text)).alias("ratios")).dropDuplicates(["text_hash", "ratios"])
+    return once.select(F.explode("ratios").alias("r")).groupBy(F.col("r")[0].alias("class"), F.col("r")[1].alias("bin")).count()
+
+
 def limits_of(docs: DataFrame, text: str = "text") -> tuple:
     """The limits of a table; copies of a text count once.  The driver gets 10,000 bins of a class at most."""
-    ratios = F.pandas_udf(_ratio_batches, "array<array<int>>")
-    once = docs.select(F.xxhash64(utf8(text)).alias("text_hash"), ratios(utf8(text)).alias("ratios")).dropDuplicates(["text_hash", "ratios"])
-    bins = once.select(F.explode("ratios").alias("r")).groupBy(F.col("r")[0].alias("class"), F.col("r")[1].alias("bin")).count()
     histogram: dict[int, dict[int, int]] = {}
-    for k, b, n in bins.collect():
+    for k, b, n in ratio_bins(docs, text).collect():
         histogram.setdefault(k, {})[b] = n
     return limits_from(histogram)
 

@@ -134,6 +134,16 @@ def test_near_duplicates(spark, prose, monkeypatch, blocks):
     assert one.columns == df.columns and sorted(r.doc_id for r in one.collect()) == sorted(set(group))
 
 
+def test_sets_of_families_are_made_once_a_task(spark):
+    text = "one two three four five six seven"
+    made = near_dup.shingles(text.encode(), near_dup.word_hashes()).tobytes()
+    own = near_dup.xxhash.xxh3_128_digest(made)
+    rows = [(1, own, 7, text.encode()), (1, own, 7, b"another text of the same id"), (1, own, 7, text.encode())]
+    found = near_dup._bodies(spark.createDataFrame(rows, "node long, set_id binary, component long, text_bytes binary"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+    assert [(r.node, r.component, r.body, r.n) for r in found.collect()] == [(1, 7, made, 3)]
+
+
 def test_near_duplicates_repeated_rows_null_ids_and_nothing(spark, prose):
     t = prose(1, 50)
     df = spark.createDataFrame([(4, t), (4, t), (2, t), (None, t), (9, prose(2, 50)), (9, prose(3, 50))], "doc_id long, text string")

@@ -118,6 +118,22 @@ def test_tokens_of_a_batch_are_those_of_its_texts():
         assert got == [packing.tokenizer(BPE).encode(t.decode(), add_special_tokens=False).ids + [packing.END_ID] for t in part]
 
 
+def test_a_worker_encodes_a_batch_in_slices(monkeypatch):
+    ids, sizes, whole = packing.WordIds(BPE), [], packing.WordIds.batch
+    texts = [(t or "").encode() for t in ODD] * 3
+    want = ids.batch(texts)
+
+    def noted(self, part):
+        sizes.append((len(part), sum(map(len, part))))
+        return whole(self, part)
+    monkeypatch.setattr(packing.WordIds, "batch", noted)
+    for most in (0, 1, 500, 1 << 20):
+        sizes.clear()
+        assert list(ids.each(iter(texts), most)) == want
+        assert all(n == 1 or size <= most for n, size in sizes) and sum(n for n, _ in sizes) == len(texts)
+    assert list(ids.each([])) == []
+
+
 def test_bytes_that_are_no_utf8_end_at_white_space():
     ids = packing.WordIds(BPE)
     texts = [b"a\xff b", b"\xe2\x80 \xa6", b"plain words"]
@@ -126,6 +142,16 @@ def test_bytes_that_are_no_utf8_end_at_white_space():
         assert np.frombuffer(got, "<u4").tolist() == want
 
 
+def test_compression_ratios_are_taken_once(spark, prose):
+    texts = [None, "", prose(1, 60), prose(1, 60), prose(2, 4000)]
+    bins = quality.ratio_bins(spark.createDataFrame(doc_rows(texts), COLUMNS))
+    assert bins._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+    whole = sum(quality.class_of(len(t.encode())) is not None for t in texts[3:])      # an empty text has no ratio, a copy counts once
+    rows = bins.collect()
+    assert sum(r[2] for r in rows if r[0] != quality.WHOLE_CHUNKS) == whole == 2
+    assert sum(r[2] for r in rows if r[0] == quality.WHOLE_CHUNKS) == len(texts[4].encode()) // quality.CHUNK
+
+
 def test_a_batch_splits_each_distinct_word_once(prose):
     ids, seen = packing.WordIds(BPE), []
     ids.pieces = type("Seen", (packing.Remembered,), {"__getitem__": lambda self, k: seen.append(k) or super(type(self), self).__getitem__(k)})(ids._piece, 1000)
