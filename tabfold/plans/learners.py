@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from tabfold.operators.impute import MedianImputer
 from tabfold.plans import boosting as B
+from tabfold.plans import factorization as FM
 from tabfold.plans.boosting import patience_best  # noqa: F401
 
 # fixed values: boosted-tree parameter names -> Spark ML names
@@ -240,6 +241,9 @@ def fit(learner: Learner, train: DataFrame, features: Sequence[str], label: str,
         stages, tr = _prepared(train, features, label, imputer)
         trees, n_features = B.forest(tr, p, int(p.get("seed", learner.seed))), len(stages[-1].getInputCols())
         return FitResult(PipelineModel(stages=[*stages, B.forest_model(trees, n_features)]), None, [])
+    if learner.kind == "fm_regressor" and FM.by_sums(machine := learner.estimator("features", "label", params), len(features)):
+        stages, tr = _prepared(train, features, label, imputer)
+        return FitResult(PipelineModel(stages=[*stages, FM.fit(machine, tr, len(stages[-1].getInputCols()))]), None, [])
     pm = build_pipeline(learner, features, label, params, rounds, imputer=imputer).fit(train)
     return FitResult(pm, rounds if learner.boosted else None, [])
 
