@@ -9,12 +9,16 @@ prefixes of the block are scored on the validation rows in one pass, and
 patience decides whether another block follows.  Stopping early keeps a
 prefix of the trees.
 
-Rows are binned once, by split values found as Spark's trees find them, and
-kept as blocks: the bins of some ten thousand rows, their labels and margins.
-A level of a tree is one job: each task sums counts, gradients and their
-squares by node, feature and bin, the sums of all tasks are added, and the
-driver picks the splits.  A round thus reads some 20 bytes a row and level,
-evaluates its own tree only, and plans no query.
+Rows are binned once, by split values found as Spark's trees find them, dealt
+out and sorted so that rows with the same bins (a cell) lie together, and kept
+as blocks: the cells of some ten thousand rows, their margins, and the labels
+row by row.  A level of a tree is one job: each task adds up counts, gradients
+and their squares over the rows of each cell, then cells by node, feature and
+bin; the sums of all tasks are added, and the driver picks the splits.  A round
+thus reads some 10 bytes a row and level, follows its tree once a cell,
+evaluates its own tree only, and plans no query.  A cell with many rows is
+dealt to several tasks; where each row is a cell of its own, the sums are the
+same and only take longer.
 
 Two or more classes share their margins: a round fits a tree a class to
 1{y = c} - softmax(margins)[c], so the probabilities of a row add up to one
@@ -25,8 +29,10 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 from operator import add
 
 import numpy as np
@@ -52,11 +58,14 @@ PARAMS = (*TREE_PARAMS, "stepSize", "maxIter", "lossType", "seed")
 #: and ``forest``
 FOREST_PARAMS = (*TREE_PARAMS, "numTrees", "bootstrap", "seed")
 
-BLOCK_ROWS = 50_000              # rows of a block, about
-TASK_ROWS = 500_000              # rows of a task, about: a level takes some 50 ns a row, a task some 50 ms besides
+BLOCK_ROWS = 100_000             # rows of a block, about
+TASK_ROWS = 2_000_000            # rows of a task, about: a level takes some 10 ns a row, a task some 50 ms besides
+TASK_BYTES = 64 << 20            # their bins and labels, at most: a task sorts them
 SPLIT_ROWS = 10_000              # rows that split values are found from, as in Spark's trees
 SUM_BYTES = 16 << 20             # sums of a level that the driver adds itself, at most; more are added by Spark first
 LEVEL_BYTES = 64 << 20           # sums that a task holds, at most
+KEPT_BYTES = 512 << 20           # sums by tree and cell that a forest keeps, at most; else rows are drawn again at each level
+KEPT_CELLS = 20_000              # cells whose sums are kept together, about
 
 
 # -- losses ----------------------------------------------------------------------------------------------------------
@@ -169,41 +178,77 @@ def _split(tree: Tree, at: int, sums: np.ndarray, cuts: Sequence[np.ndarray], pa
     return [s for s in sides if abs(float(_impurity(tree.stats[s]))) >= EPSILON]
 
 
-def _level_sums(blocks, loss: str, first: bool, trees: Sequence[Tree], open_nodes: Sequence[Sequence[int]], seeds: Sequence[int],
-                rate: float, n_bins: int, bootstrap: bool):
-    """((tree, node), sums by feature and bin) of some blocks."""
+@lru_cache(maxsize=64)
+def _poisson_table(rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """The Poisson number for each 16 leading bits of a uniform number (255: more bits decide), and the distribution function."""
+    upto = np.cumsum([math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) for k in range(64)])
+    low, high = (np.searchsorted(upto, (np.arange(1 << 16) + i) / (1 << 16), side) for i, side in ((0, "right"), (1, "left")))
+    return np.where(low == high, low, 255).astype(np.uint8), upto
+
+
+def _poisson(rng, rate: float, n: int) -> np.ndarray:
+    """``n`` Poisson numbers: numpy's own take ten times as long."""
+    table, upto = _poisson_table(rate)
+    bits = rng.integers(0, 1 << 64, -(-n // 4), np.uint64).view(np.uint16)[:n]
+    times = table[bits]
+    if len(again := np.flatnonzero(times == 255)):
+        times[again] = np.searchsorted(upto, (bits[again] + rng.random(len(again))) / (1 << 16), "right")
+    return times
+
+
+def _by_row(starts: np.ndarray, n: int, margins: np.ndarray) -> np.ndarray:
+    """Margins of cells, for each of their rows."""
+    return margins if len(margins) == n else np.repeat(margins, np.diff(starts, append=n), axis=0)
+
+
+def _cell_sums(blocks, loss: str, first: bool, wanted: Sequence[bool], seeds: Sequence[int], rate: float, bootstrap: bool):
+    """(cells, for each wanted tree the count, sum and sum of squares of its targets by cell) of some blocks."""
+    for ident, cells, starts, y, margins, _ in blocks:
+        targets, found = _targets(loss, y, margins if first else _by_row(starts, len(y), margins), first), []
+        squares = targets * targets
+        for c, seed in enumerate(seeds):
+            if not wanted[c]:
+                found.append(None)
+                continue
+            g, gg = (t[:, min(c, t.shape[1] - 1)] for t in (targets, squares))
+            rng, sums = np.random.default_rng([seed & 0xFFFFFFFF, *ident]), np.empty((len(cells), 3))
+            if bootstrap or rate < 1.0:
+                times = _poisson(rng, rate, len(y)).astype(float) if bootstrap else (rng.random(len(y)) < rate).astype(float)
+                sums[:, 0], g, gg = np.add.reduceat(times, starts), times * g, times * gg
+            else:
+                sums[:, 0] = np.diff(starts, append=len(y))
+            sums[:, 1], sums[:, 2] = np.add.reduceat(g, starts), np.add.reduceat(gg, starts)
+            found.append(sums)
+        yield cells, found
+
+
+def _level_sums(parts: Iterable, trees: Sequence[Tree], open_nodes: Sequence[Sequence[int]], n_bins: int):
+    """((tree, node), sums by feature and bin) of some cells and their sums by tree."""
     total: dict[tuple[int, int], np.ndarray] = {}
-    for ident, bins, y, margins, _ in blocks:
-        p, targets = bins.shape[1], _targets(loss, y, margins, first)
+    for cells, found in parts:
+        p = cells.shape[1]
         for c, (tree, open_) in enumerate(zip(trees, open_nodes)):
             if not open_:
                 continue
             slot = np.full(max(len(tree.stats), 1), -1)
             slot[list(open_)] = np.arange(len(open_))
-            own = slot[tree.nodes(bins)]
-            times, rng = None, np.random.default_rng([seeds[c] & 0xFFFFFFFF, *ident])
-            if bootstrap:
-                times = rng.poisson(rate, len(y))
-                own = np.where(times > 0, own, -1)
-            elif rate < 1.0:
-                own = np.where(rng.random(len(y)) < rate, own, -1)
+            own = slot[tree.nodes(cells)]
+            own[found[c][:, 0] == 0] = -1                # no row of the cell was drawn
             here = np.flatnonzero(own >= 0)
-            g, base, x = targets[here, min(c, targets.shape[1] - 1)], own[here] * n_bins, bins[here]
-            n = times[here].astype(float) if bootstrap else None
-            g, gg, size = (g, g * g, len(open_) * n_bins) if n is None else (n * g, n * g * g, len(open_) * n_bins)
+            base, x, each = own[here] * n_bins, cells[here], found[c][here].T
             sums = np.empty((len(open_), p, n_bins, 3))
             for j in range(p):
                 at = base + x[:, j]
-                for i, w in enumerate((n, g, gg)):
-                    sums[:, j, :, i] = np.bincount(at, w, size).reshape(len(open_), n_bins)
+                for i, w in enumerate(each):
+                    sums[:, j, :, i] = np.bincount(at, w, len(open_) * n_bins).reshape(len(open_), n_bins)
             for s, node in enumerate(open_):
                 total[c, node] = total[c, node] + sums[s] if (c, node) in total else sums[s]
     return total.items()
 
 
 def _grown(rows: RDD, loss: str, first: bool, n_trees: int, params: Mapping, seeds: Sequence[int], cuts: Sequence[np.ndarray], n_rows: int,
-           bootstrap: bool = False) -> list[Tree]:
-    """The trees of a round, level by level; a level of many nodes takes several jobs."""
+           bootstrap: bool = False, kept: bool = False) -> list[Tree]:
+    """The trees of a round, level by level; a level of many nodes takes several jobs.  ``kept``: rows are sums by cell already."""
     trees = [Tree() for _ in range(n_trees)]
     rate, n_bins, tasks = float(params.get("subsamplingRate", 1.0)), max(map(len, cuts)) + 1, rows.getNumPartitions()
     rngs, deepest = [np.random.default_rng(s & 0xFFFFFFFF) for s in seeds], int(params.get("maxDepth", 5))
@@ -213,7 +258,13 @@ def _grown(rows: RDD, loss: str, first: bool, n_trees: int, params: Mapping, see
         following = []
         for lo in range(0, len(level), most := max(1, LEVEL_BYTES // node_bytes)):
             part = level[lo:lo + most]
-            sums = _summed(rows, loss, first, trees, part, seeds, rate, n_bins, bootstrap, tasks * len(part) * node_bytes > SUM_BYTES)
+            open_nodes: list[list[int]] = [[] for _ in trees]
+            for c, node in part:
+                open_nodes[c].append(node)
+            wanted = [bool(nodes) for nodes in open_nodes]
+            told = rows.mapPartitions(lambda found, trees=trees, open_nodes=open_nodes, wanted=wanted: _level_sums(
+                found if kept else _cell_sums(found, loss, first, wanted, seeds, rate, bootstrap), trees, open_nodes, n_bins))
+            sums = _summed(told, min(tasks, len(part)) if tasks * len(part) * node_bytes > SUM_BYTES else 0)
             for c, node in part:
                 if depth == 0:
                     trees[c].leaf(sums[c, node][0].sum(axis=0) if (c, node) in sums else np.zeros(3))
@@ -227,15 +278,10 @@ def _grown(rows: RDD, loss: str, first: bool, n_trees: int, params: Mapping, see
     return trees
 
 
-def _summed(rows: RDD, loss: str, first: bool, trees: Sequence[Tree], nodes: Sequence[tuple[int, int]], seeds: Sequence[int], rate: float,
-            n_bins: int, bootstrap: bool, by_spark: bool) -> dict[tuple[int, int], np.ndarray]:
-    """The sums of some (tree, node) over all rows, in one job."""
-    open_nodes: list[list[int]] = [[] for _ in trees]
-    for c, node in nodes:
-        open_nodes[c].append(node)
-    told = rows.mapPartitions(lambda part: _level_sums(part, loss, first, trees, open_nodes, seeds, rate, n_bins, bootstrap))
-    if by_spark:
-        told = told.reduceByKey(add, min(rows.getNumPartitions(), len(nodes)))
+def _summed(told: RDD, tasks: int) -> dict[tuple[int, int], np.ndarray]:
+    """The sums of some (tree, node) over all rows, in one job; ``tasks``: of Spark, that add them before the driver does."""
+    if tasks:
+        told = told.reduceByKey(add, tasks)
     sums: dict[tuple[int, int], np.ndarray] = {}
     for k, s in told.collect():
         sums[k] = sums[k] + s if k in sums else s
@@ -271,8 +317,22 @@ def _columns(rows: DataFrame, label: str) -> DataFrame:
     return rows.select(vector_to_array("features").alias("x"), F.col(label).cast("double").alias("y"))
 
 
-def _find_cuts(rows: DataFrame, params: Mapping, seed: int) -> tuple[list[np.ndarray], int]:
-    """Split values a feature, and the number of rows."""
+@dataclass
+class Binning:
+    cuts: list[np.ndarray]          # split values a feature
+    rows: int
+    tasks: int
+    busy: dict[bytes, int]          # cells with more rows than a task should have: among how many tasks they are dealt
+
+    @property
+    def kind(self):
+        return np.uint8 if max(map(len, self.cuts)) < 256 else np.int32
+
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        return np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(self.cuts)], axis=1).astype(self.kind)
+
+
+def _binning(rows: DataFrame, params: Mapping, seed: int) -> Binning:
     n = rows.count()
     if n == 0:
         raise ValueError("no training rows")
@@ -282,60 +342,88 @@ def _find_cuts(rows: DataFrame, params: Mapping, seed: int) -> tuple[list[np.nda
     x = np.array([r["x"] for r in some.select("x").collect()], dtype=float)
     if not len(x):
         x = np.array([rows.select("x").first()["x"]], dtype=float)
-    return [_cuts(x[:, j], bins - 1, share * n) for j in range(x.shape[1])], n
-
-
-def _blocks(rows: DataFrame, cuts: Sequence[np.ndarray], n_margins: int, strict: bool, tasks: int, binary: bool = False) -> RDD:
-    """(id, bins, labels, margins, losses) of some ten thousand rows each."""
-    kind = np.uint8 if max(map(len, cuts)) < 256 else np.int32
-    p = len(cuts)
+    found = Binning([_cuts(x[:, j], bins - 1, share * n) for j in range(x.shape[1])], n, 1, {})
+    found.tasks = max(-(-n // TASK_ROWS), -(-n * (x.shape[1] * np.dtype(found.kind).itemsize + 8) // TASK_BYTES))
+    if found.tasks > 1:
+        for cell, times in Counter(map(bytes, found.bins(x))).items():
+            if (parts := math.ceil(2 * found.tasks * times / len(x))) > 1:
+                found.busy[cell] = parts
+    return found
+
+
+def _hashed(cells: np.ndarray) -> np.ndarray:
+    """A number a row that rows with the same bins share."""
+    h = np.zeros(len(cells), np.uint64)
+    for j in range(cells.shape[1]):
+        h = (h ^ cells[:, j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    return h
+
+
+def _blocks(rows: DataFrame, by: Binning, n_margins: int, strict: bool, binary: bool = False) -> RDD:
+    """(id, cells, first row of each, labels, margins of the cells, losses) of some ten thousand rows each."""
+    kind, p, tasks, busy = by.kind, len(by.cuts), by.tasks, by.busy
+
+    def dealt(x, y):
+        cells = np.ascontiguousarray(by.bins(x))
+        to = _hashed(cells) % np.uint64(tasks)
+        for cell, parts in busy.items():
+            here = np.flatnonzero((cells == np.frombuffer(cell, kind)).all(axis=1))
+            to[here] = (to[here] + np.arange(len(here), dtype=np.uint64) % np.uint64(parts)) % np.uint64(tasks)
+        order = np.argsort(to, kind="stable")
+        ends = np.cumsum(np.bincount(to.astype(int), minlength=tasks))
+        for task, (lo, hi) in enumerate(zip(np.append(0, ends[:-1]), ends)):
+            if lo < hi:
+                here = order[lo:hi]
+                yield pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([cells[here].tobytes()], pa.binary()), pa.array([y[here].tobytes()], pa.binary())],
+                                                 names=["task", "x", "y"])
 
     def binned(batches):
         held, size = [], 0
-
-        def block():
-            y = np.concatenate([b[1] for b in held])
-            return pa.RecordBatch.from_arrays([pa.array([np.concatenate([b[0] for b in held]).tobytes()], pa.binary()), pa.array([y.tobytes()], pa.binary())], names=["x", "y"])
         for batch in batches:
-            if not batch.num_rows:
-                continue
             x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
             y = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
             if strict and np.isnan(y).any():
                 raise ValueError("a training row has no label")
             if binary and not np.isin(y, (0.0, 1.0)).all():
                 raise ValueError("a label is neither 0 nor 1")
-            held.append((np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)], axis=1).astype(kind), y))
+            held.append((x, y))
             size += len(y)
             if size >= BLOCK_ROWS:
-                yield block()
+                yield from dealt(*map(np.concatenate, zip(*held)))
                 held, size = [], 0
         if held:
-            yield block()
-
-    def opened(part, found):
-        for i, r in enumerate(found):
-            y = np.frombuffer(bytes(r["y"]))
-            yield (part, i), np.frombuffer(bytes(r["x"]), kind).reshape(len(y), p), y, np.zeros((len(y), n_margins)), None
-    made = rows.mapInArrow(binned, "x binary, y binary").rdd
-    if tasks < made.getNumPartitions():
-        made = made.coalesce(tasks)
-    return made.mapPartitionsWithIndex(opened)
+            yield from dealt(*map(np.concatenate, zip(*held)))
+
+    def laid(part, found):
+        held = [(np.frombuffer(x, kind).reshape(-1, p), np.frombuffer(y)) for _, (x, y) in found]
+        if not held:
+            return
+        x, y = map(np.concatenate, zip(*held))
+        del held
+        order = np.lexsort((y, _hashed(x)))            # by label too: rows are drawn by their places
+        x, y = x[order], y[order]
+        for i, lo in enumerate(range(0, len(y), BLOCK_ROWS)):
+            own, labels = x[lo:lo + BLOCK_ROWS], y[lo:lo + BLOCK_ROWS].copy()
+            starts = np.flatnonzero(np.append(True, (own[1:] != own[:-1]).any(axis=1)))
+            yield (part, i), own[starts], starts, labels, np.zeros((len(starts), n_margins)), None
+    made = rows.mapInArrow(binned, "task int, x binary, y binary").rdd
+    return made.map(lambda r: (r["task"], (bytes(r["x"]), bytes(r["y"])))).partitionBy(tasks, int).mapPartitionsWithIndex(laid)
 
 
 def _with_trees(rows: RDD, rounds: Sequence[Sequence[Tree]], weights: Sequence[float], loss: str, told: bool) -> RDD:
     """The blocks with the trees of some rounds added to the margins; ``told``: and the losses' sum and number after each round."""
     def added(block):
-        ident, bins, y, margins, _ = block
+        ident, cells, starts, y, margins, _ = block
         margins, losses = margins.copy(), []
         for trees, w in zip(rounds, weights):
             for c, tree in enumerate(trees):
-                margins[:, c] += w * tree.values()[tree.nodes(bins)]
+                margins[:, c] += w * tree.values()[tree.nodes(cells)]
             if told:
-                each = _losses(loss, y, margins)
+                each = _losses(loss, y, _by_row(starts, len(y), margins))
                 each = each if loss == "classes" else each[~np.isnan(y)]
                 losses.append((float(each.sum()), len(each)))
-        return ident, bins, y, margins, np.array(losses)
+        return ident, cells, starts, y, margins, np.array(losses)
     return rows.map(added)
 
 
@@ -408,11 +496,10 @@ def _boost(train: DataFrame, val: DataFrame | None, loss: str, params: Mapping,
     checkpoint_dir(spark)
     ship_package(spark)
     rows = _columns(train, label)
-    cuts, n_rows = _find_cuts(rows, params, seed)
-    tasks = -(-n_rows // TASK_ROWS)
-    tr, done = _blocks(rows, cuts, n_margins, True, tasks, binary).persist(StorageLevel.MEMORY_AND_DISK), None
+    by = _binning(rows, params, seed)
+    tr, done = _blocks(rows, by, n_margins, True, binary).persist(StorageLevel.MEMORY_AND_DISK), None
     tr.checkpoint()                 # rows stay in their blocks when they are needed again
-    va = _blocks(_columns(val, label), cuts, n_margins, False, tasks).persist(StorageLevel.MEMORY_AND_DISK) if val is not None else None
+    va = _blocks(_columns(val, label), by, n_margins, False).persist(StorageLevel.MEMORY_AND_DISK) if val is not None else None
     made, step = Boosted([], [], [], 0), float(params.get("stepSize", 0.1))
     try:
         while True:
@@ -420,7 +507,7 @@ def _boost(train: DataFrame, val: DataFrame | None, loss: str, params: Mapping,
             for _ in range(min(block, max_rounds - len(made.trees))):
                 t = len(made.trees)
                 first = t == 0 and loss != "classes"
-                here.append(_grown(tr, loss, first, n_margins, params, [seed + t * n_margins + c for c in range(n_margins)], cuts, n_rows))
+                here.append(_grown(tr, loss, first, n_margins, params, [seed + t * n_margins + c for c in range(n_margins)], by.cuts, by.rows))
                 weights.append(1.0 if first else step)
                 made.trees.append(here[-1])
                 made.weights.append(weights[-1])
@@ -450,7 +537,7 @@ def _boost(train: DataFrame, val: DataFrame | None, loss: str, params: Mapping,
 
 def _means(rows: RDD, n: int) -> list[float]:
     """The mean loss after each of the last ``n`` rounds."""
-    told = rows.map(lambda block: block[4]).fold(np.zeros((n, 2)), add)
+    told = rows.map(lambda block: block[5]).fold(np.zeros((n, 2)), add)
     return [float(s / m) if m else math.nan for s, m in told]
 
 
@@ -468,22 +555,51 @@ def grow(train: DataFrame, val: DataFrame | None, loss: str, params: Mapping, se
 
 # -- forests ---------------------------------------------------------------------------------------------------------
 
-def forest(train: DataFrame, params: Mapping, seed: int, label: str = "label") -> list[Tree]:
+def forest(train: DataFrame, params: Mapping, seed: int, label: str = "label", binned: dict | None = None) -> list[Tree]:
     """The trees of a regression forest, grown together: each row counts for a tree as often as a Poisson number
-    says (``bootstrap``), or with the given probability."""
+    says (``bootstrap``), or with the given probability.
+
+    ``binned``: where the blocks of these training rows stay for the next forest over them; whoever owns it unpersists them.
+    """
     checkpoint_dir(train.sparkSession)
     ship_package(train.sparkSession)
-    rows, n_trees = _columns(train, label), int(params.get("numTrees", 20))
-    own = dict(params)
+    n_trees, own = int(params.get("numTrees", 20)), dict(params)
     if str(own.get("featureSubsetStrategy", "auto")).lower() == "auto":
         own["featureSubsetStrategy"] = "onethird" if n_trees > 1 else "all"
-    cuts, n_rows = _find_cuts(rows, own, seed)
-    kept = _blocks(rows, cuts, 1, True, -(-n_rows // TASK_ROWS)).persist(StorageLevel.MEMORY_AND_DISK)
-    kept.checkpoint()
+    key, found = (label, int(own.get("maxBins", 32)), seed), {} if binned is None else binned
+    if key not in found:
+        rows = _columns(train, label)
+        by = _binning(rows, own, seed)
+        kept = _blocks(rows, by, 1, True).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.checkpoint()
+        found[key] = by, kept, kept.map(lambda block: len(block[1])).sum()
+    by, kept, n_cells = found[key]
+    seeds, rate, bootstrap = [seed + c for c in range(n_trees)], float(own.get("subsamplingRate", 1.0)), bool(own.get("bootstrap", True))
+    few = n_cells * n_trees * 24 <= KEPT_BYTES
+    sums = kept.mapPartitions(lambda part: _gathered(_cell_sums(part, "squared", True, [True] * n_trees, seeds, rate, bootstrap))).persist(StorageLevel.MEMORY_AND_DISK) if few else kept
     try:
-        return _grown(kept, "squared", True, n_trees, own, [seed + c for c in range(n_trees)], cuts, n_rows, bool(own.get("bootstrap", True)))
+        return _grown(sums, "squared", True, n_trees, own, seeds, by.cuts, by.rows, bootstrap, few)
     finally:
-        kept.unpersist()
+        if few:
+            sums.unpersist()
+        if binned is None:
+            kept.unpersist()
+
+
+def _gathered(parts: Iterable) -> Iterable:
+    """Cells and their sums by tree, of several blocks together."""
+    held, size = [], 0
+
+    def joined():
+        return np.concatenate([cells for cells, _ in held]), [np.concatenate(sums) for sums in zip(*(found for _, found in held))]
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= KEPT_CELLS:
+            yield joined()
+            held, size = [], 0
+    if held:
+        yield joined()
 
 
 def forest_model(trees: Sequence[Tree], n_features: int) -> RandomForestRegressionModel:

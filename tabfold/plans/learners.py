@@ -220,8 +220,12 @@ def train_until_optimal(learner: Learner, train: DataFrame, val: DataFrame, feat
 
 
 def fit(learner: Learner, train: DataFrame, features: Sequence[str], label: str,
-        params: Mapping | None = None, rounds: int | None = None, imputer=None) -> FitResult:
-    """Fixed-round (or non-boosted) fit of the whole pipeline."""
+        params: Mapping | None = None, rounds: int | None = None, imputer=None, binned: dict | None = None) -> FitResult:
+    """Fixed-round (or non-boosted) fit of the whole pipeline.
+
+    ``binned``: where a forest leaves the blocks of its rows for the next fit
+    on the same rows and features (``boosting.forest``).
+    """
     if learner.kind == "gbt_multiclass":
         p = spark_params(merge_params(learner.params, params))
         rounds = int(rounds if rounds is not None else p.get("maxIter", 20))
@@ -239,7 +243,7 @@ def fit(learner: Learner, train: DataFrame, features: Sequence[str], label: str,
         return FitResult(PipelineModel(stages=[*stages, model]), rounds, [])
     if learner.kind == "rf_regressor" and (p := spark_params(merge_params(learner.params, params))).keys() <= set(B.FOREST_PARAMS):
         stages, tr = _prepared(train, features, label, imputer)
-        trees, n_features = B.forest(tr, p, int(p.get("seed", learner.seed))), len(stages[-1].getInputCols())
+        trees, n_features = B.forest(tr, p, int(p.get("seed", learner.seed)), binned=binned), len(stages[-1].getInputCols())
         return FitResult(PipelineModel(stages=[*stages, B.forest_model(trees, n_features)]), None, [])
     if learner.kind == "fm_regressor" and FM.by_sums(machine := learner.estimator("features", "label", params), len(features)):
         stages, tr = _prepared(train, features, label, imputer)

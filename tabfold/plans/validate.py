@@ -12,6 +12,7 @@ from __future__ import annotations
 import copy
 import functools
 import uuid
+import weakref
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -75,13 +76,13 @@ def fold_imputers(folded: DataFrame, features: Sequence[str], k: int) -> dict[in
             for f, m in medians.items()}
 
 
-def _fit_fold(learner, folded, f, features, label, params, iterations, proba, key, start, imputer, carry=()):
+def _fit_fold(learner, folded, f, features, label, params, iterations, proba, key, start, imputer, carry=(), binned=None):
     train = folded.where(F.col("fold") != f)
     val = folded.where(F.col("fold") == f)
     if iterations is None and learner.boosted:
         res = L.train_until_optimal(learner, train, val, features, label, params, start=start, imputer=imputer)
     else:
-        res = L.fit(learner, train, features, label, params, iterations, imputer=imputer)
+        res = L.fit(learner, train, features, label, params, iterations, imputer=imputer, binned=binned)
     own = list(dict.fromkeys([key, "fold", label, *carry]))
     # what is carried goes along under names of its own: the model may fill or drop the features
     rows = val.select(*features, *[F.col(c).alias(f"_own{i}") for i, c in enumerate(own)])
@@ -93,13 +94,16 @@ def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], l
                    metric: str = "rmse", k: int = 5, seed: int = 0, groups=None, stratify=None,
                    params: Mapping | None = None, iterations: int | None = None, parallelism: int | None = None,
                    folded: DataFrame | None = None, start_rounds: int = 10,
-                   folds: Sequence[int] | None = None, imputers: Mapping | None = None, carry: Sequence[str] = ()) -> CVResult:
+                   folds: Sequence[int] | None = None, imputers: Mapping | None = None, carry: Sequence[str] = (), binned: dict | None = None) -> CVResult:
     """Per fold: fit the pipeline on the other folds, score the fold; OOF = union.
 
     ``carry``: more columns of ``folded`` that the out-of-fold rows keep.
 
     ``imputers``: ready-made ones by fold (``fold_imputers``), else made here.
 
+    ``binned``: where forests leave the blocks of each fold's training rows for
+    the next run over the same folds, imputers and features.
+
     The k fits are independent Spark jobs submitted concurrently (default
     min(k, 8) driver threads), so small per-iteration stages of one fit
     overlap with those of the others.
@@ -113,7 +117,8 @@ def cross_validate(df: DataFrame, learner: L.Learner, features: Sequence[str], l
     run = list(folds) if folds is not None else list(range(k))     # a fold subset scores fewer folds
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         outs = list(ex.map(lambda f: _fit_fold(learner, folded, f, features, label, params, iterations,
-                                               proba, key, start_rounds, imputers[f], carry), run))
+                                               proba, key, start_rounds, imputers[f], carry,
+                                               None if binned is None else binned.setdefault((f, *features), {})), run))
     oof = outs[0][2]
     for _, _, p in outs[1:]:
         oof = oof.unionByName(p)
@@ -149,6 +154,13 @@ def validate_holdout(df: DataFrame, learner: L.Learner, features: Sequence[str],
     return score, (res.rounds or 0), comparison_frame(pred, key, label)
 
 
+def _forget(binned: dict) -> None:
+    for kept in binned.values():
+        for _, rows, _ in kept.values():
+            rows.unpersist()
+    binned.clear()
+
+
 class CachedFolds:
     """Folds materialised once (checkpoint) and reused by every trial (K7),
     with an order-free fingerprint guard against a different input (K8)."""
@@ -161,6 +173,8 @@ class CachedFolds:
         folded = assign_folds(df.select(*cols), key, k, seed, groups, stratify)
         self.folded = write_folds(folded.withColumn(ROW, F.monotonically_increasing_id()))
         self.imputers = fold_imputers(self.folded, self.features, k)        # the same for every trial
+        self.binned: dict = {}                                              # and so are the bins of a fold's training rows
+        weakref.finalize(self, _forget, self.binned).atexit = False
 
     @functools.cached_property
     def print(self) -> tuple:
@@ -174,7 +188,7 @@ class CachedFolds:
     def only(self, features: Sequence[str]) -> CachedFolds:
         """The same folds for a learner that sees fewer features."""
         view = copy.copy(self)
-        view.features = list(features)
+        view.features, view.whole = list(features), self            # that keeps what the folds share
         return view
 
     def cross_validate(self, learner: L.Learner, metric: str = "rmse", params=None, iterations=None,
@@ -184,4 +198,4 @@ class CachedFolds:
             self.check(df)
         return cross_validate(None, learner, self.features, self.label, self.key, metric, self.k,
                               params=params, iterations=iterations, parallelism=parallelism,
-                              folded=self.folded, folds=folds, imputers=self.imputers, carry=self.carry)
+                              folded=self.folded, folds=folds, imputers=self.imputers, carry=self.carry, binned=self.binned)

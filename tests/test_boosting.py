@@ -1,5 +1,7 @@
 """Boosting in blocks: Spark's own trees, prefixes, patience, several classes."""
 
+import gc
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tabfold.plans import boosting as B
 from tabfold.plans import learners as L
+from tabfold.plans import tuning as T
+from tabfold.plans import validate as V
 
 
 @pytest.fixture(scope="module")
@@ -131,3 +135,76 @@ def test_forest_against_spark(rows, monkeypatch):
     own, spark_s = (np.sqrt(np.mean((np.array([r["prediction"] for r in m.transform(rows).orderBy("id").collect()]) - true) ** 2))
                     for m in (B.forest_model(grown, 3), RandomForestRegressor(labelCol="y", seed=1, **many).fit(rows)))
     assert abs(own / spark_s - 1) < 0.1
+
+
+def test_poisson_numbers():
+    """Their law, and the rare numbers that more than 16 bits decide."""
+    rng, n = np.random.default_rng(1), 400_000
+    for rate in (0.05, 0.6, 1.0):
+        got = B._poisson(rng, rate, n)
+        assert abs(got.mean() - rate) < 5 * np.sqrt(rate / n) and abs(got.var() - rate) < 0.02
+        law = np.exp(-rate) * rate ** np.arange(4) / np.array([1, 1, 2, 6])
+        assert np.allclose(np.bincount(got, minlength=4)[:4] / n, law, atol=0.004)
+        table, upto = B._poisson_table(rate)
+        assert (table == 255).sum() < 20 and set(np.flatnonzero(table == 255)) == {int(u * 65536) for u in upto if u < 1 - 1e-12 and u * 65536 % 1}
+
+
+@pytest.fixture(scope="module")
+def tied(spark):
+    """Few values a feature, one cell with most rows, labels that come twice."""
+    r = np.random.default_rng(7)
+    x = np.column_stack([r.integers(0, 4, 3000) * (r.random(3000) < 0.4), r.integers(0, 3, 3000) * (r.random(3000) < 0.4)])
+    y = x[:, 0] + 2 * x[:, 1] + r.integers(0, 5, 3000) / 5
+    return spark.createDataFrame([(*map(float, v), float(t)) for v, t in zip(x, y)], "a double, b double, y double").repartition(3).cache()
+
+
+def test_rows_are_added_up_by_cell_and_a_large_cell_is_dealt_to_several_tasks(tied, monkeypatch):
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(tied)
+    monkeypatch.setattr(B, "TASK_ROWS", 500)
+    cols = B._columns(rows, "y")
+    by = B._binning(cols, {}, 0)
+    assert by.tasks == 6 and max(by.busy.values()) >= 3
+    blocks = B._blocks(cols, by, 1, True).collect()
+    assert sum(len(b[3]) for b in blocks) == 3000 and sum(len(b[1]) for b in blocks) < 60 and max(len(b[3]) for b in blocks) < 1200
+    want = {}
+    for r in tied.collect():
+        want.setdefault(bytes(by.bins(np.array([[r["a"], r["b"]]]))), []).append(r["y"])
+    got = {}
+    for _, cells, starts, y, _, _ in blocks:
+        for cell, labels in zip(cells, np.split(y, starts[1:])):
+            got.setdefault(bytes(cell), []).extend(labels)
+    assert {c: sorted(v) for c, v in got.items()} == {c: sorted(v) for c, v in want.items()}
+    params = {"maxDepth": 3, "stepSize": 0.3}
+    made = B.gbt_model(*(lambda m: (m.trees, m.weights))(B.grow(rows, None, "squared", params, 0, None, 3, 5, "y")), 2, False)
+    a, b = ([r["prediction"] for r in m.transform(rows).orderBy("a", "b").collect()] for m in (made, GBTRegressor(labelCol="y", maxIter=5, **params).fit(rows)))
+    assert np.allclose(a, b, atol=1e-9)
+
+
+def test_a_forest_grows_over_sums_by_cell_or_draws_again(tied, monkeypatch):
+    """The same trees either way, with few and with many tasks' worth of rows; the blocks are made once for one owner."""
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(tied)
+    monkeypatch.setattr(B, "TASK_ROWS", 800)
+    params, kept = {"numTrees": 4, "maxDepth": 3, "subsamplingRate": 0.7}, {}
+    one = B.forest(rows, params, 0, "y", kept)
+    (_, blocks, n_cells), = kept.values()
+    assert n_cells < 100 and blocks.is_cached
+    monkeypatch.setattr(B, "_blocks", None)                       # not made again
+    monkeypatch.setattr(B, "KEPT_BYTES", 0)
+    two = B.forest(rows, params, 0, "y", kept)
+    assert all(np.allclose(s.stats, t.stats) and s.cut == t.cut for s, t in zip(one, two, strict=True))
+    blocks.unpersist()
+
+
+def test_trials_of_a_search_share_the_blocks_of_a_fold(tied, spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(B, "_blocks", lambda *a, own=B._blocks, **b: made.append(1) or own(*a, **b))
+    cache = V.CachedFolds(tied.withColumn("id", F.monotonically_increasing_id()), "id", "y", ["a", "b"], k=2)
+    space = {"maxDepth": T.IntStep(2, 4), "subsamplingRate": T.Uniform(0.6, 1.0)}
+    found = T.random_search(spark, cache, L.Learner("rf_regressor", {"numTrees": 3}), "rmse", space, trials=3).trials.collect()
+    assert len(made) == 2 and len({r["score"] for r in found}) == 3          # 6 before: two folds a trial
+    cache.only(["a"]).cross_validate(L.Learner("rf_regressor", {"numTrees": 3}))
+    assert len(made) == 4                                                    # other features, other bins
+    held, blocks = cache.binned, [kept[1] for v in cache.binned.values() for kept in v.values()]
+    del cache
+    gc.collect()
+    assert not held and not any(b.is_cached for b in blocks)
