@@ -60,7 +60,7 @@ FOREST_PARAMS = (*TREE_PARAMS, "numTrees", "bootstrap", "seed")
 
 BLOCK_ROWS = 100_000             # rows of a block, about
 TASK_ROWS = 2_000_000            # rows of a task, about: a level takes some 10 ns a row, a task some 50 ms besides
-TASK_BYTES = 64 << 20            # their bins and labels, at most: a task sorts them
+TASK_BYTES = 32 << 20            # their bins and labels, at most: a task sorts them
 SPLIT_ROWS = 10_000              # rows that split values are found from, as in Spark's trees
 SUM_BYTES = 16 << 20             # sums of a level that the driver adds itself, at most; more are added by Spark first
 LEVEL_BYTES = 64 << 20           # sums that a task holds, at most
@@ -362,14 +362,19 @@ def _hashed(cells: np.ndarray) -> np.ndarray:
 
 def _blocks(rows: DataFrame, by: Binning, n_margins: int, strict: bool, binary: bool = False) -> RDD:
     """(id, cells, first row of each, labels, margins of the cells, losses) of some ten thousand rows each."""
-    kind, p, tasks, busy = by.kind, len(by.cuts), by.tasks, by.busy
+    kind, p, tasks = by.kind, len(by.cuts), by.tasks
+    large = _hashed(np.array([np.frombuffer(c, kind) for c in by.busy]).reshape(-1, p))
+    order, among = np.argsort(large), np.array(list(by.busy.values()), np.uint64)
+    large, among = large[order], among[order]
 
     def dealt(x, y):
         cells = np.ascontiguousarray(by.bins(x))
-        to = _hashed(cells) % np.uint64(tasks)
-        for cell, parts in busy.items():
-            here = np.flatnonzero((cells == np.frombuffer(cell, kind)).all(axis=1))
-            to[here] = (to[here] + np.arange(len(here), dtype=np.uint64) % np.uint64(parts)) % np.uint64(tasks)
+        h = _hashed(cells)
+        if len(large):
+            at = np.minimum(np.searchsorted(large, h), len(large) - 1)
+            here = np.flatnonzero(large[at] == h)
+            h[here] += (here.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % among[at[here]]
+        to = h % np.uint64(tasks)
         order = np.argsort(to, kind="stable")
         ends = np.cumsum(np.bincount(to.astype(int), minlength=tasks))
         for task, (lo, hi) in enumerate(zip(np.append(0, ends[:-1]), ends)):

@@ -157,7 +157,8 @@ def validate_holdout(df: DataFrame, learner: L.Learner, features: Sequence[str],
 def _forget(binned: dict) -> None:
     for kept in binned.values():
         for _, rows, _ in kept.values():
-            rows.unpersist()
+            if rows.ctx._jsc is not None:              # else the session has ended
+                rows.unpersist()
     binned.clear()
 
 
